@@ -5,34 +5,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.shared import materialize
+from ledgerlens.operators.shared import Measured, measure
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot when it holds more than one part in HOT_SHARE of the rows, so at most HOT_SHARE keys are.
 HOT_SHARE = 1000
 
 
-def text_bytes(df: DataFrame) -> int:
-    """Size of the rows written as text, measured by one pass over ``df``."""
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns],
-    )
-    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
-
-
-def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
-    """Left join with a table that has at most one row per key.
+def sized_join(
+    left: DataFrame, right: Measured, on: Sequence[str], spread_by: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Join (left, inner or left semi) with a table whose size was measured when it was written.
 
-    The size of ``right`` is measured, so it should be cheap to read again. Within
-    ``BROADCAST_BYTES`` it is broadcast and ``left`` is not shuffled; beyond, see ``spread_join``.
+    Within ``BROADCAST_BYTES`` it is broadcast and ``left`` is not shuffled; beyond, see
+    ``spread_join``.
     """
-    if text_bytes(right) <= BROADCAST_BYTES:
-        return left.join(F.broadcast(right), list(on), "left")
-    return spread_join(left, right, on, spread_by, "left")
+    if right.measures["bytes"] <= BROADCAST_BYTES:
+        return left.join(F.broadcast(right.table), list(on), how)
+    return spread_join(left, right.table, on, spread_by, how)
 
 
 def spread_join(
@@ -65,10 +58,7 @@ def spread_join(
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """The at most ``HOT_SHARE`` keys that hold more than their share of rows, flagged ``_hot``."""
-    counts = materialize(df.select(*on).na.drop().groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "key_counts")
-    rows = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    return counts.where(F.col("_n") * HOT_SHARE > rows).select(*on, F.lit(True).alias("_hot"))
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    counts = df.select(*on).na.drop().groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    written = measure(counts, "key_counts", rows=F.sum("_n"))
+    hot = F.col("_n") * HOT_SHARE > written.measures["rows"]
+    return written.table.where(hot).select(*on, F.lit(True).alias("_hot"))

@@ -9,30 +9,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import lookup
-from ledgerlens.operators.shared import materialize
+from ledgerlens.operators.joins import sized_join
+from ledgerlens.operators.shared import Measured, measure_size
 
 
-def mark_repeats(df: DataFrame, key: str, order: Sequence[str], into: str) -> DataFrame:
-    """Flag every row but the first, in ``order``, of those that share a non-null ``key``."""
-    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
+def repeated_keys(df: DataFrame, key: str, order: Sequence[str]) -> Measured:
+    """The non-null values of ``key`` that several rows share, with the place of their first row."""
     repeated = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.min(_place(order)).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
         .drop("_n")
     )
-    marked = lookup(df, materialize(repeated, f"repeated_{key}"), [key], order)
-    return marked.withColumn(into, F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(place)).drop("_first")
+    return measure_size(repeated, f"repeated_{key}")
 
 
-def mark_unknown(df: DataFrame, key: str, known: DataFrame, order: Sequence[str], into: str) -> DataFrame:
-    """Flag the rows whose non-null ``key`` is not in the one-column frame ``known``."""
+def unknown_keys(df: DataFrame, key: str, known: DataFrame) -> Measured:
+    """The non-null values of ``key`` that are not in the one-column frame ``known``."""
     used = df.select(key).where(F.col(key).isNotNull()).distinct()
     unknown = used.join(known.distinct(), key, "left_anti").withColumn("_unknown", F.lit(True))
-    marked = lookup(df, materialize(unknown, f"unknown_{key}"), [key], order)
+    return measure_size(unknown, f"unknown_{key}")
+
+
+def mark_repeats(df: DataFrame, repeated: Measured, key: str, order: Sequence[str], into: str) -> DataFrame:
+    """Flag every row but the first, in ``order``, of those that share a key."""
+    marked = sized_join(df, repeated, [key], order)
+    later = F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(_place(order))
+    return marked.withColumn(into, later).drop("_first")
+
+
+def mark_unknown(df: DataFrame, unknown: Measured, key: str, order: Sequence[str], into: str) -> DataFrame:
+    """Flag the rows that refer to an unknown key."""
+    marked = sized_join(df, unknown, [key], order)
     return marked.withColumn(into, F.coalesce("_unknown", F.lit(False))).drop("_unknown")
+
+
+def _place(order: Sequence[str]) -> Column:
+    return F.struct(*order) if len(order) > 1 else F.col(order[0])

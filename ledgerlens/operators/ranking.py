@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import lookup
-from ledgerlens.operators.shared import materialize
+from ledgerlens.operators.joins import sized_join
+from ledgerlens.operators.shared import Measured, measure, text_bytes
 
 
 def running_total(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, below: str, total: str
-) -> DataFrame:
+) -> Measured:
     """Add the sum of ``value`` over the rows before (``below``) and over all rows (``total``).
 
     Rows are taken per ``by`` in ascending ``order``, which must tell the rows of a group apart.
@@ -22,11 +22,10 @@ def running_total(
     the sums within a range see the same cut even if tasks run again.
     """
     by, order = list(by), list(order)
-    cut = materialize(
-        df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
+    cut = df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id())
+    written = measure(cut, "ranges", bytes=text_bytes(cut))
     # One row per range (and group): as many as there are shuffle partitions, not rows.
-    sums = cut.groupBy(*by, "_range").agg(F.sum(value).alias("_sum"))
+    sums = written.table.groupBy(*by, "_range").agg(F.sum(value).alias("_sum"))
     whole = Window.partitionBy(*by)
     earlier_ranges = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -36,12 +35,13 @@ def running_total(
         F.sum("_sum").over(whole).alias(total),
     )
     earlier_rows = Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        cut.withColumn(below, F.coalesce(F.sum(value).over(earlier_rows), F.lit(0)))
+    placed = (
+        written.table.withColumn(below, F.coalesce(F.sum(value).over(earlier_rows), F.lit(0)))
         .join(F.broadcast(offsets), [*by, "_range"])
         .withColumn(below, F.col(below) + F.col("_offset"))
         .drop("_range", "_offset")
     )
+    return Measured(placed, written.measures)
 
 
 def percent_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -49,7 +49,7 @@ def percent_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
     Equal values share the average of their ranks; a null value has a null rank. ``key`` must be
     unique. Works on the distinct values and their counts, so that a value shared by a third of
-    all rows is one row to sort, and hands the ranks back through a lookup.
+    all rows is one row to sort, and joins the ranks back. ``df`` is read twice.
     """
     pairs = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).alias("_value")) for i, c in enumerate(columns)])
     values = (
@@ -59,10 +59,9 @@ def percent_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     )
     counts = values.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
     placed = running_total(counts, ["_column"], ["_value"], "_n", "_below", "_total")
-    ranks = placed.select(
-        "_column", "_value", ((F.col("_below") + (F.col("_n") + 1) / 2) / F.col("_total")).alias("_rank")
-    )
-    found = lookup(values, ranks, ["_column", "_value"], [key])
+    rank = (F.col("_below") + (F.col("_n") + 1) / 2) / F.col("_total")
+    ranks = Measured(placed.table.select("_column", "_value", rank.alias("_rank")), placed.measures)
+    found = sized_join(values, ranks, ["_column", "_value"], [key])
     return found.groupBy(key).agg(
         *[F.max(F.when(F.col("_column") == i, F.col("_rank"))).alias(c) for i, c in enumerate(columns)]
     )
@@ -70,7 +69,8 @@ def percent_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], position: str, total: str) -> DataFrame:
     """Number the rows of each group from 0 in ``order``, and add the group's number of rows."""
-    return running_total(df.withColumn("_one", F.lit(1)), by, order, "_one", position, total).drop("_one")
+    placed = running_total(df.withColumn("_one", F.lit(1)), by, order, "_one", position, total)
+    return placed.table.drop("_one")
 
 
 def tile(position: Column, total: Column, tiles: int) -> Column:
@@ -90,7 +90,7 @@ def tile(position: Column, total: Column, tiles: int) -> Column:
 def percentile_with_count(df: DataFrame, column: str, percent: int) -> DataFrame:
     """One row: the exact, linearly interpolated percentile of the non-null values and their number."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(counts, [], [column], "_n", "_below", "_total")
+    placed = running_total(counts, [], [column], "_n", "_below", "_total").table
     # Place of the percentile among the values, counted from 0, in hundredths.
     place = (F.col("_total") - 1) * percent
     low = F.floor(place / 100)

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -27,6 +32,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
+class Measured(NamedTuple):
+    """A written table and what was measured while writing it."""
+
+    table: DataFrame
+    measures: dict[str, int]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
@@ -37,3 +49,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{spark.conf.get('spark.app.id')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def measure(df: DataFrame, name: str, **measures: Column) -> Measured:
+    """``materialize`` that also collects the given whole-number aggregates, in the same job."""
+    observed = Observation()
+    columns = [F.coalesce(c, F.lit(0)).cast("bigint").alias(n) for n, c in measures.items()]
+    table = materialize(df.observe(observed, *columns), name)
+    found = observed.get
+    # Spark drops the observation together with a result it finds to be empty.
+    return Measured(table, {n: found.get(n) or 0 for n in measures})
+
+
+def text_bytes(df: DataFrame) -> Column:
+    """Aggregate: size of the rows written as text, with a word per value on top."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns]
+    return F.sum(reduce(lambda a, b: a + b, sizes))
+
+
+def measure_size(df: DataFrame, name: str) -> Measured:
+    return measure(df, name, bytes=text_bytes(df))
+
+
+def together(*builds: Callable[[], Any]) -> list[Any]:
+    """Call the functions at the same time, so that their Spark jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        return [f.result() for f in [pool.submit(b) for b in builds]]

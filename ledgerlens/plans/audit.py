@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators.rules import status_counts
-from ledgerlens.operators.shared import materialize
+from ledgerlens.operators.shared import materialize, together
 from ledgerlens.plans import dashboard, executive, health, metrics, reports, validators
 from ledgerlens.sources.schemas import TABLES
 from ledgerlens.sources.tables import load_tables, register_views, save_table, write_tables
@@ -75,13 +75,18 @@ class RevenueAudit:
 
     @property
     def clean(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, f"clean_{name}") for name in TABLES}
+        self.clean_subscriptions  # noqa: B018 - the other three need it
+        found = together(*[lambda n=name: getattr(self, f"clean_{n}") for name in TABLES])
+        return dict(zip(TABLES, found))
 
     def materialize_clean(self) -> RevenueAudit:
         """Write all classified tables to the shared folder, for sessions that run many reports."""
-        for name in TABLES:
-            if name != "subscriptions":
-                setattr(self, f"clean_{name}", materialize(getattr(self, f"clean_{name}"), f"clean_{name}"))
+
+        def write(name: str) -> None:
+            setattr(self, f"clean_{name}", materialize(getattr(self, f"clean_{name}"), f"clean_{name}"))
+
+        self.clean_subscriptions  # noqa: B018 - written when built
+        together(*[lambda n=name: write(n) for name in TABLES if name != "subscriptions"])
         return self
 
     # Customer level
@@ -89,10 +94,7 @@ class RevenueAudit:
     @cached_property
     def customer_metrics(self) -> DataFrame:
         return metrics.customer_metrics(
-            self.clean_subscriptions,
-            self.clean_invoices,
-            self.clean_product_usage,
-            self.clean_support_cases,
+            *self.clean.values(),
             self.as_of,
             self.orders["subscriptions"],
         )

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import exact_mean, money, round_money
-from ledgerlens.operators.joins import lookup, spread_join
+from ledgerlens.operators.joins import sized_join, spread_join
 from ledgerlens.operators.rules import trusted
-from ledgerlens.operators.shared import materialize
+from ledgerlens.operators.shared import measure_size
 from ledgerlens.plans.health import HIGH_RISK, WATCHLIST
 from ledgerlens.plans.reports import TOP, at_risk, reported_fees, subscription_links
 
@@ -58,10 +58,11 @@ def executive_summary(
 ) -> DataFrame:
     """One row per customer. ``reported_mrr`` is the figure of the customer's whole region and plan."""
     place = ["region", "plan_name"]
-    reported = materialize(reported_fees(raw_subscriptions, *place).na.drop(subset=place), "reported_fees")
+    reported = measure_size(reported_fees(raw_subscriptions, *place).na.drop(subset=place), "reported_fees")
     mean_mrr = summary.select(exact_mean(F.col("MRR").cast("decimal(18,6)"))).scalar()
+    mrr = round_money(F.col("MRR").cast("decimal(18,6)"))
     wide = (
-        lookup(summary, reported, place, ["customer_id"])
+        sized_join(summary, reported, place, ["customer_id"])
         .join(invoice_totals(invoices, subscriptions), "customer_id", "left")
         .join(case_totals(cases), "customer_id", "left")
     )
@@ -71,7 +72,7 @@ def executive_summary(
         "plan_name",
         "sales_channel",
         round_money(F.col("reported")).alias("reported_mrr"),
-        F.round("MRR", 2).alias("trusted_mrr"),
+        mrr.alias("trusted_mrr"),
         F.coalesce(round_money(F.col("total_invoice_value")), F.lit(0.0)).alias("total_invoice_value"),
         F.round("payment_failure_rate", 4).alias("payment_failure_rate"),
         "usage_intensity_score",
@@ -80,7 +81,7 @@ def executive_summary(
         F.round("average_csat", 2).alias("average_csat"),
         "customer_health_score",
         "risk_category",
-        F.when(at_risk(), F.round("MRR", 2)).otherwise(0.0).alias("revenue_at_risk"),
+        F.when(at_risk(), mrr).otherwise(0.0).alias("revenue_at_risk"),
         priority(mean_mrr).alias("recommended_priority"),
     )
 

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import exact_mean, money, net_fee, parse_number, round_money, share
-from ledgerlens.operators.joins import spread_join
+from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.ranking import positions, tile
 from ledgerlens.operators.rules import INVALID, trusted
-from ledgerlens.operators.shared import materialize
+from ledgerlens.operators.shared import materialize, measure_size, together
 from ledgerlens.plans.health import HIGH_RISK
 from ledgerlens.sources.tables import load_order
 
@@ -300,10 +300,8 @@ def invoice_contradictions(
     Subscription rows of one id and customer are counted before the join and written out after it.
     """
     bad = _bad_paid_invoices(invoices)
-    linked = spread_join(
-        bad, subscription_links(subscriptions), ["subscription_id"], load_order(bad, order), "inner"
-    )
-    return _invoice_rows(linked)
+    links = measure_size(subscription_links(subscriptions), "subscription_links")
+    return _invoice_rows(sized_join(bad, links, ["subscription_id"], load_order(bad, order), "inner"))
 
 
 def contradictions(
@@ -313,14 +311,6 @@ def contradictions(
     return customer_contradictions(summary).unionByName(invoice_contradictions(invoices, subscriptions, order))
 
 
-IMPACT_ORDER = (
-    F.desc("financial_impact"),
-    F.asc_nulls_first("customer_id"),
-    F.asc("contradiction_type"),
-    F.asc_nulls_first("description"),
-)
-
-
 def top_contradictions(summary: DataFrame, invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """The twenty contradictions with the largest impact.
 
@@ -330,12 +320,16 @@ def top_contradictions(summary: DataFrame, invoices: DataFrame, subscriptions: D
     """
     row = ["subscription_id", "invoice_id", "status_reason", "invoice_amount"]
     bad = _bad_paid_invoices(invoices).where(F.col("invoice_amount").isNotNull())
-    bad = materialize(bad.groupBy(*row).agg(F.count(F.lit(1)).alias("rows")), "bad_paid_invoices")
-    links = materialize(subscription_links(subscriptions), "subscription_links")
-    tied = spread_join(bad, links.select("subscription_id").distinct(), ["subscription_id"], row, "left_semi")
+    bad = bad.groupBy(*row).agg(F.count(F.lit(1)).alias("rows"))
+    bad, links = together(
+        lambda: materialize(bad, "bad_paid_invoices"),
+        lambda: measure_size(subscription_links(subscriptions), "subscription_links"),
+    )
+    tied = sized_join(bad, links, ["subscription_id"], row, "left_semi")
     largest = tied.select("invoice_amount").orderBy(F.desc("invoice_amount")).limit(TOP)
     candidates = bad.where(F.col("invoice_amount") >= largest.agg(F.min("invoice_amount")).scalar())
-    linked = spread_join(candidates, links, ["subscription_id"], row, "inner")
+    linked = sized_join(candidates, links, ["subscription_id"], row, "inner")
     linked = linked.withColumn("copies", F.least(F.col("rows") * F.col("copies"), F.lit(TOP)))
     found = customer_contradictions(summary).unionByName(_invoice_rows(linked))
-    return found.where(F.col("financial_impact").isNotNull()).orderBy(*IMPACT_ORDER).limit(TOP)
+    ties = [F.asc_nulls_first(c) for c in ("customer_id", "contradiction_type", "description")]
+    return found.where(F.col("financial_impact").isNotNull()).orderBy(F.desc("financial_impact"), *ties).limit(TOP)

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import normalise_status, parse_number, parse_timestamp
-from ledgerlens.operators.marks import mark_repeats, mark_unknown
+from ledgerlens.operators.marks import mark_repeats, mark_unknown, repeated_keys, unknown_keys
 from ledgerlens.operators.ranking import percentile_with_count
 from ledgerlens.operators.rules import Rule, classify, invalid, suspicious, trusted
+from ledgerlens.operators.shared import together
 from ledgerlens.sources.schemas import TABLES, TableSpec
 from ledgerlens.sources.tables import load_order
 
@@ -34,6 +35,17 @@ def parsed(raw: DataFrame, spec: TableSpec, formats: Sequence[str] = ()) -> Data
     return raw.withColumns(columns)
 
 
+def _marked(df: DataFrame, spec: TableSpec, order: Sequence[str], reference: str, subscriptions: DataFrame) -> DataFrame:
+    """Flag repeated ids, and references to nothing among the trusted subscriptions."""
+    order = load_order(df, tuple(order))
+    known = trusted(subscriptions).select(reference)
+    repeated, unknown = together(
+        lambda: repeated_keys(df, spec.id, order), lambda: unknown_keys(df, reference, known)
+    )
+    df = mark_repeats(df, repeated, spec.id, order, "_repeated")
+    return mark_unknown(df, unknown, reference, order, "_unknown_ref")
+
+
 def _classified(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return classify(df, rules).drop(*MARKS)
 
@@ -45,7 +57,9 @@ def clean_subscriptions(
     formats: Sequence[str] = (),
 ) -> DataFrame:
     df = parsed(raw, TABLES["subscriptions"], formats)
-    df = mark_repeats(df, "subscription_id", load_order(df, tuple(order)), "_repeated")
+    order = load_order(df, tuple(order))
+    repeated = repeated_keys(df, "subscription_id", order)
+    df = mark_repeats(df, repeated, "subscription_id", order, "_repeated")
     signup, renewal = F.col("signup_date"), F.col("renewal_date")
     fee, discount = F.col("monthly_fee"), F.col("discount_pct")
     active = F.col("subscription_status_norm") == "Active"
@@ -74,10 +88,8 @@ def clean_invoices(
     order: Sequence[str] = TABLES["invoices"].order,
     formats: Sequence[str] = (),
 ) -> DataFrame:
-    df = parsed(raw, TABLES["invoices"], formats)
-    order = load_order(df, tuple(order))
-    df = mark_repeats(df, "invoice_id", order, "_repeated")
-    df = mark_unknown(df, "subscription_id", trusted(subscriptions).select("subscription_id"), order, "_unknown_ref")
+    spec = TABLES["invoices"]
+    df = _marked(parsed(raw, spec, formats), spec, order, "subscription_id", subscriptions)
     amount, paid_on = F.col("invoice_amount"), F.col("payment_date")
     rules = [
         invalid(F.col("invoice_id").isNull(), "Missing invoice_id"),
@@ -103,12 +115,13 @@ def clean_product_usage(
     order: Sequence[str] = TABLES["product_usage"].order,
     formats: Sequence[str] = (),
 ) -> DataFrame:
-    df = parsed(raw, TABLES["product_usage"], formats)
-    cap = percentile_with_count(df.select("seat_count"), "seat_count", SEAT_PERCENTILE)
+    spec = TABLES["product_usage"]
+    usage = parsed(raw, spec, formats)
+    df, cap = together(
+        lambda: _marked(usage, spec, order, "customer_id", subscriptions),
+        lambda: percentile_with_count(usage, "seat_count", SEAT_PERCENTILE),
+    )
     seat_cap = cap.where(F.col("value_count") > SEAT_MIN_VALUES).select("percentile").scalar()
-    order = load_order(df, tuple(order))
-    df = mark_repeats(df, "usage_id", order, "_repeated")
-    df = mark_unknown(df, "customer_id", trusted(subscriptions).select("customer_id"), order, "_unknown_ref")
     df = df.withColumn("_seat_cap", seat_cap)
     rules = [
         invalid(F.col("usage_id").isNull(), "Missing usage_id"),
@@ -132,10 +145,8 @@ def clean_support_cases(
     require_customer: bool = False,
 ) -> DataFrame:
     """``require_customer`` adds a rule against cases without a customer."""
-    df = parsed(raw, TABLES["support_cases"], formats)
-    order = load_order(df, tuple(order))
-    df = mark_repeats(df, "case_id", order, "_repeated")
-    df = mark_unknown(df, "customer_id", trusted(subscriptions).select("customer_id"), order, "_unknown_ref")
+    spec = TABLES["support_cases"]
+    df = _marked(parsed(raw, spec, formats), spec, order, "customer_id", subscriptions)
     closed, hours, csat = F.col("closed_date"), F.col("resolution_hours"), F.col("csat_score")
     rules = [
         invalid(F.col("case_id").isNull(), "Missing case_id"),

@@ -69,7 +69,17 @@ TEXTS = {
     "product_usage": PRODUCT_USAGE,
     "support_cases": SUPPORT_CASES,
 }
-INPUTS = ("orders", "customer", "nation", "region", "lineitem", "events")
+# Columns the queries above read, with their types, so that no file is opened to infer them.
+INPUTS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
 POSITIONED = ("orders", "lineitem", "events")
 
 INVOICE_ORDER = ("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey")
@@ -83,8 +93,8 @@ def derive_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     everything else still have a first.
     """
     inputs = {}
-    for name in INPUTS:
-        df = spark.read.parquet(f"{folder}/{name}.parquet")
+    for name, schema in INPUTS.items():
+        df = spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")
         if name in POSITIONED:
             file = F.xxhash64("_metadata.file_path").alias("source_file")
             df = df.select("*", file, F.col("_metadata.row_index").alias("source_row"))
