@@ -95,7 +95,10 @@ def round_half_even(column: Column, digits: int = 2) -> Column:
     return F.rint(column * scale) / scale
 
 
-def round_money(column: Column) -> Column:
-    """Round half away from zero to cents, as a double."""
-    return F.round(column, 2).cast("double")
+def round_half_up(column: Column, digits: int) -> Column:
+    """Round half away from zero by decimal digits, as a double: 0.285 becomes 0.29."""
+    return F.round(column.cast("decimal(28,9)"), digits).cast("double")
+
 
+def round_money(column: Column) -> Column:
+    return round_half_up(column, 2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, money, net_fee, parse_number, round_money, share
+from ledgerlens.functions.columns import exact_mean, money, net_fee, parse_number, round_half_up, round_money, share
 from ledgerlens.operators.rules import INVALID, trusted
 from ledgerlens.plans.health import HIGH_RISK
 from ledgerlens.plans.reports import (
@@ -23,7 +23,7 @@ def _sum_cents(column: Column) -> Column:
 
 
 def _mean_score(column: Column) -> Column:
-    return F.round(exact_mean(column.cast("decimal(18,6)")), 2)
+    return round_half_up(exact_mean(column.cast("decimal(18,6)")), 2)
 
 
 def _revenue_at_risk() -> Column:
@@ -53,11 +53,11 @@ def kpis(raw_subscriptions: DataFrame, subscriptions: DataFrame, summary: DataFr
     )
     subs = trusted(subscriptions).agg(
         F.sum(F.when(is_active(), fee)).alias("trusted"),
-        F.round(F.try_divide(F.count_if(is_active()), F.count(F.lit(1))) * 100, 2).alias("renewal_rate_pct"),
+        round_half_up(F.try_divide(F.count_if(is_active()), F.count(F.lit(1))) * 100, 2).alias("renewal_rate_pct"),
     )
     customers = summary.agg(
         _revenue_at_risk().alias("revenue_at_risk"),
-        F.round(F.try_divide(F.count_if(F.col("risk_category") == HIGH_RISK), F.count(F.lit(1))) * 100, 2).alias(
+        round_half_up(F.try_divide(F.count_if(F.col("risk_category") == HIGH_RISK), F.count(F.lit(1))) * 100, 2).alias(
             "high_risk_customers_pct"
         ),
     )
@@ -92,8 +92,8 @@ def region_plan_matrix(subscriptions: DataFrame, summary: DataFrame) -> DataFram
         .agg(
             F.grouping_id().cast("int").alias("level"),
             F.coalesce(round_money(F.sum(fee)), F.lit(0.0)).alias("trusted_mrr"),
-            F.round(share(is_active()) * 100, 2).alias("renewal_rate_pct"),
-            F.round(share(F.col("subscription_status_norm") == "Cancelled") * 100, 2).alias("cancellation_rate_pct"),
+            round_half_up(share(is_active()) * 100, 2).alias("renewal_rate_pct"),
+            round_half_up(share(F.col("subscription_status_norm") == "Cancelled") * 100, 2).alias("cancellation_rate_pct"),
         )
         .alias("s")
     )
@@ -141,7 +141,7 @@ def monthly_revenue(invoices: DataFrame) -> DataFrame:
 
 def customers_to_act_on(executive: DataFrame, summary: DataFrame) -> DataFrame:
     """The twenty customers with most revenue at risk, the unhealthier first among equals."""
-    revenue = summary.select("customer_id", F.round("effective_monthly_revenue", 2).alias("revenue"))
+    revenue = summary.select("customer_id", round_half_up(F.col("effective_monthly_revenue"), 2).alias("revenue"))
     return (
         executive.join(revenue, "customer_id")
         .orderBy(F.desc("revenue_at_risk"), "customer_health_score", "customer_id")

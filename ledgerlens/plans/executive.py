@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, money, round_money
+from ledgerlens.functions.columns import exact_mean, money, round_half_up, round_money
 from ledgerlens.operators.joins import sized_join, spread_join
 from ledgerlens.operators.rules import trusted
 from ledgerlens.operators.shared import measure_size
@@ -60,7 +60,7 @@ def executive_summary(
     place = ["region", "plan_name"]
     reported = measure_size(reported_fees(raw_subscriptions, *place).na.drop(subset=place), "reported_fees")
     mean_mrr = summary.select(exact_mean(F.col("MRR").cast("decimal(18,6)"))).scalar()
-    mrr = round_money(F.col("MRR").cast("decimal(18,6)"))
+    mrr = round_money(F.col("MRR"))
     wide = (
         sized_join(summary, reported, place, ["customer_id"])
         .join(invoice_totals(invoices, subscriptions), "customer_id", "left")
@@ -74,11 +74,11 @@ def executive_summary(
         round_money(F.col("reported")).alias("reported_mrr"),
         mrr.alias("trusted_mrr"),
         F.coalesce(round_money(F.col("total_invoice_value")), F.lit(0.0)).alias("total_invoice_value"),
-        F.round("payment_failure_rate", 4).alias("payment_failure_rate"),
+        round_half_up(F.col("payment_failure_rate"), 4).alias("payment_failure_rate"),
         "usage_intensity_score",
         F.coalesce("support_case_count", F.lit(0)).alias("support_case_count"),
         F.coalesce("escalation_count", F.lit(0)).alias("escalation_count"),
-        F.round("average_csat", 2).alias("average_csat"),
+        round_half_up(F.col("average_csat"), 2).alias("average_csat"),
         "customer_health_score",
         "risk_category",
         F.when(at_risk(), mrr).otherwise(0.0).alias("revenue_at_risk"),

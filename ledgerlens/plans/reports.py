@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, money, net_fee, parse_number, round_money, share
+from ledgerlens.functions.columns import exact_mean, money, net_fee, parse_number, round_half_up, round_money, share
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.ranking import positions, tile
 from ledgerlens.operators.rules import INVALID, trusted
@@ -45,7 +45,7 @@ def trusted_fees(subscriptions: DataFrame, *keys: str) -> DataFrame:
 def overstatement_pct(reported: Column, trusted_: Column) -> Column:
     """By how many percent of itself the reported figure exceeds the trusted one; 0 if nothing was reported."""
     reported, trusted_ = (F.coalesce(c.cast("double"), F.lit(0.0)) for c in (reported, trusted_))
-    return F.when(reported == 0, 0.0).otherwise(F.round((reported - trusted_) / reported * 100, 2))
+    return F.when(reported == 0, 0.0).otherwise(round_half_up((reported - trusted_) / reported * 100, 2))
 
 
 def trusted_vs_reported(raw_subscriptions: DataFrame, subscriptions: DataFrame) -> DataFrame:
@@ -106,11 +106,11 @@ def high_revenue_low_usage(summary: DataFrame, cases: DataFrame) -> DataFrame:
         .orderBy(F.desc("effective_monthly_revenue"), "customer_id")
         .select(
             "customer_id",
-            F.round("effective_monthly_revenue", 2).alias("revenue"),
+            round_half_up(F.col("effective_monthly_revenue"), 2).alias("revenue"),
             "plan_name",
             F.col("usage_intensity_score").alias("usage_score"),
             "escalation_count",
-            F.round("average_csat", 2).alias("csat"),
+            round_half_up(F.col("average_csat"), 2).alias("csat"),
             F.col("customer_health_score").alias("health_score"),
         )
     )
@@ -146,10 +146,10 @@ def discount_vs_retention(subscriptions: DataFrame, summary: DataFrame) -> DataF
         .orderBy(F.desc("discount"))
         .select(
             "plan_name",
-            F.round("discount", 2).alias("avg_discount_pct"),
-            F.round(F.col("renewal") * 100, 2).alias("renewal_rate_pct"),
-            F.round(F.col("cancellation") * 100, 2).alias("cancellation_rate_pct"),
-            F.round("health", 2).alias("avg_health_score"),
+            round_half_up(F.col("discount"), 2).alias("avg_discount_pct"),
+            round_half_up(F.col("renewal") * 100, 2).alias("renewal_rate_pct"),
+            round_half_up(F.col("cancellation") * 100, 2).alias("cancellation_rate_pct"),
+            round_half_up(F.col("health"), 2).alias("avg_health_score"),
             round_money(F.col("fees")).alias("trusted_mrr"),
         )
     )
@@ -180,7 +180,7 @@ def _text(value: Column) -> Column:
 
 def _whole_text(value: Column) -> Column:
     """A rounded figure of any size as text, never in exponent form."""
-    return F.concat(F.round(value, 0).cast("decimal(18,0)").cast("string"), F.lit(".0"))
+    return F.concat(F.round(value.cast("decimal(28,9)"), 0).cast("decimal(18,0)").cast("string"), F.lit(".0"))
 
 
 def _branches(summary: DataFrame) -> dict[str, tuple[Column, str, Column, Column]]:
@@ -197,7 +197,7 @@ def _branches(summary: DataFrame) -> dict[str, tuple[Column, str, Column, Column
             "Active subscription with repeated failed payments",
             F.concat(
                 F.lit("Payment failure rate "),
-                _text(F.round(failed * 100, 1)),
+                _text(round_half_up(failed * 100, 1)),
                 F.lit("% while subscription is Active"),
             ),
             F.col("MRR"),
@@ -221,9 +221,9 @@ def _branches(summary: DataFrame) -> dict[str, tuple[Column, str, Column, Column
             "High CSAT despite repeated escalations",
             F.concat(
                 F.lit("Average CSAT "),
-                _text(F.round(csat, 1)),
+                _text(round_half_up(csat, 1)),
                 F.lit(" but escalation rate "),
-                _text(F.round(escalated * 100, 1)),
+                _text(round_half_up(escalated * 100, 1)),
                 F.lit("%"),
             ),
             revenue,

@@ -226,7 +226,7 @@ CTES |= {
             cast(sum(cast(MRR as decimal(18,6))) as double) / count(*) as mrr
         from customer_summary""",
     "q5a": """select customer_id, 'Active subscription with repeated failed payments' as contradiction_type,
-            'Payment failure rate ' || round(payment_failure_rate * 100, 1) || '% while subscription is Active' as description,
+            'Payment failure rate ' || cast(round(cast(payment_failure_rate * 100 as decimal(28,9)), 1) as double) || '% while subscription is Active' as description,
             MRR as financial_impact
         from customer_summary where subscription_status_norm = 'Active' and payment_failure_rate > 0.5""",
     "q5b": """select customer_id, 'High product usage but cancelled' as contradiction_type,
@@ -238,7 +238,7 @@ CTES |= {
             effective_monthly_revenue as financial_impact
         from customer_summary where plan_name = 'Enterprise' and usage_intensity_score < 25""",
     "q5d": """select customer_id, 'High CSAT despite repeated escalations' as contradiction_type,
-            'Average CSAT ' || round(average_csat, 1) || ' but escalation rate ' || round(support_escalation_rate * 100, 1) || '%'
+            'Average CSAT ' || cast(round(cast(average_csat as decimal(28,9)), 1) as double) || ' but escalation rate ' || cast(round(cast(support_escalation_rate * 100 as decimal(28,9)), 1) as double) || '%'
             as description, effective_monthly_revenue as financial_impact
         from customer_summary where average_csat >= 4 and support_escalation_rate > 0.3""",
     "q5e": """select s.customer_id, 'Paid invoice with invalid payment timeline' as contradiction_type,
@@ -258,9 +258,9 @@ CTES |= {
     "executive": f"""select cs.customer_id, cs.region, cs.plan_name, cs.sales_channel,
             cast(round(rs.reported, 2) as double) as reported_mrr, cast(round(cast(cs.MRR as decimal(18,6)), 2) as double) as trusted_mrr,
             coalesce(cast(round(ia.total, 2) as double), 0.0) as total_invoice_value,
-            round(cs.payment_failure_rate, 4) as payment_failure_rate, cs.usage_intensity_score,
+            cast(round(cast(cs.payment_failure_rate as decimal(28,9)), 4) as double) as payment_failure_rate, cs.usage_intensity_score,
             coalesce(ca.support_case_count, 0) as support_case_count, coalesce(ca.escalation_count, 0) as escalation_count,
-            round(cs.average_csat, 2) as average_csat, cs.customer_health_score, cs.risk_category,
+            cast(round(cast(cs.average_csat as decimal(28,9)), 2) as double) as average_csat, cs.customer_health_score, cs.risk_category,
             case when {AT_RISK} then cast(round(cast(cs.MRR as decimal(18,6)), 2) as double) else 0.0 end as revenue_at_risk,
             case when {AT_RISK} then 'Immediate Action'
                 when risk_category = 'High Risk' then 'Investigate'
@@ -271,8 +271,8 @@ CTES |= {
             left join case_totals ca on ca.customer_id = cs.customer_id""",
 }
 
-OVERSTATED = """case when coalesce(reported, 0) = 0 then 0.0 else round((cast(reported as double)
-    - coalesce(cast(trusted as double), 0.0)) / cast(reported as double) * 100, 2) end as revenue_overstatement_pct"""
+OVERSTATED = """case when coalesce(reported, 0) = 0 then 0.0 else cast(round(cast((cast(reported as double)
+    - coalesce(cast(trusted as double), 0.0)) / cast(reported as double) * 100 as decimal(28,9)), 2) as double) end as revenue_overstatement_pct"""
 MONEY_PAIR = """coalesce(cast(round(reported, 2) as double), 0.0) as reported_mrr,
     coalesce(cast(round(trusted, 2) as double), 0.0) as trusted_mrr"""
 
@@ -327,14 +327,14 @@ QUERIES: dict[str, str] = {
     "q1_trusted_vs_reported": f"""select coalesce(r.region, t.region) as region, coalesce(r.plan_name, t.plan_name) as plan_name,
         {MONEY_PAIR}, {OVERSTATED}
         from reported r full join trusted t on r.region = t.region and r.plan_name = t.plan_name""",
-    "q2_high_rev_low_usage": """select customer_id, round(effective_monthly_revenue, 2) as revenue, plan_name,
-            usage_intensity_score as usage_score, escalation_count, round(average_csat, 2) as csat,
+    "q2_high_rev_low_usage": """select customer_id, cast(round(cast(effective_monthly_revenue as decimal(28,9)), 2) as double) as revenue, plan_name,
+            usage_intensity_score as usage_score, escalation_count, cast(round(cast(average_csat as decimal(28,9)), 2) as double) as csat,
             customer_health_score as health_score
         from counted where revenue_tile = 5 and usage_tile <= 3
             and escalation_count > (select avg(escalation_count) from counted)""",
-    "q3_discount_vs_retention": """select plan_name, round(discount, 2) as avg_discount_pct,
-            round(renewal * 100, 2) as renewal_rate_pct, round(cancellation * 100, 2) as cancellation_rate_pct,
-            round(health, 2) as avg_health_score, cast(round(coalesce(fees, 0), 2) as double) as trusted_mrr
+    "q3_discount_vs_retention": """select plan_name, cast(round(cast(discount as decimal(28,9)), 2) as double) as avg_discount_pct,
+            cast(round(cast(renewal * 100 as decimal(28,9)), 2) as double) as renewal_rate_pct, cast(round(cast(cancellation * 100 as decimal(28,9)), 2) as double) as cancellation_rate_pct,
+            cast(round(cast(health as decimal(28,9)), 2) as double) as avg_health_score, cast(round(coalesce(fees, 0), 2) as double) as trusted_mrr
         from plans join plan_health using (plan_name)
         where discount > (select avg(discount) from plans) and renewal < (select avg(renewal) from plans)""",
     "q4a_region": _at_risk_by("region"),
@@ -354,9 +354,9 @@ QUERIES: dict[str, str] = {
             on r.region is not distinct from t.region_t""",
     "b2_kpis": f"""select {MONEY_PAIR}, {OVERSTATED}, revenue_at_risk, high_risk_customers_pct, renewal_rate_pct
         from (select sum(reported) as reported from reported), (select sum(trusted) as trusted from trusted),
-            (select {RISK_SUM}, round(cast(count(*) filter (where risk_category = 'High Risk') as double) / count(*) * 100, 2)
+            (select {RISK_SUM}, cast(round(cast(cast(count(*) filter (where risk_category = 'High Risk') as double) / count(*) * 100 as decimal(28,9)), 2) as double)
                 as high_risk_customers_pct from customer_summary),
-            (select round(cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) * 100, 2)
+            (select cast(round(cast(cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) * 100 as decimal(28,9)), 2) as double)
                 as renewal_rate_pct from subs_ok)""",
     "b3_points": """select customer_id, trusted_mrr, customer_health_score, support_case_count, risk_category
         from executive""",
@@ -364,13 +364,13 @@ QUERIES: dict[str, str] = {
             avg_health_score, coalesce(revenue_at_risk, 0.0) as revenue_at_risk
         from (select region, plan_name, cast(grouping(region, plan_name) as integer) as level,
                 coalesce(cast(round(sum({NET}) filter (where subscription_status_norm = 'Active'), 2) as double), 0.0) as trusted_mrr,
-                round(cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) * 100, 2)
+                cast(round(cast(cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) * 100 as decimal(28,9)), 2) as double)
                     as renewal_rate_pct,
-                round(cast(count(*) filter (where subscription_status_norm = 'Cancelled') as double) / count(*) * 100, 2)
+                cast(round(cast(cast(count(*) filter (where subscription_status_norm = 'Cancelled') as double) / count(*) * 100 as decimal(28,9)), 2) as double)
                     as cancellation_rate_pct
             from subs_ok group by rollup (region, plan_name)) s
         left join (select region, plan_name, cast(grouping(region, plan_name) as integer) as level,
-                round(cast(sum(cast(customer_health_score as decimal(18,6))) as double) / count(*), 2) as avg_health_score,
+                cast(round(cast(cast(sum(cast(customer_health_score as decimal(18,6))) as double) / count(*) as decimal(28,9)), 2) as double) as avg_health_score,
                 {RISK_SUM}
             from customer_summary group by rollup (region, plan_name)) c
         on s.region is not distinct from c.region and s.plan_name is not distinct from c.plan_name and s.level = c.level""",
@@ -379,14 +379,14 @@ QUERIES: dict[str, str] = {
             coalesce(cast(round(sum(cast(invoice_amount as decimal(18,4))) filter (where record_status <> 'INVALID'), 2)
                 as double), 0.0) as trusted_revenue
         from clean_invoices where invoice_date is not null group by 1""",
-    "b6_top20_intervention": """select e.customer_id, e.plan_name, round(s.effective_monthly_revenue, 2) as revenue,
+    "b6_top20_intervention": """select e.customer_id, e.plan_name, cast(round(cast(s.effective_monthly_revenue as decimal(28,9)), 2) as double) as revenue,
             e.usage_intensity_score as usage_score, e.escalation_count, e.average_csat as csat,
             e.customer_health_score as health_score, e.revenue_at_risk
         from executive e join customer_summary s using (customer_id)
         order by e.revenue_at_risk desc, e.customer_health_score nulls first, e.customer_id limit 20""",
     "b7_drill": """select region, plan_name, customer_id, cast(grouping(region, plan_name, customer_id) as integer) as level,
             count(*) as customers, cast(round(sum(cast(trusted_mrr as decimal(18,6))), 2) as double) as trusted_mrr,
-            round(cast(sum(cast(customer_health_score as decimal(18,6))) as double) / count(customer_health_score), 2)
+            cast(round(cast(cast(sum(cast(customer_health_score as decimal(18,6))) as double) / count(customer_health_score) as decimal(28,9)), 2) as double)
                 as avg_health_score,
             cast(sum(escalation_count) as bigint) as escalation_count,
             cast(round(sum(cast(revenue_at_risk as decimal(18,6))), 2) as double) as revenue_at_risk
