@@ -17,15 +17,15 @@ from ledgerlens.operators.shared import Measured, measure_size
 
 
 def repeated_keys(df: DataFrame, key: str, order: Sequence[str]) -> Measured:
-    """The non-null values of ``key`` that several rows share, with the place of their first row."""
-    repeated = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(_place(order)).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .drop("_n")
-    )
-    return measure_size(repeated, f"repeated_{key}")
+    """The non-null values of ``key`` that several rows share, with the place of their first row.
+
+    Counting needs the key column alone; only rows of the keys found are then asked for their place.
+    """
+    given = df.where(F.col(key).isNotNull())
+    shared = given.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    shared = measure_size(shared, f"shared_{key}")
+    places = sized_join(given.select(key, *order), shared, [key], order, "left_semi")
+    return measure_size(places.groupBy(key).agg(F.min(_place(order)).alias("_first")), f"repeated_{key}")
 
 
 def unknown_keys(df: DataFrame, key: str, known: DataFrame) -> Measured:

@@ -61,18 +61,14 @@ def kpis(raw_subscriptions: DataFrame, subscriptions: DataFrame, summary: DataFr
             "high_risk_customers_pct"
         ),
     )
-    # Three one-row frames side by side.
-    return (
-        reported.join(F.broadcast(subs))
-        .join(F.broadcast(customers))
-        .select(
-            F.coalesce(round_money(F.col("reported")), F.lit(0.0)).alias("reported_mrr"),
-            F.coalesce(round_money(F.col("trusted")), F.lit(0.0)).alias("trusted_mrr"),
-            overstatement_pct(F.col("reported"), F.col("trusted")).alias("revenue_overstatement_pct"),
-            "revenue_at_risk",
-            "high_risk_customers_pct",
-            "renewal_rate_pct",
-        )
+    reported, trusted_ = reported.scalar(), F.col("trusted")
+    return subs.select(
+        F.coalesce(round_money(reported), F.lit(0.0)).alias("reported_mrr"),
+        F.coalesce(round_money(trusted_), F.lit(0.0)).alias("trusted_mrr"),
+        overstatement_pct(reported, trusted_).alias("revenue_overstatement_pct"),
+        customers.select("revenue_at_risk").scalar().alias("revenue_at_risk"),
+        customers.select("high_risk_customers_pct").scalar().alias("high_risk_customers_pct"),
+        "renewal_rate_pct",
     )
 
 
