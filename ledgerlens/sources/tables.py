@@ -36,8 +36,8 @@ def _load(spark: SparkSession, folder: str, name: str, fmt: str) -> DataFrame:
 
 
 def with_position(df: DataFrame, fmt: str = "parquet") -> DataFrame:
-    """Add the load position of each row unless the table has a ``source_seq`` already."""
-    if "source_seq" in df.columns:
+    """Add the load position of each row unless the table brings its order along."""
+    if "source_seq" in df.columns or POSITION[1] in df.columns:
         return df
     if fmt == "parquet":
         return df.select(
