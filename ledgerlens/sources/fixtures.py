@@ -11,6 +11,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.joins import sized_join
+from ledgerlens.operators.shared import Measured, text_bytes
+
 AS_OF = date(2001, 8, 2)
 
 SUBSCRIPTIONS = """
@@ -26,7 +29,7 @@ select o_orderkey as source_seq,
  case when c_custkey % 11 = 0 then null else r_name end as region,
  case o_orderpriority when '1-URGENT' then 'Enterprise' when '2-HIGH' then 'Pro' when '3-MEDIUM' then 'Growth' when '5-LOW' then 'Basic' end as plan_name,
  case c_mktsegment when 'BUILDING' then 'Partner' when 'AUTOMOBILE' then 'Website' when 'FURNITURE' then 'Marketplace' when 'HOUSEHOLD' then 'Inside Sales' end as sales_channel{position}
-from {orders} join {customer} on c_custkey = o_custkey join {nation} on n_nationkey = c_nationkey join {region} on r_regionkey = n_regionkey
+from {customer_orders}
 """
 
 INVOICES = """
@@ -82,6 +85,11 @@ INPUTS = {
 }
 POSITIONED = ("orders", "lineitem", "events")
 
+CUSTOMER_ORDERS = (
+    "orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey "
+    "join region on r_regionkey = n_regionkey"
+)
+
 INVOICE_ORDER = ("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey")
 ORDERS = {"invoices": INVOICE_ORDER}
 
@@ -99,6 +107,7 @@ def derive_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             file = F.xxhash64("_metadata.file_path").alias("source_file")
             df = df.select("*", file, F.col("_metadata.row_index").alias("source_row"))
         inputs[name] = df
+    inputs["customer_orders"] = _customer_orders(inputs)
     handed_through = ", source_file, source_row"
     return {
         name: spark.sql(text.replace("{position}", handed_through), **{k: v for k, v in inputs.items() if f"{{{k}}}" in text})
@@ -106,6 +115,20 @@ def derive_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def _customer_orders(inputs: dict[str, DataFrame]) -> DataFrame:
+    """Orders with their customer's attributes, also when one customer placed most of them."""
+    customers = (
+        inputs["customer"]
+        .join(inputs["nation"], F.col("n_nationkey") == F.col("c_nationkey"))
+        .join(inputs["region"], F.col("r_regionkey") == F.col("n_regionkey"))
+        .select(F.col("c_custkey").alias("o_custkey"), "c_custkey", "c_mktsegment", "r_name")
+    )
+    size = customers.agg(F.coalesce(text_bytes(customers), F.lit(0))).first()[0]
+    return sized_join(
+        inputs["orders"], Measured(customers, {"bytes": size}), ["o_custkey"], ["source_file", "source_row"], "inner"
+    )
+
+
 def plain_sql(name: str) -> str:
     """The defining query of a table over plain table names, for other engines."""
-    return TEXTS[name].format(position="", **{t: t for t in INPUTS}).strip()
+    return TEXTS[name].format(position="", customer_orders=CUSTOMER_ORDERS, **{t: t for t in INPUTS}).strip()
