@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens.operators.rules import status_counts
 from ledgerlens.operators.shared import materialize, together
 from ledgerlens.plans import dashboard, executive, health, metrics, reports, validators
+from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.sources.schemas import TABLES
 from ledgerlens.sources.tables import load_tables, register_views, save_table, write_tables
 
@@ -24,7 +25,7 @@ class RevenueAudit:
     ``tables`` holds the four inputs by name. ``as_of`` is the day on which renewals are judged.
     ``orders`` replaces the columns that give a table its load order, ``formats`` are date
     patterns for text columns beyond ISO, ``require_case_customer`` turns on the rule against
-    support cases without a customer.
+    support cases without a customer, and ``corrections`` replaces conventions of the results.
     """
 
     def __init__(
@@ -34,6 +35,7 @@ class RevenueAudit:
         orders: Mapping[str, Sequence[str]] | None = None,
         formats: Sequence[str] = (),
         require_case_customer: bool = False,
+        corrections: Corrections = STANDARD,
     ):
         for name in TABLES:
             if name not in tables:
@@ -43,6 +45,7 @@ class RevenueAudit:
         self.orders = {name: tuple((orders or {}).get(name, spec.order)) for name, spec in TABLES.items()}
         self.formats = tuple(formats)
         self.require_case_customer = require_case_customer
+        self.corrections = corrections
 
     @classmethod
     def from_folder(cls, spark: SparkSession, folder: str, as_of: date, fmt: str = "parquet", **options) -> RevenueAudit:
@@ -53,25 +56,27 @@ class RevenueAudit:
     @cached_property
     def clean_subscriptions(self) -> DataFrame:
         name = "subscriptions"
-        clean = validators.clean_subscriptions(self.raw[name], self.as_of, self.orders[name], self.formats)
+        options = self.orders[name], self.formats, self.corrections
+        clean = validators.clean_subscriptions(self.raw[name], self.as_of, *options)
         return materialize(clean, f"clean_{name}")
 
     @cached_property
     def clean_invoices(self) -> DataFrame:
         name = "invoices"
-        return validators.clean_invoices(self.raw[name], self.clean_subscriptions, self.orders[name], self.formats)
+        options = self.orders[name], self.formats, self.corrections
+        return validators.clean_invoices(self.raw[name], self.clean_subscriptions, *options)
 
     @cached_property
     def clean_product_usage(self) -> DataFrame:
         name = "product_usage"
-        return validators.clean_product_usage(self.raw[name], self.clean_subscriptions, self.orders[name], self.formats)
+        options = self.orders[name], self.formats, self.corrections
+        return validators.clean_product_usage(self.raw[name], self.clean_subscriptions, *options)
 
     @cached_property
     def clean_support_cases(self) -> DataFrame:
         name = "support_cases"
-        return validators.clean_support_cases(
-            self.raw[name], self.clean_subscriptions, self.orders[name], self.formats, self.require_case_customer
-        )
+        options = self.orders[name], self.formats, self.corrections, self.require_case_customer
+        return validators.clean_support_cases(self.raw[name], self.clean_subscriptions, *options)
 
     @property
     def clean(self) -> dict[str, DataFrame]:
@@ -97,6 +102,7 @@ class RevenueAudit:
             *self.clean.values(),
             self.as_of,
             self.orders["subscriptions"],
+            self.corrections,
         )
 
     @cached_property
@@ -111,6 +117,7 @@ class RevenueAudit:
             self.clean_subscriptions,
             self.clean_invoices,
             self.clean_support_cases,
+            self.corrections,
         )
 
     # Reports
@@ -118,22 +125,26 @@ class RevenueAudit:
     @property
     def reports(self) -> dict[str, Callable[[], DataFrame]]:
         """The reports by name; each call builds one."""
-        raw, subs = self.raw["subscriptions"], self.clean_subscriptions
+        raw, subs, corrections = self.raw["subscriptions"], self.clean_subscriptions, self.corrections
         return {
-            "trusted_vs_reported_mrr": lambda: reports.trusted_vs_reported(raw, subs),
+            "trusted_vs_reported_mrr": lambda: reports.trusted_vs_reported(raw, subs, corrections),
             "high_revenue_low_usage": lambda: reports.high_revenue_low_usage(
                 self.customer_summary, self.clean_support_cases
             ),
-            "discount_vs_retention": lambda: reports.discount_vs_retention(subs, self.customer_summary),
+            "discount_vs_retention": lambda: reports.discount_vs_retention(
+                subs, self.customer_summary, corrections
+            ),
             "revenue_at_risk_by_region": lambda: reports.revenue_at_risk(self.customer_summary, "region"),
             "revenue_at_risk_by_plan": lambda: reports.revenue_at_risk(self.customer_summary, "plan_name"),
             "revenue_at_risk_by_channel": lambda: reports.revenue_at_risk(self.customer_summary, "sales_channel"),
-            "contradictions": lambda: reports.top_contradictions(self.customer_summary, self.clean_invoices, subs),
+            "contradictions": lambda: reports.top_contradictions(
+                self.customer_summary, self.clean_invoices, subs, corrections
+            ),
             "executive_summary": lambda: executive.top_at_risk(self.executive_summary),
-            "region_ranking": lambda: dashboard.region_ranking(raw, subs),
-            "kpis": lambda: dashboard.kpis(raw, subs, self.customer_summary),
+            "region_ranking": lambda: dashboard.region_ranking(raw, subs, corrections),
+            "kpis": lambda: dashboard.kpis(raw, subs, self.customer_summary, corrections),
             "customer_points": lambda: dashboard.customer_points(self.executive_summary),
-            "region_plan_matrix": lambda: dashboard.region_plan_matrix(subs, self.customer_summary),
+            "region_plan_matrix": lambda: dashboard.region_plan_matrix(subs, self.customer_summary, corrections),
             "monthly_revenue": lambda: dashboard.monthly_revenue(self.clean_invoices),
             "customers_to_act_on": lambda: dashboard.customers_to_act_on(
                 self.executive_summary, self.customer_summary

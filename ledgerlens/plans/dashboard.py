@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import exact_mean, money, net_fee, parse_number, round_half_up, round_money, share
 from ledgerlens.operators.rules import INVALID, trusted
+from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.health import HIGH_RISK
 from ledgerlens.plans.reports import (
     TOP,
     at_risk,
     is_active,
+    is_cancelled,
     overstatement_pct,
+    reported_active,
     reported_fees,
     trusted_fees,
 )
@@ -30,9 +33,11 @@ def _revenue_at_risk() -> Column:
     return F.coalesce(_sum_cents(F.when(at_risk(), F.col("MRR"))), F.lit(0.0))
 
 
-def region_ranking(raw_subscriptions: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def region_ranking(
+    raw_subscriptions: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD
+) -> DataFrame:
     """Regions from the most to the least overstated; rows without a region are one region."""
-    r = reported_fees(raw_subscriptions, "region").alias("r")
+    r = reported_fees(raw_subscriptions, "region", corrections=corrections).alias("r")
     t = trusted_fees(subscriptions, "region").alias("t")
     regions = r.join(t, F.col("r.region").eqNullSafe(F.col("t.region")), "full_outer").select(
         F.coalesce("r.region", "t.region").alias("region"),
@@ -45,10 +50,15 @@ def region_ranking(raw_subscriptions: DataFrame, subscriptions: DataFrame) -> Da
     return regions.withColumn("overstatement_rank", rank).orderBy("overstatement_rank")
 
 
-def kpis(raw_subscriptions: DataFrame, subscriptions: DataFrame, summary: DataFrame) -> DataFrame:
+def kpis(
+    raw_subscriptions: DataFrame,
+    subscriptions: DataFrame,
+    summary: DataFrame,
+    corrections: Corrections = STANDARD,
+) -> DataFrame:
     """One row with the headline figures."""
     fee = net_fee(F.col("monthly_fee"), F.col("discount_pct"))
-    reported = raw_subscriptions.where(F.col("subscription_status") == "Active").agg(
+    reported = raw_subscriptions.where(reported_active(corrections)).agg(
         F.sum(money(parse_number(raw_subscriptions, "monthly_fee"))).alias("reported")
     )
     subs = trusted(subscriptions).agg(
@@ -79,7 +89,9 @@ def customer_points(executive: DataFrame) -> DataFrame:
     )
 
 
-def region_plan_matrix(subscriptions: DataFrame, summary: DataFrame) -> DataFrame:
+def region_plan_matrix(
+    subscriptions: DataFrame, summary: DataFrame, corrections: Corrections = STANDARD
+) -> DataFrame:
     """Region and plan with subtotals; ``level`` is 0 for a cell, 1 for a region, 3 for the total."""
     fee = F.when(is_active(), net_fee(F.col("monthly_fee"), F.col("discount_pct")))
     subs = (
@@ -89,7 +101,7 @@ def region_plan_matrix(subscriptions: DataFrame, summary: DataFrame) -> DataFram
             F.grouping_id().cast("int").alias("level"),
             F.coalesce(round_money(F.sum(fee)), F.lit(0.0)).alias("trusted_mrr"),
             round_half_up(share(is_active()) * 100, 2).alias("renewal_rate_pct"),
-            round_half_up(share(F.col("subscription_status_norm") == "Cancelled") * 100, 2).alias("cancellation_rate_pct"),
+            round_half_up(share(is_cancelled(corrections)) * 100, 2).alias("cancellation_rate_pct"),
         )
         .alias("s")
     )

@@ -9,18 +9,21 @@ from ledgerlens.functions.columns import exact_mean, money, round_half_up, round
 from ledgerlens.operators.joins import sized_join, spread_join
 from ledgerlens.operators.rules import trusted
 from ledgerlens.operators.shared import measure_size
+from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.health import HIGH_RISK, WATCHLIST
 from ledgerlens.plans.reports import TOP, at_risk, reported_fees, subscription_links
 
 
-def invoice_totals(invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def invoice_totals(
+    invoices: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD
+) -> DataFrame:
     """Trusted invoice amounts per customer, counted once per classified row of the subscription id.
 
     Summed per subscription before the join; repeats of the id multiply the sum instead of the rows.
     """
     sums = trusted(invoices).groupBy("subscription_id").agg(F.sum(money(F.col("invoice_amount"))).alias("amount"))
     links = spread_join(
-        subscription_links(subscriptions), sums, ["subscription_id"], ["customer_id"], "inner"
+        subscription_links(subscriptions, corrections), sums, ["subscription_id"], ["customer_id"], "inner"
     )
     total = F.sum(F.col("amount") * F.col("copies").cast("decimal(12,0)"))
     return links.groupBy("customer_id").agg(total.alias("total_invoice_value"))
@@ -55,15 +58,17 @@ def executive_summary(
     subscriptions: DataFrame,
     invoices: DataFrame,
     cases: DataFrame,
+    corrections: Corrections = STANDARD,
 ) -> DataFrame:
     """One row per customer. ``reported_mrr`` is the figure of the customer's whole region and plan."""
-    place = ["region", "plan_name"]
-    reported = measure_size(reported_fees(raw_subscriptions, *place).na.drop(subset=place), "reported_fees")
+    place = ["customer_id"] if corrections.reported_per_customer else ["region", "plan_name"]
+    reported = reported_fees(raw_subscriptions, *place, corrections=corrections).na.drop(subset=place)
+    reported = measure_size(reported, "reported_fees")
     mean_mrr = summary.select(exact_mean(F.col("MRR").cast("decimal(18,6)"))).scalar()
     mrr = round_money(F.col("MRR"))
     wide = (
         sized_join(summary, reported, place, ["customer_id"])
-        .join(invoice_totals(invoices, subscriptions), "customer_id", "left")
+        .join(invoice_totals(invoices, subscriptions, corrections), "customer_id", "left")
         .join(case_totals(cases), "customer_id", "left")
     )
     return wide.select(

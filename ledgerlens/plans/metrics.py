@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import (
+    MISSING_STATUS,
     clip,
     exact_mean,
     exact_sum,
@@ -25,6 +26,7 @@ from ledgerlens.functions.columns import (
 from ledgerlens.operators.ranking import percent_ranks
 from ledgerlens.operators.rules import trusted
 from ledgerlens.operators.shared import materialize
+from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.sources.tables import load_order
 
 ENDED = ("Cancelled", "Expired")
@@ -36,7 +38,10 @@ AFTER_ALL_DATES = datetime(9999, 12, 31)
 
 
 def subscription_metrics(
-    subscriptions: DataFrame, as_of: date, order: tuple[str, ...] = ("source_seq",)
+    subscriptions: DataFrame,
+    as_of: date,
+    order: tuple[str, ...] = ("source_seq",),
+    corrections: Corrections = STANDARD,
 ) -> DataFrame:
     """All that comes from the trusted subscriptions, in one pass.
 
@@ -48,8 +53,14 @@ def subscription_metrics(
     status = F.col("subscription_status_norm")
     active = status == "Active"
     fee = net_fee(F.col("monthly_fee"), F.col("discount_pct"))
-    signup = F.coalesce("signup_date", F.lit(AFTER_ALL_DATES).cast("timestamp_ntz"))
-    place = F.struct(signup, *load_order(subscriptions, order))
+    order = load_order(subscriptions, order)
+    if corrections.prefer_active:
+        place = F.struct(active, "signup_date", *order)  # a null date comes before all others
+    else:
+        place = F.struct(F.coalesce("signup_date", F.lit(AFTER_ALL_DATES).cast("timestamp_ntz")), *order)
+    days = F.datediff("renewal_date", F.lit(as_of))
+    if corrections.upcoming_renewals_only:
+        days = F.when(days >= 0, days)
     stats = (
         trusted(subscriptions)
         .groupBy("customer_id")
@@ -58,7 +69,7 @@ def subscription_metrics(
             exact_sum(F.when(active, fee)).alias("fees"),
             share(status.isin(*ENDED)).alias("ended"),
             share(~F.upper("auto_renew").eqNullSafe("Y")).alias("manual"),
-            F.min(F.datediff("renewal_date", F.lit(as_of))).alias("days"),
+            F.min(days).alias("days"),
             F.max_by(F.struct(*ATTRIBUTES), place).alias("latest"),
         )
     )
@@ -85,7 +96,14 @@ def latest_attributes(subscriptions: DataFrame, as_of: date, order: tuple[str, .
     return subscription_metrics(subscriptions, as_of, order).select("customer_id", *ATTRIBUTES)
 
 
-def _invoices_per_customer(invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def _has_status(column: str, corrections: Corrections) -> Column:
+    """Whether a row counts in the rates of its status column."""
+    return F.col(column) != MISSING_STATUS if corrections.ignore_missing_status else F.lit(True)
+
+
+def _invoices_per_customer(
+    invoices: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD
+) -> DataFrame:
     """Invoice sums and counts per customer.
 
     Summed per subscription first: what is joined has one row per subscription on either side.
@@ -98,7 +116,7 @@ def _invoices_per_customer(invoices: DataFrame, subscriptions: DataFrame) -> Dat
         .agg(
             F.sum(amount).alias("paid_sum"),
             F.count(amount).alias("paid_count"),
-            F.count(F.lit(1)).alias("invoices"),
+            F.count_if(_has_status("payment_status_norm", corrections)).alias("invoices"),
             F.count_if(F.col("payment_status_norm") == "Failed").alias("failed"),
         )
     )
@@ -110,13 +128,13 @@ def _invoices_per_customer(invoices: DataFrame, subscriptions: DataFrame) -> Dat
     )
 
 
-def payments(invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def payments(invoices: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD) -> DataFrame:
     """Mean paid invoice, and the part of all invoices whose payment failed."""
-    sums = _invoices_per_customer(invoices, subscriptions)
+    sums = _invoices_per_customer(invoices, subscriptions, corrections)
     return sums.select(
         "customer_id",
         F.try_divide(F.col("paid_sum").cast("double"), "paid_count").alias("effective_monthly_revenue"),
-        (F.col("failed") / F.col("invoices")).alias("payment_failure_rate"),
+        F.try_divide("failed", "invoices").alias("payment_failure_rate"),
     )
 
 
@@ -143,14 +161,17 @@ def usage_intensity(usage: DataFrame) -> DataFrame:
     return ranks.select("customer_id", score.alias("usage_intensity_score"))
 
 
-def support(cases: DataFrame) -> DataFrame:
+def support(cases: DataFrame, corrections: Corrections = STANDARD) -> DataFrame:
     """The part of the customer's cases that were escalated, and the mean CSAT score."""
     return (
         trusted(cases)
         .where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
-            share(F.col("case_status_norm") == "Escalated").alias("support_escalation_rate"),
+            F.try_divide(
+                F.count_if(F.col("case_status_norm") == "Escalated"),
+                F.count_if(_has_status("case_status_norm", corrections)),
+            ).alias("support_escalation_rate"),
             exact_mean(F.col("csat_score").cast("decimal(18,6)")).alias("average_csat"),
         )
     )
@@ -171,6 +192,7 @@ def customer_metrics(
     cases: DataFrame,
     as_of: date,
     order: tuple[str, ...] = ("source_seq",),
+    corrections: Corrections = STANDARD,
 ) -> DataFrame:
     """One row per customer with all metrics and attributes.
 
@@ -179,12 +201,16 @@ def customer_metrics(
     over the customers that have one.
     """
     found = (
-        subscription_metrics(subscriptions, as_of, order)
-        .join(payments(invoices, subscriptions), "customer_id", "left")
+        subscription_metrics(subscriptions, as_of, order, corrections)
+        .join(payments(invoices, subscriptions, corrections), "customer_id", "left")
         .join(usage_intensity(usage), "customer_id", "left")
-        .join(support(cases), "customer_id", "left")
+        .join(support(cases, corrections), "customer_id", "left")
     )
     found = materialize(found, "metrics")
+    flags = []
+    if corrections.activity_flags:
+        flags.append(F.col("usage_intensity_score").isNotNull().alias("has_usage"))
+        flags.append(F.col("payment_failure_rate").isNotNull().alias("has_invoices"))
     mean_csat = found.select(exact_mean(F.col("average_csat").cast("decimal(18,12)"))).scalar()
 
     def or_zero(name: str):
@@ -200,4 +226,5 @@ def customer_metrics(
         F.coalesce("average_csat", mean_csat).alias("average_csat"),
         F.coalesce("renewal_risk_score", F.lit(UNKNOWN_RENEWAL_RISK)).alias("renewal_risk_score"),
         *ATTRIBUTES,
+        *flags,
     )

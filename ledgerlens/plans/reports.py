@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, money, net_fee, parse_number, round_half_up, round_money, share
+from ledgerlens.functions.columns import exact_mean, money, net_fee, normalise_status, parse_number, round_half_up, round_money, share
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.ranking import positions, tile
 from ledgerlens.operators.rules import INVALID, trusted
 from ledgerlens.operators.shared import materialize, measure_size, together
+from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.health import HIGH_RISK
 from ledgerlens.sources.tables import load_order
 
 TOP = 20
+PAYMENT_DATE_MISSING = "Paid invoice missing valid payment_date"
+PAYMENT_DATE_EARLY = "Payment date earlier than invoice date"
 
 
 def is_active() -> Column:
@@ -28,9 +31,20 @@ def at_risk() -> Column:
 # Reported against trusted revenue
 
 
-def reported_fees(raw_subscriptions: DataFrame, *keys: str) -> DataFrame:
-    """Fees as reported: raw rows whose status is exactly 'Active', nothing excluded."""
-    active = raw_subscriptions.where(F.col("subscription_status") == "Active")
+def is_cancelled(corrections: Corrections) -> Column:
+    ended = ("Cancelled", "Expired") if corrections.expired_is_cancelled else ("Cancelled",)
+    return F.col("subscription_status_norm").isin(*ended)
+
+
+def reported_active(corrections: Corrections = STANDARD) -> Column:
+    """Raw rows that the reported figures count: those whose status is exactly 'Active'."""
+    status = F.col("subscription_status")
+    return (normalise_status(status) if corrections.normalise_reported_status else status) == "Active"
+
+
+def reported_fees(raw_subscriptions: DataFrame, *keys: str, corrections: Corrections = STANDARD) -> DataFrame:
+    """Fees as reported, nothing excluded."""
+    active = raw_subscriptions.where(reported_active(corrections))
     fee = money(parse_number(raw_subscriptions, "monthly_fee"))
     return active.groupBy(*keys).agg(F.sum(fee).alias("reported"))
 
@@ -48,15 +62,20 @@ def overstatement_pct(reported: Column, trusted_: Column) -> Column:
     return F.when(reported == 0, 0.0).otherwise(round_half_up((reported - trusted_) / reported * 100, 2))
 
 
-def trusted_vs_reported(raw_subscriptions: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def trusted_vs_reported(
+    raw_subscriptions: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD
+) -> DataFrame:
     """Reported and trusted MRR by region and plan.
 
     A missing region or plan equals no other, so such groups give a row per side.
     """
     keys = ("region", "plan_name")
-    r = reported_fees(raw_subscriptions, *keys).alias("r")
+    r = reported_fees(raw_subscriptions, *keys, corrections=corrections).alias("r")
     t = trusted_fees(subscriptions, *keys).alias("t")
-    same = (F.col("r.region") == F.col("t.region")) & (F.col("r.plan_name") == F.col("t.plan_name"))
+    if corrections.match_missing_groups:
+        same = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+    else:
+        same = [F.col(f"r.{k}") == F.col(f"t.{k}") for k in keys]
     return (
         r.join(t, same, "full_outer")
         .select(
@@ -119,7 +138,9 @@ def high_revenue_low_usage(summary: DataFrame, cases: DataFrame) -> DataFrame:
 # Discounts that do not keep customers
 
 
-def discount_vs_retention(subscriptions: DataFrame, summary: DataFrame) -> DataFrame:
+def discount_vs_retention(
+    subscriptions: DataFrame, summary: DataFrame, corrections: Corrections = STANDARD
+) -> DataFrame:
     """Plans with a discount above and a renewal rate below the mean over the plans."""
     fee = F.when(is_active(), net_fee(F.col("monthly_fee"), F.col("discount_pct"))).otherwise(F.lit(0))
     plans = (
@@ -129,8 +150,9 @@ def discount_vs_retention(subscriptions: DataFrame, summary: DataFrame) -> DataF
         .agg(
             exact_mean(F.col("discount_pct").cast("decimal(18,6)")).alias("discount"),
             share(is_active()).alias("renewal"),
-            share(F.col("subscription_status_norm") == "Cancelled").alias("cancellation"),
+            share(is_cancelled(corrections)).alias("cancellation"),
             F.sum(fee).alias("fees"),
+            F.count(F.lit(1)).cast("decimal(18,0)").alias("rows"),
         )
     )
     plans = materialize(plans, "plan_stats")
@@ -138,7 +160,10 @@ def discount_vs_retention(subscriptions: DataFrame, summary: DataFrame) -> DataF
     health = summary.where(F.col("plan_name").isNotNull()).groupBy("plan_name").agg(exact_mean(score).alias("health"))
 
     def company(column: str) -> Column:
-        return plans.select(exact_mean(F.col(column).cast("decimal(18,12)"))).scalar()
+        value = F.col(column).cast("decimal(18,12)")
+        if corrections.weigh_plans:
+            return plans.select(F.sum(value * F.col("rows")).cast("double") / F.sum("rows").cast("double")).scalar()
+        return plans.select(exact_mean(value)).scalar()
 
     return (
         plans.where((F.col("discount") > company("discount")) & (F.col("renewal") < company("renewal")))
@@ -264,14 +289,19 @@ def customer_contradictions(summary: DataFrame, *names: str) -> DataFrame:
     return rows.where(F.col("found").isNotNull()).select("customer_id", "found.*")
 
 
-def subscription_links(subscriptions: DataFrame) -> DataFrame:
+def subscription_links(subscriptions: DataFrame, corrections: Corrections = STANDARD) -> DataFrame:
     """How many classified rows, INVALID ones included, tie a subscription id to a customer."""
+    if corrections.trusted_links_only:
+        subscriptions = trusted(subscriptions)
     linked = subscriptions.where(F.col("subscription_id").isNotNull())
     return linked.groupBy("subscription_id", "customer_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def _bad_paid_invoices(invoices: DataFrame) -> DataFrame:
+def _bad_paid_invoices(invoices: DataFrame, corrections: Corrections) -> DataFrame:
     bad = (F.col("payment_status_norm") == "Paid") & (F.col("record_status") == INVALID)
+    if corrections.payment_dates_only:
+        reason = F.col("status_reason")
+        bad = bad & (reason.contains(PAYMENT_DATE_MISSING) | reason.contains(PAYMENT_DATE_EARLY))
     return invoices.where(bad & F.col("subscription_id").isNotNull())
 
 
@@ -293,25 +323,35 @@ def _invoice_rows(linked: DataFrame) -> DataFrame:
 
 
 def invoice_contradictions(
-    invoices: DataFrame, subscriptions: DataFrame, order: tuple[str, ...] = ("source_seq",)
+    invoices: DataFrame,
+    subscriptions: DataFrame,
+    order: tuple[str, ...] = ("source_seq",),
+    corrections: Corrections = STANDARD,
 ) -> DataFrame:
     """INVALID paid invoices, once per classified row of their subscription id.
 
     Subscription rows of one id and customer are counted before the join and written out after it.
     """
-    bad = _bad_paid_invoices(invoices)
-    links = measure_size(subscription_links(subscriptions), "subscription_links")
+    bad = _bad_paid_invoices(invoices, corrections)
+    links = measure_size(subscription_links(subscriptions, corrections), "subscription_links")
     return _invoice_rows(sized_join(bad, links, ["subscription_id"], load_order(bad, order), "inner"))
 
 
 def contradictions(
-    summary: DataFrame, invoices: DataFrame, subscriptions: DataFrame, order: tuple[str, ...] = ("source_seq",)
+    summary: DataFrame,
+    invoices: DataFrame,
+    subscriptions: DataFrame,
+    order: tuple[str, ...] = ("source_seq",),
+    corrections: Corrections = STANDARD,
 ) -> DataFrame:
     """All contradictions, unordered."""
-    return customer_contradictions(summary).unionByName(invoice_contradictions(invoices, subscriptions, order))
+    found = invoice_contradictions(invoices, subscriptions, order, corrections)
+    return customer_contradictions(summary).unionByName(found)
 
 
-def top_contradictions(summary: DataFrame, invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def top_contradictions(
+    summary: DataFrame, invoices: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD
+) -> DataFrame:
     """The twenty contradictions with the largest impact.
 
     Every invoice that is tied to a customer at all gives at least one row, so an invoice below the
@@ -319,11 +359,11 @@ def top_contradictions(summary: DataFrame, invoices: DataFrame, subscriptions: D
     more than twenty can be. Only the rest is joined to the customers.
     """
     row = ["subscription_id", "invoice_id", "status_reason", "invoice_amount"]
-    bad = _bad_paid_invoices(invoices).where(F.col("invoice_amount").isNotNull())
+    bad = _bad_paid_invoices(invoices, corrections).where(F.col("invoice_amount").isNotNull())
     bad = bad.groupBy(*row).agg(F.count(F.lit(1)).alias("rows"))
     bad, links = together(
         lambda: materialize(bad, "bad_paid_invoices"),
-        lambda: measure_size(subscription_links(subscriptions), "subscription_links"),
+        lambda: measure_size(subscription_links(subscriptions, corrections), "subscription_links"),
     )
     tied = sized_join(bad, links, ["subscription_id"], row, "left_semi")
     largest = tied.select("invoice_amount").orderBy(F.desc("invoice_amount")).limit(TOP)

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import normalise_status, parse_number, parse_timestamp
 from ledgerlens.operators.marks import mark_repeats, mark_unknown, repeated_keys, unknown_keys
 from ledgerlens.operators.ranking import percentile_with_count
-from ledgerlens.operators.rules import Rule, classify, invalid, suspicious, trusted
+from ledgerlens.operators.rules import INVALID, Rule, classify, invalid, suspicious, trusted
 from ledgerlens.operators.shared import together
+from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.sources.schemas import TABLES, TableSpec
 from ledgerlens.sources.tables import load_order
 
@@ -24,7 +25,7 @@ LONGEST_RENEWAL_LAG = timedelta(days=3 * 365)
 SEAT_PERCENTILE = 99
 SEAT_MIN_VALUES = 10
 
-MARKS = ("_repeated", "_unknown_ref", "_seat_cap")
+MARKS = ("_repeated", "_unknown_ref", "_seat_cap", "_sound")
 
 
 def parsed(raw: DataFrame, spec: TableSpec, formats: Sequence[str] = ()) -> DataFrame:
@@ -35,18 +36,47 @@ def parsed(raw: DataFrame, spec: TableSpec, formats: Sequence[str] = ()) -> Data
     return raw.withColumns(columns)
 
 
-def _marked(df: DataFrame, spec: TableSpec, order: Sequence[str], reference: str, subscriptions: DataFrame) -> DataFrame:
-    """Flag repeated ids, and references to nothing among the trusted subscriptions."""
-    order = load_order(df, tuple(order))
-    known = trusted(subscriptions).select(reference)
-    repeated, unknown = together(
-        lambda: repeated_keys(df, spec.id, order), lambda: unknown_keys(df, reference, known)
-    )
-    df = mark_repeats(df, repeated, spec.id, order, "_repeated")
+def _with_unknown(df: DataFrame, reference: str, subscriptions: DataFrame, order: list[str]) -> DataFrame:
+    """Flag references to nothing among the trusted subscriptions."""
+    unknown = unknown_keys(df, reference, trusted(subscriptions).select(reference))
     return mark_unknown(df, unknown, reference, order, "_unknown_ref")
 
 
-def _classified(df: DataFrame, rules: list[Rule]) -> DataFrame:
+def _with_repeats(
+    df: DataFrame, spec: TableSpec, order: list[str], rules: list[Rule], corrections: Corrections
+) -> DataFrame:
+    """Flag all but the first row of an id; on demand only among rows that break no other rule."""
+    if not corrections.first_sound_row:
+        return mark_repeats(df, repeated_keys(df, spec.id, order), spec.id, order, "_repeated")
+    sound = classify(df, [r for r in rules if not r.reason.startswith("Duplicate")])
+    sound = sound.withColumn("_sound", F.col("record_status") != INVALID).drop("record_status", "status_reason")
+    repeated = repeated_keys(sound.where("_sound"), spec.id, order)
+    marked = mark_repeats(sound, repeated, spec.id, order, "_repeated")
+    return marked.withColumn("_repeated", F.col("_repeated") & F.col("_sound"))
+
+
+def _classified(
+    df: DataFrame,
+    spec: TableSpec,
+    order: Sequence[str],
+    rules: list[Rule],
+    corrections: Corrections,
+    reference: str | None = None,
+    subscriptions: DataFrame | None = None,
+) -> DataFrame:
+    order = load_order(df, tuple(order))
+    if reference and corrections.first_sound_row:
+        df = _with_unknown(df, reference, subscriptions, order)
+        df = _with_repeats(df, spec, order, rules, corrections)
+    elif reference:
+        known = trusted(subscriptions).select(reference)
+        repeated, unknown = together(
+            lambda: repeated_keys(df, spec.id, order), lambda: unknown_keys(df, reference, known)
+        )
+        df = mark_repeats(df, repeated, spec.id, order, "_repeated")
+        df = mark_unknown(df, unknown, reference, order, "_unknown_ref")
+    else:
+        df = _with_repeats(df, spec, order, rules, corrections)
     return classify(df, rules).drop(*MARKS)
 
 
@@ -55,11 +85,10 @@ def clean_subscriptions(
     as_of: date,
     order: Sequence[str] = TABLES["subscriptions"].order,
     formats: Sequence[str] = (),
+    corrections: Corrections = STANDARD,
 ) -> DataFrame:
-    df = parsed(raw, TABLES["subscriptions"], formats)
-    order = load_order(df, tuple(order))
-    repeated = repeated_keys(df, "subscription_id", order)
-    df = mark_repeats(df, repeated, "subscription_id", order, "_repeated")
+    spec = TABLES["subscriptions"]
+    df = parsed(raw, spec, formats)
     signup, renewal = F.col("signup_date"), F.col("renewal_date")
     fee, discount = F.col("monthly_fee"), F.col("discount_pct")
     active = F.col("subscription_status_norm") == "Active"
@@ -79,7 +108,8 @@ def clean_subscriptions(
         suspicious(F.col("subscription_status").isNull(), "Missing subscription_status"),
     ]
     # The rules see a missing discount, later readers a discount of nothing.
-    return _classified(df, rules).withColumn("discount_pct", F.coalesce(discount, F.lit(0.0)))
+    clean = _classified(df, spec, order, rules, corrections)
+    return clean.withColumn("discount_pct", F.coalesce(discount, F.lit(0.0)))
 
 
 def clean_invoices(
@@ -87,9 +117,10 @@ def clean_invoices(
     subscriptions: DataFrame,
     order: Sequence[str] = TABLES["invoices"].order,
     formats: Sequence[str] = (),
+    corrections: Corrections = STANDARD,
 ) -> DataFrame:
     spec = TABLES["invoices"]
-    df = _marked(parsed(raw, spec, formats), spec, order, "subscription_id", subscriptions)
+    df = parsed(raw, spec, formats)
     amount, paid_on = F.col("invoice_amount"), F.col("payment_date")
     rules = [
         invalid(F.col("invoice_id").isNull(), "Missing invoice_id"),
@@ -106,7 +137,7 @@ def clean_invoices(
         ),
         invalid(paid_on < F.col("invoice_date"), "Payment date earlier than invoice date"),
     ]
-    return _classified(df, rules)
+    return _classified(df, spec, order, rules, corrections, "subscription_id", subscriptions)
 
 
 def clean_product_usage(
@@ -114,13 +145,11 @@ def clean_product_usage(
     subscriptions: DataFrame,
     order: Sequence[str] = TABLES["product_usage"].order,
     formats: Sequence[str] = (),
+    corrections: Corrections = STANDARD,
 ) -> DataFrame:
     spec = TABLES["product_usage"]
-    usage = parsed(raw, spec, formats)
-    df, cap = together(
-        lambda: _marked(usage, spec, order, "customer_id", subscriptions),
-        lambda: percentile_with_count(usage, "seat_count", SEAT_PERCENTILE),
-    )
+    df = parsed(raw, spec, formats)
+    cap = percentile_with_count(df, "seat_count", SEAT_PERCENTILE)
     seat_cap = cap.where(F.col("value_count") > SEAT_MIN_VALUES).select("percentile").scalar()
     df = df.withColumn("_seat_cap", seat_cap)
     rules = [
@@ -134,7 +163,7 @@ def clean_product_usage(
             F.col("seat_count") > F.col("_seat_cap"), "Seat_count is a statistical outlier (>99th pct)"
         ),
     ]
-    return _classified(df, rules)
+    return _classified(df, spec, order, rules, corrections, "customer_id", subscriptions)
 
 
 def clean_support_cases(
@@ -142,11 +171,12 @@ def clean_support_cases(
     subscriptions: DataFrame,
     order: Sequence[str] = TABLES["support_cases"].order,
     formats: Sequence[str] = (),
+    corrections: Corrections = STANDARD,
     require_customer: bool = False,
 ) -> DataFrame:
     """``require_customer`` adds a rule against cases without a customer."""
     spec = TABLES["support_cases"]
-    df = _marked(parsed(raw, spec, formats), spec, order, "customer_id", subscriptions)
+    df = parsed(raw, spec, formats)
     closed, hours, csat = F.col("closed_date"), F.col("resolution_hours"), F.col("csat_score")
     rules = [
         invalid(F.col("case_id").isNull(), "Missing case_id"),
@@ -165,4 +195,4 @@ def clean_support_cases(
         ),
         suspicious(F.col("case_status").isNull(), "Missing case_status"),
     ]
-    return _classified(df, rules)
+    return _classified(df, spec, order, rules, corrections, "customer_id", subscriptions)
