@@ -84,22 +84,24 @@ class RevenueAudit:
         found = together(*[lambda n=name: getattr(self, f"clean_{n}") for name in TABLES])
         return dict(zip(TABLES, found))
 
-    def materialize_clean(self) -> RevenueAudit:
-        """Write all classified tables to the shared folder, for sessions that run many reports."""
-
-        def write(name: str) -> None:
-            setattr(self, f"clean_{name}", materialize(getattr(self, f"clean_{name}"), f"clean_{name}"))
-
-        self.clean_subscriptions  # noqa: B018 - written when built
-        together(*[lambda n=name: write(n) for name in TABLES if name != "subscriptions"])
-        return self
+    def _write_clean(self, name: str) -> None:
+        setattr(self, f"clean_{name}", materialize(getattr(self, f"clean_{name}"), f"clean_{name}"))
 
     # Customer level
 
+    @cached_property
+    def usage_scores(self) -> DataFrame:
+        return metrics.usage_intensity(self.clean_product_usage)
+
     @cached_property
     def customer_metrics(self) -> DataFrame:
+        self.clean_subscriptions  # noqa: B018 - the others need it
+        together(lambda: self.clean_invoices, lambda: self.usage_scores, lambda: self.clean_support_cases)
         return metrics.customer_metrics(
-            *self.clean.values(),
+            self.clean_subscriptions,
+            self.clean_invoices,
+            self.usage_scores,
+            self.clean_support_cases,
             self.as_of,
             self.orders["subscriptions"],
             self.corrections,
@@ -173,9 +175,18 @@ class RevenueAudit:
         write_tables({name: build() for name, build in self.reports.items()}, folder, fmt)
 
     def run_all(self, folder: str | None = None, fmt: str = "parquet") -> RevenueAudit:
-        """Classify, measure, score; with ``folder``, write the tables there."""
-        self.materialize_clean()
-        self.customer_summary  # noqa: B018 - built on first access
+        """Classify, measure, score; with ``folder``, write the tables there.
+
+        Also writes the classified tables to the shared folder, for sessions that run many reports.
+        """
+        self.clean_subscriptions  # noqa: B018 - written when built
+
+        def usage() -> None:
+            self._write_clean("product_usage")
+            self.usage_scores  # noqa: B018
+
+        together(lambda: self._write_clean("invoices"), usage, lambda: self._write_clean("support_cases"))
+        self.customer_summary  # noqa: B018
         if folder:
             self.export(folder, fmt)
         return self

@@ -188,13 +188,13 @@ def satisfaction(cases: DataFrame) -> DataFrame:
 def customer_metrics(
     subscriptions: DataFrame,
     invoices: DataFrame,
-    usage: DataFrame,
+    usage_scores: DataFrame,
     cases: DataFrame,
     as_of: date,
     order: tuple[str, ...] = ("source_seq",),
     corrections: Corrections = STANDARD,
 ) -> DataFrame:
-    """One row per customer with all metrics and attributes.
+    """One row per customer with all metrics and attributes; ``usage_scores`` as of ``usage_intensity``.
 
     Usage and cases of customers without a trusted subscription are INVALID, so the customers of
     the trusted subscriptions are all there are. Missing figures become 0, a missing CSAT the mean
@@ -203,7 +203,7 @@ def customer_metrics(
     found = (
         subscription_metrics(subscriptions, as_of, order, corrections)
         .join(payments(invoices, subscriptions, corrections), "customer_id", "left")
-        .join(usage_intensity(usage), "customer_id", "left")
+        .join(usage_scores, "customer_id", "left")
         .join(support(cases, corrections), "customer_id", "left")
     )
     found = materialize(found, "metrics")

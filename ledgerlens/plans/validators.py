@@ -48,14 +48,14 @@ def _with_repeats(
     """Flag all but the first row of an id; on demand only among rows that break no other rule."""
     if not corrections.first_sound_row:
         return mark_repeats(df, repeated_keys(df, spec.id, order), spec.id, order, "_repeated")
-    sound = classify(df, [r for r in rules if not r.reason.startswith("Duplicate")])
+    sound = classify(df, [r for r in rules if r.severity == INVALID and not r.reason.startswith("Duplicate")])
     sound = sound.withColumn("_sound", F.col("record_status") != INVALID).drop("record_status", "status_reason")
     repeated = repeated_keys(sound.where("_sound"), spec.id, order)
     marked = mark_repeats(sound, repeated, spec.id, order, "_repeated")
     return marked.withColumn("_repeated", F.col("_repeated") & F.col("_sound"))
 
 
-def _classified(
+def _marked(
     df: DataFrame,
     spec: TableSpec,
     order: Sequence[str],
@@ -64,19 +64,21 @@ def _classified(
     reference: str | None = None,
     subscriptions: DataFrame | None = None,
 ) -> DataFrame:
+    """Set the marks the rules ask for: repeated ids and, given a reference column, unknown references."""
     order = load_order(df, tuple(order))
-    if reference and corrections.first_sound_row:
-        df = _with_unknown(df, reference, subscriptions, order)
-        df = _with_repeats(df, spec, order, rules, corrections)
-    elif reference:
-        known = trusted(subscriptions).select(reference)
-        repeated, unknown = together(
-            lambda: repeated_keys(df, spec.id, order), lambda: unknown_keys(df, reference, known)
-        )
-        df = mark_repeats(df, repeated, spec.id, order, "_repeated")
-        df = mark_unknown(df, unknown, reference, order, "_unknown_ref")
-    else:
-        df = _with_repeats(df, spec, order, rules, corrections)
+    if not reference:
+        return _with_repeats(df, spec, order, rules, corrections)
+    if corrections.first_sound_row:
+        return _with_repeats(_with_unknown(df, reference, subscriptions, order), spec, order, rules, corrections)
+    known = trusted(subscriptions).select(reference)
+    repeated, unknown = together(
+        lambda: repeated_keys(df, spec.id, order), lambda: unknown_keys(df, reference, known)
+    )
+    df = mark_repeats(df, repeated, spec.id, order, "_repeated")
+    return mark_unknown(df, unknown, reference, order, "_unknown_ref")
+
+
+def _classified(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return classify(df, rules).drop(*MARKS)
 
 
@@ -108,7 +110,7 @@ def clean_subscriptions(
         suspicious(F.col("subscription_status").isNull(), "Missing subscription_status"),
     ]
     # The rules see a missing discount, later readers a discount of nothing.
-    clean = _classified(df, spec, order, rules, corrections)
+    clean = _classified(_marked(df, spec, order, rules, corrections), rules)
     return clean.withColumn("discount_pct", F.coalesce(discount, F.lit(0.0)))
 
 
@@ -137,7 +139,7 @@ def clean_invoices(
         ),
         invalid(paid_on < F.col("invoice_date"), "Payment date earlier than invoice date"),
     ]
-    return _classified(df, spec, order, rules, corrections, "subscription_id", subscriptions)
+    return _classified(_marked(df, spec, order, rules, corrections, "subscription_id", subscriptions), rules)
 
 
 def clean_product_usage(
@@ -149,9 +151,6 @@ def clean_product_usage(
 ) -> DataFrame:
     spec = TABLES["product_usage"]
     df = parsed(raw, spec, formats)
-    cap = percentile_with_count(df, "seat_count", SEAT_PERCENTILE)
-    seat_cap = cap.where(F.col("value_count") > SEAT_MIN_VALUES).select("percentile").scalar()
-    df = df.withColumn("_seat_cap", seat_cap)
     rules = [
         invalid(F.col("usage_id").isNull(), "Missing usage_id"),
         invalid(F.col("_repeated"), "Duplicate usage_id"),
@@ -163,7 +162,12 @@ def clean_product_usage(
             F.col("seat_count") > F.col("_seat_cap"), "Seat_count is a statistical outlier (>99th pct)"
         ),
     ]
-    return _classified(df, spec, order, rules, corrections, "customer_id", subscriptions)
+    marked, cap = together(
+        lambda: _marked(df, spec, order, rules, corrections, "customer_id", subscriptions),
+        lambda: percentile_with_count(df, "seat_count", SEAT_PERCENTILE),
+    )
+    seat_cap = cap.where(F.col("value_count") > SEAT_MIN_VALUES).select("percentile").scalar()
+    return _classified(marked.withColumn("_seat_cap", seat_cap), rules)
 
 
 def clean_support_cases(
@@ -195,4 +199,4 @@ def clean_support_cases(
         ),
         suspicious(F.col("case_status").isNull(), "Missing case_status"),
     ]
-    return _classified(df, spec, order, rules, corrections, "customer_id", subscriptions)
+    return _classified(_marked(df, spec, order, rules, corrections, "customer_id", subscriptions), rules)
