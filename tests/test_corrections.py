@@ -4,7 +4,9 @@ import pytest
 
 from frames import AS_OF, frame
 from ledgerlens import Corrections, RevenueAudit
-from ledgerlens.plans import executive, metrics, reports
+from ledgerlens.plans import executive, metrics, reports, validators
+
+pytestmark = pytest.mark.usefixtures("tiny_data")
 
 
 @pytest.fixture(scope="module")
@@ -62,9 +64,13 @@ def test_missing_groups(audited):
     assert [tuple(r) for r in matched] == [(None, "Pro", 100.0, 100.0, 0.0)]
 
 
-def test_reported_status(audited):
-    assert audited().reports["kpis"]().first().reported_mrr == 295.0
-    assert audited(normalise_reported_status=True).reports["kpis"]().first().reported_mrr == 335.0
+def test_reported_status(tables):
+    def reported(corrections):
+        fees = reports.reported_fees(tables["subscriptions"], "plan_name", corrections=corrections)
+        return [float(r.reported) for r in fees.collect()]
+
+    assert reported(Corrections()) == [295.0]
+    assert reported(Corrections(normalise_reported_status=True)) == [335.0]
 
 
 def test_missing_status(audited):
@@ -122,21 +128,21 @@ def test_activity_flags(audited):
     assert "has_usage" not in audited().customer_summary.columns
 
 
-def test_plans(spark, tables):
+def test_plans(spark):
     rows = [{"plan_name": "A", "discount_pct": 30.0, "subscription_status": s} for s in ("Active", "Expired", "Cancelled")]
     rows += [{"plan_name": "B", "discount_pct": 40.0, "subscription_status": "Active"}]
     rows += [{"plan_name": "C", "discount_pct": 0.0, "subscription_status": "Active"}] * 4
-    rows = [{**r, "customer_id": r["plan_name"]} for r in rows]
-    given = {**tables, "subscriptions": frame(spark, "subscriptions", *rows)}
+    summary = spark.createDataFrame(
+        [(p, 50.0) for p in "ABC"], "plan_name string, customer_health_score double"
+    )
 
     def flagged(**switches):
-        audit = RevenueAudit(given, AS_OF, corrections=Corrections(**switches))
-        report = audit.reports["discount_vs_retention"]()
+        clean = validators.clean_subscriptions(frame(spark, "subscriptions", *rows), AS_OF)
+        report = reports.discount_vs_retention(clean, summary, Corrections(**switches))
         return [(r.plan_name, r.cancellation_rate_pct) for r in report.collect()]
 
     assert flagged() == [("A", 33.33)]
     assert flagged(expired_is_cancelled=True) == [("A", 66.67)]
     rows[3] = {**rows[3], "discount_pct": 100.0}
-    given["subscriptions"] = frame(spark, "subscriptions", *rows)
     assert flagged() == []
     assert flagged(weigh_plans=True) == [("A", 33.33)]

@@ -1,10 +1,14 @@
 from datetime import datetime
 
+import pytest
+
 from frames import AS_OF, frame
 from ledgerlens import RevenueAudit
 from ledgerlens.operators import ranking
 from ledgerlens.plans import executive, metrics, reports, validators
 
+pytestmark = pytest.mark.usefixtures("tiny_data")
+
 
 def build(spark, subscriptions, invoices=(), usage=(), cases=()):
     return RevenueAudit(

@@ -10,6 +10,8 @@ from ledgerlens.plans import validators
 
 EARLY = datetime(1990, 1, 1)
 
+pytestmark = pytest.mark.usefixtures("tiny_data")
+
 
 def verdicts(df, key):
     return {r[key]: (r.record_status, r.status_reason) for r in df.collect()}
