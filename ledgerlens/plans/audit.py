@@ -19,8 +19,9 @@ from ledgerlens.sources.tables import load_tables, register_views, save_table, w
 class RevenueAudit:
     """Classified tables, customer summary and reports for one set of input tables.
 
-    Everything is built when first asked for. The classified subscriptions and the customer summary
-    are read by nearly every other result and are written to the shared folder once.
+    Everything is built when first asked for. The customer summary, which most reports read, is
+    written to the shared folder once, and so are the classified subscriptions, of which it is made
+    in several ways.
 
     ``tables`` holds the four inputs by name. ``as_of`` is the day on which renewals are judged.
     ``orders`` replaces the columns that give a table its load order, ``formats`` are date
@@ -57,8 +58,13 @@ class RevenueAudit:
     def clean_subscriptions(self) -> DataFrame:
         name = "subscriptions"
         options = self.orders[name], self.formats, self.corrections
-        clean = validators.clean_subscriptions(self.raw[name], self.as_of, *options)
-        return materialize(clean, f"clean_{name}")
+        return validators.clean_subscriptions(self.raw[name], self.as_of, *options)
+
+    @cached_property
+    def written_subscriptions(self) -> DataFrame:
+        """The classified subscriptions in the shared folder; from then on all results read these."""
+        self._write_clean("subscriptions")
+        return self.clean_subscriptions
 
     @cached_property
     def clean_invoices(self) -> DataFrame:
@@ -95,7 +101,7 @@ class RevenueAudit:
 
     @cached_property
     def customer_metrics(self) -> DataFrame:
-        self.clean_subscriptions  # noqa: B018 - the others need it
+        self.written_subscriptions  # noqa: B018 - read by all that follows
         together(lambda: self.clean_invoices, lambda: self.usage_scores, lambda: self.clean_support_cases)
         return metrics.customer_metrics(
             self.clean_subscriptions,
@@ -127,26 +133,39 @@ class RevenueAudit:
     @property
     def reports(self) -> dict[str, Callable[[], DataFrame]]:
         """The reports by name; each call builds one."""
-        raw, subs, corrections = self.raw["subscriptions"], self.clean_subscriptions, self.corrections
+        raw, corrections = self.raw["subscriptions"], self.corrections
+
+        def with_summary(report: Callable[..., DataFrame], *arguments: str) -> Callable[[], DataFrame]:
+            # The summary comes first: building it writes the classified subscriptions.
+            return lambda: report(*[getattr(self, a) for a in ("customer_summary", *arguments)])
+
         return {
-            "trusted_vs_reported_mrr": lambda: reports.trusted_vs_reported(raw, subs, corrections),
-            "high_revenue_low_usage": lambda: reports.high_revenue_low_usage(
-                self.customer_summary, self.clean_support_cases
+            "trusted_vs_reported_mrr": lambda: reports.trusted_vs_reported(
+                raw, self.clean_subscriptions, corrections
             ),
-            "discount_vs_retention": lambda: reports.discount_vs_retention(
-                subs, self.customer_summary, corrections
+            "high_revenue_low_usage": with_summary(reports.high_revenue_low_usage, "clean_support_cases"),
+            "discount_vs_retention": with_summary(
+                lambda summary, s: reports.discount_vs_retention(s, summary, corrections), "clean_subscriptions"
             ),
-            "revenue_at_risk_by_region": lambda: reports.revenue_at_risk(self.customer_summary, "region"),
-            "revenue_at_risk_by_plan": lambda: reports.revenue_at_risk(self.customer_summary, "plan_name"),
-            "revenue_at_risk_by_channel": lambda: reports.revenue_at_risk(self.customer_summary, "sales_channel"),
-            "contradictions": lambda: reports.top_contradictions(
-                self.customer_summary, self.clean_invoices, subs, corrections
+            "revenue_at_risk_by_region": with_summary(lambda summary: reports.revenue_at_risk(summary, "region")),
+            "revenue_at_risk_by_plan": with_summary(lambda summary: reports.revenue_at_risk(summary, "plan_name")),
+            "revenue_at_risk_by_channel": with_summary(
+                lambda summary: reports.revenue_at_risk(summary, "sales_channel")
+            ),
+            "contradictions": with_summary(
+                lambda summary, i, s: reports.top_contradictions(summary, i, s, corrections),
+                "clean_invoices",
+                "clean_subscriptions",
             ),
             "executive_summary": lambda: executive.top_at_risk(self.executive_summary),
-            "region_ranking": lambda: dashboard.region_ranking(raw, subs, corrections),
-            "kpis": lambda: dashboard.kpis(raw, subs, self.customer_summary, corrections),
+            "region_ranking": lambda: dashboard.region_ranking(raw, self.clean_subscriptions, corrections),
+            "kpis": with_summary(
+                lambda summary, s: dashboard.kpis(raw, s, summary, corrections), "clean_subscriptions"
+            ),
             "customer_points": lambda: dashboard.customer_points(self.executive_summary),
-            "region_plan_matrix": lambda: dashboard.region_plan_matrix(subs, self.customer_summary, corrections),
+            "region_plan_matrix": with_summary(
+                lambda summary, s: dashboard.region_plan_matrix(s, summary, corrections), "clean_subscriptions"
+            ),
             "monthly_revenue": lambda: dashboard.monthly_revenue(self.clean_invoices),
             "customers_to_act_on": lambda: dashboard.customers_to_act_on(
                 self.executive_summary, self.customer_summary
@@ -179,7 +198,7 @@ class RevenueAudit:
 
         Also writes the classified tables to the shared folder, for sessions that run many reports.
         """
-        self.clean_subscriptions  # noqa: B018 - written when built
+        self.written_subscriptions  # noqa: B018 - read by all that follows
 
         def usage() -> None:
             self._write_clean("product_usage")
