@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.operators.rules import status_counts
+from ledgerlens.operators.rules import rule_counts, status_counts
 from ledgerlens.operators.shared import materialize, together
 from ledgerlens.plans import dashboard, executive, health, metrics, reports, validators
 from ledgerlens.plans.corrections import STANDARD, Corrections
@@ -176,7 +177,10 @@ class RevenueAudit:
     # Output
 
     def status_counts(self, name: str) -> DataFrame:
-        return status_counts(self.clean[name])
+        return status_counts(getattr(self, f"clean_{name}"))
+
+    def rule_counts(self, name: str) -> DataFrame:
+        return rule_counts(getattr(self, f"clean_{name}"))
 
     def register_views(self) -> None:
         register_views(self.raw, self.clean, self.customer_summary)
@@ -189,9 +193,16 @@ class RevenueAudit:
         tables = {f"clean_{name}": df for name, df in self.clean.items()}
         write_tables({**tables, "customer_summary": self.customer_summary}, folder, fmt)
 
-    def write_reports(self, folder: str, fmt: str = "parquet") -> None:
-        """Run every report and write one result per name."""
-        write_tables({name: build() for name, build in self.reports.items()}, folder, fmt)
+    def write_reports(self, folder: str, fmt: str = "parquet", names: Sequence[str] | None = None) -> None:
+        """Run the named reports, by default all, and write one result per name.
+
+        A name given again is written again, with its number: ``kpis``, ``kpis_2``, ``kpis_3``.
+        """
+        reports, seen = self.reports, Counter()
+        for name in names or reports:
+            seen[name] += 1
+            target = name if seen[name] == 1 else f"{name}_{seen[name]}"
+            write_tables({target: reports[name]()}, folder, fmt)
 
     def run_all(self, folder: str | None = None, fmt: str = "parquet") -> RevenueAudit:
         """Classify, measure, score; with ``folder``, write the tables there.

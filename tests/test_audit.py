@@ -35,6 +35,8 @@ def test_cleaning_keeps_every_row(audit):
             "SUSPICIOUS",
             "INVALID",
         }
+        fine = dict(map(tuple, audit.rule_counts(name).collect()))["No issues detected"]
+        assert fine == audit.clean[name].where("record_status = 'VALID'").count()
 
 
 def test_summary_invariants(audit):
@@ -82,6 +84,8 @@ def test_load_export_and_views(spark, tables, audit, tmp_path):
 
     loaded.write_reports(f"{tmp_path}/reports", "csv")
     assert {p.name for p in (tmp_path / "reports").iterdir()} == set(loaded.reports)
+    loaded.write_reports(f"{tmp_path}/again", names=["kpis", "monthly_revenue", "kpis"])
+    assert {p.name for p in (tmp_path / "again").iterdir()} == {"kpis", "monthly_revenue", "kpis_2"}
     back = spark.read.option("header", True).csv(f"{tmp_path}/reports/executive_summary")
     assert back.count() == 20
 
