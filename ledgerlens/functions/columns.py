@@ -55,11 +55,11 @@ def normalise_status(column: Column) -> Column:
 
 def net_fee(fee: Column, discount_pct: Column) -> Column:
     """Monthly fee after discount, as a decimal so that sums do not depend on the order of rows."""
-    return (fee * (1 - F.coalesce(discount_pct, F.lit(0.0)) / 100.0)).cast("decimal(18,6)")
+    return (fee * (1 - F.coalesce(discount_pct, F.lit(0.0)) / 100.0)).cast("decimal(28,6)")
 
 
 def money(column: Column) -> Column:
-    return column.cast("decimal(18,4)")
+    return column.cast("decimal(28,4)")
 
 
 def exact_sum(column: Column) -> Column:
@@ -76,7 +76,7 @@ def mean_of_six_decimals(column: Column) -> Column:
     """Mean in millionths. Equal means of different counts come out as the very same double,
 
     which a rank with ties relies on."""
-    values = column.cast("decimal(18,6)")
+    values = column.cast("decimal(28,6)")
     return F.try_divide((F.sum(values) * 1_000_000).cast("double"), F.count(values))
 
 
@@ -97,7 +97,7 @@ def round_half_even(column: Column, digits: int = 2) -> Column:
 
 def round_half_up(column: Column, digits: int) -> Column:
     """Round half away from zero by decimal digits, as a double: 0.285 becomes 0.29."""
-    return F.round(column.cast("decimal(28,9)"), digits).cast("double")
+    return F.round(column.cast("decimal(38,9)"), digits).cast("double")
 
 
 def round_money(column: Column) -> Column:

@@ -22,11 +22,11 @@ from ledgerlens.plans.reports import (
 
 
 def _sum_cents(column: Column) -> Column:
-    return round_money(F.sum(column.cast("decimal(18,6)")))
+    return round_money(F.sum(column.cast("decimal(28,6)")))
 
 
 def _mean_score(column: Column) -> Column:
-    return round_half_up(exact_mean(column.cast("decimal(18,6)")), 2)
+    return round_half_up(exact_mean(column.cast("decimal(28,6)")), 2)
 
 
 def _revenue_at_risk() -> Column:

@@ -64,7 +64,7 @@ def executive_summary(
     place = ["customer_id"] if corrections.reported_per_customer else ["region", "plan_name"]
     reported = reported_fees(raw_subscriptions, *place, corrections=corrections).na.drop(subset=place)
     reported = measure_size(reported, "reported_fees")
-    mean_mrr = summary.select(exact_mean(F.col("MRR").cast("decimal(18,6)"))).scalar()
+    mean_mrr = summary.select(exact_mean(F.col("MRR").cast("decimal(28,6)"))).scalar()
     mrr = round_money(F.col("MRR"))
     wide = (
         sized_join(summary, reported, place, ["customer_id"])

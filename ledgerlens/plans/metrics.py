@@ -172,7 +172,7 @@ def support(cases: DataFrame, corrections: Corrections = STANDARD) -> DataFrame:
                 F.count_if(F.col("case_status_norm") == "Escalated"),
                 F.count_if(_has_status("case_status_norm", corrections)),
             ).alias("support_escalation_rate"),
-            exact_mean(F.col("csat_score").cast("decimal(18,6)")).alias("average_csat"),
+            exact_mean(F.col("csat_score").cast("decimal(28,6)")).alias("average_csat"),
         )
     )
 

@@ -148,7 +148,7 @@ def discount_vs_retention(
         .where(F.col("plan_name").isNotNull())
         .groupBy("plan_name")
         .agg(
-            exact_mean(F.col("discount_pct").cast("decimal(18,6)")).alias("discount"),
+            exact_mean(F.col("discount_pct").cast("decimal(28,6)")).alias("discount"),
             share(is_active()).alias("renewal"),
             share(is_cancelled(corrections)).alias("cancellation"),
             F.sum(fee).alias("fees"),
@@ -156,7 +156,7 @@ def discount_vs_retention(
         )
     )
     plans = materialize(plans, "plan_stats")
-    score = F.col("customer_health_score").cast("decimal(18,6)")
+    score = F.col("customer_health_score").cast("decimal(28,6)")
     health = summary.where(F.col("plan_name").isNotNull()).groupBy("plan_name").agg(exact_mean(score).alias("health"))
 
     def company(column: str) -> Column:
@@ -189,7 +189,7 @@ def revenue_at_risk(summary: DataFrame, key: str) -> DataFrame:
         .groupBy(key)
         .agg(
             F.count(F.lit(1)).alias("at_risk_customers"),
-            round_money(F.sum(F.col("MRR").cast("decimal(18,6)"))).alias("revenue_at_risk"),
+            round_money(F.sum(F.col("MRR").cast("decimal(28,6)"))).alias("revenue_at_risk"),
         )
         .orderBy(F.desc("revenue_at_risk"), F.asc_nulls_first(key))
     )
@@ -205,7 +205,7 @@ def _text(value: Column) -> Column:
 
 def _whole_text(value: Column) -> Column:
     """A rounded figure of any size as text, never in exponent form."""
-    return F.concat(F.round(value.cast("decimal(28,9)"), 0).cast("decimal(18,0)").cast("string"), F.lit(".0"))
+    return F.concat(F.round(value.cast("decimal(38,9)"), 0).cast("decimal(28,0)").cast("string"), F.lit(".0"))
 
 
 def _branches(summary: DataFrame) -> dict[str, tuple[Column, str, Column, Column]]:
@@ -214,8 +214,8 @@ def _branches(summary: DataFrame) -> dict[str, tuple[Column, str, Column, Column
     failed, escalated = F.col("payment_failure_rate"), F.col("support_escalation_rate")
     csat, health = F.col("average_csat"), F.col("customer_health_score")
     # Exact means: the figures have at most six decimals, and summing decimals needs no order.
-    mean_usage = summary.select(exact_mean(usage.cast("decimal(18,6)"))).scalar()
-    mean_revenue = summary.select(exact_mean(revenue.cast("decimal(18,6)"))).scalar()
+    mean_usage = summary.select(exact_mean(usage.cast("decimal(28,6)"))).scalar()
+    mean_revenue = summary.select(exact_mean(revenue.cast("decimal(28,6)"))).scalar()
     return {
         "failed_payments": (
             is_active() & (failed > 0.5),

@@ -205,3 +205,16 @@ def test_no_customers_at_all(spark):
     assert table(audit.reports["high_revenue_low_usage"]()) == []
     assert audit.reports["kpis"]().first().trusted_mrr == 0.0
     assert ranking.percent_ranks(audit.customer_summary, "customer_id", ["MRR"]).count() == 0
+
+
+def test_absurd_amounts_do_not_stop_the_audit(spark):
+    audit = build(
+        spark,
+        [{"monthly_fee": 1e18, "discount_pct": 0.0}, {"customer_id": "C2"}],
+        [{"invoice_amount": 1e20}, {"subscription_id": "S2"}],
+        [{"active_minutes": 1e19}, {"customer_id": "C2"}],
+    )
+    row = audit.executive_summary.where("customer_id = 'C1'").first()
+    assert (row.trusted_mrr, row.total_invoice_value) == (1e18, 1e20)
+    assert audit.reports["trusted_vs_reported_mrr"]().first().reported_mrr == 1e18 + 100
+    assert audit.reports["contradictions"]().count() == 0
