@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as registry
+import oracle_queries
 from compare import duck, duck_rows, spark_rows
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+QUERIES, SQL = registry.audit_queries(), oracle_queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")
