@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, sharding
+from ledgerlens.llm import mixing, ngram_join, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(_table(spark, folder, "documents"), k=3, share=90, per=100)
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """All sources to equal weight, as many rows as there are."""
     return mixing.mix(_table(spark, folder, "documents"))
@@ -35,6 +39,7 @@ def op5_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_mix_sources": op2_mix_sources,
         "op5_feistel_shards": op5_feistel_shards,
     }
