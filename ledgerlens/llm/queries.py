@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, ngram_join, sharding
+from ledgerlens.llm import mixing, ngram_join, sharding, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,9 +37,17 @@ def op5_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    from public_tokenizers import path
+
+    pieces = token_counts.load_pieces(path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(_table(spark, folder, "documents"), pieces)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_mix_sources": op2_mix_sources,
         "op5_feistel_shards": op5_feistel_shards,
+        "op9_token_counts": op9_token_counts,
     }
