@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, ngram_join, sharding, token_counts
+from ledgerlens.llm import mixing, ngram_join, quality, sharding, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,10 +44,15 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, folder, "documents"), pieces)
 
 
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_mix_sources": op2_mix_sources,
         "op5_feistel_shards": op5_feistel_shards,
         "op9_token_counts": op9_token_counts,
+        "op10_quality_classifier": op10_quality_classifier,
     }
