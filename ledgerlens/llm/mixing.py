@@ -87,10 +87,8 @@ def mix(
     )
     rated = sized_join(docs.withColumn("_key", key), table, ["_key"], ["doc_id"], "inner")
     row = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("~"))))
-    draws = F.transform(
-        F.sequence(F.lit(1), F.col("_parts")),
-        lambda j: F.size(F.filter(F.col("_cdf"), lambda c: c <= uniform(F.lit(seed), F.col("_row"), j))),
-    )
+    numbers = F.transform(F.sequence(F.lit(1), F.col("_parts")), lambda j: uniform(F.lit(seed), F.col("_row"), j))
+    draws = F.transform(numbers, lambda u: F.size(F.filter(F.col("_cdf"), lambda c: c <= u)))
     copies = F.aggregate(draws, F.lit(0), lambda acc, x: acc + x)
     counted = rated.withColumn("_row", row).withColumn("copies", copies).where("copies > 0")
     exploded = counted.select(
