@@ -41,10 +41,11 @@ FEW_WORDS = 20
 OFTEN_WRONG_ON_FEW = ("repeated_any", "top_word", "shouting")
 # A document goes if its log-odds of being good are at or below this.
 REJECT_AT = -1.0
-# What is expected of a labeller before any data, as shares of nothing, good and bad votes: it seldom
-# calls a good document bad, and sees some kinds of bad documents only. Weighs like this share of the
-# documents, so that a kind of bad documents that few labellers see is not taken for good.
-EXPECTED = np.array([[0.2, 0.4, 0.4], [0.08, 0.91, 0.01]])
+# What is expected of a labeller before any data, as shares of good and bad among its votes on bad and
+# on good documents: it seldom calls a good one bad, and sees some kinds of bad ones only. Weighs like
+# this share of the documents, so that a kind of bad documents that few labellers see is not taken for
+# good. Abstaining says nothing: it counts neither way.
+EXPECTED = np.array([[1.0, 0.5, 0.5], [1.0, 0.985, 0.015]])
 EXPECTED_WEIGHT = 0.1
 PATTERNS = 3 ** len(LABELLERS)
 
@@ -147,7 +148,7 @@ class _Texts:
 
 
 def fit_labellers(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Vote probabilities (class x labeller x vote) and the prior, from the number of documents per pattern.
+    """Vote probabilities (class x labeller x vote; 1 for abstaining) and the prior, from the number of documents per pattern.
 
     Class 0 is bad, 1 good; ``EXPECTED``, the start and the prior of the estimates, tells them apart.
     """
@@ -162,9 +163,9 @@ def fit_labellers(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         both = posterior_log(cast, votes, prior)
         share = np.exp(both - np.logaddexp(both[0], both[1])) * weight
         prior = (share.sum(axis=1) + 1) / (weight.sum() + 2)
-        for vote in range(3):
-            seen = np.einsum("cp,pl->cl", share, (cast == vote).astype(float))
-            votes[:, :, vote] = (seen + believed * EXPECTED[:, vote, None]) / (share.sum(axis=1)[:, None] + believed)
+        voted = share @ (cast != ABSTAIN)
+        for vote in (GOOD, BAD):
+            votes[:, :, vote] = (share @ (cast == vote) + believed * EXPECTED[:, vote, None]) / (voted + believed)
     return votes, prior
 
 

@@ -34,7 +34,7 @@ def test_rows_do_not_mix():
 def test_em_recovers_accuracies():
     random = np.random.default_rng(1)
     good = random.random(20_000) < 0.85
-    cast = np.where(random.random((20_000, 7)) < np.where(good, 0.03, 0.5)[:, None], quality.BAD, quality.GOOD)
+    cast = np.where(random.random((20_000, 7)) < np.where(good, 0.02, 0.6)[:, None], quality.BAD, quality.GOOD)
     counts = np.bincount(cast @ 3 ** np.arange(7), minlength=quality.PATTERNS)
     fitted, prior = quality.fit_labellers(counts)
     assert abs(prior[1] - 0.85) < 0.03
