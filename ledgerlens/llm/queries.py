@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, ngram_join, quality, sharding, token_counts
+from ledgerlens.llm import decontaminate, mixing, ngram_join, quality, sharding, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), share=0.8)
+
+
 def op5_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     digest = sharding.document_digest(_table(spark, folder, "documents"))
     sharded = sharding.shard(digest, ["doc_id", "size", "text_crc32"], shards=8)
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_mix_sources": op2_mix_sources,
+        "op3_decontaminate": op3_decontaminate,
         "op5_feistel_shards": op5_feistel_shards,
         "op9_token_counts": op9_token_counts,
         "op10_quality_classifier": op10_quality_classifier,
