@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, mixing, ngram_join, quality, sharding, token_counts
+from ledgerlens.llm import decontaminate, mixing, neighbours, ngram_join, quality, sharding, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), share=0.8)
 
 
+def op4_graph_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op5_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     digest = sharding.document_digest(_table(spark, folder, "documents"))
     sharded = sharding.shard(digest, ["doc_id", "size", "text_crc32"], shards=8)
@@ -57,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_mix_sources": op2_mix_sources,
         "op3_decontaminate": op3_decontaminate,
+        "op4_graph_neighbours": op4_graph_neighbours,
         "op5_feistel_shards": op5_feistel_shards,
         "op9_token_counts": op9_token_counts,
         "op10_quality_classifier": op10_quality_classifier,
