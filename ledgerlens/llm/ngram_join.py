@@ -36,6 +36,8 @@ LEAF = 16
 # Members of one cell in an R-tree; larger cells are cut into several trees, each searched by all members.
 TREE_ROWS = 4096
 CLASS_GROWTH = 1.5
+# Members of many cells list so many of them, which spares naming a pair once for each cell it shares.
+LISTED = 256
 
 
 class Link(NamedTuple):
@@ -254,10 +256,15 @@ def _tree_join(link: Link):
         node, parts = inside["node"].to_numpy(), inside["component"].to_numpy()
         found_a, found_b = [], []
         own, own_parts = probes["node"].to_numpy(), probes["component"].to_numpy()
+        here = int(probes["cell"].iloc[0])
+        own_cells = [frozenset(c) for c in probes["cells"]]
+        cells = [frozenset(c) for c in inside["cells"]]
         for p, t in tree.search(np.array(probes["vector"].tolist(), np.int64), probes["n"].to_numpy(), link):
-            new = np.flatnonzero((own_parts[p] != parts[t]) & (own[p] < node[t]))
-            found_a += own[p[new]].tolist()
-            found_b += node[t[new]].tolist()
+            for i in np.flatnonzero((own_parts[p] != parts[t]) & (own[p] < node[t])).tolist():
+                # Named in the first cell that both list; if they list none in common, wherever they meet.
+                if here == min(own_cells[p[i]] & cells[t[i]], default=here):
+                    found_a.append(own[p[i]])
+                    found_b.append(node[t[i]])
         return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
 
     return run
@@ -309,8 +316,10 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
     if left.measures["rows"] == 0:
         return first.table
     trees = left.table.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).cast("int").alias("trees"))
+    listed = left.table.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LISTED).alias("cells"))
     points = (
         left.table.join(trees, "cell")
+        .join(listed, "node")
         .join(texts.select("node", "n", "vector"), "node")
         .withColumn("home", F.pmod(F.xxhash64("node"), F.col("trees")).cast("int"))
         .withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
