@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, lm_score, mixing, neighbours, ngram_join, quality, sharding, token_counts
+from ledgerlens.llm import decontaminate, lm_score, mixing, neighbours, ngram_join, pii, quality, sharding, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op5_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.replace(_table(spark, folder, "documents"), key="surrogates of the test tables")
+
+
 def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score(_table(spark, folder, "documents"))
 
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontaminate": op3_decontaminate,
         "op4_graph_neighbours": op4_graph_neighbours,
         "op5_feistel_shards": op5_feistel_shards,
+        "op6_surrogates": op6_surrogates,
         "op7_lm_score": op7_lm_score,
         "op9_token_counts": op9_token_counts,
         "op10_quality_classifier": op10_quality_classifier,
