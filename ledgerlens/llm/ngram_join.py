@@ -80,8 +80,9 @@ def _digests(link: Link):
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 sets, first, second = _sets(part, link)
-                columns = [part.column("doc_id"), pa.array(sets.counts), pa.array(first.view(np.int64)), _node(first, second)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "node"])
+                columns = [part.column(c) for c in ("doc_id", "text_hash")]
+                columns += [pa.array(sets.counts), pa.array(first.view(np.int64)), _node(first, second)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "digest", "node"])
 
     return run
 
@@ -330,6 +331,21 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
     return spark.createDataFrame([], schema).unionAll(first.table).unionAll(second)
 
 
+def _classes(docs: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
+    """Rows doc_id, text_hash, n_shingles, node (the class), and of each class with ids: node, component, least id."""
+    schema = "doc_id long, text_hash long, n_shingles long, digest long, node binary"
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    sets = materialize(hashed.mapInArrow(_digests(link), schema), "shingle_sets")
+    parts = components(links(docs.where("doc_id is not null"), sets.where("doc_id is not null"), link))
+    classes = sets.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
+    grouped = classes.join(parts, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
+    return sets, materialize(grouped, "classes")
+
+
+def _narrow(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def join(docs: DataFrame, k: int = 3, share: int = 90, per: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -339,22 +355,37 @@ def join(docs: DataFrame, k: int = 3, share: int = 90, per: int = 100) -> DataFr
     component of its own text. Only the columns doc_id and text are read. Empty tables give no rows.
     """
     ship(docs.sparkSession)
-    link = Link(k, share, per)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, digest long, node binary"
-    sets = materialize(docs.mapInArrow(_digests(link), schema), "shingle_sets")
-    known = docs.where("doc_id is not null")
-    parts = components(links(known, sets.where("doc_id is not null"), link))
-    classes = sets.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("_least"))
-    grouped = classes.join(parts, "node", "left").select("node", "_least", F.coalesce("component", "node").alias("component"))
-    grouped = materialize(grouped, "classes")
-    smallest = grouped.groupBy("component").agg(F.min("_least").alias("_smallest"))
-    # Only classes with links need a look-up; the others are their own smallest.
-    linked = grouped.join(parts.select("node"), "node", "left_semi").join(smallest, "component").select("node", "_smallest")
-    alone = grouped.join(parts.select("node"), "node", "left_anti").select("node", F.col("_least").alias("_smallest"))
-    by_class = measure_size(linked.unionAll(alone), "class_components")
+    sets, classes = _classes(_narrow(docs), Link(k, share, per))
+    smallest = classes.groupBy("component").agg(F.min("least").alias("_smallest"))
+    by_class = measure_size(classes.join(smallest, "component").select("node", "_smallest"), "class_components")
     joined = sized_join(sets, by_class, ["node"], ["doc_id"], "left")
     own = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     return joined.select(
         "doc_id", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("_smallest")).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, k: int = 5, share: int = 80, per: int = 100) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without those linked to a kept one.
+
+    Of each component the row with the smallest doc_id stays (of several texts under this id, the one
+    whose hash is least; of rows that repeat id and text, any one). Texts without words and rows with a null
+    id have no links and stay. The ids to leave out are joined by their measured size.
+    """
+    ship(docs.sparkSession)
+    sets, classes = _classes(_narrow(docs), Link(k, share, per))
+    linked = sets.where("n_shingles > 0 and doc_id is not null").select("doc_id", "text_hash", "node")
+    rows = sized_join(linked, measure_size(classes.select("node", "component"), "components_by_class"), ["node"], ["doc_id"], "inner")
+    rows = materialize(rows.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")), "members")
+    first = rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    judged = rows.join(first, "component").withColumn("stays", F.struct("doc_id", "text_hash") == F.col("first"))
+    judged = materialize(judged, "judged_members")
+    named = docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_hash": F.xxhash64(F.col("text").cast("string"))})
+    keys = F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+    gone = measure_size(judged.where("not stays").select(*keys), "left_out")
+    kept = sized_join(named, gone, ["_id", "_hash"], ["_id", "_hash"], "left_anti")
+    repeated = measure_size(judged.where("stays and n > 1").select(*keys), "repeated_rows")
+    if repeated.measures["bytes"]:
+        once = sized_join(kept, repeated, ["_id", "_hash"], ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+        kept = sized_join(kept, repeated, ["_id", "_hash"], ["_id", "_hash"], "left_anti").unionByName(once)
+    return kept.drop("_id", "_hash")
