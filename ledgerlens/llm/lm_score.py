@@ -139,16 +139,20 @@ def _per_doc(block: int, doc: np.ndarray, score: np.ndarray, backoff: np.ndarray
     return _sums(block, docs, np.bincount(at, score, len(docs)), np.bincount(at, backoff, len(docs)))
 
 
-def _asks(block: int, words: np.ndarray, doc: np.ndarray, buckets: int) -> Iterator[dict]:
-    """Backed-off words of a block, by the bucket of their counts."""
+def _asks(blocks: list[int], block: np.ndarray, words: np.ndarray, doc: np.ndarray, buckets: int) -> Iterator[dict]:
+    """Backed-off words by the bucket of their counts; ``block`` holds places in the list of blocks."""
     bucket = ((words >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((words, bucket))
-    words, doc, bucket = words[order], doc[order], bucket[order]
+    words, doc, block, bucket = words[order], doc[order], block[order], bucket[order]
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(edges)).tolist():
         some = slice(edges[b], edges[b + 1])
         different, n = _tally(words[some])
-        yield {"bucket": b, "block": block, "second": _bytes(different, np.uint64), "n": _bytes(n, np.uint32), "docs": _bytes(doc[some], np.uint32)}
+        used, place = np.unique(block[some], return_inverse=True)
+        yield {
+            "bucket": b, "block": blocks[0], "second": _bytes(different, np.uint64), "n": _bytes(n, np.uint32), "docs": _bytes(doc[some], np.uint32),
+            "ids": _bytes(np.array(blocks, np.int64)[used], np.int64), "words": _bytes(place, np.uint32), "kind": WORDS,
+        }
 
 
 _ROWS = pa.schema(
@@ -191,8 +195,8 @@ def _explode(hot: Hot, total: int, buckets: int):
                 "nulls": _bytes(ids.is_null().to_numpy(zero_copy_only=False), np.uint8),
             }
             rows.append(done)
-            for ask in _asks(number, block.opening[at < 0], block.openers[at < 0], buckets):
-                rows.append(ask | {"kind": WORDS})
+            opening = block.opening[at < 0]
+            rows += _asks([number], np.zeros(len(opening), np.int64), opening, block.openers[at < 0], buckets)
             first, second, doc = block.first[~known], block.second[~known], block.doc[~known]
             own = W.mix(first ^ np.where(a[~known] >= 0, W.mix(second), np.uint64(0)))
             order = np.lexsort((second, first, own % np.uint64(buckets)))
@@ -255,14 +259,15 @@ def _count_bigrams(hot: Hot, total: int, buckets: int):
         frequent = at >= 0
         usual = np.log(hot.count[np.maximum(at, 0)]) if len(hot.count) else np.zeros(len(at))
         score = np.where(seen, np.log(count) - np.log(np.maximum(begins, 1)), np.log(BACKOFF) - np.log(total) + np.where(frequent, usual, 0.0))
-        place = 0
-        for block, pairs, docs in zip(blocks.tolist(), n_of, _columns(table, "docs", np.uint32), strict=True):
+        place, asked = 0, []
+        for k, (block, pairs, docs) in enumerate(zip(blocks.tolist(), n_of, _columns(table, "docs", np.uint32), strict=True)):
             own = slice(place, place + len(pairs))
             place += len(pairs)
             rows.append(_per_doc(block, docs, np.repeat(score[own], pairs), np.repeat(~seen[own], pairs)) | {"kind": DONE})
             open_ = np.repeat(~seen[own] & ~frequent[own], pairs)
-            if open_.any():
-                rows += [ask | {"kind": WORDS} for ask in _asks(block, np.repeat(second[own], pairs)[open_], docs[open_], buckets)]
+            asked.append((np.full(int(open_.sum()), k), np.repeat(second[own], pairs)[open_], docs[open_]))
+        block, words, docs = (np.concatenate(x) for x in zip(*asked, strict=True))
+        rows += _asks(blocks.tolist(), block, words, docs, buckets)
         return pa.Table.from_pylist(rows, _ROWS.append(pa.field("kind", pa.int32())))
 
     return run
@@ -272,11 +277,17 @@ def _look_up(_: tuple, asks: pa.Table, counts: pa.Table) -> pa.Table:
     words = counts.column("word").to_numpy().view(np.uint64)
     order = np.argsort(words)
     words, logs = words[order], np.log(counts.column("n").to_numpy()[order])
+    found = []
+    kinds = (("second", np.uint64), ("n", np.uint32), ("docs", np.uint32), ("ids", np.int64), ("words", np.uint32))
+    for asked, n, docs, blocks, place in zip(*(_columns(asks, c, k) for c, k in kinds), strict=True):
+        found.append((blocks[place], docs, np.repeat(logs[np.searchsorted(words, asked)], n)))
+    block, docs, score = (np.concatenate(x) if found else np.zeros(0) for x in (zip(*found, strict=True) if found else ((),) * 3))
+    order = np.argsort(block, kind="stable")
+    numbers, first = np.unique(block[order], return_index=True)
     rows = []
-    parts = (_columns(asks, c, k) for c, k in (("second", np.uint64), ("n", np.uint32), ("docs", np.uint32)))
-    for block, asked, n, docs in zip(asks.column("block").to_pylist(), *parts, strict=True):
-        score = np.repeat(logs[np.searchsorted(words, asked)], n)
-        rows.append(_per_doc(block, docs, score, np.zeros(len(docs))))
+    for number, start, end in zip(numbers.tolist(), first, np.append(first[1:], len(order)), strict=False):
+        some = order[start:end]
+        rows.append(_per_doc(int(number), docs[some], score[some], np.zeros(len(some))))
     return pa.Table.from_pylist(rows, pa.schema([_ROWS.field(n) for n in ("block", "docs", "scores", "backoffs", "ids", "nulls", "words")]))
 
 
@@ -320,7 +331,7 @@ def score(docs: DataFrame) -> DataFrame:
     # Rows that are done, or ask for single words, pass through in groups of their own block.
     mixed = exploded.withColumn("_group", F.when(F.col("kind") == BIGRAMS, F.col("bucket")).otherwise(F.col("block")))
     stage = materialize(mixed.groupBy("kind", "_group").applyInArrow(by_bucket, f"{_ROWS_SQL}, kind int"), "bigram_scores")
-    asks = stage.where(F.col("kind") == WORDS).select("bucket", "block", "second", "n", "docs")
+    asks = stage.where(F.col("kind") == WORDS).select("bucket", "second", "n", "docs", "ids", "words")
     bucket = F.pmod(F.shiftrightunsigned("word", 1), F.lit(buckets)).cast("long").alias("bucket")  # as in _asks
     known = table.table.where(F.col("n") * HOT_SHARE < total).select(bucket, "word", "n")
     looked = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_look_up, SUMS)
