@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, lm_score, mixing, neighbours, ngram_join, pii, quality, sharding, token_counts
+from ledgerlens.llm import decontaminate, line_dedup, lm_score, mixing, neighbours, ngram_join, pii, quality, sharding, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score(_table(spark, folder, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup(_table(spark, folder, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -74,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_feistel_shards": op5_feistel_shards,
         "op6_surrogates": op6_surrogates,
         "op7_lm_score": op7_lm_score,
+        "op8_line_dedup": op8_line_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_quality_classifier": op10_quality_classifier,
     }
