@@ -17,6 +17,8 @@ WHITESPACE = (
 # A cast also takes "1d" or "2f" for numbers; the audit counts those as text.
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 MISSING_STATUS = "Nan"
+# Decimals that hold any double below EXACT_BELOW to sixteen places, and the sum of 10^11 of them.
+EXACT, EXACT_BELOW = "decimal(38,16)", 1e11
 
 
 def strip(column: Column) -> Column:
@@ -54,30 +56,40 @@ def normalise_status(column: Column) -> Column:
 
 
 def net_fee(fee: Column, discount_pct: Column) -> Column:
-    """Monthly fee after discount, as a decimal so that sums do not depend on the order of rows."""
-    return (fee * (1 - F.coalesce(discount_pct, F.lit(0.0)) / 100.0)).cast("decimal(28,6)")
+    """Monthly fee after discount."""
+    return fee * (1 - F.coalesce(discount_pct, F.lit(0.0)) / 100.0)
 
 
-def money(column: Column) -> Column:
-    return column.cast("decimal(28,4)")
+def _exact_parts(column: Column) -> tuple[Column, Column]:
+    """A double as a decimal, and what the decimal leaves out: huge values, and digits beyond the sixteenth."""
+    fits = F.abs(column) < EXACT_BELOW
+    exact = F.when(fits, column).try_cast(EXACT)
+    return exact, F.when(fits, column - exact.cast("double")).otherwise(column)
 
 
 def exact_sum(column: Column) -> Column:
-    """Sum of a decimal column as a double: summed exactly, converted once."""
-    return F.sum(column).cast("double")
+    """Aggregate: the sum of a double column as a double, null over no values.
+
+    Values below ``EXACT_BELOW`` are summed as decimals, so that the result does not depend on the
+    order of rows, and what does not fit a decimal as doubles: no finite value stops a query.
+    """
+    exact, rest = _exact_parts(column)
+    summed = F.coalesce(F.try_sum(exact).cast("double"), F.sum(F.when(exact.isNotNull(), column)), F.lit(0.0))
+    return F.when(F.count(column) > 0, summed + F.coalesce(F.sum(rest), F.lit(0.0)))
 
 
 def exact_mean(column: Column) -> Column:
-    """Mean of a decimal column as a double; null over no values."""
+    """Aggregate: the mean of a double column, from its exact sum; null over no values."""
     return F.try_divide(exact_sum(column), F.count(column))
 
 
-def mean_of_six_decimals(column: Column) -> Column:
-    """Mean in millionths. Equal means of different counts come out as the very same double,
+def rankable_mean(column: Column) -> Column:
+    """Aggregate: a mean that is the very same double for equal means of different counts, as ranks
 
-    which a rank with ties relies on."""
-    values = column.cast("decimal(28,6)")
-    return F.try_divide((F.sum(values) * 1_000_000).cast("double"), F.count(values))
+    with ties need: the exact sum is divided as a decimal. With huge values it is ``exact_mean``."""
+    exact, rest = _exact_parts(column)
+    quotient = F.try_divide(F.try_sum(exact), F.count(column).cast("decimal(20,0)")).cast("double")
+    return F.when(F.max(F.abs(rest)) == 0, F.coalesce(quotient, exact_mean(column))).otherwise(exact_mean(column))
 
 
 def share(condition: Column) -> Column:
@@ -97,7 +109,9 @@ def round_half_even(column: Column, digits: int = 2) -> Column:
 
 def round_half_up(column: Column, digits: int) -> Column:
     """Round half away from zero by decimal digits, as a double: 0.285 becomes 0.29."""
-    return F.round(column.cast("decimal(38,9)"), digits).cast("double")
+    value = column.cast("double")
+    # From 10^15 on a double has no decimals worth rounding.
+    return F.when(F.abs(value) < 1e15, F.round(value.try_cast("decimal(38,9)"), digits).cast("double")).otherwise(value)
 
 
 def round_money(column: Column) -> Column:

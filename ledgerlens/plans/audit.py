@@ -87,7 +87,7 @@ class RevenueAudit:
 
     @property
     def clean(self) -> dict[str, DataFrame]:
-        self.clean_subscriptions  # noqa: B018 - the other three need it
+        self.written_subscriptions  # noqa: B018 - the other three need it
         found = together(*[lambda n=name: getattr(self, f"clean_{n}") for name in TABLES])
         return dict(zip(TABLES, found))
 
@@ -120,7 +120,8 @@ class RevenueAudit:
 
     @cached_property
     def executive_summary(self) -> DataFrame:
-        return executive.executive_summary(
+        """Written once: five data sets and the saved table read it."""
+        table = executive.executive_summary(
             self.customer_summary,
             self.raw["subscriptions"],
             self.clean_subscriptions,
@@ -128,6 +129,7 @@ class RevenueAudit:
             self.clean_support_cases,
             self.corrections,
         )
+        return materialize(table, "executive_summary")
 
     # Reports
 
@@ -183,7 +185,8 @@ class RevenueAudit:
         return rule_counts(getattr(self, f"clean_{name}"))
 
     def register_views(self) -> None:
-        register_views(self.raw, self.clean, self.customer_summary)
+        summary = self.customer_summary  # writes the classified subscriptions
+        register_views(self.raw, self.clean, summary)
 
     def save_executive_table(self, name: str = "executive_customer_risk_summary") -> None:
         save_table(self.executive_summary, name)

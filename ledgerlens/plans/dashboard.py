@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, money, net_fee, parse_number, round_half_up, round_money, share
+from ledgerlens.functions.columns import exact_mean, exact_sum, net_fee, parse_number, round_half_up, round_money, share
 from ledgerlens.operators.rules import INVALID, trusted
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.health import HIGH_RISK
@@ -22,11 +22,11 @@ from ledgerlens.plans.reports import (
 
 
 def _sum_cents(column: Column) -> Column:
-    return round_money(F.sum(column.cast("decimal(28,6)")))
+    return round_money(exact_sum(column))
 
 
 def _mean_score(column: Column) -> Column:
-    return round_half_up(exact_mean(column.cast("decimal(28,6)")), 2)
+    return round_half_up(exact_mean(column), 2)
 
 
 def _revenue_at_risk() -> Column:
@@ -59,10 +59,10 @@ def kpis(
     """One row with the headline figures."""
     fee = net_fee(F.col("monthly_fee"), F.col("discount_pct"))
     reported = raw_subscriptions.where(reported_active(corrections)).agg(
-        F.sum(money(parse_number(raw_subscriptions, "monthly_fee"))).alias("reported")
+        exact_sum(parse_number(raw_subscriptions, "monthly_fee")).alias("reported")
     )
     subs = trusted(subscriptions).agg(
-        F.sum(F.when(is_active(), fee)).alias("trusted"),
+        exact_sum(F.when(is_active(), fee)).alias("trusted"),
         round_half_up(F.try_divide(F.count_if(is_active()), F.count(F.lit(1))) * 100, 2).alias("renewal_rate_pct"),
     )
     customers = summary.agg(
@@ -99,7 +99,7 @@ def region_plan_matrix(
         .rollup("region", "plan_name")
         .agg(
             F.grouping_id().cast("int").alias("level"),
-            F.coalesce(round_money(F.sum(fee)), F.lit(0.0)).alias("trusted_mrr"),
+            F.coalesce(round_money(exact_sum(fee)), F.lit(0.0)).alias("trusted_mrr"),
             round_half_up(share(is_active()) * 100, 2).alias("renewal_rate_pct"),
             round_half_up(share(is_cancelled(corrections)) * 100, 2).alias("cancellation_rate_pct"),
         )
@@ -133,13 +133,13 @@ def region_plan_matrix(
 
 def monthly_revenue(invoices: DataFrame) -> DataFrame:
     """Invoiced amounts by month of invoice: all of them, and those that are not INVALID."""
-    amount = money(F.col("invoice_amount"))
+    amount = F.col("invoice_amount")
     return (
         invoices.where(F.col("invoice_date").isNotNull())
         .groupBy(F.date_trunc("month", "invoice_date").cast("date").alias("month"))
         .agg(
-            F.coalesce(round_money(F.sum(amount)), F.lit(0.0)).alias("reported_revenue"),
-            F.coalesce(round_money(F.sum(F.when(F.col("record_status") != INVALID, amount))), F.lit(0.0)).alias(
+            F.coalesce(round_money(exact_sum(amount)), F.lit(0.0)).alias("reported_revenue"),
+            F.coalesce(round_money(exact_sum(F.when(F.col("record_status") != INVALID, amount))), F.lit(0.0)).alias(
                 "trusted_revenue"
             ),
         )

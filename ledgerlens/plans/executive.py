@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, money, round_half_up, round_money
-from ledgerlens.operators.joins import sized_join, spread_join
+from ledgerlens.functions.columns import exact_mean, exact_sum, round_half_up, round_money
+from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.rules import trusted
 from ledgerlens.operators.shared import measure_size
 from ledgerlens.plans.corrections import STANDARD, Corrections
@@ -21,11 +21,10 @@ def invoice_totals(
 
     Summed per subscription before the join; repeats of the id multiply the sum instead of the rows.
     """
-    sums = trusted(invoices).groupBy("subscription_id").agg(F.sum(money(F.col("invoice_amount"))).alias("amount"))
-    links = spread_join(
-        subscription_links(subscriptions, corrections), sums, ["subscription_id"], ["customer_id"], "inner"
-    )
-    total = F.sum(F.col("amount") * F.col("copies").cast("decimal(12,0)"))
+    sums = trusted(invoices).groupBy("subscription_id").agg(exact_sum(F.col("invoice_amount")).alias("amount"))
+    sums = measure_size(sums, "invoice_sums")
+    links = sized_join(subscription_links(subscriptions, corrections), sums, ["subscription_id"], ["customer_id"], "inner")
+    total = exact_sum(F.col("amount") * F.col("copies"))
     return links.groupBy("customer_id").agg(total.alias("total_invoice_value"))
 
 
@@ -64,7 +63,7 @@ def executive_summary(
     place = ["customer_id"] if corrections.reported_per_customer else ["region", "plan_name"]
     reported = reported_fees(raw_subscriptions, *place, corrections=corrections).na.drop(subset=place)
     reported = measure_size(reported, "reported_fees")
-    mean_mrr = summary.select(exact_mean(F.col("MRR").cast("decimal(28,6)"))).scalar()
+    mean_mrr = summary.select(exact_mean(F.col("MRR"))).scalar()
     mrr = round_money(F.col("MRR"))
     wide = (
         sized_join(summary, reported, place, ["customer_id"])

@@ -17,9 +17,8 @@ from ledgerlens.functions.columns import (
     clip,
     exact_mean,
     exact_sum,
-    mean_of_six_decimals,
-    money,
     net_fee,
+    rankable_mean,
     round_half_even,
     share,
 )
@@ -109,12 +108,12 @@ def _invoices_per_customer(
     Summed per subscription first: what is joined has one row per subscription on either side.
     """
     paid = F.col("payment_status_norm") == "Paid"
-    amount = F.when(paid, money(F.col("invoice_amount")))
+    amount = F.when(paid, F.col("invoice_amount"))
     per_subscription = (
         trusted(invoices)
         .groupBy("subscription_id")
         .agg(
-            F.sum(amount).alias("paid_sum"),
+            exact_sum(amount).alias("paid_sum"),
             F.count(amount).alias("paid_count"),
             F.count_if(_has_status("payment_status_norm", corrections)).alias("invoices"),
             F.count_if(F.col("payment_status_norm") == "Failed").alias("failed"),
@@ -124,7 +123,10 @@ def _invoices_per_customer(
     return (
         per_subscription.join(owners, "subscription_id")
         .groupBy("customer_id")
-        .agg(*[F.sum(c).alias(c) for c in ("paid_sum", "paid_count", "invoices", "failed")])
+        .agg(
+            exact_sum(F.col("paid_sum")).alias("paid_sum"),
+            *[F.sum(c).alias(c) for c in ("paid_count", "invoices", "failed")],
+        )
     )
 
 
@@ -133,7 +135,7 @@ def payments(invoices: DataFrame, subscriptions: DataFrame, corrections: Correct
     sums = _invoices_per_customer(invoices, subscriptions, corrections)
     return sums.select(
         "customer_id",
-        F.try_divide(F.col("paid_sum").cast("double"), "paid_count").alias("effective_monthly_revenue"),
+        F.try_divide("paid_sum", "paid_count").alias("effective_monthly_revenue"),
         F.try_divide("failed", "invoices").alias("payment_failure_rate"),
     )
 
@@ -152,7 +154,7 @@ def usage_intensity(usage: DataFrame) -> DataFrame:
     means = (
         trusted(usage)
         .groupBy("customer_id")
-        .agg(*[mean_of_six_decimals(F.col(c)).alias(c) for c in USAGE_COLUMNS])
+        .agg(*[rankable_mean(F.col(c).cast("double")).alias(c) for c in USAGE_COLUMNS])
     )
     ranks = percent_ranks(materialize(means, "usage_means"), "customer_id", USAGE_COLUMNS)
     known = sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in USAGE_COLUMNS), F.lit(0))
@@ -172,7 +174,7 @@ def support(cases: DataFrame, corrections: Corrections = STANDARD) -> DataFrame:
                 F.count_if(F.col("case_status_norm") == "Escalated"),
                 F.count_if(_has_status("case_status_norm", corrections)),
             ).alias("support_escalation_rate"),
-            exact_mean(F.col("csat_score").cast("decimal(28,6)")).alias("average_csat"),
+            exact_mean(F.col("csat_score")).alias("average_csat"),
         )
     )
 
@@ -211,7 +213,7 @@ def customer_metrics(
     if corrections.activity_flags:
         flags.append(F.col("usage_intensity_score").isNotNull().alias("has_usage"))
         flags.append(F.col("payment_failure_rate").isNotNull().alias("has_invoices"))
-    mean_csat = found.select(exact_mean(F.col("average_csat").cast("decimal(18,12)"))).scalar()
+    mean_csat = found.select(exact_mean(F.col("average_csat"))).scalar()
 
     def or_zero(name: str):
         return F.coalesce(F.col(name), F.lit(0.0)).alias(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, money, net_fee, normalise_status, parse_number, round_half_up, round_money, share
+from ledgerlens.functions.columns import exact_mean, exact_sum, net_fee, normalise_status, parse_number, round_half_up, round_money, share
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.ranking import positions, tile
 from ledgerlens.operators.rules import INVALID, trusted
@@ -15,6 +15,8 @@ from ledgerlens.plans.health import HIGH_RISK
 from ledgerlens.sources.tables import load_order
 
 TOP = 20
+# Two means of percentages are equal if they agree to so many decimals; doubles of this size have more.
+COMPARED_DIGITS = 10
 PAYMENT_DATE_MISSING = "Paid invoice missing valid payment_date"
 PAYMENT_DATE_EARLY = "Payment date earlier than invoice date"
 
@@ -45,15 +47,15 @@ def reported_active(corrections: Corrections = STANDARD) -> Column:
 def reported_fees(raw_subscriptions: DataFrame, *keys: str, corrections: Corrections = STANDARD) -> DataFrame:
     """Fees as reported, nothing excluded."""
     active = raw_subscriptions.where(reported_active(corrections))
-    fee = money(parse_number(raw_subscriptions, "monthly_fee"))
-    return active.groupBy(*keys).agg(F.sum(fee).alias("reported"))
+    fee = parse_number(raw_subscriptions, "monthly_fee")
+    return active.groupBy(*keys).agg(exact_sum(fee).alias("reported"))
 
 
 def trusted_fees(subscriptions: DataFrame, *keys: str) -> DataFrame:
     """Net fees of the active subscriptions that are not INVALID."""
     active = trusted(subscriptions).where(is_active())
     fee = net_fee(F.col("monthly_fee"), F.col("discount_pct"))
-    return active.groupBy(*keys).agg(F.sum(fee).alias("trusted"))
+    return active.groupBy(*keys).agg(exact_sum(fee).alias("trusted"))
 
 
 def overstatement_pct(reported: Column, trusted_: Column) -> Column:
@@ -84,7 +86,7 @@ def trusted_vs_reported(
             F.coalesce(round_money(F.col("trusted")), F.lit(0.0)).alias("trusted_mrr"),
             overstatement_pct(F.col("reported"), F.col("trusted")).alias("revenue_overstatement_pct"),
         )
-        .orderBy(F.desc("revenue_overstatement_pct"))
+        .orderBy(F.desc("revenue_overstatement_pct"), F.asc_nulls_first("region"), F.asc_nulls_first("plan_name"))
     )
 
 
@@ -142,31 +144,35 @@ def discount_vs_retention(
     subscriptions: DataFrame, summary: DataFrame, corrections: Corrections = STANDARD
 ) -> DataFrame:
     """Plans with a discount above and a renewal rate below the mean over the plans."""
-    fee = F.when(is_active(), net_fee(F.col("monthly_fee"), F.col("discount_pct"))).otherwise(F.lit(0))
+    fee = F.when(is_active(), net_fee(F.col("monthly_fee"), F.col("discount_pct"))).otherwise(F.lit(0.0))
     plans = (
         trusted(subscriptions)
         .where(F.col("plan_name").isNotNull())
         .groupBy("plan_name")
         .agg(
-            exact_mean(F.col("discount_pct").cast("decimal(28,6)")).alias("discount"),
+            exact_mean(F.col("discount_pct")).alias("discount"),
             share(is_active()).alias("renewal"),
             share(is_cancelled(corrections)).alias("cancellation"),
-            F.sum(fee).alias("fees"),
-            F.count(F.lit(1)).cast("decimal(18,0)").alias("rows"),
+            exact_sum(fee).alias("fees"),
+            F.count(F.lit(1)).alias("rows"),
         )
     )
     plans = materialize(plans, "plan_stats")
-    score = F.col("customer_health_score").cast("decimal(28,6)")
+    score = F.col("customer_health_score")
     health = summary.where(F.col("plan_name").isNotNull()).groupBy("plan_name").agg(exact_mean(score).alias("health"))
 
-    def company(column: str) -> Column:
-        value = F.col(column).cast("decimal(18,12)")
+    def beyond(column: str) -> Column:
+        """How far a plan's figure lies above the company's, with no more digits than both have:
+
+        a plan that equals the mean is neither above nor below it."""
         if corrections.weigh_plans:
-            return plans.select(F.sum(value * F.col("rows")).cast("double") / F.sum("rows").cast("double")).scalar()
-        return plans.select(exact_mean(value)).scalar()
+            company = plans.select(exact_sum(F.col(column) * F.col("rows")) / F.sum("rows")).scalar()
+        else:
+            company = plans.select(exact_mean(F.col(column))).scalar()
+        return F.round(F.col(column) - company, COMPARED_DIGITS)
 
     return (
-        plans.where((F.col("discount") > company("discount")) & (F.col("renewal") < company("renewal")))
+        plans.where((beyond("discount") > 0) & (beyond("renewal") < 0))
         .join(health, "plan_name")
         .orderBy(F.desc("discount"))
         .select(
@@ -189,7 +195,7 @@ def revenue_at_risk(summary: DataFrame, key: str) -> DataFrame:
         .groupBy(key)
         .agg(
             F.count(F.lit(1)).alias("at_risk_customers"),
-            round_money(F.sum(F.col("MRR").cast("decimal(28,6)"))).alias("revenue_at_risk"),
+            round_money(exact_sum(F.col("MRR"))).alias("revenue_at_risk"),
         )
         .orderBy(F.desc("revenue_at_risk"), F.asc_nulls_first(key))
     )
@@ -204,8 +210,9 @@ def _text(value: Column) -> Column:
 
 
 def _whole_text(value: Column) -> Column:
-    """A rounded figure of any size as text, never in exponent form."""
-    return F.concat(F.round(value.cast("decimal(38,9)"), 0).cast("decimal(28,0)").cast("string"), F.lit(".0"))
+    """A rounded figure as text, in exponent form only from 10^28 on."""
+    whole = F.round(value.try_cast("decimal(38,9)"), 0).cast("decimal(29,0)").cast("string")
+    return F.coalesce(F.concat(whole, F.lit(".0")), value.cast("string"))
 
 
 def _branches(summary: DataFrame) -> dict[str, tuple[Column, str, Column, Column]]:
@@ -213,9 +220,8 @@ def _branches(summary: DataFrame) -> dict[str, tuple[Column, str, Column, Column
     usage, revenue = F.col("usage_intensity_score"), F.col("effective_monthly_revenue")
     failed, escalated = F.col("payment_failure_rate"), F.col("support_escalation_rate")
     csat, health = F.col("average_csat"), F.col("customer_health_score")
-    # Exact means: the figures have at most six decimals, and summing decimals needs no order.
-    mean_usage = summary.select(exact_mean(usage.cast("decimal(28,6)"))).scalar()
-    mean_revenue = summary.select(exact_mean(revenue.cast("decimal(28,6)"))).scalar()
+    mean_usage = summary.select(exact_mean(usage)).scalar()
+    mean_revenue = summary.select(exact_mean(revenue)).scalar()
     return {
         "failed_payments": (
             is_active() & (failed > 0.5),

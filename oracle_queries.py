@@ -126,9 +126,36 @@ def rank(column: str, source: str) -> str:
     )
 
 
-NET = "cast(monthly_fee * (1 - discount_pct / 100.0) as decimal(18,6))"
+def total(value: str, condition: str | None = None) -> str:
+    """The sum as a double: of the decimal digits that a value prints as, and apart of values too large for that."""
+    value = f"case when {condition} then {value} end" if condition else value
+    digits = f"cast(cast(case when abs({value}) < 1e11 then {value} end as varchar) as decimal(38,16))"
+    large = f"sum(case when abs({value}) >= 1e11 then {value} end)"
+    return f"(coalesce(cast(cast(sum({digits}) as varchar) as double), 0.0) + coalesce({large}, 0.0))"
+
+
+def mean(value: str) -> str:
+    return f"{total(value)} / nullif(count({value}), 0)"
+
+
+def rounded(value: str, digits: int = 2) -> str:
+    """Half up on the digits that a double prints as; values beyond 10^15 have none to round."""
+    small = f"case when abs({value}) < 1e15 then {value} end"
+    text = f"cast(round(cast(cast({small} as varchar) as decimal(38,9)), {digits}) as double)"
+    return f"coalesce({text}, {value})"
+
+
+NET = "(monthly_fee * (1 - discount_pct / 100.0))"
+ACTIVE = "subscription_status_norm = 'Active'"
 AT_RISK = "subscription_status_norm = 'Active' and risk_category = 'High Risk' and MRR > 0"
 
+# The same two sums by region and plan, by region, and over all.
+SIDES = (
+    ("", "region, plan_name, ", "group by region, plan_name"),
+    ("_by_region", "region, ", "group by region"),
+    ("_in_all", "", ""),
+)
+
 CTES: dict[str, str] = {name: plain_sql(name) for name in TEXTS}
 CTES["typed_subscriptions"] = typed("subscriptions")
 CTES["clean_subscriptions"] = classified("subscriptions")
@@ -140,10 +167,9 @@ CTES |= {
     "inv_ok": "select * from clean_invoices where record_status <> 'INVALID'",
     "usage_ok": "select * from clean_product_usage where record_status <> 'INVALID'",
     "cases_ok": "select * from clean_support_cases where record_status <> 'INVALID' and customer_id is not null",
-    "mrr": f"""select customer_id, coalesce(cast(sum({NET}) as double), 0.0) as MRR
+    "mrr": f"""select customer_id, {total(NET)} as MRR
         from subs_ok where subscription_status_norm = 'Active' group by customer_id""",
-    "revenue": """select customer_id, cast(sum(cast(invoice_amount as decimal(18,4))) as double) / count(invoice_amount)
-            as effective_monthly_revenue
+    "revenue": f"""select customer_id, {mean('invoice_amount')} as effective_monthly_revenue
         from inv_ok join (select subscription_id, customer_id from subs_ok) using (subscription_id)
         where payment_status_norm = 'Paid' and invoice_amount is not null group by customer_id""",
     "failure": """select customer_id,
@@ -151,7 +177,7 @@ CTES |= {
         from inv_ok join (select subscription_id, customer_id from subs_ok) using (subscription_id) group by customer_id""",
     "usage_means": "select customer_id, "
     + ", ".join(
-        f"cast(sum(cast({c} as decimal(18,6))) * 1000000 as double) / count({c}) as {c}" for c in USAGE
+        f"round({mean(c)}, 9) as {c}" for c in USAGE
     )
     + " from usage_ok group by customer_id",
     **{f"rank_{c}": rank(c, "usage_means") for c in USAGE},
@@ -165,9 +191,9 @@ CTES |= {
     )
     + " as usage_intensity_score from usage_means "
     + " ".join(f"left join rank_{c} using (customer_id)" for c in USAGE),
-    "support": """select customer_id,
+    "support": f"""select customer_id,
             cast(count(*) filter (where case_status_norm = 'Escalated') as double) / count(*) as support_escalation_rate,
-            cast(sum(cast(csat_score as decimal(18,6))) as double) / nullif(count(csat_score), 0) as average_csat
+            {mean('csat_score')} as average_csat
         from cases_ok group by customer_id""",
     "renewal": "select customer_id, least(100.0, greatest(0.0, "
     + half_even("ended * 60 + manual * 25 + case when days <= 30 then 15 else 0 end")
@@ -181,13 +207,12 @@ CTES |= {
             select *, row_number() over (partition by customer_id
                 order by signup_date desc nulls first, source_seq desc) as place from subs_ok)
         where place = 1""",
-    "filled": """select customer_id, coalesce(MRR, 0.0) as MRR,
+    "filled": f"""select customer_id, coalesce(MRR, 0.0) as MRR,
             coalesce(effective_monthly_revenue, 0.0) as effective_monthly_revenue,
             coalesce(payment_failure_rate, 0.0) as payment_failure_rate,
             coalesce(usage_intensity_score, 0.0) as usage_intensity_score,
             coalesce(support_escalation_rate, 0.0) as support_escalation_rate,
-            coalesce(average_csat, (select cast(sum(cast(average_csat as decimal(18,12))) as double) / count(average_csat)
-                from support)) as average_csat,
+            coalesce(average_csat, (select {mean('average_csat')} from support)) as average_csat,
             coalesce(renewal_risk_score, 50.0) as renewal_risk_score,
             region, plan_name, sales_channel, subscription_status_norm
         from latest left join renewal using (customer_id) left join mrr using (customer_id)
@@ -204,29 +229,33 @@ CTES |= {
     "customer_summary": """select *, case when customer_health_score <= 40 then 'High Risk'
             when customer_health_score <= 70 then 'Watchlist' when customer_health_score <= 100 then 'Healthy' end
             as risk_category from scored""",
-    "reported": """select region, plan_name, sum(cast(monthly_fee as decimal(18,4))) as reported
-        from subscriptions where subscription_status = 'Active' group by region, plan_name""",
-    "trusted": f"""select region, plan_name, sum({NET}) as trusted
-        from subs_ok where subscription_status_norm = 'Active' group by region, plan_name""",
+    **{
+        f"reported{name}": f"select {keys}{total('monthly_fee')} as reported from (select * replace (cast(monthly_fee as double)"
+        f" as monthly_fee) from subscriptions) where subscription_status = 'Active' {grouping}"
+        for name, keys, grouping in SIDES
+    },
+    **{
+        f"trusted{name}": f"select {keys}{total(NET)} as trusted from subs_ok where subscription_status_norm = 'Active' {grouping}"
+        for name, keys, grouping in SIDES
+    },
     "escalations": """select customer_id, count(*) as escalation_count
         from cases_ok where case_status_norm = 'Escalated' group by customer_id""",
     "counted": """select s.*, coalesce(e.escalation_count, 0) as escalation_count,
             ntile(5) over (order by effective_monthly_revenue, customer_id) as revenue_tile,
             ntile(10) over (order by usage_intensity_score, customer_id) as usage_tile
         from customer_summary s left join escalations e using (customer_id)""",
-    "plans": f"""select plan_name, cast(sum(cast(discount_pct as decimal(18,6))) as double) / count(*) as discount,
+    "plans": f"""select plan_name, {mean('discount_pct')} as discount,
             cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) as renewal,
             cast(count(*) filter (where subscription_status_norm = 'Cancelled') as double) / count(*) as cancellation,
-            sum({NET}) filter (where subscription_status_norm = 'Active') as fees
+            {total(NET, "subscription_status_norm = 'Active'")} as fees
         from subs_ok where plan_name is not null group by plan_name""",
-    "plan_health": """select plan_name, cast(sum(cast(customer_health_score as decimal(18,6))) as double) / count(*) as health
+    "plan_health": f"""select plan_name, {mean('customer_health_score')} as health
         from customer_summary where plan_name is not null group by plan_name""",
-    "means": """select cast(sum(cast(usage_intensity_score as decimal(18,6))) as double) / count(*) as usage,
-            cast(sum(cast(effective_monthly_revenue as decimal(18,6))) as double) / count(*) as revenue,
-            cast(sum(cast(MRR as decimal(18,6))) as double) / count(*) as mrr
+    "means": f"""select {mean('usage_intensity_score')} as usage,
+            {mean('effective_monthly_revenue')} as revenue, {mean('MRR')} as mrr
         from customer_summary""",
-    "q5a": """select customer_id, 'Active subscription with repeated failed payments' as contradiction_type,
-            'Payment failure rate ' || cast(round(cast(payment_failure_rate * 100 as decimal(28,9)), 1) as double) || '% while subscription is Active' as description,
+    "q5a": f"""select customer_id, 'Active subscription with repeated failed payments' as contradiction_type,
+            'Payment failure rate ' || {rounded('payment_failure_rate * 100', 1)} || '% while subscription is Active' as description,
             MRR as financial_impact
         from customer_summary where subscription_status_norm = 'Active' and payment_failure_rate > 0.5""",
     "q5b": """select customer_id, 'High product usage but cancelled' as contradiction_type,
@@ -237,8 +266,8 @@ CTES |= {
             'Usage intensity only ' || usage_intensity_score || ' on an Enterprise contract' as description,
             effective_monthly_revenue as financial_impact
         from customer_summary where plan_name = 'Enterprise' and usage_intensity_score < 25""",
-    "q5d": """select customer_id, 'High CSAT despite repeated escalations' as contradiction_type,
-            'Average CSAT ' || cast(round(cast(average_csat as decimal(28,9)), 1) as double) || ' but escalation rate ' || cast(round(cast(support_escalation_rate * 100 as decimal(28,9)), 1) as double) || '%'
+    "q5d": f"""select customer_id, 'High CSAT despite repeated escalations' as contradiction_type,
+            'Average CSAT ' || {rounded('average_csat', 1)} || ' but escalation rate ' || {rounded('support_escalation_rate * 100', 1)} || '%'
             as description, effective_monthly_revenue as financial_impact
         from customer_summary where average_csat >= 4 and support_escalation_rate > 0.3""",
     "q5e": """select s.customer_id, 'Paid invoice with invalid payment timeline' as contradiction_type,
@@ -250,18 +279,18 @@ CTES |= {
             || customer_health_score as description, effective_monthly_revenue as financial_impact
         from customer_summary
         where customer_health_score < 30 and effective_monthly_revenue > (select revenue from means) * 1.5""",
-    "invoice_totals": """select s.customer_id, sum(cast(i.invoice_amount as decimal(18,4))) as total
+    "invoice_totals": f"""select s.customer_id, count(i.invoice_amount) as amounts, {total('i.invoice_amount')} as total
         from inv_ok i join clean_subscriptions s on s.subscription_id = i.subscription_id group by s.customer_id""",
     "case_totals": """select customer_id, count(*) as support_case_count,
             count(*) filter (where case_status_norm = 'Escalated') as escalation_count
         from cases_ok group by customer_id""",
     "executive": f"""select cs.customer_id, cs.region, cs.plan_name, cs.sales_channel,
-            cast(round(rs.reported, 2) as double) as reported_mrr, cast(round(cast(cs.MRR as decimal(18,6)), 2) as double) as trusted_mrr,
-            coalesce(cast(round(ia.total, 2) as double), 0.0) as total_invoice_value,
-            cast(round(cast(cs.payment_failure_rate as decimal(28,9)), 4) as double) as payment_failure_rate, cs.usage_intensity_score,
+            {rounded('rs.reported')} as reported_mrr, {rounded('cs.MRR')} as trusted_mrr,
+            coalesce({rounded('ia.total')}, 0.0) as total_invoice_value,
+            {rounded('cs.payment_failure_rate', 4)} as payment_failure_rate, cs.usage_intensity_score,
             coalesce(ca.support_case_count, 0) as support_case_count, coalesce(ca.escalation_count, 0) as escalation_count,
-            cast(round(cast(cs.average_csat as decimal(28,9)), 2) as double) as average_csat, cs.customer_health_score, cs.risk_category,
-            case when {AT_RISK} then cast(round(cast(cs.MRR as decimal(18,6)), 2) as double) else 0.0 end as revenue_at_risk,
+            {rounded('cs.average_csat', 2)} as average_csat, cs.customer_health_score, cs.risk_category,
+            case when {AT_RISK} then {rounded('cs.MRR')} else 0.0 end as revenue_at_risk,
             case when {AT_RISK} then 'Immediate Action'
                 when risk_category = 'High Risk' then 'Investigate'
                 when risk_category = 'Watchlist' and MRR > (select mrr from means) then 'Monitor Closely'
@@ -271,15 +300,15 @@ CTES |= {
             left join case_totals ca on ca.customer_id = cs.customer_id""",
 }
 
-OVERSTATED = """case when coalesce(reported, 0) = 0 then 0.0 else cast(round(cast((cast(reported as double)
-    - coalesce(cast(trusted as double), 0.0)) / cast(reported as double) * 100 as decimal(28,9)), 2) as double) end as revenue_overstatement_pct"""
-MONEY_PAIR = """coalesce(cast(round(reported, 2) as double), 0.0) as reported_mrr,
-    coalesce(cast(round(trusted, 2) as double), 0.0) as trusted_mrr"""
+OVERSTATED = f"""case when coalesce(reported, 0) = 0 then 0.0
+    else {rounded('((reported - coalesce(trusted, 0.0)) / reported * 100)')} end as revenue_overstatement_pct"""
+MONEY_PAIR = f"""coalesce({rounded('reported')}, 0.0) as reported_mrr,
+    coalesce({rounded('trusted')}, 0.0) as trusted_mrr"""
 
 
 def _at_risk_by(key: str) -> str:
     return (
-        f"select {key}, count(*) as at_risk_customers, cast(round(sum(cast(MRR as decimal(18,6))), 2) as double)"
+        f"select {key}, count(*) as at_risk_customers, {rounded(total('MRR'))}"
         f" as revenue_at_risk from customer_summary where {AT_RISK} group by {key}"
     )
 
@@ -299,7 +328,7 @@ def _clean(name: str) -> str:
 
 
 RISK_SUM = (
-    f"coalesce(cast(round(sum(cast(case when {AT_RISK} then MRR end as decimal(18,6))), 2) as double), 0.0) as revenue_at_risk"
+    f"{rounded(total('MRR', AT_RISK))} as revenue_at_risk"
 )
 
 QUERIES: dict[str, str] = {
@@ -327,14 +356,14 @@ QUERIES: dict[str, str] = {
     "q1_trusted_vs_reported": f"""select coalesce(r.region, t.region) as region, coalesce(r.plan_name, t.plan_name) as plan_name,
         {MONEY_PAIR}, {OVERSTATED}
         from reported r full join trusted t on r.region = t.region and r.plan_name = t.plan_name""",
-    "q2_high_rev_low_usage": """select customer_id, cast(round(cast(effective_monthly_revenue as decimal(28,9)), 2) as double) as revenue, plan_name,
-            usage_intensity_score as usage_score, escalation_count, cast(round(cast(average_csat as decimal(28,9)), 2) as double) as csat,
+    "q2_high_rev_low_usage": f"""select customer_id, {rounded('effective_monthly_revenue', 2)} as revenue, plan_name,
+            usage_intensity_score as usage_score, escalation_count, {rounded('average_csat', 2)} as csat,
             customer_health_score as health_score
         from counted where revenue_tile = 5 and usage_tile <= 3
             and escalation_count > (select avg(escalation_count) from counted)""",
-    "q3_discount_vs_retention": """select plan_name, cast(round(cast(discount as decimal(28,9)), 2) as double) as avg_discount_pct,
-            cast(round(cast(renewal * 100 as decimal(28,9)), 2) as double) as renewal_rate_pct, cast(round(cast(cancellation * 100 as decimal(28,9)), 2) as double) as cancellation_rate_pct,
-            cast(round(cast(health as decimal(28,9)), 2) as double) as avg_health_score, cast(round(coalesce(fees, 0), 2) as double) as trusted_mrr
+    "q3_discount_vs_retention": f"""select plan_name, {rounded('discount', 2)} as avg_discount_pct,
+            {rounded('renewal * 100', 2)} as renewal_rate_pct, {rounded('cancellation * 100', 2)} as cancellation_rate_pct,
+            {rounded('health', 2)} as avg_health_score, {rounded('fees')} as trusted_mrr
         from plans join plan_health using (plan_name)
         where discount > (select avg(discount) from plans) and renewal < (select avg(renewal) from plans)""",
     "q4a_region": _at_risk_by("region"),
@@ -349,47 +378,43 @@ QUERIES: dict[str, str] = {
     "q6_top20": "select * from executive order by revenue_at_risk desc, customer_id limit 20",
     "b1_region_rank": f"""select region, {MONEY_PAIR}, {OVERSTATED},
             rank() over (order by revenue_overstatement_pct desc) as overstatement_rank
-        from (select region, sum(reported) as reported from reported group by region) r
-        full join (select region as region_t, sum(trusted) as trusted from trusted group by region) t
-            on r.region is not distinct from t.region_t""",
+        from reported_by_region r full join (select region as region_t, trusted from trusted_by_region) t on r.region is not distinct from t.region_t""",
     "b2_kpis": f"""select {MONEY_PAIR}, {OVERSTATED}, revenue_at_risk, high_risk_customers_pct, renewal_rate_pct
-        from (select sum(reported) as reported from reported), (select sum(trusted) as trusted from trusted),
-            (select {RISK_SUM}, cast(round(cast(cast(count(*) filter (where risk_category = 'High Risk') as double) / count(*) * 100 as decimal(28,9)), 2) as double)
+        from reported_in_all, trusted_in_all,
+            (select {RISK_SUM}, {rounded("cast(count(*) filter (where risk_category = 'High Risk') as double) / count(*) * 100", 2)}
                 as high_risk_customers_pct from customer_summary),
-            (select cast(round(cast(cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) * 100 as decimal(28,9)), 2) as double)
+            (select {rounded("cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) * 100", 2)}
                 as renewal_rate_pct from subs_ok)""",
     "b3_points": """select customer_id, trusted_mrr, customer_health_score, support_case_count, risk_category
         from executive""",
     "b4_matrix": f"""select s.region, s.plan_name, s.level, trusted_mrr, renewal_rate_pct, cancellation_rate_pct,
             avg_health_score, coalesce(revenue_at_risk, 0.0) as revenue_at_risk
         from (select region, plan_name, cast(grouping(region, plan_name) as integer) as level,
-                coalesce(cast(round(sum({NET}) filter (where subscription_status_norm = 'Active'), 2) as double), 0.0) as trusted_mrr,
-                cast(round(cast(cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) * 100 as decimal(28,9)), 2) as double)
+                {rounded(total(NET, ACTIVE))} as trusted_mrr,
+                {rounded("cast(count(*) filter (where subscription_status_norm = 'Active') as double) / count(*) * 100", 2)}
                     as renewal_rate_pct,
-                cast(round(cast(cast(count(*) filter (where subscription_status_norm = 'Cancelled') as double) / count(*) * 100 as decimal(28,9)), 2) as double)
+                {rounded("cast(count(*) filter (where subscription_status_norm = 'Cancelled') as double) / count(*) * 100", 2)}
                     as cancellation_rate_pct
             from subs_ok group by rollup (region, plan_name)) s
         left join (select region, plan_name, cast(grouping(region, plan_name) as integer) as level,
-                cast(round(cast(cast(sum(cast(customer_health_score as decimal(18,6))) as double) / count(*) as decimal(28,9)), 2) as double) as avg_health_score,
+                {rounded('(' + mean('customer_health_score') + ')')} as avg_health_score,
                 {RISK_SUM}
             from customer_summary group by rollup (region, plan_name)) c
         on s.region is not distinct from c.region and s.plan_name is not distinct from c.plan_name and s.level = c.level""",
-    "b5_monthly_trend": """select cast(date_trunc('month', invoice_date) as date) as month,
-            coalesce(cast(round(sum(cast(invoice_amount as decimal(18,4))), 2) as double), 0.0) as reported_revenue,
-            coalesce(cast(round(sum(cast(invoice_amount as decimal(18,4))) filter (where record_status <> 'INVALID'), 2)
-                as double), 0.0) as trusted_revenue
+    "b5_monthly_trend": f"""select cast(date_trunc('month', invoice_date) as date) as month,
+            {rounded(total('invoice_amount'))} as reported_revenue,
+            {rounded(total('invoice_amount', "record_status <> 'INVALID'"))} as trusted_revenue
         from clean_invoices where invoice_date is not null group by 1""",
-    "b6_top20_intervention": """select e.customer_id, e.plan_name, cast(round(cast(s.effective_monthly_revenue as decimal(28,9)), 2) as double) as revenue,
+    "b6_top20_intervention": f"""select e.customer_id, e.plan_name, {rounded('s.effective_monthly_revenue', 2)} as revenue,
             e.usage_intensity_score as usage_score, e.escalation_count, e.average_csat as csat,
             e.customer_health_score as health_score, e.revenue_at_risk
         from executive e join customer_summary s using (customer_id)
         order by e.revenue_at_risk desc, e.customer_health_score nulls first, e.customer_id limit 20""",
-    "b7_drill": """select region, plan_name, customer_id, cast(grouping(region, plan_name, customer_id) as integer) as level,
-            count(*) as customers, cast(round(sum(cast(trusted_mrr as decimal(18,6))), 2) as double) as trusted_mrr,
-            cast(round(cast(cast(sum(cast(customer_health_score as decimal(18,6))) as double) / count(customer_health_score) as decimal(28,9)), 2) as double)
-                as avg_health_score,
+    "b7_drill": f"""select region, plan_name, customer_id, cast(grouping(region, plan_name, customer_id) as integer) as level,
+            count(*) as customers, {rounded(total('trusted_mrr'))} as trusted_mrr,
+            {rounded('(' + mean('customer_health_score') + ')')} as avg_health_score,
             cast(sum(escalation_count) as bigint) as escalation_count,
-            cast(round(sum(cast(revenue_at_risk as decimal(18,6))), 2) as double) as revenue_at_risk
+            {rounded(total('revenue_at_risk'))} as revenue_at_risk
         from executive group by rollup (region, plan_name, customer_id)""",
 }
 
