@@ -14,28 +14,29 @@ goes if any line before it is equal as a set or has a Jaccard similarity of at l
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
 from ledgerlens.llm.shipping import ship
 from ledgerlens.operators.joins import sized_join
-from ledgerlens.operators.shared import materialize, measure, measure_size
+from ledgerlens.operators.shared import Measured, materialize, measure, measure_size
 
 SHARE, PER = 4, 5
+_WORD = r"[^\x20\x09-\x0D]"
 # Sets of fewer words are similar only if they are equal.
 LEAST_WORDS = 4
 # The counters of words: a fixed size, whatever the vocabulary. They decide an order, not a result.
 COUNTERS, SLICES = 1 << 20, 64
-# More lines than this under one word are an open group: all pairs of fewer are looked at directly.
-GROUP = 64
-# Lines of an open group that one task holds; each is searched by the lines still without a match.
-PART = 4096
+# Of up to SMALL lines under one word all pairs are compared, of up to PART lines those of fitting
+# lengths. More lines, or more candidates than DENSE for each line, as among many near copies, make an
+# open group, which is cut into parts of PART lines; each is searched by the lines still without a match.
+SMALL, PART, DENSE = 64, 4096, 8
 # Results of so many tasks are added up by one task at a time.
 FAN_IN = 256
 
@@ -105,7 +106,7 @@ def _least_shared(a, b):
     return -(-SHARE * (a + b) // (PER + SHARE))
 
 
-_POSTING = [("word", np.uint32), ("digest", np.uint64), ("low", np.uint64), ("high", np.uint64), ("size", np.uint32), ("place", np.uint32)]
+_POSTING = [("word", np.uint32), ("digest", np.uint64), ("bits", np.uint64), ("size", np.uint32), ("place", np.uint16)]
 
 
 def _postings(rarity, buckets: int):
@@ -127,15 +128,13 @@ def _postings(rarity, buckets: int):
                 begin = np.cumsum(sizes) - sizes
                 words = lines.sets.values[np.repeat(lines.sets.offsets[picked] - begin, sizes) + np.arange(sizes.sum())]
                 line = np.repeat(np.arange(len(picked)), sizes)
-                bit = np.uint64(1) << (words & np.uint64(63))
-                upper = (words >> np.uint64(6)) & np.uint64(1) > 0
-                low = np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), begin)
-                high = np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), begin)
+                bits = np.bitwise_xor.reduceat(np.uint64(1) << (words & np.uint64(63)), begin)
                 order = np.lexsort((words, counts[_counter(words)], line))
                 place = np.arange(len(words)) - begin[line]
                 prefix = place < sizes[line] - -(-SHARE * sizes[line] // PER) + 1
-                words, line, place = words[order][prefix], line[prefix], place[prefix]
-                found.append((W.mix(words), digest[picked][line], low[line], high[line], sizes[line], place))
+                # A place that is too far back for its type is given as nearer, which only lets more pairs pass.
+                words, line, place = words[order][prefix], line[prefix], np.minimum(place[prefix], 0xFFFF)
+                found.append((W.mix(words), digest[picked][line], bits[line], sizes[line], place))
             if not found:
                 continue
             words, *rest = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -156,66 +155,108 @@ def _allowed(x: dict, y: dict) -> np.ndarray:
     """Whether lines that share a word can be similar, by lengths, positions and parities."""
     a, b = x["size"].astype(np.int64), y["size"].astype(np.int64)
     least = _least_shared(a, b)
-    rest = 1 + np.minimum(a - x["place"], b - y["place"]) - 1
-    apart = np.bitwise_count(x["low"] ^ y["low"]).astype(np.int64) + np.bitwise_count(x["high"] ^ y["high"])
+    rest = np.minimum(a - x["place"], b - y["place"])
+    apart = np.bitwise_count(x["bits"] ^ y["bits"])
     return (x["digest"] != y["digest"]) & (np.minimum(a, b) >= least) & (rest >= least) & (apart <= a + b - 2 * least)
 
 
+def _take(data: dict, at: np.ndarray) -> dict:
+    return {n: v[at] for n, v in data.items()}
+
+
+def _within(data: dict, left: np.ndarray, right: np.ndarray, same: bool, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Allowed pairs of two lists of lines, both by ascending size; of one list (``same``) each pair once.
+
+    None if there are more than ``most``. Blocks of the left list meet only the lengths they can be similar to.
+    """
+    sizes, bits = data["size"].astype(np.int64), data["bits"]
+    found, n = [], 0
+    total = int(sizes[right].max(initial=0)) + int(sizes[left].max(initial=0)) + 1
+    limit = np.arange(total) - 2 * _least_shared(np.arange(total), 0)
+    own = sizes[right]
+    for start in range(0, len(left), 256):
+        some = left[start : start + 256]
+        low, high = sizes[some[0]], sizes[some[-1]]
+        begin = int(np.searchsorted(own, -(-SHARE * low // PER)))
+        end = int(np.searchsorted(own, PER * high // SHARE, "right"))
+        begin = max(begin, start) if same else begin
+        other = right[begin:end]
+        if not len(other):
+            continue
+        near = np.bitwise_count(bits[some][:, None] ^ bits[other][None]) <= limit[sizes[some][:, None] + sizes[other][None]]
+        i, j = np.nonzero(near)
+        if same:
+            keep = j + begin > i + start
+            i, j = i[keep], j[keep]
+        i, j = some[i], other[j]
+        keep = _allowed(_take(data, i), _take(data, j))
+        found.append((i[keep], j[keep]))
+        n += int(keep.sum())
+        if n > most:
+            return None
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+
+
 def _meet(_: tuple, table: pa.Table) -> pa.Table:
     """Pairs of the groups of one bucket; of open groups the pairs with one line, and their postings."""
     data = {n: np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table.column(n)]) for n, k in _POSTING}
-    order = np.lexsort((data["digest"], data["word"]))
-    data = {n: v[order] for n, v in data.items()}
-    once = np.ones(len(order), bool)
+    data = _take(data, np.lexsort((data["digest"], data["word"])))
+    once = np.ones(len(data["word"]), bool)
     once[1:] = (data["word"][1:] != data["word"][:-1]) | (data["digest"][1:] != data["digest"][:-1])
-    data = {n: v[once] for n, v in data.items()}
+    data = _take(data, once)
+    data = _take(data, np.lexsort((data["size"], data["word"])))
     starts = np.flatnonzero(np.concatenate([[True], data["word"][1:] != data["word"][:-1]]))
     sizes = np.diff(np.append(starts, len(data["word"])))
     left, right = [], []
 
     def compare(i: np.ndarray, j: np.ndarray) -> None:
-        keep = _allowed({n: v[i] for n, v in data.items()}, {n: v[j] for n, v in data.items()})
-        left.append(data["digest"][i[keep]])
-        right.append(data["digest"][j[keep]])
+        keep = _allowed(_take(data, i), _take(data, j))
+        left.append(i[keep])
+        right.append(j[keep])
 
-    small = (sizes > 1) & (sizes <= GROUP)
+    small = (sizes > 1) & (sizes <= SMALL)
     for gap in range(1, int(sizes[small].max(initial=1))):
         # The pairs of neighbours at this distance, of all small groups at once.
         wide = small & (sizes > gap)
         n = sizes[wide] - gap
         i = np.repeat(starts[wide] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         compare(i, i + gap)
-    is_open = sizes > GROUP
+    is_open = sizes > PART
+    for g in np.flatnonzero((sizes > SMALL) & ~is_open).tolist():
+        own = np.arange(starts[g], starts[g] + sizes[g])
+        pairs = _within(data, own, own, True, DENSE * len(own))
+        if pairs is None:
+            is_open[g] = True
+        else:
+            left.append(pairs[0])
+            right.append(pairs[1])
     members = np.repeat(is_open, sizes)
     compare(np.repeat(starts, sizes)[members], np.flatnonzero(members))
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (left, right))
+    a, b = (data["digest"][np.concatenate(x).astype(np.int64)] for x in (left, right))
     key = int(table.column("bucket")[0].as_py()) << 32
-    none = len(a) * [None]
-    held = {n: pa.array(v[members].astype(np.int64) if k is np.uint32 else v[members].view(np.int64)) for (n, k), v in zip(_POSTING, data.values(), strict=True)}
-    pairs = {"a": pa.array(np.minimum(a, b).view(np.int64)), "b": pa.array(np.maximum(a, b).view(np.int64)), "group": pa.array(none, pa.int64())}
-    pairs |= {n: pa.array(none, pa.int64()) for n in ("digest", "low", "high", "size", "place")}
-    group = pa.array(data["word"][members].astype(np.int64) + key)
-    empty = pa.array([None] * len(group), pa.int64())
-    opened = {"a": empty, "b": empty, "group": group} | {n: held[n] for n in ("digest", "low", "high", "size", "place")}
+    columns = ("digest", "bits", "size", "place")
+    pairs = {"a": np.minimum(a, b).view(np.int64), "b": np.maximum(a, b).view(np.int64)}
+    pairs = {n: pa.array(v) for n, v in pairs.items()} | {n: pa.nulls(len(a), pa.int64()) for n in ("group", *columns)}
+    held = {n: data[n][members] for n in columns}
+    opened = {n: pa.nulls(int(members.sum()), pa.int64()) for n in ("a", "b")}
+    opened |= {"group": pa.array(data["word"][members].astype(np.int64) + key)}
+    opened |= {n: pa.array(v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64)) for n, v in held.items()}
     return pa.concat_tables([pa.table(pairs), pa.table(opened)])
 
 
-_MET = "a long, b long, group long, digest long, low long, high long, size long, place long"
+_MET = "a long, b long, group long, digest long, bits long, size long, place long"
 
 
 def _search(_: tuple, table: pa.Table) -> pa.Table:
     """Lines without a match against one part of an open group."""
-    columns = {n: table.column(n).to_numpy() for n in ("digest", "low", "high", "size", "place")}
-    columns = {n: v.view(np.uint64) if n in ("digest", "low", "high") else v for n, v in columns.items()}
-    probe = np.flatnonzero(table.column("probe").to_numpy(zero_copy_only=False))
-    member = np.flatnonzero(~table.column("probe").to_numpy(zero_copy_only=False))
-    left, right = [], []
-    for p in probe.tolist():
-        keep = member[_allowed({n: v[[p]] for n, v in columns.items()}, {n: v[member] for n, v in columns.items()})]
-        left.append(np.full(len(keep), columns["digest"][p]))
-        right.append(columns["digest"][keep])
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (left, right))
-    return pa.table({"a": np.minimum(a, b).view(np.int64), "b": np.maximum(a, b).view(np.int64)})
+    table = table.sort_by("size")
+    data = {n: table.column(n).to_numpy() for n in ("digest", "bits", "size", "place")}
+    data = {n: v.view(np.uint64) if n in ("digest", "bits") else v for n, v in data.items()}
+    probe = table.column("probe").to_numpy(zero_copy_only=False)
+    i, j = _within(data, np.flatnonzero(probe), np.flatnonzero(~probe), False, 1 << 62)
+    a, b = data["digest"][i], data["digest"][j]
+    pairs = np.unique(np.stack([np.minimum(a, b).view(np.int64), np.maximum(a, b).view(np.int64)], axis=1), axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,24 +282,24 @@ def _line_table(docs: DataFrame) -> DataFrame:
                 both = np.stack([first, second], axis=1).tobytes()
                 node = pa.array([both[i : i + 16] for i in range(0, len(both), 16)], pa.binary())
                 at = pa.array(lines.row)
-                columns = [part.column("_id").take(at), part.column("_row").take(at), pa.array(lines.number), pa.array(first.view(np.int64)), node]
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "_row", "line", "digest", "node"])
+                columns = [part.column("_id").take(at), part.column("_hash").take(at), pa.array(lines.number), pa.array(first.view(np.int64)), node]
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "_hash", "line", "digest", "node"])
 
-    return docs.select("_id", "_row", "text").mapInArrow(run, "_id long, _row long, line long, digest long, node binary")
+    return docs.select("_id", "_hash", "text").mapInArrow(run, "_id long, _hash long, line long, digest long, node binary")
 
 
 def _similar(pairs: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
     """Of pairs of digests the similar ones, as nodes: earlier and later."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    where = measure_size(first.join(wanted, "digest").select("_row", "line", "digest", "node"), "candidate_lines")
-    found = sized_join(docs.select("_row", "text"), where, ["_row"], ["_row"], "inner")
+    where = measure_size(first.join(wanted, "digest").select("_id", "_hash", "line", "digest", "node"), "candidate_lines")
+    found = sized_join(docs, where, ["_id", "_hash"], ["_id", "_hash"], "inner")
     texts = found.select("digest", "node", F.element_at(F.split("text", "\n"), (F.col("line") + 1).cast("int")).alias("text"))
-    texts = materialize(texts, "candidate_texts")
+    texts = materialize(texts.dropDuplicates(["node"]), "candidate_texts")
     # A digest of several classes stands for each of them.
     left, right = (texts.toDF(k, c, f"text_{c}") for k, c in (("da", "a"), ("db", "b")))
     joined = pairs.toDF("da", "db").join(left, "da").join(right, "db").select("a", "b", "text_a", "text_b")
     linked = joined.mapInArrow(_verify, "a binary, b binary")
-    place = first.select("node", F.struct("_id", "_row", "line").alias("place"))
+    place = first.select("node", F.struct("_id", "_hash", "line").alias("place"))
     both = linked.join(place.toDF("a", "pa"), "a").join(place.toDF("b", "pb"), "b")
     a_first = F.col("pa") < F.col("pb")
     return materialize(
@@ -271,11 +312,11 @@ def _similar(pairs: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def later_matches(docs: DataFrame) -> DataFrame:
-    """(_row, line) of the lines to remove; ``docs`` has _id, _row and text."""
+def later_matches(docs: DataFrame) -> tuple[Measured, Measured]:
+    """Per _id and _hash the _lines to remove, and the _id and _hash of several rows; ``docs`` has both and text."""
     spark = docs.sparkSession
     lines = materialize(_line_table(docs), "lines")
-    first = lines.groupBy("node", "digest").agg(F.min(F.struct("_id", "_row", "line")).alias("_p"))
+    first = lines.groupBy("node", "digest").agg(F.min(F.struct("_id", "_hash", "line")).alias("_p"))
     first = materialize(first.select("node", "digest", "_p.*"), "first_lines")
     rarity = spark.sparkContext.broadcast(word_rarity(docs))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
@@ -292,7 +333,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
         best = similar.groupBy("later").agg(F.min_by("earlier", "place").alias("earlier"))
         around = similar.select(F.col("earlier").alias("hub"), F.col("later").alias("node"))
         around = around.unionAll(similar.select(F.col("later").alias("hub"), F.col("earlier").alias("node")))
-        place = first.select("node", "digest", F.struct("_id", "_row", "line").alias("place"))
+        place = first.select("node", "digest", F.struct("_id", "_hash", "line").alias("place"))
         least = around.join(place, "node").groupBy("hub").agg(F.min_by("digest", "place").alias("a"))
         unmatched = around.join(best.select(F.col("later").alias("node")), "node", "left_anti")
         again = unmatched.join(least, "hub").join(place.select("node", F.col("digest").alias("b")), "node").where("a <> b")
@@ -309,11 +350,18 @@ def later_matches(docs: DataFrame) -> DataFrame:
         similar = similar.unionAll(_similar(materialize(rest, "open_pairs"), first, docs))
 
     gone = similar.select(F.col("later").alias("node")).distinct().withColumn("_gone", F.lit(True))
-    judged = first.select("node", F.col("_row").alias("_first_row"), F.col("line").alias("_first_line")).join(gone, "node", "left")
+    judged = first.select("node", F.struct("_id", "_hash", "line").alias("_first")).join(gone, "node", "left")
     by_class = measure_size(judged, "judged_lines")
-    marked = sized_join(lines.select("_row", "line", "node"), by_class, ["node"], ["_row", "line"], "inner")
-    own = (F.col("_row") == F.col("_first_row")) & (F.col("line") == F.col("_first_line"))
-    return marked.where(F.coalesce(F.col("_gone"), F.lit(False)) | ~own).select("_row", "line")
+    marked = sized_join(lines.select("_id", "_hash", "line", "node"), by_class, ["node"], ["_id", "_hash", "line"], "inner")
+    later = F.coalesce(F.col("_gone"), F.lit(False)) | (F.struct("_id", "_hash", "line") != F.col("_first"))
+    # A text's own lines.
+    removed = marked.where(later).groupBy("_id", "_hash").agg(F.collect_set("line").alias("_lines"))
+    again = lines.groupBy("_id", "_hash", "line").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return measure_size(removed, "removed_lines"), measure_size(again.select("_id", "_hash").distinct(), "repeated_texts")
+
+
+def _keep(lines: Column, gone: Callable[[Column, Column], Column]) -> Column:
+    return F.array_join(F.filter(lines, lambda line, i: ~gone(line, i)), "\n")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -321,19 +369,37 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     Lines end at line feeds; words are as elsewhere, A-Z lowered. Lines without words stay. Null and
     empty texts stay as they are, a text of which all lines go becomes empty. Rows with a null doc_id
-    come first; rows that repeat a doc_id follow one another in input order. A column named n_removed
-    is replaced; names with a leading underscore are for internal use. Numbered rows are written
-    once, so that all steps and retries see the same numbers.
+    come first; rows that repeat a doc_id follow one another by a hash of their texts, and of rows that
+    repeat the text too, any one comes first. A column named n_removed is replaced; names with a leading
+    underscore are for internal use.
     """
     ship(docs.sparkSession)
     docs = docs.drop("n_removed")
-    numbered = docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_row": F.monotonically_increasing_id()})
-    written = materialize(numbered, "numbered_documents")
-    gone = later_matches(written.select("_id", "_row", F.col("text").cast("string").alias("text")))
-    # A text's own lines.
-    listed = measure_size(gone.groupBy("_row").agg(F.collect_list("line").alias("_lines")), "removed_lines")
-    joined = sized_join(written, listed, ["_row"], ["_row"], "left")
-    stays = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_lines", i.cast("bigint")))
-    text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
-    n = F.coalesce(F.size("_lines"), F.lit(0))
-    return joined.withColumns({"text": text, "n_removed": F.when(F.col("_lines").isNull(), 0).otherwise(n)}).select(*docs.columns, "n_removed")
+    least = F.lit(-(1 << 63)).cast("bigint")
+    keyed = docs.withColumns(
+        {"_id": F.coalesce(F.col("doc_id").cast("bigint"), least), "_hash": F.xxhash64(F.col("text").cast("string"))}
+    )
+    key = ["_id", "_hash"]
+    listed, repeated = later_matches(keyed.select(*key, F.col("text").cast("string").alias("text")))
+    joined = sized_join(keyed, listed, key, key, "left")
+    lines = F.split("text", "\n", -1)
+    text = _keep(lines, lambda line, i: F.array_contains("_lines", i.cast("bigint")))
+    none = F.col("_lines").isNull()
+    cut = joined.withColumns(
+        {"text": F.when(none, F.col("text")).otherwise(text), "n_removed": F.when(none, 0).otherwise(F.size("_lines"))}
+    ).drop("_lines")
+    if repeated.measures["bytes"]:
+        copies = sized_join(cut, repeated, key, key, "left_semi").withColumn("_copy", F.monotonically_increasing_id())
+        copies = materialize(copies, "repeated_rows")
+        chosen = measure_size(copies.groupBy(*key).agg(F.min("_copy").alias("_first")), "first_copies")
+        judged = sized_join(copies, chosen, key, ["_copy"], "inner")
+        later = F.col("_copy") != F.col("_first")
+        n_words = F.size(F.filter(lines, lambda line: line.rlike(_WORD)))
+        judged = judged.withColumns(
+            {
+                "n_removed": F.when(later, F.col("n_removed") + n_words).otherwise(F.col("n_removed")),
+                "text": F.when(later, _keep(lines, lambda line, i: line.rlike(_WORD))).otherwise(F.col("text")),
+            }
+        )
+        cut = sized_join(cut, repeated, key, key, "left_anti").unionByName(judged.select(*cut.columns))
+    return cut.select(*docs.columns, "n_removed")

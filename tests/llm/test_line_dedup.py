@@ -58,7 +58,8 @@ def test_whole_table(spark):
 
 @pytest.mark.parametrize("seed, vocabulary, edits", [(1, 2000, 3), (2, 60, 2), (3, 300, 8)])
 def test_near_copies(spark, monkeypatch, seed, vocabulary, edits):
-    monkeypatch.setattr(line_dedup, "GROUP", 6)  # most groups are open
+    monkeypatch.setattr(line_dedup, "SMALL", 6)
+    monkeypatch.setattr(line_dedup, "DENSE", 1)  # most groups are open
     monkeypatch.setattr(line_dedup, "PART", 20)
     draw = random.Random(seed)
     bases = [[f"w{draw.randrange(vocabulary)}" for _ in range(draw.randrange(3, 30))] for _ in range(12)]
