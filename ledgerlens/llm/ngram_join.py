@@ -22,7 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
@@ -38,6 +38,7 @@ TREE_ROWS = 4096
 CLASS_GROWTH = 1.5
 # Members of many cells list so many of them, which spares naming a pair once for each cell it shares.
 LISTED = 256
+BUCKET_BYTES = 64 << 20
 
 
 class Link(NamedTuple):
@@ -88,7 +89,9 @@ def _digests(link: Link):
 
 
 def _cells_of(sets: W.Rows, ids: np.ndarray, link: Link) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, id) of each set in its size class, and in the class below if it may have links there."""
+    """(cell, id) of each set in its size class, and in the class below if it may have links there.
+
+    Cells are numbers of 48 bits."""
     sizes = sets.counts
     first_sizes = link.bounds(int(sizes.max(initial=0)))
     own = np.searchsorted(first_sizes, sizes, "right") - 1
@@ -116,50 +119,86 @@ def _cells_of(sets: W.Rows, ids: np.ndarray, link: Link) -> tuple[np.ndarray, np
         content = totals[ends[1:]] - totals[ends[:-1]]
         number = np.arange(starts[-1]) - np.repeat(starts[:-1], per)
         salt = W.mix((np.repeat(klass[picked], per) * (1 << 40) + number).astype(np.uint64))
-        cells.append(W.mix(content ^ salt))
+        cells.append((W.mix(content ^ salt) >> np.uint64(16)).astype(np.int64))
         members.append(np.repeat(ids[picked], per))
     if not cells:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(cells).view(np.int64), np.concatenate(members)
+    return np.concatenate(cells), np.concatenate(members)
+
+
+def _buckets_of(rows: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of each bucket, given the bucket of each row."""
+    order = np.argsort(rows, kind="stable")
+    edges = np.searchsorted(rows[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(edges)).tolist():
+        yield b, order[edges[b] : edges[b + 1]]
 
 
-def _cells(link: Link):
-    """Rows (key, a, b, cell). With b null: a is in cell ``key``. Else b is the least of the members
+def _cells(link: Link, buckets: int):
+    """Cells by bucket, as packed arrays: the members' digests, and for each cell its 48 bits and the member.
 
-    of ``cell`` in this batch, of which a is another; the key then deals such rows out evenly. Of
-    the many members that a large group has in one cell, each batch hands on one.
+    Of the many members that a large group has in one cell, each batch hands on the least only. The
+    others are given with it as ``stars`` (cell, member, least), dealt out evenly.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [_cells_of(sets, first.view(np.int64), link) for sets, first, _ in (_sets(p, link) for p in W.chunks(batch, "text"))]
-            if not found:
-                continue
-            cell, member = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.argsort(cell, kind="stable")
-            cell, member = cell[order], member[order]
-            begins = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
-            if not len(begins):
-                continue
-            least = np.minimum.reduceat(member, begins)
-            lengths = np.diff(np.append(begins, len(cell)))
-            pivots = np.repeat(least, lengths)
-            others = np.flatnonzero(member != pivots)
-            far = W.mix(cell[others].view(np.uint64) ^ W.mix(member[others].view(np.uint64))).view(np.int64)
-            none = np.arange(len(begins) + len(others)) < len(begins)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([cell[begins], far])),
-                    pa.array(np.concatenate([least, member[others]])),
-                    pa.array(np.concatenate([least, pivots[others]]), mask=none),
-                    pa.array(np.concatenate([least, cell[others]]), mask=none),
-                ],
-                ["key", "a", "b", "cell"],
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, 60_000):  # so that 16 bits tell the members apart
+                batch = whole.slice(start, 60_000)
+                digests = [_sets(p, link)[:2] for p in W.chunks(batch, "text")]
+                names, which = np.unique(np.concatenate([d.view(np.int64) for _, d in digests]), return_inverse=True)
+                found, at = [], 0
+                for sets, _ in digests:
+                    found.append(_cells_of(sets, which[at : at + len(sets.counts)], link))
+                    at += len(sets.counts)
+                cell, member = (np.concatenate(x) for x in zip(*found, strict=True))
+                order = np.lexsort((member, cell))
+                cell, member = cell[order], member[order]
+                first = np.ones(len(cell), bool)
+                first[1:] = cell[1:] != cell[:-1]
+                other = ~first
+                other[1:] &= member[1:] != member[:-1]
+                least = np.repeat(member[first], np.diff(np.append(np.flatnonzero(first), len(cell))))
+                stars = np.stack([cell[other], names[member[other]], names[least[other]]], axis=1)
+                far = W.mix(stars[:, 0].view(np.uint64) ^ W.mix(stars[:, 1].view(np.uint64))) % np.uint64(buckets)
+                rows = {b: {"stars": stars[at].tobytes()} for b, at in _buckets_of(far.astype(np.int64), buckets)}
+                cell, member = cell[first], member[first]
+                for b, at in _buckets_of(cell % buckets, buckets):
+                    used, place = np.unique(member[at], return_inverse=True)
+                    rows.setdefault(b, {}).update(
+                        digests=names[used].tobytes(),
+                        members=place.astype(np.uint16).tobytes(),
+                        high=(cell[at] >> 16).astype(np.uint32).tobytes(),
+                        low=(cell[at] & 0xFFFF).astype(np.uint16).tobytes(),
+                    )
+                if rows:
+                    yield pa.RecordBatch.from_pylist([{"bucket": b, **row} for b, row in rows.items()], _CELLS)
 
     return run
 
 
+_CELLS = pa.schema([("bucket", pa.int64())] + [(n, pa.binary()) for n in ("digests", "members", "high", "low", "stars")])
+
+
+def _meet(_: tuple, table: pa.Table) -> pa.Table:
+    """All members of the cells of one bucket but the least, each with the least."""
+
+    def arrays(name: str, kind: type) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_buffer(), kind) if x.is_valid else np.zeros(0, kind) for x in table.column(name)]
+
+    member = np.concatenate([d[m] for d, m in zip(arrays("digests", np.int64), arrays("members", np.uint16), strict=True)])
+    cell = (np.concatenate(arrays("high", np.uint32)).astype(np.int64) << 16) + np.concatenate(arrays("low", np.uint16))
+    order = np.lexsort((member, cell))
+    cell, member = cell[order], member[order]
+    first = np.ones(len(cell), bool)
+    first[1:] = cell[1:] != cell[:-1]
+    least = np.repeat(member[first], np.diff(np.append(np.flatnonzero(first), len(cell))))
+    other = member != least
+    known = np.concatenate(arrays("stars", np.int64)).reshape(-1, 3)
+    rows = np.concatenate([np.stack([cell[other], member[other], least[other]], axis=1), known])
+    return pa.table({n: pa.array(rows[:, i]) for i, n in enumerate(("cell", "member", "pivot"))})
+
+
 def count_vectors(sets: W.Rows) -> np.ndarray:
     """Per set the number of its elements in each of the groups."""
     group = (sets.values & np.uint64(GROUPS - 1)).astype(np.int64)
@@ -281,12 +320,13 @@ def _linked(pairs: DataFrame, texts: DataFrame, link: Link) -> DataFrame:
 def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
     """Verified links (a, b) between classes, enough to connect whatever is connected."""
     spark = docs.sparkSession
-    cells = docs.select("text").mapInArrow(_cells(link), "key long, a long, b long, cell long")
-    pivot = F.coalesce("b", F.min("a").over(Window.partitionBy("key")))
-    stars = materialize(
-        cells.select(F.coalesce("cell", "key").alias("cell"), F.col("a").alias("member"), pivot.alias("pivot")).where("member <> pivot"),
-        "cell_members",
-    )
+    words = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    # A bucket's share of the cells, at most two for a block, stays within memory.
+    wide = link.blocks(np.array([words])).item() * 2 * 32 // BUCKET_BYTES
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wide)
+    schema = "bucket long, " + ", ".join(f"{n} binary" for n in _CELLS.names[1:])
+    cells = docs.select("text").mapInArrow(_cells(link, buckets), schema)
+    stars = materialize(cells.groupBy("bucket").applyInArrow(_meet, "cell long, member long, pivot long"), "cell_members")
     classes = sets.where("n_shingles > 0").groupBy("digest", "node").agg(F.min("doc_id").alias("doc_id"))
     ends = stars.select(F.explode(F.array("member", "pivot")).alias("digest")).distinct()
     chosen = measure_size(classes.join(ends, "digest", "left_semi"), "candidates")
