@@ -16,11 +16,24 @@ WHITESPACE = (
 )
 # A cast also takes "1d" or "2f" for numbers; the audit counts those as text.
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Texts that table readers take for a missing value.
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+# ISO dates with an optional time; a year has four digits.
+ISO_PATTERN = r"^\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}:?\d{2})?)?)?$"
+YEARS = (1678, 2261)
 MISSING_STATUS = "Nan"
 # Decimals that hold any double below EXACT_BELOW to sixteen places, and the sum of 10^11 of them.
 EXACT, EXACT_BELOW = "decimal(38,16)", 1e11
 
 
+def given_text(column: Column) -> Column:
+    """Text as read, but null where it says that the value is missing."""
+    return F.when(~column.isin(*MISSING_TEXTS), column)
+
+
 def strip(column: Column) -> Column:
     return F.btrim(column, F.lit(WHITESPACE))
 
@@ -39,20 +52,24 @@ def parse_number(df: DataFrame, name: str) -> Column:
 def parse_timestamp(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
     """The column as a timestamp without zone; text in none of the formats becomes null.
 
-    ISO text is always understood; ``formats`` adds patterns in order of preference.
+    ISO text is always understood; ``formats`` adds patterns in order of preference. Years outside
+    ``YEARS`` count as no date, and so do the day numbers of spreadsheets.
     """
     column = F.col(name)
     if not isinstance(df.schema[name].dataType, StringType):
         return column.cast("timestamp_ntz")
     text = strip(column)
-    tries = [text.try_cast("timestamp_ntz")]
+    tries = [F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp_ntz"))]
     tries += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*tries)
+    found = F.coalesce(*tries)
+    return F.when(F.year(found).between(*YEARS), found)
 
 
 def normalise_status(column: Column) -> Column:
-    """Trimmed, title-cased status; a missing one becomes the text 'Nan' and stays a group of its own."""
-    return F.coalesce(F.initcap(strip(column.cast("string"))), F.lit(MISSING_STATUS))
+    """Trimmed status, each run of letters capitalised; a missing one becomes the text 'Nan', a group of its own."""
+    runs = F.regexp_extract_all(strip(column.cast("string")), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    titled = F.array_join(F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.lower(F.substring(run, F.lit(2), F.length(run))))), "")
+    return F.coalesce(titled, F.lit(MISSING_STATUS))
 
 
 def net_fee(fee: Column, discount_pct: Column) -> Column:

@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.shared import Measured, measure
+from ledgerlens.operators.shared import Measured, materialize
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-# A key is hot when it holds more than one part in HOT_SHARE of the rows, so at most HOT_SHARE keys are.
-HOT_SHARE = 1000
+# Keys of fewer rows are no burden for a task, however small the table is.
+LEAST_HOT_ROWS = 1000
 
 
 def sized_join(
     left: DataFrame, right: Measured, on: Sequence[str], spread_by: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Join (left, inner or left semi) with a table whose size was measured when it was written.
+    """Join (left, inner, left semi or left anti) with a table whose size was measured when it was written.
 
     Within ``BROADCAST_BYTES`` it is broadcast and ``left`` is not shuffled; beyond, see
     ``spread_join``.
@@ -31,34 +32,80 @@ def sized_join(
 def spread_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str
 ) -> DataFrame:
-    """Shuffled join (inner, left or left semi) in which no key of ``left`` lands in one task.
+    """Shuffled join (inner, left, left semi or left anti) in which no key of either side lands in one task.
 
-    Rows of a hot key are dealt out by a hash of ``spread_by`` over as many salts as there are
-    shuffle partitions, and the right rows of these keys are repeated for each salt. Rows with a
-    null key match nothing and are dealt out alike. ``spread_by`` should tell rows of one key apart.
+    A key is hot if it holds more rows of a side than a task's fair share. The rows of the side that
+    has more of it are dealt out by a hash of all their columns (left: of ``spread_by``, which should
+    tell rows of one key apart) over as many salts as that side needs tasks for the key, and the rows of
+    the other side are repeated for each of these salts. Rows with a null key match nothing and are
+    dealt out alike.
     """
     on = list(on)
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(left, on)
-    dealt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    if how in ("left_semi", "left_anti"):
+        right = right.select(*on).distinct()
+    hot = _hot_keys(left, right, on)
+    by_left = hot.where("_deal_left").drop("_deal_left")
+    by_right = hot.where("not _deal_left").drop("_deal_left")
+    parts = []
+    if not by_right.isEmpty():
+        # Keys of which the right side has more all have partners there, so an inner join of them will do.
+        few = left.join(F.broadcast(by_right), on, "inner").withColumn("_salt", _all_salts(F.col("_salts"))).drop("_salts")
+        many = right.join(F.broadcast(by_right), on, "inner")
+        many = many.withColumn("_salt", _dealt(right.columns, F.col("_salts"))).drop("_salts")
+        parts.append(few.join(many, [*on, "_salt"], "inner").drop("_salt"))
+        left = left.join(F.broadcast(by_right.select(*on)), on, "left_anti")
+        right = right.join(F.broadcast(by_right.select(*on)), on, "left_anti")
+    tasks = _tasks(left)
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    salted_left = (
-        left.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.when(any_null | F.col("_hot"), dealt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    salts = F.when(any_null, F.lit(tasks)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted_left = left.join(F.broadcast(by_left), on, "left").withColumn("_salt", _dealt(spread_by, salts)).drop("_salts")
     salted_right = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        right.join(F.broadcast(by_left), on, "left")
+        .withColumn("_salt", _all_salts(F.coalesce("_salts", F.lit(1))))
+        .drop("_salts")
     )
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    joined = salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    return reduce(DataFrame.unionByName, parts, joined)
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _dealt(columns: Sequence[str], salts: Column) -> Column:
+    return F.pmod(F.xxhash64(*columns), salts).cast("int")
+
 
+def _all_salts(salts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), (salts - 1).cast("int")))
 
-def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The at most ``HOT_SHARE`` keys that hold more than their share of rows, flagged ``_hot``."""
+
+class _Side(NamedTuple):
+    keys: DataFrame  # with the number of rows, _n
+    share: float  # a task's fair share of the rows
+
+
+def _crowded_keys(df: DataFrame, on: list[str]) -> _Side:
+    """Keys with many rows. Of the counts only those that can be hot are written; the total is observed."""
+    observed = Observation()
     counts = df.select(*on).na.drop().groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    written = measure(counts, "key_counts", rows=F.sum("_n"))
-    hot = F.col("_n") * HOT_SHARE > written.measures["rows"]
-    return written.table.where(hot).select(*on, F.lit(True).alias("_hot"))
+    counts = counts.observe(observed, F.sum("_n").alias("rows")).where(F.col("_n") >= LEAST_HOT_ROWS)
+    keys = materialize(counts, "crowded_keys")
+    return _Side(keys, (observed.get.get("rows") or 0) / _tasks(df))
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """At most two keys for each task: how many salts (``_salts``) and whether left rows are dealt out (``_deal_left``)."""
+    sides = [_crowded_keys(df, on) for df in (left, right)]
+    counted = [
+        side.keys.where(F.col("_n") > F.lit(side.share)).withColumn("_need", F.ceil(F.col("_n") / F.lit(max(side.share, 1.0))).cast("int"))
+        for side in sides
+    ]
+    a, b = (c.toDF(*on, f"_n{i}", f"_need{i}") for i, c in enumerate(counted))
+    both = a.join(b, on, "full_outer")
+    n0, n1 = F.coalesce("_n0", F.lit(0)), F.coalesce("_n1", F.lit(0))
+    deal_left = n0 >= n1
+    # Where both sides have many rows, their pairs need tasks too.
+    pairs = F.ceil(n0.cast("double") * n1 / F.lit(max(side.share for side in sides)))
+    need = F.greatest(F.when(deal_left, F.col("_need0")).otherwise(F.col("_need1")), F.least(pairs, F.lit(_tasks(left))))
+    return both.select(*on, need.cast("int").alias("_salts"), deal_left.alias("_deal_left"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -12,24 +11,23 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a local session gets a temporary folder of its own, which is
-    gone when Python ends; a cluster must name one that all its machines reach.
+    Where the setting is missing, a folder in the session's warehouse, which all executors reach too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors reach.")
-    app = spark.conf.get("spark.app.id")
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.TemporaryDirectory(prefix="ledgerlens-")
-    return _local_folders[app].name
+    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_ledgerlens"
+
+
+def application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.conf.get('spark.app.id')}"
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; results that still read them fail from then on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Measured(NamedTuple):
@@ -46,7 +44,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     planner knows its real size.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.conf.get('spark.app.id')}/{name}-{uuid.uuid4().hex}"
+    path = f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

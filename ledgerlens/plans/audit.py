@@ -10,11 +10,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators.rules import rule_counts, status_counts
-from ledgerlens.operators.shared import materialize, together
+from ledgerlens.operators.shared import materialize, remove_intermediates, together
 from ledgerlens.plans import dashboard, executive, health, metrics, reports, validators
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.sources.schemas import TABLES
-from ledgerlens.sources.tables import load_tables, register_views, save_table, write_tables
+from ledgerlens.sources.tables import load_tables, register_views, save_table, without_missing_texts, write_tables
 
 
 class RevenueAudit:
@@ -42,7 +42,7 @@ class RevenueAudit:
         for name in TABLES:
             if name not in tables:
                 raise ValueError(f"Required table '{name}' not given.")
-        self.raw = dict(tables)
+        self.raw = {name: without_missing_texts(tables[name], spec.columns) for name, spec in TABLES.items()}
         self.as_of = as_of
         self.orders = {name: tuple((orders or {}).get(name, spec.order)) for name, spec in TABLES.items()}
         self.formats = tuple(formats)
@@ -178,6 +178,16 @@ class RevenueAudit:
 
     # Output
 
+    def __enter__(self) -> RevenueAudit:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Delete the intermediate tables of this Spark application, once no result is needed any more."""
+        remove_intermediates(self.raw["subscriptions"].sparkSession)
+
     def status_counts(self, name: str) -> DataFrame:
         return status_counts(getattr(self, f"clean_{name}"))
 

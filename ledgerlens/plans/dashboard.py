@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import exact_mean, exact_sum, net_fee, parse_number, round_half_up, round_money, share
+from ledgerlens.operators.joins import sized_join
+from ledgerlens.operators.ranking import running_total
 from ledgerlens.operators.rules import INVALID, trusted
+from ledgerlens.operators.shared import materialize, measure_size
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.health import HIGH_RISK
 from ledgerlens.plans.reports import (
@@ -45,9 +48,14 @@ def region_ranking(
         F.coalesce(round_money(F.col("trusted")), F.lit(0.0)).alias("trusted_mrr"),
         overstatement_pct(F.col("reported"), F.col("trusted")).alias("revenue_overstatement_pct"),
     )
-    # One row per region is left here, so the unpartitioned window is small.
-    rank = F.rank().over(Window.orderBy(F.desc("revenue_overstatement_pct")))
-    return regions.withColumn("overstatement_rank", rank).orderBy("overstatement_rank")
+    regions = materialize(regions, "regions")
+    # Regions are free text and may be many: rank the distinct percentages, which are cut into ranges.
+    counts = regions.groupBy(F.col("revenue_overstatement_pct").alias("pct")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_total(counts.withColumn("down", -F.col("pct")).withColumn("all", F.lit(0)), ["all"], ["down"], "n", "before", "total")
+    ranks = ranked.table.select(F.col("pct").alias("revenue_overstatement_pct"), (F.col("before") + 1).cast("int").alias("overstatement_rank"))
+    ranks = measure_size(ranks, "overstatement_ranks")
+    joined = sized_join(regions, ranks, ["revenue_overstatement_pct"], ["region"], "inner")
+    return joined.select(*regions.columns, "overstatement_rank").orderBy("overstatement_rank", F.asc_nulls_first("region"))
 
 
 def kpis(

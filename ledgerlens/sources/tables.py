@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from ledgerlens.functions.columns import given_text
 from ledgerlens.operators.shared import materialize
 from ledgerlens.sources.schemas import TABLES
 
@@ -56,6 +60,12 @@ def with_position(df: DataFrame, fmt: str = "parquet") -> DataFrame:
     return materialize(numbered, "loaded")
 
 
+def without_missing_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text that says a value is missing, such as ``N/A``, becomes null, as table readers take it."""
+    texts = [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, StringType)]
+    return df.withColumns({c: given_text(F.col(c)) for c in texts}) if texts else df
+
+
 def load_order(df: DataFrame, order: tuple[str, ...]) -> list[str]:
     """The columns of ``order`` the table has, followed by the load position if it is known."""
     found = [c for c in (*order, POSITION[0], "source_block", POSITION[1]) if c in df.columns]
