@@ -95,6 +95,18 @@ def exact_sum(column: Column) -> Column:
     return F.when(F.count(column) > 0, summed + F.coalesce(F.sum(rest), F.lit(0.0)))
 
 
+def partial_sums(column: Column, name: str) -> list[Column]:
+    """Aggregates: the two parts of an exact sum, to be summed further by ``merged_sum``."""
+    exact, rest = _exact_parts(column)
+    return [F.try_sum(exact).alias(f"{name}_exact"), F.sum(rest).alias(f"{name}_rest")]
+
+
+def merged_sum(name: str) -> Column:
+    """Aggregate: the sum of several ``partial_sums`` as a double, 0 over no values."""
+    exact = F.coalesce(F.try_sum(f"{name}_exact").cast("double"), F.lit(0.0))
+    return exact + F.coalesce(F.sum(f"{name}_rest"), F.lit(0.0))
+
+
 def exact_mean(column: Column) -> Column:
     """Aggregate: the mean of a double column, from its exact sum; null over no values."""
     return F.try_divide(exact_sum(column), F.count(column))

@@ -17,7 +17,9 @@ from ledgerlens.functions.columns import (
     clip,
     exact_mean,
     exact_sum,
+    merged_sum,
     net_fee,
+    partial_sums,
     rankable_mean,
     round_half_even,
     share,
@@ -113,7 +115,7 @@ def _invoices_per_customer(
         trusted(invoices)
         .groupBy("subscription_id")
         .agg(
-            exact_sum(amount).alias("paid_sum"),
+            *partial_sums(amount, "paid"),
             F.count(amount).alias("paid_count"),
             F.count_if(_has_status("payment_status_norm", corrections)).alias("invoices"),
             F.count_if(F.col("payment_status_norm") == "Failed").alias("failed"),
@@ -124,7 +126,7 @@ def _invoices_per_customer(
         per_subscription.join(owners, "subscription_id")
         .groupBy("customer_id")
         .agg(
-            exact_sum(F.col("paid_sum")).alias("paid_sum"),
+            merged_sum("paid").alias("paid_sum"),
             *[F.sum(c).alias(c) for c in ("paid_count", "invoices", "failed")],
         )
     )

@@ -129,6 +129,30 @@ def _customer_orders(inputs: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+# Variants of the tables: columns replaced, in SQL that other engines understand too.
+# Everything as text, as spreadsheets and CSV files bring it, with missing markers and unreadable values.
+AS_TEXT = {
+    "subscription_id": "case when source_seq % 53 = 5 then 'N/A' else cast(subscription_id as string) end",
+    "customer_id": "case when source_seq % 59 = 7 then 'null' else customer_id end",
+    "signup_date": "case when source_seq % 61 = 3 then '45292' when source_seq % 61 = 4 then '2024-02-30' else cast(cast(signup_date as date) as string) end",
+    "renewal_date": "case when source_seq % 67 = 3 then '12/31/2024' else cast(cast(renewal_date as date) as string) end",
+    "monthly_fee": "case when source_seq % 53 = 8 then '1,000' when source_seq % 53 = 9 then ' 12.5 ' else cast(monthly_fee as string) end",
+    "discount_pct": "case when source_seq % 59 = 8 then 'NA' else cast(discount_pct as string) end",
+    "subscription_status": "case when source_seq % 37 = 3 then 'past-due' when source_seq % 37 = 4 then 'n/a' else subscription_status end",
+}
+# Amounts no business has, and some with many decimals.
+ABSURD_FEES = {"monthly_fee": "case when source_seq % 509 = 0 then 1e30 else monthly_fee end"}
+ABSURD_AMOUNTS = {
+    "invoice_amount": "case when l_partkey % 503 = 0 then 1e30 when l_partkey % 7 = 1 then invoice_amount + 0.0000001 else invoice_amount end"
+}
+# Health far enough down that rich customers are among the unhealthy.
+POOR_HEALTH = {"customer_health_score": "customer_health_score * 0.25"}
+
+
+def replaced(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
+
+
 def plain_sql(name: str) -> str:
     """The defining query of a table over plain table names, for other engines."""
     return TEXTS[name].format(position="", customer_orders=CUSTOMER_ORDERS, **{t: t for t in INPUTS}).strip()

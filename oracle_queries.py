@@ -5,7 +5,7 @@ Written the direct way, with whole-table windows and joins, as a check on the di
 
 from __future__ import annotations
 
-from ledgerlens.sources.fixtures import AS_OF, INVOICE_ORDER, TEXTS, plain_sql
+from ledgerlens.sources.fixtures import ABSURD_AMOUNTS, ABSURD_FEES, AS_OF, AS_TEXT, INVOICE_ORDER, POOR_HEALTH, TEXTS, plain_sql
 from ledgerlens.sources.schemas import TABLES
 
 DAY = f"timestamp '{AS_OF.isoformat()} 00:00:00'"
@@ -91,15 +91,14 @@ def typed(name: str) -> str:
     ]
     if spec.status:
         text = f"trim({spec.status})"
-        columns.append(
-            f"coalesce(upper(left({text}, 1)) || lower(substr({text}, 2)), 'Nan') as {spec.status}_norm"
-        )
+        titled = "list_transform(string_split({}, '-'), lambda w: upper(left(w, 1)) || lower(substr(w, 2)))".format(text)
+        columns.append(f"coalesce(array_to_string({titled}, '-'), 'Nan') as {spec.status}_norm")
     replaced = ", ".join(f"cast({c} as double) as {c}" for c in spec.numbers)
     return f"select * replace ({replaced}), {', '.join(columns)} from {name}"
 
 
-def classified(name: str) -> str:
-    rules = RULES[name]
+def classified(name: str, rules: list | None = None) -> str:
+    rules = rules or RULES[name]
     invalid = " or ".join(f"coalesce({c}, false)" for c, bad, _ in rules if bad)
     suspicious = " or ".join(f"coalesce({c}, false)" for c, bad, _ in rules if not bad)
     reasons = ", ".join(f"case when {c} then '{r}' end" for c, _, r in rules)
@@ -419,6 +418,47 @@ QUERIES: dict[str, str] = {
 }
 
 
+def _replacing(columns: dict[str, str], source: str) -> str:
+    return f"select * replace ({', '.join(f'{text} as {name}' for name, text in columns.items())}) from {source}"
+
+
+def _as_read() -> str:
+    """The text variant's columns as a table reader takes them."""
+    spec, columns = TABLES["subscriptions"], {}
+    for c in spec.columns:
+        given = f"case when {c} not in ('N/A', 'NA', 'n/a', 'null', '') then trim({c}) end"
+        if c in spec.timestamps:
+            columns[c] = f"case when regexp_full_match({given}, '[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}') then try_cast({c} as timestamp) end"
+        elif c in spec.numbers:
+            columns[c] = f"case when regexp_full_match({given}, '[+-]?[0-9.]+(E-?[0-9]+)?') then try_cast(trim({c}) as double) end"
+        elif c in AS_TEXT:
+            columns[c] = f"case when {given} is not null then {c} end"
+    return _replacing(columns, f"({_replacing(AS_TEXT, 'original_subscriptions')})")
+
+
+def _variants() -> dict[str, str]:
+    """The queries on tables of which some columns are replaced: the same text over other definitions."""
+    cases = RULES["support_cases"]
+    cases = [*cases[:3], ("customer_id is null", 1, "Missing customer_id on support case"), *cases[3:]]
+    absurd = {
+        "subscriptions": _replacing(ABSURD_FEES, "original_subscriptions"),
+        "invoices": _replacing(ABSURD_AMOUNTS, "original_invoices"),
+    }
+    changes = {
+        "d1_case_without_customer": ({"clean_support_cases": classified("support_cases", cases)}, "clean_support_cases"),
+        "text_subscriptions": ({"subscriptions": _as_read()}, "clean_subscriptions"),
+        "absurd_q1": (absurd, "q1_trusted_vs_reported"),
+        "absurd_effective_revenue": (absurd, "cust_effective_revenue"),
+        "q5f_poor_health": ({"customer_summary": _replacing(POOR_HEALTH, f"({CTES['customer_summary']})")}, "q5f"),
+    }
+    found = {}
+    for name, (changed, query) in changes.items():
+        tables = {f"original_{t}": CTES[t] for t in ("subscriptions", "invoices")}
+        text = ",\n".join(f"{t} as ({sql})" for t, sql in (tables | CTES | changed).items())
+        found[name] = f"with {text}\n{QUERIES[query]}"
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
     prefix = "with " + ",\n".join(f"{name} as ({text})" for name, text in CTES.items())
-    return {name: f"{prefix}\n{sql}" for name, sql in QUERIES.items()}
+    return {name: f"{prefix}\n{sql}" for name, sql in QUERIES.items()} | _variants()
