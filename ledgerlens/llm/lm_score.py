@@ -29,8 +29,8 @@ from ledgerlens.operators.shared import materialize, measure
 
 BACKOFF, MIN_COUNT = 0.4, 2
 HOT_SHARE = 1000
-# Words of a block of documents; a longer document is a block of its own.
-BLOCK_WORDS = 3_000_000
+# Words and documents of a block; a document of more words is a block of its own. 16 bits number the documents.
+BLOCK_WORDS, BLOCK_DOCS = 1_000_000, 60_000
 BUCKET_BYTES = 64 << 20
 SUMS = "block long, docs binary, scores binary, backoffs binary, ids binary, nulls binary, words binary"
 
@@ -69,15 +69,16 @@ class _Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
-    held, size = [], 0
+    held, size, docs = [], 0, 0
     for batch in batches:
-        for part in W.chunks(batch, "text"):
-            own = W.words(part.column("text"))
-            if held and size + len(own.values) > BLOCK_WORDS:
-                yield _Block(held)
-                held, size = [], 0
-            held.append((part, own))
-            size += len(own.values)
+        for start in range(0, batch.num_rows, BLOCK_DOCS):
+            for part in W.chunks(batch.slice(start, BLOCK_DOCS), "text"):
+                own = W.words(part.column("text"))
+                if held and (size + len(own.values) > BLOCK_WORDS or docs + part.num_rows > BLOCK_DOCS):
+                    yield _Block(held)
+                    held, size, docs = [], 0, 0
+                held.append((part, own))
+                size, docs = size + len(own.values), docs + part.num_rows
     if held:
         yield _Block(held)
 
@@ -131,7 +132,7 @@ def _bytes(x: np.ndarray, kind: type) -> bytes:
 
 
 def _sums(block: int, docs: np.ndarray, scores: np.ndarray, backoffs: np.ndarray) -> dict:
-    return {"block": block, "docs": _bytes(docs, np.uint32), "scores": _bytes(scores, np.float64), "backoffs": _bytes(backoffs, np.uint32)}
+    return {"block": block, "docs": _bytes(docs, np.uint16), "scores": _bytes(scores, np.float64), "backoffs": _bytes(backoffs, np.uint32)}
 
 
 def _per_doc(block: int, doc: np.ndarray, score: np.ndarray, backoff: np.ndarray) -> dict:
@@ -150,7 +151,7 @@ def _asks(blocks: list[int], block: np.ndarray, words: np.ndarray, doc: np.ndarr
         different, n = _tally(words[some])
         used, place = np.unique(block[some], return_inverse=True)
         yield {
-            "bucket": b, "block": blocks[0], "second": _bytes(different, np.uint64), "n": _bytes(n, np.uint32), "docs": _bytes(doc[some], np.uint32),
+            "bucket": b, "block": blocks[0], "second": _bytes(different, np.uint64), "n": _bytes(n, np.uint32), "docs": _bytes(doc[some], np.uint16),
             "ids": _bytes(np.array(blocks, np.int64)[used], np.int64), "words": _bytes(place, np.uint32), "kind": WORDS,
         }
 
@@ -216,7 +217,7 @@ def _explode(hot: Hot, total: int, buckets: int):
                     {
                         "bucket": b, "block": number, "kind": BIGRAMS, "first": _bytes(contexts[begin], np.uint64),
                         "words": _bytes(runs, np.uint32), "second": _bytes(second[pairs[p]], np.uint64),
-                        "n": _bytes(n[p], np.uint32), "docs": _bytes(doc[edges[b] : edges[b + 1]], np.uint32),
+                        "n": _bytes(n[p], np.uint32), "docs": _bytes(doc[edges[b] : edges[b + 1]], np.uint16),
                     }
                 )
             for i in range(0, len(rows), 64):
@@ -260,7 +261,7 @@ def _count_bigrams(hot: Hot, total: int, buckets: int):
         usual = np.log(hot.count[np.maximum(at, 0)]) if len(hot.count) else np.zeros(len(at))
         score = np.where(seen, np.log(count) - np.log(np.maximum(begins, 1)), np.log(BACKOFF) - np.log(total) + np.where(frequent, usual, 0.0))
         place, asked = 0, []
-        for k, (block, pairs, docs) in enumerate(zip(blocks.tolist(), n_of, _columns(table, "docs", np.uint32), strict=True)):
+        for k, (block, pairs, docs) in enumerate(zip(blocks.tolist(), n_of, _columns(table, "docs", np.uint16), strict=True)):
             own = slice(place, place + len(pairs))
             place += len(pairs)
             rows.append(_per_doc(block, docs, np.repeat(score[own], pairs), np.repeat(~seen[own], pairs)) | {"kind": DONE})
@@ -278,7 +279,7 @@ def _look_up(_: tuple, asks: pa.Table, counts: pa.Table) -> pa.Table:
     order = np.argsort(words)
     words, logs = words[order], np.log(counts.column("n").to_numpy()[order])
     found = []
-    kinds = (("second", np.uint64), ("n", np.uint32), ("docs", np.uint32), ("ids", np.int64), ("words", np.uint32))
+    kinds = (("second", np.uint64), ("n", np.uint32), ("docs", np.uint16), ("ids", np.int64), ("words", np.uint32))
     for asked, n, docs, blocks, place in zip(*(_columns(asks, c, k) for c, k in kinds), strict=True):
         found.append((blocks[place], docs, np.repeat(logs[np.searchsorted(words, asked)], n)))
     block, docs, score = (np.concatenate(x) if found else np.zeros(0) for x in (zip(*found, strict=True) if found else ((),) * 3))
@@ -295,7 +296,7 @@ def _finish(_: tuple, table: pa.Table) -> pa.Table:
     """The rows of one block: as many sums as it has words at most."""
     ids, nulls, words = (np.concatenate(_columns(table, c, k)) for c, k in (("ids", np.int64), ("nulls", np.uint8), ("words", np.int64)))
     scores, backoffs = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-    for docs, score, off in zip(*(_columns(table, c, k) for c, k in (("docs", np.uint32), ("scores", np.float64), ("backoffs", np.uint32))), strict=True):
+    for docs, score, off in zip(*(_columns(table, c, k) for c, k in (("docs", np.uint16), ("scores", np.float64), ("backoffs", np.uint32))), strict=True):
         scores[docs] += score
         backoffs[docs] += off
     none = words == 0

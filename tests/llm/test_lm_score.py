@@ -54,6 +54,7 @@ def test_whole_table(spark):
 @pytest.mark.parametrize("vocabulary", [5, 400, 20_000])
 def test_frequent_and_rare_words(spark, monkeypatch, vocabulary):
     monkeypatch.setattr(lm_score, "BLOCK_WORDS", 500)
+    monkeypatch.setattr(lm_score, "BLOCK_DOCS", 30)
     draw = random.Random(vocabulary)
     docs = []
     for i in range(200):
