@@ -60,7 +60,7 @@ def test_at_risk_totals_agree(audit):
 
 def test_same_results_when_nothing_fits_a_broadcast(tables, audit, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    monkeypatch.setattr(joins, "HOT_SHARE", 20)
+    monkeypatch.setattr(joins, "LEAST_HOT_ROWS", 3)
     other = RevenueAudit(tables, DERIVED_AS_OF, ORDERS)
     assert rows(other.customer_summary) == rows(audit.customer_summary)
     assert rows(other.executive_summary) == rows(audit.executive_summary)
@@ -151,14 +151,19 @@ def test_shared_folder(spark, monkeypatch):
             return self.settings.get(key, default)
 
     class Session:
-        conf = Conf(**{"spark.master": "yarn"})
+        conf = Conf(**{"spark.sql.warehouse.dir": "hdfs:///warehouse/"})
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared.shared_folder(Session)
-    Session.conf = Conf(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///scratch/"})
+    assert shared.shared_folder(Session) == "hdfs:///warehouse/_ledgerlens"
+    Session.conf = Conf(**{"spark.checkpoint.dir": "hdfs:///scratch/"})
     assert shared.shared_folder(Session) == "hdfs:///scratch"
-    Session.conf = Conf(**{"spark.master": "local[2]", "spark.app.id": "local-test"})
-    assert shared.shared_folder(Session) == shared.shared_folder(Session)
+
+
+def test_closing_removes_intermediate_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_folder", lambda _: str(tmp_path))
+    shared.materialize(spark.range(3), "some")
+    assert any(tmp_path.rglob("*.parquet"))
+    shared.remove_intermediates(spark)
+    assert not any(tmp_path.rglob("*.parquet"))
 
 
 def test_measure_of_nothing(spark):

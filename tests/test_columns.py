@@ -1,4 +1,5 @@
 import datetime
+import math
 
 import numpy as np
 import pandas as pd
@@ -6,9 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import (
     clip,
+    exact_mean,
+    exact_sum,
+    given_text,
     normalise_status,
     parse_number,
     parse_timestamp,
+    rankable_mean,
     round_half_even,
     round_half_up,
 )
@@ -43,6 +48,34 @@ def test_timestamps(spark):
     assert result(df, parse_timestamp(df, "x", ["dd/MM/yyyy"]))[2] == day
 
 
+def test_dates_that_are_none(spark):
+    df = one_column(spark, ["45292", "2024", "1066-10-14", "9999-01-01", "2024-1-2", "2024-01-02T03:04:05Z"], "string")
+    found = result(df, parse_timestamp(df, "x"))
+    assert found[:4] == [None] * 4 and found[4] == datetime.datetime(2024, 1, 2) and found[5] is not None
+
+
+def test_missing_texts(spark):
+    df = one_column(spark, ["N/A", "null", "", "NaN", "x", None, "na"], "string")
+    assert result(df, given_text(F.col("x"))) == [None, None, None, None, "x", None, "na"]
+
+
+def test_sums_of_any_finite_value(spark):
+    values = [1e300, 1e300, 1e30, 0.1, 0.2, 1e-9, -1e300]
+    df = one_column(spark, values, "double")
+    total = df.select(exact_sum(F.col("x"))).first()[0]
+    assert math.isclose(total, 1e300)
+    small = one_column(spark, [0.1] * 10 + [0.0000001] * 3 + [1e-20], "double")
+    assert small.select(exact_sum(F.col("x"))).first()[0] == 1.0000003
+    assert small.limit(0).select(exact_sum(F.col("x")), exact_mean(F.col("x"))).first() == (None, None)
+    assert result(one_column(spark, [1e300, -1e30, 2.345], "double"), round_half_up(F.col("x"), 2)) == [1e300, -1e30, 2.35]
+
+
+def test_equal_means_rank_alike(spark):
+    rows = [(1, 0.1)] + [(2, v) for v in (0.1, 0.1, 0.1)] + [(3, v) for v in (0.05, 0.15)]
+    df = spark.createDataFrame(rows, "k int, x double")
+    assert df.groupBy("k").agg(rankable_mean(F.col("x")).alias("m")).select("m").distinct().count() == 1
+
+
 def test_status(spark):
     df = one_column(spark, ["active", " ACTIVE\t", " paid ", "past due", "", None], "string")
     assert result(df, normalise_status(F.col("x"))) == ["Active", "Active", "Paid", "Past Due", "", "Nan"]

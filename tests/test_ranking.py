@@ -14,7 +14,7 @@ def way(request, monkeypatch):
     """Run with measured sides broadcast, and with none broadcast and small groups already hot."""
     if request.param == "shuffle":
         monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-        monkeypatch.setattr(joins, "HOT_SHARE", 10)
+        monkeypatch.setattr(joins, "LEAST_HOT_ROWS", 3)
     return request.param
 
 
@@ -76,7 +76,7 @@ def test_percentile_of_nothing(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
 def test_spread_join_like_join(spark, monkeypatch, how):
-    monkeypatch.setattr(joins, "HOT_SHARE", 10)
+    monkeypatch.setattr(joins, "LEAST_HOT_ROWS", 3)
     rows = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i}") for i in range(300)]
     left = spark.createDataFrame(rows, "id int, k string")
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k2", 3), ("other", 4), (None, 5)], "k string, v int")
@@ -87,7 +87,7 @@ def test_spread_join_like_join(spark, monkeypatch, how):
 
 
 def test_spread_join_deals_out_hot_and_null_keys(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_SHARE", 10)
+    monkeypatch.setattr(joins, "LEAST_HOT_ROWS", 3)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -158,7 +158,7 @@ def test_same_marks_without_broadcast(spark, subs, monkeypatch):
     raw = frame(spark, "invoices", *rows)
     broadcast = in_order(validators.clean_invoices(raw, subs))
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    monkeypatch.setattr(joins, "HOT_SHARE", 20)
+    monkeypatch.setattr(joins, "LEAST_HOT_ROWS", 3)
     assert in_order(validators.clean_invoices(raw, subs)) == broadcast
     assert sum("Duplicate" in reason for _, reason in broadcast) == 57
 
