@@ -342,8 +342,17 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
     )
     # Different sets of one digest share its cells without a star between them.
     twins = names.toDF("digest", "a").join(names.toDF("digest", "b"), "digest").where("a < b").select("a", "b")
-    first = measure(_linked(edges.unionAll(twins), texts, link), "links", rows=F.count(F.lit(1)))
-    parts = components(first.table)
+    # A member's least pivot connects most of what is connected; the others follow where it did not.
+    edges = materialize(edges.unionAll(twins), "candidate_edges")
+    schema = "a binary, b binary"
+    one = materialize(_linked(edges.groupBy("a").agg(F.min("b").alias("b")), texts, link), "links")
+    parts = components(one)
+    known = names.select("node").join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("c"))
+    known = materialize(known, "first_components")
+    apart = edges.join(known.toDF("a", "ca"), "a").join(known.toDF("b", "cb"), "b").where("ca <> cb").select("a", "b")
+    more = materialize(_linked(apart, texts, link), "more_links")
+    found = spark.createDataFrame([], schema).unionAll(one).unionAll(more)
+    parts = components(found)
 
     # Cells in which a member is still apart from the cell's least member.
     label = names.join(parts, "node", "left").select("digest", "node", F.coalesce("component", "node").alias("component"))
@@ -355,7 +364,7 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
     members = rest.select("cell", F.explode(F.array("member", "pivot")).alias("digest")).distinct()
     left = measure(members.join(label, "digest").select("cell", "node", "component"), "open_cells", rows=F.count(F.lit(1)))
     if left.measures["rows"] == 0:
-        return first.table
+        return found
     trees = left.table.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).cast("int").alias("trees"))
     listed = left.table.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LISTED).alias("cells"))
     points = (
@@ -365,10 +374,9 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
         .withColumn("home", F.pmod(F.xxhash64("node"), F.col("trees")).cast("int"))
         .withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
     )
-    schema = "a binary, b binary"
     pairs = points.drop("trees").groupBy("cell", "tree").applyInArrow(_tree_join(link), schema).distinct()
     second = materialize(_linked(materialize(pairs, "tree_pairs"), texts, link), "tree_links")
-    return spark.createDataFrame([], schema).unionAll(first.table).unionAll(second)
+    return found.unionAll(second)
 
 
 def _classes(docs: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
