@@ -106,7 +106,7 @@ def _least_shared(a, b):
     return -(-SHARE * (a + b) // (PER + SHARE))
 
 
-_POSTING = [("word", np.uint32), ("digest", np.uint64), ("bits", np.uint64), ("size", np.uint32), ("place", np.uint16)]
+_POSTING = [("word", np.uint32), ("digest", np.uint64), ("low", np.uint64), ("high", np.uint64), ("size", np.uint32), ("place", np.uint16)]
 
 
 def _postings(rarity, buckets: int):
@@ -128,13 +128,15 @@ def _postings(rarity, buckets: int):
                 begin = np.cumsum(sizes) - sizes
                 words = lines.sets.values[np.repeat(lines.sets.offsets[picked] - begin, sizes) + np.arange(sizes.sum())]
                 line = np.repeat(np.arange(len(picked)), sizes)
-                bits = np.bitwise_xor.reduceat(np.uint64(1) << (words & np.uint64(63)), begin)
+                bit, upper = np.uint64(1) << (words & np.uint64(63)), (words >> np.uint64(6)) & np.uint64(1) > 0
+                low = np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), begin)
+                high = np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), begin)
                 order = np.lexsort((words, counts[_counter(words)], line))
                 place = np.arange(len(words)) - begin[line]
                 prefix = place < sizes[line] - -(-SHARE * sizes[line] // PER) + 1
                 # A place that is too far back for its type is given as nearer, which only lets more pairs pass.
                 words, line, place = words[order][prefix], line[prefix], np.minimum(place[prefix], 0xFFFF)
-                found.append((W.mix(words), digest[picked][line], bits[line], sizes[line], place))
+                found.append((W.mix(words), digest[picked][line], low[line], high[line], sizes[line], place))
             if not found:
                 continue
             words, *rest = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -156,7 +158,7 @@ def _allowed(x: dict, y: dict) -> np.ndarray:
     a, b = x["size"].astype(np.int64), y["size"].astype(np.int64)
     least = _least_shared(a, b)
     rest = np.minimum(a - x["place"], b - y["place"])
-    apart = np.bitwise_count(x["bits"] ^ y["bits"])
+    apart = np.bitwise_count(x["low"] ^ y["low"]) + np.bitwise_count(x["high"] ^ y["high"])
     return (x["digest"] != y["digest"]) & (np.minimum(a, b) >= least) & (rest >= least) & (apart <= a + b - 2 * least)
 
 
@@ -169,7 +171,7 @@ def _within(data: dict, left: np.ndarray, right: np.ndarray, same: bool, most: i
 
     None if there are more than ``most``. Blocks of the left list meet only the lengths they can be similar to.
     """
-    sizes, bits = data["size"].astype(np.int64), data["bits"]
+    sizes = data["size"].astype(np.int64)
     found, n = [], 0
     total = int(sizes[right].max(initial=0)) + int(sizes[left].max(initial=0)) + 1
     limit = np.arange(total) - 2 * _least_shared(np.arange(total), 0)
@@ -183,8 +185,8 @@ def _within(data: dict, left: np.ndarray, right: np.ndarray, same: bool, most: i
         other = right[begin:end]
         if not len(other):
             continue
-        near = np.bitwise_count(bits[some][:, None] ^ bits[other][None]) <= limit[sizes[some][:, None] + sizes[other][None]]
-        i, j = np.nonzero(near)
+        low, high = (np.bitwise_count(data[n][some][:, None] ^ data[n][other][None]) for n in ("low", "high"))
+        i, j = np.nonzero(low + high <= limit[sizes[some][:, None] + sizes[other][None]])
         if same:
             keep = j + begin > i + start
             i, j = i[keep], j[keep]
@@ -234,7 +236,7 @@ def _meet(_: tuple, table: pa.Table) -> pa.Table:
     compare(np.repeat(starts, sizes)[members], np.flatnonzero(members))
     a, b = (data["digest"][np.concatenate(x).astype(np.int64)] for x in (left, right))
     key = int(table.column("bucket")[0].as_py()) << 32
-    columns = ("digest", "bits", "size", "place")
+    columns = ("digest", "low", "high", "size", "place")
     pairs = {"a": np.minimum(a, b).view(np.int64), "b": np.maximum(a, b).view(np.int64)}
     pairs = {n: pa.array(v) for n, v in pairs.items()} | {n: pa.nulls(len(a), pa.int64()) for n in ("group", *columns)}
     held = {n: data[n][members] for n in columns}
@@ -244,14 +246,14 @@ def _meet(_: tuple, table: pa.Table) -> pa.Table:
     return pa.concat_tables([pa.table(pairs), pa.table(opened)])
 
 
-_MET = "a long, b long, group long, digest long, bits long, size long, place long"
+_MET = "a long, b long, group long, digest long, low long, high long, size long, place long"
 
 
 def _search(_: tuple, table: pa.Table) -> pa.Table:
     """Lines without a match against one part of an open group."""
     table = table.sort_by("size")
-    data = {n: table.column(n).to_numpy() for n in ("digest", "bits", "size", "place")}
-    data = {n: v.view(np.uint64) if n in ("digest", "bits") else v for n, v in data.items()}
+    data = {n: table.column(n).to_numpy() for n in ("digest", "low", "high", "size", "place")}
+    data = {n: v.view(np.uint64) if n in ("digest", "low", "high") else v for n, v in data.items()}
     probe = table.column("probe").to_numpy(zero_copy_only=False)
     i, j = _within(data, np.flatnonzero(probe), np.flatnonzero(~probe), False, 1 << 62)
     a, b = data["digest"][i], data["digest"][j]
