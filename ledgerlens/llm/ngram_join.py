@@ -12,7 +12,9 @@
    group counts: two sets share at most the sum of the coordinate minima, which against a node's
    upper corner bounds all that is below it. Surviving pairs are verified by their shingles.
 
-So every link joins its two documents' components, though not every link inside a component is computed.
+So every link joins its two documents' components, though not every link inside a component is computed
+on the way. Where the links themselves are asked for, each component's classes are compared all with
+all: a large component is dealt into parts, and each two parts meet in a task of their own.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ CLASS_GROWTH = 1.5
 # Members of many cells list so many of them, which spares naming a pair once for each cell it shares.
 LISTED = 256
 BUCKET_BYTES = 64 << 20
+# Classes and their shingles in one part of a component, on average, and the shingles counted at a time.
+PART_ROWS, PART_SHINGLES, PART_COLUMNS = 512, 1 << 19, 4096
 
 
 class Link(NamedTuple):
@@ -317,8 +321,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, link: Link) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify(link), "a binary, b binary")
 
 
-def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
-    """Verified links (a, b) between classes, enough to connect whatever is connected."""
+def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) between classes, enough to connect whatever is connected, and the texts of all linked classes."""
     spark = docs.sparkSession
     words = sets.agg(F.sum("n_shingles")).first()[0] or 0
     # A bucket's share of the cells, at most two for a block, stays within memory.
@@ -364,7 +368,7 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
     members = rest.select("cell", F.explode(F.array("member", "pivot")).alias("digest")).distinct()
     left = measure(members.join(label, "digest").select("cell", "node", "component"), "open_cells", rows=F.count(F.lit(1)))
     if left.measures["rows"] == 0:
-        return found
+        return found, texts
     trees = left.table.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).cast("int").alias("trees"))
     listed = left.table.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LISTED).alias("cells"))
     points = (
@@ -376,43 +380,158 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> DataFrame:
     )
     pairs = points.drop("trees").groupBy("cell", "tree").applyInArrow(_tree_join(link), schema).distinct()
     second = materialize(_linked(materialize(pairs, "tree_pairs"), texts, link), "tree_links")
-    return found.unionAll(second)
+    return found.unionAll(second), texts
 
 
-def _classes(docs: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
-    """Rows doc_id, text_hash, n_shingles, node (the class), and of each class with ids: node, component, least id."""
+def _shared(sets: W.Rows, rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each of ``left`` shares with each of ``right``; both are places in ``rows``."""
+    counts = sets.counts[rows]
+    member = np.repeat(np.arange(len(rows)), counts)
+    _, column, often = np.unique(np.concatenate([sets.row(r) for r in rows.tolist()]), return_inverse=True, return_counts=True)
+    # What only one set has is shared by none.
+    renamed = np.cumsum(often > 1) - 1
+    member, column = member[often[column] > 1], renamed[column[often[column] > 1]]
+    order = np.argsort(column, kind="stable")
+    member, column = member[order], column[order]
+    shared = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, int(renamed[-1]) + 1, PART_COLUMNS):
+        some = slice(*np.searchsorted(column, [start, start + PART_COLUMNS]))
+        has = np.zeros((len(rows), min(PART_COLUMNS, int(renamed[-1]) + 1 - start)), np.float32)
+        has[member[some], column[some] - start] = 1
+        shared += (has[left] @ has[right].T).astype(np.int64)
+    return shared
+
+
+_PAIRS = "a binary, b binary, n_shared long, n_a long, n_b long"
+_COUNTS = "node binary, n long"
+
+
+def _part_links(link: Link, as_pairs: bool):
+    """All links between the classes of two parts of a component, or how many documents they give each class."""
+
+    def run(_: tuple, table: pa.Table) -> pa.Table:
+        parts = [W.distinct(W.shingles(W.words(p.column("text")), link.k)) for b in table.to_batches() for p in W.chunks(b, "text")]
+        counts = np.concatenate([p.counts for p in parts])
+        sets = W.Rows(np.concatenate([p.values for p in parts]), np.concatenate([[0], np.cumsum(counts)]))
+        node, component = (np.array(table.column(c).to_pylist(), object) for c in ("node", "component"))
+        low, high, home, rows_of = (table.column(c).to_numpy() for c in ("low", "high", "home", "rows"))
+        _, which = np.unique(component, return_inverse=True)
+        pairs, sums = [], []
+        for _, rows in _buckets_of(which, int(which.max()) + 1):
+            left, right = np.flatnonzero(home[rows] == low[rows]), np.flatnonzero(home[rows] == high[rows])
+            if not (len(left) and len(right)):
+                continue
+            shared = _shared(sets, rows, left, right)
+            a, b = rows[left], rows[right]
+            linked = link.holds(shared, counts[a][:, None], counts[b][None])
+            if low[rows[0]] == high[rows[0]]:
+                linked = np.triu(linked, 1)
+            if as_pairs:
+                i, j = np.nonzero(linked)
+                pairs.append((node[a[i]], node[b[j]], shared[i, j], counts[a[i]], counts[b[j]]))
+            else:
+                sums.append((node[a], linked @ rows_of[b]))
+                sums.append((node[b], rows_of[a] @ linked))
+        if as_pairs:
+            found = [np.concatenate(c) for c in zip(*pairs, strict=True)] if pairs else [np.zeros(0, np.int64)] * 5
+            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            return pa.table([pa.array(c.tolist(), t) for c, t in zip(found, kinds, strict=True)], ["a", "b", "n_shared", "n_a", "n_b"])
+        found = [np.concatenate(c) for c in zip(*sums, strict=True)] if sums else [np.zeros(0, np.int64)] * 2
+        return pa.table([pa.array(c.tolist(), t) for c, t in zip(found, (pa.binary(), pa.int64()), strict=True)], ["node", "n"])
+
+    return run
+
+
+def _every_link(classes: DataFrame, texts: DataFrame, link: Link, as_pairs: bool) -> DataFrame:
+    """All links between classes as ``_PAIRS``, or as ``_COUNTS``; a link never leaves its component."""
+    spark = classes.sparkSession
+    members = classes.join(texts, "node").select("component", "node", "rows", "n", "text")
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")).where("m > 1")
+    parts = F.greatest(F.ceil(F.col("m") / PART_ROWS), F.ceil(F.col("shingles") / PART_SHINGLES)).cast("int")
+    dealt = measure_size(sizes.select("component", parts.alias("parts"), "shingles"), "component_parts")
+    small = dealt.table.where("parts = 1").agg(F.sum("shingles")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-small // PART_SHINGLES))
+    # Components of one part share groups, those of several have a group for each two parts.
+    group = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(buckets))).otherwise(F.xxhash64("component"))
+    placed = (
+        sized_join(members, dealt._replace(table=dealt.table.drop("shingles")), ["component"], ["node"], "inner")
+        .withColumn("home", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .withColumn("group", group)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumns({"low": F.least("home", "other"), "high": F.greatest("home", "other")})
+    )
+    placed = placed.select("group", "low", "high", "home", "component", "node", "rows", "text")
+    schema = _PAIRS if as_pairs else _COUNTS
+    return placed.groupBy("group", "low", "high").applyInArrow(_part_links(link, as_pairs), schema)
+
+
+def _classes(docs: DataFrame, link: Link) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows doc_id, text_hash, n_shingles, node (the class); of each class with ids node, component, least id
+    and number of rows; and the texts of all linked classes."""
     schema = "doc_id long, text_hash long, n_shingles long, digest long, node binary"
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
     sets = materialize(hashed.mapInArrow(_digests(link), schema), "shingle_sets")
-    parts = components(links(docs.where("doc_id is not null"), sets.where("doc_id is not null"), link))
-    classes = sets.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    grouped = classes.join(parts, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
-    return sets, materialize(grouped, "classes")
+    found, texts = links(docs.where("doc_id is not null"), sets.where("doc_id is not null"), link)
+    parts = components(found)
+    classes = sets.where("n_shingles > 0 and doc_id is not null").groupBy("node")
+    classes = classes.agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+    grouped = classes.join(parts, "node", "left").select("node", "least", "rows", F.coalesce("component", "node").alias("component"))
+    return sets, materialize(grouped, "classes"), texts
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def join(docs: DataFrame, k: int = 3, share: int = 90, per: int = 100) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+def join(docs: DataFrame, k: int = 3, share: int = 90, per: int = 100, n_links: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, and on demand n_links.
 
     ``component_id`` is the smallest doc_id that links of at least ``share / per`` reach. A text
     without words, or null, has no shingles, links with nothing and is its own component, and so is
     a row with a null doc_id (its component is null). Rows may repeat a doc_id; each row has the
     component of its own text. Only the columns doc_id and text are read. Empty tables give no rows.
+    ``n_links`` is the number of other rows with an id that the row is linked to itself, copies included.
     """
     ship(docs.sparkSession)
-    sets, classes = _classes(_narrow(docs), Link(k, share, per))
+    link = Link(k, share, per)
+    sets, classes, texts = _classes(_narrow(docs), link)
     smallest = classes.groupBy("component").agg(F.min("least").alias("_smallest"))
-    by_class = measure_size(classes.join(smallest, "component").select("node", "_smallest"), "class_components")
+    named = classes.join(smallest, "component")
+    if n_links:
+        others = _every_link(classes, texts, link, as_pairs=False).groupBy("node").agg(F.sum("n").alias("_others"))
+        named = named.join(others, "node", "left")
+        named = named.withColumn("_links", F.col("rows") - 1 + F.coalesce("_others", F.lit(0)))
+    extra = ["_links"] if n_links else []
+    by_class = measure_size(named.select("node", "_smallest", *extra), "class_components")
     joined = sized_join(sets, by_class, ["node"], ["doc_id"], "left")
     own = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     return joined.select(
-        "doc_id", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("_smallest")).alias("component_id")
+        "doc_id",
+        "n_shingles",
+        F.when(own, F.col("doc_id")).otherwise(F.col("_smallest")).alias("component_id"),
+        *[F.when(own, F.lit(0)).otherwise(F.col(c)).cast("bigint").alias("n_links") for c in extra],
     )
 
 
+def pairs(docs: DataFrame, k: int = 3, share: int = 90, per: int = 100) -> DataFrame:
+    """Every link between documents: a, b (a < b, each pair of ids once), similarity.
+
+    Copies are linked too, with similarity 1. The rows grow with the square of a group of near copies, as the
+    links do; ``join`` counts them without naming them. Rows without words or with a null id have no links.
+    """
+    ship(docs.sparkSession)
+    link = Link(k, share, per)
+    sets, classes, texts = _classes(_narrow(docs), link)
+    between = _every_link(classes, texts, link, as_pairs=True)
+    similarity = F.col("n_shared") / (F.col("n_a") + F.col("n_b") - F.col("n_shared"))
+    between = between.select(F.col("a").alias("_a"), F.col("b").alias("_b"), similarity.alias("similarity"))
+    copies = classes.where("rows > 1").select(F.col("node").alias("_a"), F.col("node").alias("_b"), F.lit(1.0).alias("similarity"))
+    ids = materialize(sets.where("n_shingles > 0 and doc_id is not null").select("node", "doc_id").distinct(), "class_members")
+    named = between.unionAll(copies).join(ids.toDF("_a", "_x"), "_a").join(ids.toDF("_b", "_y"), "_b").where("_x <> _y")
+    ends = F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b")
+    return named.select(*ends, "similarity").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+
+
 def keep_one(docs: DataFrame, k: int = 5, share: int = 80, per: int = 100) -> DataFrame:
     """The rows of ``docs``, all columns as they are, without those linked to a kept one.
 
@@ -421,7 +540,7 @@ def keep_one(docs: DataFrame, k: int = 5, share: int = 80, per: int = 100) -> Da
     id have no links and stay. The ids to leave out are joined by their measured size.
     """
     ship(docs.sparkSession)
-    sets, classes = _classes(_narrow(docs), Link(k, share, per))
+    sets, classes, _ = _classes(_narrow(docs), Link(k, share, per))
     linked = sets.where("n_shingles > 0 and doc_id is not null").select("doc_id", "text_hash", "node")
     rows = sized_join(linked, measure_size(classes.select("node", "component"), "components_by_class"), ["node"], ["doc_id"], "inner")
     rows = materialize(rows.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")), "members")

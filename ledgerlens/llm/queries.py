@@ -15,7 +15,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.join(_table(spark, folder, "documents"), k=3, share=90, per=100)
+    return ngram_join.join(_table(spark, folder, "documents"), k=3, share=90, per=100, n_links=True)
 
 
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:

@@ -99,3 +99,27 @@ def test_tree_finds_all_that_the_bound_allows():
     shared = np.minimum(points[:, None], points[None]).sum(axis=2)
     expected = {(int(a), int(b)) for a, b in zip(*np.nonzero(link.holds(shared, sizes[:, None], sizes[None])), strict=True)}
     assert found == expected and len(expected) > 300
+
+
+@pytest.mark.parametrize("seed, words, edits, part", [(1, 60, 4, 512), (2, 150, 9, 16), (3, 14, 3, 7)])
+def test_every_link(spark, monkeypatch, seed, words, edits, part):
+    monkeypatch.setattr(ngram_join, "PART_ROWS", part)  # components of one part and of several
+    monkeypatch.setattr(ngram_join, "PART_COLUMNS", 50)
+    docs = drifting(seed, 4, 40, words, edits)
+    docs += [(200 + i, docs[i][1]) for i in range(5)] + [(None, docs[0][1]), (300, None), (301, "alone")]
+    sets = [(i, shingle_set(t)) for i, t in docs if i is not None and t]
+    expected = {}
+    for at, (i, a) in enumerate(sets):
+        for j, b in sets[at + 1 :]:
+            if 100 * len(a & b) >= 90 * len(a | b):
+                expected[min(i, j), max(i, j)] = len(a & b) / len(a | b)
+    assert len(expected) > 100
+    df = spark.createDataFrame([(i, t, "clash") for i, t in docs], SCHEMA)
+    rows = ngram_join.pairs(df).collect()
+    assert len(rows) == len(expected) and {(r["a"], r["b"]): r["similarity"] for r in rows} == pytest.approx(expected)
+    number = {i: 0 for i, _ in docs}
+    for pair in expected:
+        for i in pair:
+            number[i] += 1
+    joined = ngram_join.join(df, n_links=True).collect()
+    assert sorted((r["doc_id"] or -1, r["n_links"]) for r in joined) == sorted((i or -1, n) for i, n in number.items())
