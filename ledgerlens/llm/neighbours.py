@@ -1,13 +1,15 @@
 """Nearest neighbours by inner product, through robust-pruned directed graphs, one for each shard.
 
-Equal vectors are indexed once. The distinct ones are dealt to shards by hash; a shard's task builds
+Equal vectors are indexed once. The distinct ones are dealt to shards by length (of a shard the longest
+is at most NORM_RATIO times the shortest, so no long one swallows the others' distances) and by hash; a shard's task builds
 its graph: points enter in growing batches, a greedy search from the entry point proposes neighbours,
 pruning keeps a proposal unless a kept one is closer to it by the factor ALPHA, and edges are added
 both ways. The graphs are written. Each block of queries is searched with a beam in every shard, and
 the shards' best are merged.
 
 The greatest inner product is the least distance once each vector has an extra coordinate that lifts
-all of a shard to the same length; queries have 0 there. Scores are recomputed in double precision.
+all of a shard to the same length; queries have 0 there. A shard's points and each query are scaled to
+components up to 1, so nothing overflows. Scores are recomputed in double precision.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from ledgerlens.operators.shared import materialize, measure
 DEGREE, BEAM, ALPHA = 32, 96, 1.2
 # Vectors in a shard, on average: bounds a task's memory, whatever the size of the table.
 SHARD_ROWS = 6000
+# Lengths in a shard; the bands' borders are 1/4, 4, 64 and so on, so that unit vectors are in the midst of one.
+NORM_RATIO = 16
 # Queries in a block, on average, of which a shard's task searches QUERY_ROWS at a time.
 QUERY_BLOCK = 20_000
 QUERY_ROWS = 512
@@ -40,10 +44,15 @@ def _merge(ids: np.ndarray, far: np.ndarray, seen: np.ndarray, keep: int) -> tup
     return tuple(np.take_along_axis(x, order, 1) for x in (ids, far, seen))
 
 
+def _scaled(points: np.ndarray) -> np.ndarray:
+    return points / np.abs(points).max(initial=np.finfo(np.float64).tiny)
+
+
 class Graph:
     """A searchable graph over the rows of ``points``, built here unless its edges and entry are given."""
 
     def __init__(self, points: np.ndarray, edges: np.ndarray | None = None, entry: int = 0):
+        points = _scaled(points)
         top = float((points * points).sum(axis=1).max(initial=0.0))
         lift = np.sqrt(np.maximum(top - (points * points).sum(axis=1), 0.0))
         self.points = np.concatenate([points, lift[:, None]], axis=1).astype(np.float32)
@@ -62,6 +71,10 @@ class Graph:
                 self._insert(order[done : done + size], alpha)
                 done, size = done + size, min(size * 2, max(64, n // 16))
 
+    def _order(self, queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Ascends with the distance, without the part all points share."""
+        return -np.matmul(self.points[ids], queries[:, :, None])[:, :, 0]
+
     def _far(self, queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Squared distances; of a query, up to its own length, which is the same for all points."""
         return 2 * (self.square - np.matmul(self.points[ids], queries[:, :, None])[:, :, 0])
@@ -73,7 +86,7 @@ class Graph:
         far = np.full((rows, beam), np.inf, np.float32)
         seen = np.zeros((rows, beam), bool)
         ids[:, 0] = self.entry
-        far[:, 0] = self._far(queries, ids[:, :1])[:, 0]
+        far[:, 0] = self._order(queries, ids[:, :1])[:, 0]
         visited = []
         active = np.arange(rows)
         while len(active):
@@ -89,7 +102,7 @@ class Graph:
             column[active] = at
             visited.append(column)
             near = self.edges[at]
-            distance = np.where(near >= 0, self._far(queries[active], near), np.inf)
+            distance = np.where(near >= 0, self._order(queries[active], near), np.inf)
             ids[active], far[active], seen[active] = _merge(
                 np.concatenate([ids[active], near], axis=1),
                 np.concatenate([far[active], distance], axis=1).astype(np.float32),
@@ -147,7 +160,8 @@ class Graph:
                 self.edges[to[block][~full]] = packed
 
     def nearest(self, queries: np.ndarray, beam: int) -> np.ndarray:
-        lifted = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
+        scaled = queries / np.abs(queries).max(axis=1, keepdims=True, initial=np.finfo(np.float64).tiny)
+        lifted = np.concatenate([scaled, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
         return self.search(lifted, min(beam, max(len(self.points), 1)))[0]
 
 
@@ -157,6 +171,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def norm_band(vector: Column) -> Column:
+    """Number of the band of lengths that a usable vector is in."""
+    sizes = F.transform(vector, lambda x: F.abs(x.cast("double")))
+    most = F.array_max(sizes)
+    squares = F.aggregate(sizes, F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
+    return F.floor((F.log2(most) + F.log2(squares) / 2) / F.log2(F.lit(float(NORM_RATIO))) + 0.5).cast("int")
+
+
 def inner_product(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
@@ -181,13 +203,17 @@ def _build(_: tuple, table: pa.Table) -> pa.Table:
 def build(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """The written graphs over the distinct usable vectors; vec_id is the least of equal vectors."""
     ship(vectors.sparkSession)
-    distinct = measure(
-        _usable_rows(vectors).groupBy("embedding").agg(F.min("vec_id").alias("vec_id")), "distinct_vectors", rows=F.count(F.lit(1))
-    )
-    shards = max(1, round(distinct.measures["rows"] / shard_rows))
-    points = distinct.table.select(
-        F.size("embedding").alias("length"), F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int").alias("shard"), "vec_id", "embedding"
-    )
+    distinct = _usable_rows(vectors).groupBy("embedding").agg(F.min("vec_id").alias("vec_id"))
+    distinct = materialize(distinct.withColumn("band", norm_band(F.col("embedding"))), "distinct_vectors")
+    # A few hundred bands at most, as doubles have 2,100 powers of two.
+    first, places = 0, []
+    for r in sorted(distinct.groupBy("band").agg(F.count(F.lit(1)).alias("rows")).collect()):
+        shards = max(1, round(r["rows"] / shard_rows))
+        places.append((r["band"], first, shards))
+        first += shards
+    bands = vectors.sparkSession.createDataFrame(places, "band int, first int, shards int")
+    shard = F.col("first") + F.pmod(F.xxhash64("embedding"), F.col("shards")).cast("int")
+    points = distinct.join(F.broadcast(bands), "band").select(F.size("embedding").alias("length"), shard.alias("shard"), "vec_id", "embedding")
     kind = vectors.schema["embedding"].dataType.simpleString()
     schema = f"length int, shard int, vec_id long, embedding {kind}, place long, edges array<int>, entry boolean"
     return materialize(points.groupBy("length", "shard").applyInArrow(_build, schema), "graphs")

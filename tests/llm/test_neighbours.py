@@ -78,3 +78,17 @@ def test_unusable_vectors_and_few_candidates(spark):
     assert rows_of(neighbours.search(df, df)) == {1: [(7, 4.0)], 7: [(1, 4.0)]}
     assert neighbours.search(df.limit(0), df).collect() == []
     assert neighbours.search(df, df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("norm", [1e4, 1e25])
+def test_a_few_long_vectors(spark, norm):
+    random = np.random.default_rng(6)
+    points = random.normal(size=(2000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    points[[3, 700, 1500]] *= norm
+    vectors = [(int(i), p.tolist()) for i, p in enumerate(points)]
+    queries = vectors[::40] + [vectors[3]]
+    df = frame(spark, vectors)
+    got = rows_of(neighbours.search(df, frame(spark, queries), k=20))
+    assert all(len(rows) == 20 for rows in got.values())
+    assert recall(got, brute(vectors, queries, 20)) >= 0.9
