@@ -5,6 +5,9 @@ value has the same surrogate in all documents. Digits become digits and letters
 case and script; what makes up the format stays. First names come from a list of their gender.
 Surrogates of different values are kept apart, and from all real values, by a check over the whole
 corpus. DataFrame functions only.
+
+Not detected: names without a title whose given name is not listed, national phone numbers without
+separators or a leading 0, postal addresses, and secrets that follow none of the keywords.
 """
 
 from __future__ import annotations
@@ -40,15 +43,29 @@ _ENDING = r"(?:ова|ева|ина|ская|ая|ов|ев|ин|ский|ий)$
 _WORD = r"\p{Lu}[\p{L}\p{M}'-]+"
 _GIVEN = "|".join(n for names in NAMES.values() for n in names.split())
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles.split())
+_H = "[0-9A-Fa-f]{1,4}"
+# Eight groups, or fewer around a double colon and a digit among them.
+_IPV6 = (
+    rf"(?<![\p{{L}}\d:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{_H}:){{7}}{_H}|(?:{_H}:){{1,6}}(?::{_H}){{1,6}}|(?:{_H}:){{1,7}}:|:(?::{_H}){{1,7}})"
+    r"(?![\p{L}\d:])"
+)
+# An area code and two groups; in international form, grouped or not; and national with a leading 0, in pairs or two groups.
+_PHONE = (
+    r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)"
+    r"|(?<![\p{L}\d+])\+[1-9]\d{7,14}(?!\d)"
+    r"|(?<![\p{L}\d+])\+(?=(?:[ .()-]{0,2}\d){8,15}(?!\d))[1-9]\d{0,2}[ .-]?\(?\d{1,4}\)?(?:[ .-]\d{2,8}){1,5}(?!\d)"
+    r"|(?<![\d+.,/-])0\d(?:[ .-]\d{2}){4}(?!\d)|(?<![\d+.,/-])0\d{2,4}[ /-]\d{5,8}(?!\d)"
+)
 TYPES = {
     "email": (r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}][\p{L}\p{N}-]*(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}", ""),
-    "secret": (r"(?i:password|passwd|pwd|token|secret|api_?key)\s*[:=]\s*[\"']?[^\s\"',;]{6,}", r"(?i)^\w+\s*[:=]\s*[\"']?"),
+    "secret": (r"(?i:password|passwd|pwd|token|secret|api_?key)[\"']?\s*[:=]\s*[\"']?[^\s\"',;]{6,}", r"(?i)^\w+[\"']?\s*[:=]\s*[\"']?"),
     "access_key": (r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b", r"^(?:AKIA|ASIA)"),
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?\b", r"^[A-Z]{2}"),
     "ip": (r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)", ""),
+    "ipv6": (_IPV6, ""),
     "card": (r"(?<!\d)(?:\d[ -]?){12,18}\d(?!\d)", ""),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", ""),
-    "phone": (r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)", r"^\+\d{1,3}(?!\d)"),
+    "phone": (_PHONE, r"^(?:\+(?:\d{1,3}(?!\d)|[17]|[2-9]\d)|0)"),
     "name": (rf"\b(?:{_TITLE})\.? {_WORD}(?: {_WORD})?|\b(?:{_GIVEN}) {_WORD}", rf"^(?:{_TITLE})\.? "),
 }
 # What every match contains, as a quick first test.
@@ -85,6 +102,7 @@ def _like(text: Column, stream: Column, hexadecimal: Column) -> Column:
         cyrillic = _letter(_CYRILLIC_LOWER, stream, i)
         return (
             F.when(hexadecimal & c.rlike("[0-9a-f]"), _letter(_HEX, stream, i))
+            .when(hexadecimal & c.rlike("[A-F]"), F.upper(_letter(_HEX, stream, i)))
             .when(c.rlike("[0-9]"), _letter(_DIGITS, stream, i))
             .when(c.rlike(r"\p{IsCyrillic}"), F.when(low, cyrillic).otherwise(F.upper(cyrillic)))
             .when(c.rlike(r"\p{IsLatin}"), latin)
@@ -143,7 +161,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         .otherwise(F.lit(""))
     )
     middle = F.substring(value, F.length(kept) + 1, F.length(value) - F.length(kept) - F.length(tail))
-    hexadecimal = (kind == "secret") & middle.rlike("^[0-9a-f]+$")
+    hexadecimal = ((kind == "secret") & middle.rlike("^[0-9a-f]+$")) | (kind == "ipv6")
     general = F.concat(kept, _like(middle, stream, hexadecimal), tail)
     return F.when(kind == "ip", _ip(stream)).when(kind == "card", _card(value, stream)).otherwise(general)
 

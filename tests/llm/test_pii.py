@@ -92,3 +92,21 @@ def test_whole_table(spark):
         assert not any(p in r["new"] for p in private)
         assert (r["n_replaced"] > 0) == (r["new"] != r["text"])
     assert len(rows) == docs.count() and found > 20
+
+
+def test_more_formats(spark):
+    shapes = {
+        "+14155550132": r"\+1\d{10}",
+        "+49 30 12345678": r"\+49 \d\d \d{8}",
+        "06 12 34 56 78": r"0\d \d\d \d\d \d\d \d\d",
+        "+33 6 12 34 56 78": r"\+33 \d \d\d \d\d \d\d \d\d",
+        "030 12345678": r"0\d\d \d{8}",
+        '"api_key": "b7db7aa4a5fcc78305"': r'"api_key": "[0-9a-f]{18}"',
+        "2001:db8:85a3:8d3:1319:8a2e:370:7348": r"[0-9a-f]{4}:[0-9a-f]{3}:([0-9a-f]{3,4}:){4}[0-9a-f]{3}:[0-9a-f]{4}",
+        "2001:DB8::A2E": r"[0-9A-F]{4}:[0-9A-F]{3}::[0-9A-F]{3}",
+    }
+    for (value, shape), (text, n) in zip(shapes.items(), replaced(spark, [f"before {v} after" for v in shapes]), strict=True):
+        new = text.removeprefix("before ").removesuffix(" after")
+        assert n == 1 and new != value and re.fullmatch(shape, new), (value, new)
+    plain = ["at 12:30:45 in std::vector, a::b, 10 to 20 30 40", "+5 30", "in 2024 of 0.5 12345"]
+    assert replaced(spark, plain) == [(t, 0) for t in plain]
