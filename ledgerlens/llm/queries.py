@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontaminate, line_dedup, lm_score, mixing, neighbours, ngram_join, pii, quality, sharding, token_counts
+from ledgerlens.llm import (
+    codebooks,
+    conversations,
+    decontaminate,
+    line_dedup,
+    lm_score,
+    mixing,
+    neighbours,
+    ngram_join,
+    pii,
+    quality,
+    sharding,
+    simhash_trie,
+    token_counts,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,6 +83,18 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(_table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(_table(spark, folder, "conversations"), damage=True)
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codebooks.encode(_table(spark, folder, "embeddings"))
+
+
+def op13_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_trie.near_duplicates(_table(spark, folder, "documents"), radius=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -81,4 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_line_dedup": op8_line_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_simhash_trie": op13_simhash_trie,
     }
