@@ -25,8 +25,6 @@ MISSING_TEXTS = (
 ISO_PATTERN = r"^\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}(:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}:?\d{2})?)?)?$"
 YEARS = (1678, 2261)
 MISSING_STATUS = "Nan"
-# Decimals that hold any double below EXACT_BELOW to sixteen places, and the sum of 10^11 of them.
-EXACT, EXACT_BELOW = "decimal(38,16)", 1e11
 
 
 def given_text(column: Column) -> Column:
@@ -77,50 +75,6 @@ def net_fee(fee: Column, discount_pct: Column) -> Column:
     return fee * (1 - F.coalesce(discount_pct, F.lit(0.0)) / 100.0)
 
 
-def _exact_parts(column: Column) -> tuple[Column, Column]:
-    """A double as a decimal, and what the decimal leaves out: huge values, and digits beyond the sixteenth."""
-    fits = F.abs(column) < EXACT_BELOW
-    exact = F.when(fits, column).try_cast(EXACT)
-    return exact, F.when(fits, column - exact.cast("double")).otherwise(column)
-
-
-def exact_sum(column: Column) -> Column:
-    """Aggregate: the sum of a double column as a double, null over no values.
-
-    Values below ``EXACT_BELOW`` are summed as decimals, so that the result does not depend on the
-    order of rows, and what does not fit a decimal as doubles: no finite value stops a query.
-    """
-    exact, rest = _exact_parts(column)
-    summed = F.coalesce(F.try_sum(exact).cast("double"), F.sum(F.when(exact.isNotNull(), column)), F.lit(0.0))
-    return F.when(F.count(column) > 0, summed + F.coalesce(F.sum(rest), F.lit(0.0)))
-
-
-def partial_sums(column: Column, name: str) -> list[Column]:
-    """Aggregates: the two parts of an exact sum, to be summed further by ``merged_sum``."""
-    exact, rest = _exact_parts(column)
-    return [F.try_sum(exact).alias(f"{name}_exact"), F.sum(rest).alias(f"{name}_rest")]
-
-
-def merged_sum(name: str) -> Column:
-    """Aggregate: the sum of several ``partial_sums`` as a double, 0 over no values."""
-    exact = F.coalesce(F.try_sum(f"{name}_exact").cast("double"), F.lit(0.0))
-    return exact + F.coalesce(F.sum(f"{name}_rest"), F.lit(0.0))
-
-
-def exact_mean(column: Column) -> Column:
-    """Aggregate: the mean of a double column, from its exact sum; null over no values."""
-    return F.try_divide(exact_sum(column), F.count(column))
-
-
-def rankable_mean(column: Column) -> Column:
-    """Aggregate: a mean that is the very same double for equal means of different counts, as ranks
-
-    with ties need: the exact sum is divided as a decimal. With huge values it is ``exact_mean``."""
-    exact, rest = _exact_parts(column)
-    quotient = F.try_divide(F.try_sum(exact), F.count(column).cast("decimal(20,0)")).cast("double")
-    return F.when(F.max(F.abs(rest)) == 0, F.coalesce(quotient, exact_mean(column))).otherwise(exact_mean(column))
-
-
 def share(condition: Column) -> Column:
     """Aggregate: the part of the rows for which the condition holds."""
     return F.count_if(condition) / F.count(F.lit(1))

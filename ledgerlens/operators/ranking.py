@@ -7,21 +7,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import joins
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.shared import Measured, measure, text_bytes
 
+# Rows that one task may put in order.
+WINDOW_ROWS = 1 << 20
+
 
 def running_total(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, below: str, total: str
 ) -> Measured:
     """Add the sum of ``value`` over the rows before (``below``) and over all rows (``total``).
 
-    Rows are taken per ``by`` in ascending ``order``, which must tell the rows of a group apart.
-    The rows are cut into ranges by Spark's own range partitioning, which balances them whatever
-    the values are, and written with the number of their range, so that the sums per range and
-    the sums within a range see the same cut even if tasks run again.
+    Rows are taken per ``by`` in ascending ``order``, which must tell the rows of a group apart. They are
+    written first; up to ``WINDOW_ROWS`` of them are then put in order by one window, more in ranges.
     """
     by, order = list(by), list(order)
+    written = measure(df, "counted", rows=F.count(F.lit(1)), bytes=text_bytes(df))
+    if written.measures["rows"] > WINDOW_ROWS:
+        return _total_by_ranges(written.table, by, order, value, below, total)
+    return Measured(_total_by_window(written.table, by, order, value, below, total), written.measures)
+
+
+def _total_by_window(df: DataFrame, by: list[str], order: list[str], value: str, below: str, total: str) -> DataFrame:
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumns(
+        {below: F.coalesce(F.sum(value).over(earlier), F.lit(0)), total: F.sum(value).over(group)}
+    )
+
+
+def _total_by_ranges(df: DataFrame, by: list[str], order: list[str], value: str, below: str, total: str) -> Measured:
+    """The rows are cut into ranges by Spark's own range partitioning, which balances them whatever the
+
+    values are, and written with the number of their range, so that the sums per range and the sums
+    within a range see the same cut even if tasks run again.
+    """
     cut = df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id())
     written = measure(cut, "ranges", bytes=text_bytes(cut))
     # One row per range (and group): as many as there are shuffle partitions, not rows.
@@ -44,12 +66,18 @@ def running_total(
     return Measured(placed, written.measures)
 
 
+def _rank() -> Column:
+    """The mean rank of equal values, as a part of all values."""
+    return (F.col("_below") + (F.col("_n") + 1) / 2) / F.col("_total")
+
+
 def percent_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Per ``key`` the rank of each column among its non-null values, divided by their number.
 
-    Equal values share the average of their ranks; a null value has a null rank. ``key`` must be
-    unique. Works on the distinct values and their counts, so that a value shared by a third of
-    all rows is one row to sort, and joins the ranks back. ``df`` is read twice.
+    Equal values share the average of their ranks; a null value has a null rank, and a row of nulls is
+    left out. ``key`` must be unique. Ranks are made of the distinct values and their counts, so that a
+    value shared by a third of all rows is one row to sort. If the measured counts allow, every column
+    looks its ranks up in place, in one pass over ``df``; otherwise values and ranks are joined by value.
     """
     pairs = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).alias("_value")) for i, c in enumerate(columns)])
     values = (
@@ -58,15 +86,27 @@ def percent_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
         .where(F.col("_value").isNotNull())
     )
     counts = values.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(counts, ["_column"], ["_value"], "_n", "_below", "_total")
-    rank = (F.col("_below") + (F.col("_n") + 1) / 2) / F.col("_total")
-    ranks = Measured(placed.table.select("_column", "_value", rank.alias("_rank")), placed.measures)
+    written = measure(counts, "value_counts", rows=F.count(F.lit(1)), bytes=text_bytes(counts))
+    if written.measures["rows"] <= WINDOW_ROWS and written.measures["bytes"] <= joins.BROADCAST_BYTES:
+        return _ranks_in_place(df, key, columns, written.table)
+    placed = running_total(written.table, ["_column"], ["_value"], "_n", "_below", "_total")
+    ranks = Measured(placed.table.select("_column", "_value", _rank().alias("_rank")), placed.measures)
     found = sized_join(values, ranks, ["_column", "_value"], [key])
     return found.groupBy(key).agg(
         *[F.max(F.when(F.col("_column") == i, F.col("_rank"))).alias(c) for i, c in enumerate(columns)]
     )
 
 
+def _ranks_in_place(df: DataFrame, key: str, columns: Sequence[str], counts: DataFrame) -> DataFrame:
+    found = df.select(key, *columns).dropna("all", subset=list(columns))
+    for i, c in enumerate(columns):
+        own = counts.where(F.col("_column") == i).drop("_column")
+        placed = _total_by_window(own, [], ["_value"], "_n", "_below", "_total")
+        ranks = placed.select(F.col("_value").alias(c), _rank().alias(f"_rank_{i}"))
+        found = found.join(F.broadcast(ranks), c, "left")
+    return found.select(key, *[F.col(f"_rank_{i}").alias(c) for i, c in enumerate(columns)])
+
+
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], position: str, total: str) -> DataFrame:
     """Number the rows of each group from 0 in ``order``, and add the group's number of rows."""
     placed = running_total(df.withColumn("_one", F.lit(1)), by, order, "_one", position, total)
@@ -85,26 +125,3 @@ def tile(position: Column, total: Column, tiles: int) -> Column:
         .otherwise(F.floor((position - in_larger) / F.greatest(size, F.lit(1))) + larger + 1)
         .cast("int")
     )
-
-
-def percentile_with_count(df: DataFrame, column: str, percent: int) -> DataFrame:
-    """One row: the exact, linearly interpolated percentile of the non-null values and their number."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(counts, [], [column], "_n", "_below", "_total").table
-    # Place of the percentile among the values, counted from 0, in hundredths.
-    place = (F.col("_total") - 1) * percent
-    low = F.floor(place / 100)
-    high = F.ceil(place / 100)
-
-    def value_at(index: Column) -> Column:
-        here = (F.col("_below") <= index) & (index < F.col("_below") + F.col("_n"))
-        return F.max(F.when(here, F.col(column)))
-
-    ends = placed.agg(
-        value_at(low).alias("low"),
-        value_at(high).alias("high"),
-        F.max((place % 100) / 100).alias("fraction"),
-        F.coalesce(F.max("_total"), F.lit(0)).alias("value_count"),
-    )
-    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("fraction")
-    return ends.select(value.alias("percentile"), "value_count")

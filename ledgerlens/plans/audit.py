@@ -9,10 +9,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.functions.dates import Inferred, format_report, inferred_formats, patterns
 from ledgerlens.operators.rules import rule_counts, status_counts
 from ledgerlens.operators.shared import materialize, remove_intermediates, together
 from ledgerlens.plans import dashboard, executive, health, metrics, reports, validators
 from ledgerlens.plans.corrections import STANDARD, Corrections
+from ledgerlens.plans.validators import Formats
 from ledgerlens.sources.schemas import TABLES
 from ledgerlens.sources.tables import load_tables, register_views, save_table, without_missing_texts, write_tables
 
@@ -26,7 +28,8 @@ class RevenueAudit:
 
     ``tables`` holds the four inputs by name. ``as_of`` is the day on which renewals are judged.
     ``orders`` replaces the columns that give a table its load order, ``formats`` are date
-    patterns for text columns beyond ISO, ``require_case_customer`` turns on the rule against
+    patterns for text columns beyond ISO; not given, each column's is inferred (``date_formats``), and an
+    empty list leaves ISO alone. ``require_case_customer`` turns on the rule against
     support cases without a customer, and ``corrections`` replaces conventions of the results.
     """
 
@@ -35,7 +38,7 @@ class RevenueAudit:
         tables: Mapping[str, DataFrame],
         as_of: date,
         orders: Mapping[str, Sequence[str]] | None = None,
-        formats: Sequence[str] = (),
+        formats: Sequence[str] | None = None,
         require_case_customer: bool = False,
         corrections: Corrections = STANDARD,
     ):
@@ -45,20 +48,33 @@ class RevenueAudit:
         self.raw = {name: without_missing_texts(tables[name], spec.columns) for name, spec in TABLES.items()}
         self.as_of = as_of
         self.orders = {name: tuple((orders or {}).get(name, spec.order)) for name, spec in TABLES.items()}
-        self.formats = tuple(formats)
+        self.given_formats = None if formats is None else tuple(formats)
         self.require_case_customer = require_case_customer
         self.corrections = corrections
+        self._written: set[str] = set()
 
     @classmethod
     def from_folder(cls, spark: SparkSession, folder: str, as_of: date, fmt: str = "parquet", **options) -> RevenueAudit:
         return cls(load_tables(spark, folder, fmt), as_of, **options)
 
+    @cached_property
+    def date_formats(self) -> dict[str, dict[str, Inferred]]:
+        """The inferred format of every date column that holds text, by table; a draw between formats names its ``rivals``."""
+        builds = [lambda n=name, s=spec: inferred_formats(self.raw[n], s.timestamps) for name, spec in TABLES.items()]
+        return dict(zip(TABLES, together(*builds)))
+
+    def date_format_report(self) -> DataFrame:
+        return format_report(self.raw["subscriptions"].sparkSession, self.date_formats)
+
+    def _formats(self, name: str) -> Formats:
+        return patterns(self.date_formats[name]) if self.given_formats is None else self.given_formats
+
     # Classified tables
 
     @cached_property
     def clean_subscriptions(self) -> DataFrame:
         name = "subscriptions"
-        options = self.orders[name], self.formats, self.corrections
+        options = self.orders[name], self._formats(name), self.corrections
         return validators.clean_subscriptions(self.raw[name], self.as_of, *options)
 
     @cached_property
@@ -70,19 +86,19 @@ class RevenueAudit:
     @cached_property
     def clean_invoices(self) -> DataFrame:
         name = "invoices"
-        options = self.orders[name], self.formats, self.corrections
+        options = self.orders[name], self._formats(name), self.corrections
         return validators.clean_invoices(self.raw[name], self.clean_subscriptions, *options)
 
     @cached_property
     def clean_product_usage(self) -> DataFrame:
         name = "product_usage"
-        options = self.orders[name], self.formats, self.corrections
+        options = self.orders[name], self._formats(name), self.corrections
         return validators.clean_product_usage(self.raw[name], self.clean_subscriptions, *options)
 
     @cached_property
     def clean_support_cases(self) -> DataFrame:
         name = "support_cases"
-        options = self.orders[name], self.formats, self.corrections, self.require_case_customer
+        options = self.orders[name], self._formats(name), self.corrections, self.require_case_customer
         return validators.clean_support_cases(self.raw[name], self.clean_subscriptions, *options)
 
     @property
@@ -92,6 +108,7 @@ class RevenueAudit:
         return dict(zip(TABLES, found))
 
     def _write_clean(self, name: str) -> None:
+        self._written.add(name)
         setattr(self, f"clean_{name}", materialize(getattr(self, f"clean_{name}"), f"clean_{name}"))
 
     # Customer level
@@ -194,9 +211,16 @@ class RevenueAudit:
     def rule_counts(self, name: str) -> DataFrame:
         return rule_counts(getattr(self, f"clean_{name}"))
 
+    def write_clean(self) -> None:
+        """Write the classified tables to the shared folder; from then on all results read these."""
+        self.written_subscriptions  # noqa: B018 - the other three need it
+        missing = [name for name in TABLES if name not in self._written]
+        together(*[lambda n=name: self._write_clean(n) for name in missing] or [lambda: None])
+
     def register_views(self) -> None:
-        summary = self.customer_summary  # writes the classified subscriptions
-        register_views(self.raw, self.clean, summary)
+        """The views read written tables, so that a query on one of them classifies nothing again."""
+        self.write_clean()
+        register_views(self.raw, self.clean, self.customer_summary)
 
     def save_executive_table(self, name: str = "executive_customer_risk_summary") -> None:
         save_table(self.executive_summary, name)

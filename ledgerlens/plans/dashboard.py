@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, exact_sum, net_fee, parse_number, round_half_up, round_money, share
+from ledgerlens.functions.columns import net_fee, parse_number, round_half_up, round_money
+from ledgerlens.functions.sums import exact_sum, mean_of, merged_sums, partial_sums, summed
 from ledgerlens.operators.joins import sized_join
+from ledgerlens.operators.lattice import Level, levels
 from ledgerlens.operators.ranking import running_total
 from ledgerlens.operators.rules import INVALID, trusted
 from ledgerlens.operators.shared import materialize, measure_size
@@ -28,10 +30,6 @@ def _sum_cents(column: Column) -> Column:
     return round_money(exact_sum(column))
 
 
-def _mean_score(column: Column) -> Column:
-    return round_half_up(exact_mean(column), 2)
-
-
 def _revenue_at_risk() -> Column:
     return F.coalesce(_sum_cents(F.when(at_risk(), F.col("MRR"))), F.lit(0.0))
 
@@ -100,42 +98,36 @@ def customer_points(executive: DataFrame) -> DataFrame:
 def region_plan_matrix(
     subscriptions: DataFrame, summary: DataFrame, corrections: Corrections = STANDARD
 ) -> DataFrame:
-    """Region and plan with subtotals; ``level`` is 0 for a cell, 1 for a region, 3 for the total."""
+    """Region and plan with subtotals; ``level`` is 0 for a cell, 1 for a region, 3 for the total.
+
+    Rows are summed into cells once; the subtotals are made of the cells.
+    """
+    keys = ["region", "plan_name"]
     fee = F.when(is_active(), net_fee(F.col("monthly_fee"), F.col("discount_pct")))
+    counts = {"rows": F.lit(True), "active": is_active(), "cancelled": is_cancelled(corrections)}
     subs = (
         trusted(subscriptions)
-        .rollup("region", "plan_name")
-        .agg(
-            F.grouping_id().cast("int").alias("level"),
-            F.coalesce(round_money(exact_sum(fee)), F.lit(0.0)).alias("trusted_mrr"),
-            round_half_up(share(is_active()) * 100, 2).alias("renewal_rate_pct"),
-            round_half_up(share(is_cancelled(corrections)) * 100, 2).alias("cancellation_rate_pct"),
-        )
-        .alias("s")
+        .groupBy(*keys)
+        .agg(*partial_sums(fee, "fees"), *[F.count_if(condition).alias(name) for name, condition in counts.items()])
     )
-    customers = (
-        summary.rollup("region", "plan_name")
-        .agg(
-            F.grouping_id().cast("int").alias("level"),
-            _mean_score(F.col("customer_health_score")).alias("avg_health_score"),
-            _revenue_at_risk().alias("revenue_at_risk"),
-        )
-        .alias("c")
-    )
-    same = (
-        F.col("s.region").eqNullSafe(F.col("c.region"))
-        & F.col("s.plan_name").eqNullSafe(F.col("c.plan_name"))
-        & (F.col("s.level") == F.col("c.level"))
+    customers = summary.groupBy(*keys).agg(
+        *partial_sums(F.col("customer_health_score"), "score"),
+        *partial_sums(F.when(at_risk(), F.col("MRR")), "risk"),
     )
-    return subs.join(customers, same, "left").select(
-        "s.region",
-        "s.plan_name",
-        "s.level",
-        "trusted_mrr",
-        "renewal_rate_pct",
-        "cancellation_rate_pct",
-        "avg_health_score",
-        F.coalesce("revenue_at_risk", F.lit(0.0)).alias("revenue_at_risk"),
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    cells = subs.alias("s").join(customers.alias("c"), same, "full_outer")
+    figures = [c for c in (*subs.columns, *customers.columns) if c not in keys]
+    cells = cells.select(*[F.coalesce(f"s.{k}", f"c.{k}").alias(k) for k in keys], *figures)
+    merged = [*merged_sums("fees"), *merged_sums("score"), *merged_sums("risk"), *[F.sum(c).alias(c) for c in counts]]
+    whole = levels(materialize(cells, "matrix_cells"), [Level(keys, 0), Level(["region"], 1), Level([], 3)], merged)
+    return whole.where("rows > 0").select(
+        *keys,
+        "level",
+        F.coalesce(round_money(summed("fees")), F.lit(0.0)).alias("trusted_mrr"),
+        round_half_up(F.col("active") / F.col("rows") * 100, 2).alias("renewal_rate_pct"),
+        round_half_up(F.col("cancelled") / F.col("rows") * 100, 2).alias("cancellation_rate_pct"),
+        round_half_up(mean_of("score"), 2).alias("avg_health_score"),
+        F.coalesce(round_money(summed("risk")), F.lit(0.0)).alias("revenue_at_risk"),
     )
 
 
@@ -178,13 +170,40 @@ def customers_to_act_on(executive: DataFrame, summary: DataFrame) -> DataFrame:
 def region_plan_customer(executive: DataFrame) -> DataFrame:
     """Drill-down from the total over region and plan to the customer.
 
-    ``level`` is 7 for the total, 3 for a region, 1 for a plan in a region and 0 for a customer.
+    ``level`` is 7 for the total, 3 for a region, 1 for a plan in a region and 0 for a customer. Customers
+    are unique: they are their own level, and the levels above are made of the cells that sum them.
     """
-    return executive.rollup("region", "plan_name", "customer_id").agg(
-        F.grouping_id().cast("int").alias("level"),
+    keys = ["region", "plan_name"]
+    money, risk, score = F.col("trusted_mrr"), F.col("revenue_at_risk"), F.col("customer_health_score")
+    cells = executive.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("customers"),
-        _sum_cents(F.col("trusted_mrr")).alias("trusted_mrr"),
-        _mean_score(F.col("customer_health_score")).alias("avg_health_score"),
         F.sum("escalation_count").alias("escalation_count"),
-        _sum_cents(F.col("revenue_at_risk")).alias("revenue_at_risk"),
+        *partial_sums(money, "fees"),
+        *partial_sums(risk, "risk"),
+        *partial_sums(score, "score"),
+    )
+    merged = [F.sum(c).alias(c) for c in ("customers", "escalation_count")]
+    merged += [m for name in ("fees", "risk", "score") for m in merged_sums(name)]
+    above = levels(materialize(cells, "drill_cells"), [Level(keys, 1), Level(["region"], 3), Level([], 7)], merged)
+    columns = [*keys, "customer_id", "level", "customers", "trusted_mrr", "avg_health_score", "escalation_count", "revenue_at_risk"]
+    above = above.where("customers > 0").select(
+        *keys,
+        F.lit(None).cast(executive.schema["customer_id"].dataType).alias("customer_id"),
+        "level",
+        "customers",
+        round_money(summed("fees")).alias("trusted_mrr"),
+        round_half_up(mean_of("score"), 2).alias("avg_health_score"),
+        "escalation_count",
+        round_money(summed("risk")).alias("revenue_at_risk"),
+    )
+    own = executive.select(
+        *keys,
+        "customer_id",
+        F.lit(0).alias("level"),
+        F.lit(1).cast("long").alias("customers"),
+        round_money(money).alias("trusted_mrr"),
+        round_half_up(score, 2).alias("avg_health_score"),
+        F.col("escalation_count").cast("long").alias("escalation_count"),
+        round_money(risk).alias("revenue_at_risk"),
     )
+    return own.select(*columns).unionByName(above.select(*columns))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, exact_sum, round_half_up, round_money
+from ledgerlens.functions.columns import round_half_up, round_money
+from ledgerlens.functions.sums import exact_mean, exact_sum
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.rules import trusted
 from ledgerlens.operators.shared import measure_size

@@ -7,26 +7,17 @@ customer with a large part of the rows costs no task more than a few rows.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import (
-    MISSING_STATUS,
-    clip,
-    exact_mean,
-    exact_sum,
-    merged_sum,
-    net_fee,
-    partial_sums,
-    rankable_mean,
-    round_half_even,
-    share,
-)
+from ledgerlens.functions.columns import MISSING_STATUS, clip, net_fee, round_half_even, share
+from ledgerlens.functions.sums import exact_mean, exact_sum, merged_sum, partial_sums, rankable_mean
+from ledgerlens.operators.last import FAR, last_rows, microseconds, packed_place
 from ledgerlens.operators.ranking import percent_ranks
 from ledgerlens.operators.rules import trusted
-from ledgerlens.operators.shared import materialize
+from ledgerlens.operators.shared import materialize, measure, text_bytes
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.sources.tables import load_order
 
@@ -35,30 +26,31 @@ IMMINENT_DAYS = 30
 ATTRIBUTES = ("region", "plan_name", "sales_channel", "subscription_status_norm")
 USAGE_COLUMNS = ("login_count", "active_minutes", "feature_clicks", "reports_created", "data_exports")
 UNKNOWN_RENEWAL_RISK = 50.0
-AFTER_ALL_DATES = datetime(9999, 12, 31)
 
 
-def subscription_metrics(
-    subscriptions: DataFrame,
-    as_of: date,
-    order: tuple[str, ...] = ("source_seq",),
-    corrections: Corrections = STANDARD,
+def _signup_place(subscriptions: DataFrame, order: list[str], corrections: Corrections) -> Column:
+    """How late a subscription was signed and loaded.
+
+    No date counts as later than any date; if active ones are preferred, they come after all others and a
+    null date before all dates."""
+    signup = microseconds(F.col("signup_date"))
+    if not corrections.prefer_active:
+        return packed_place(subscriptions, F.coalesce(signup, F.lit(FAR)), order)
+    active = F.coalesce(F.col("subscription_status_norm") == "Active", F.lit(False))
+    moment = F.coalesce(signup, F.lit(-FAR)) + F.when(active, F.lit(2 * FAR)).otherwise(F.lit(0))
+    return packed_place(subscriptions, moment, order)
+
+
+def _subscription_figures(
+    subscriptions: DataFrame, as_of: date, corrections: Corrections = STANDARD, place: Column | None = None
 ) -> DataFrame:
-    """All that comes from the trusted subscriptions, in one pass.
+    """``MRR`` sums the net fees of the active ones. In ``renewal_risk_score`` ended subscriptions
 
-    ``MRR`` sums the net fees of the active ones. In ``renewal_risk_score`` ended subscriptions
-    weigh 60, those that do not renew by themselves 25 and a renewal due soon 15; a date in the
-    past counts as due. The attributes are those of the latest signup: no date counts as later
-    than any date, and of equal dates the row loaded last is taken.
-    """
+    weigh 60, those that do not renew by themselves 25 and a renewal due soon 15; a date in the past
+    counts as due. With ``place``, also its greatest value as ``_last``."""
     status = F.col("subscription_status_norm")
     active = status == "Active"
     fee = net_fee(F.col("monthly_fee"), F.col("discount_pct"))
-    order = load_order(subscriptions, order)
-    if corrections.prefer_active:
-        place = F.struct(active, "signup_date", *order)  # a null date comes before all others
-    else:
-        place = F.struct(F.coalesce("signup_date", F.lit(AFTER_ALL_DATES).cast("timestamp_ntz")), *order)
     days = F.datediff("renewal_date", F.lit(as_of))
     if corrections.upcoming_renewals_only:
         days = F.when(days >= 0, days)
@@ -71,7 +63,7 @@ def subscription_metrics(
             share(status.isin(*ENDED)).alias("ended"),
             share(~F.upper("auto_renew").eqNullSafe("Y")).alias("manual"),
             F.min(days).alias("days"),
-            F.max_by(F.struct(*ATTRIBUTES), place).alias("latest"),
+            *([F.max(place).alias("_last")] if place is not None else []),
         )
     )
     imminent = F.when(F.col("days") <= IMMINENT_DAYS, 15).otherwise(0)
@@ -80,17 +72,36 @@ def subscription_metrics(
         "customer_id",
         F.when(F.col("active") > 0, F.coalesce("fees", F.lit(0.0))).alias("MRR"),
         clip(round_half_even(risk), 0.0, 100.0).alias("renewal_risk_score"),
-        "latest.*",
+        *(["_last"] if place is not None else []),
     )
 
 
+def subscription_metrics(
+    subscriptions: DataFrame,
+    as_of: date,
+    order: tuple[str, ...] = ("source_seq",),
+    corrections: Corrections = STANDARD,
+) -> DataFrame:
+    """All that comes from the trusted subscriptions.
+
+    The figures and the attributes of the latest signup; of equal dates the row loaded last is taken.
+    The figures are written, and the rows at the greatest place of their customer are joined to them.
+    """
+    order = load_order(subscriptions, order)
+    place = _signup_place(subscriptions, order, corrections)
+    figures = _subscription_figures(subscriptions, as_of, corrections, place)
+    figures = measure(figures, "subscription_figures", rows=F.count(F.lit(1)), bytes=text_bytes(figures))
+    rows = trusted(subscriptions).select("customer_id", *order, *ATTRIBUTES, place.alias("_place"))
+    return last_rows(rows, figures, "customer_id", "_place", "_last", order)
+
+
 def recurring_revenue(subscriptions: DataFrame, as_of: date) -> DataFrame:
-    revenue = subscription_metrics(subscriptions, as_of).select("customer_id", "MRR")
+    revenue = _subscription_figures(subscriptions, as_of).select("customer_id", "MRR")
     return revenue.where(F.col("MRR").isNotNull())
 
 
 def renewal_risk(subscriptions: DataFrame, as_of: date) -> DataFrame:
-    return subscription_metrics(subscriptions, as_of).select("customer_id", "renewal_risk_score")
+    return _subscription_figures(subscriptions, as_of).select("customer_id", "renewal_risk_score")
 
 
 def latest_attributes(subscriptions: DataFrame, as_of: date, order: tuple[str, ...] = ("source_seq",)) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import exact_mean, exact_sum, net_fee, normalise_status, parse_number, round_half_up, round_money, share
+from ledgerlens.functions.columns import net_fee, normalise_status, parse_number, round_half_up, round_money, share
+from ledgerlens.functions.sums import exact_mean, exact_sum
 from ledgerlens.operators.joins import sized_join
-from ledgerlens.operators.ranking import positions, tile
 from ledgerlens.operators.rules import INVALID, trusted
+from ledgerlens.operators.selection import not_before, row_at, tile_start
 from ledgerlens.operators.shared import materialize, measure_size, together
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.health import HIGH_RISK
@@ -102,28 +103,19 @@ def high_revenue_low_usage(summary: DataFrame, cases: DataFrame) -> DataFrame:
     """Customers in the top fifth by revenue and the lowest three tenths by usage, with more
 
     escalations than the average customer. Equal figures are put in order of customer id."""
-    figures = F.array(
-        F.struct(F.lit("revenue").alias("figure"), F.col("effective_monthly_revenue").alias("value")),
-        F.struct(F.lit("usage").alias("figure"), F.col("usage_intensity_score").alias("value")),
+    revenue, usage = "effective_monthly_revenue", "usage_intensity_score"
+    top, low = together(
+        lambda: row_at(summary, revenue, "customer_id", 0.8, lambda n: tile_start(n, 5, 5)),
+        lambda: row_at(summary, usage, "customer_id", 0.3, lambda n: tile_start(n, 10, 4)),
     )
-    values = summary.select("customer_id", F.explode(figures).alias("f")).select("customer_id", "f.*")
-    placed = positions(values, ["figure"], ["value", "customer_id"], "position", "customers")
-
-    def in_tile(tiles: int) -> Column:
-        return tile(F.col("position"), F.col("customers"), tiles)
-
-    wanted = ((F.col("figure") == "revenue") & (in_tile(5) == 5)) | (
-        (F.col("figure") == "usage") & (in_tile(10) <= 3)
-    )
-    both = placed.where(wanted).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n")).where("n = 2")
+    wanted = not_before(revenue, "customer_id", top) & ~not_before(usage, "customer_id", low)
     counted = summary.join(escalations(cases), "customer_id", "left").withColumn(
         "escalation_count", F.coalesce("escalation_count", F.lit(0))
     )
     counted = materialize(counted, "escalation_counts")
     average = counted.agg(F.avg("escalation_count")).scalar()
     return (
-        counted.where(F.col("escalation_count") > average)
-        .join(both, "customer_id", "left_semi")
+        counted.where((F.col("escalation_count") > average) & wanted)
         .orderBy(F.desc("effective_monthly_revenue"), "customer_id")
         .select(
             "customer_id",
@@ -174,7 +166,7 @@ def discount_vs_retention(
     return (
         plans.where((beyond("discount") > 0) & (beyond("renewal") < 0))
         .join(health, "plan_name")
-        .orderBy(F.desc("discount"))
+        .orderBy(F.desc("discount"), "plan_name")
         .select(
             "plan_name",
             round_half_up(F.col("discount"), 2).alias("avg_discount_pct"),

@@ -6,7 +6,7 @@ and adds ``record_status``, ``status_reason`` and, where the table has one, a no
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import normalise_status, parse_number, parse_timestamp
 from ledgerlens.operators.marks import mark_repeats, mark_unknown, repeated_keys, unknown_keys
-from ledgerlens.operators.ranking import percentile_with_count
 from ledgerlens.operators.rules import INVALID, Rule, classify, invalid, suspicious, trusted
+from ledgerlens.operators.selection import percentile
 from ledgerlens.operators.shared import together
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.sources.schemas import TABLES, TableSpec
@@ -28,8 +28,13 @@ SEAT_MIN_VALUES = 10
 MARKS = ("_repeated", "_unknown_ref", "_seat_cap", "_sound")
 
 
-def parsed(raw: DataFrame, spec: TableSpec, formats: Sequence[str] = ()) -> DataFrame:
-    columns = {c: parse_timestamp(raw, c, formats) for c in spec.timestamps}
+# Date patterns beside ISO: for all date columns alike, or by column.
+Formats = Sequence[str] | Mapping[str, Sequence[str]]
+
+
+def parsed(raw: DataFrame, spec: TableSpec, formats: Formats = ()) -> DataFrame:
+    by_column = formats if isinstance(formats, Mapping) else dict.fromkeys(spec.timestamps, formats)
+    columns = {c: parse_timestamp(raw, c, by_column.get(c, ())) for c in spec.timestamps}
     columns |= {c: parse_number(raw, c) for c in spec.numbers}
     if spec.status:
         columns[f"{spec.status}_norm"] = normalise_status(F.col(spec.status))
@@ -86,7 +91,7 @@ def clean_subscriptions(
     raw: DataFrame,
     as_of: date,
     order: Sequence[str] = TABLES["subscriptions"].order,
-    formats: Sequence[str] = (),
+    formats: Formats = (),
     corrections: Corrections = STANDARD,
 ) -> DataFrame:
     spec = TABLES["subscriptions"]
@@ -118,7 +123,7 @@ def clean_invoices(
     raw: DataFrame,
     subscriptions: DataFrame,
     order: Sequence[str] = TABLES["invoices"].order,
-    formats: Sequence[str] = (),
+    formats: Formats = (),
     corrections: Corrections = STANDARD,
 ) -> DataFrame:
     spec = TABLES["invoices"]
@@ -146,7 +151,7 @@ def clean_product_usage(
     raw: DataFrame,
     subscriptions: DataFrame,
     order: Sequence[str] = TABLES["product_usage"].order,
-    formats: Sequence[str] = (),
+    formats: Formats = (),
     corrections: Corrections = STANDARD,
 ) -> DataFrame:
     spec = TABLES["product_usage"]
@@ -162,11 +167,11 @@ def clean_product_usage(
             F.col("seat_count") > F.col("_seat_cap"), "Seat_count is a statistical outlier (>99th pct)"
         ),
     ]
-    marked, cap = together(
+    marked, (cap, seats) = together(
         lambda: _marked(df, spec, order, rules, corrections, "customer_id", subscriptions),
-        lambda: percentile_with_count(df, "seat_count", SEAT_PERCENTILE),
+        lambda: percentile(df, "seat_count", SEAT_PERCENTILE),
     )
-    seat_cap = cap.where(F.col("value_count") > SEAT_MIN_VALUES).select("percentile").scalar()
+    seat_cap = F.lit(cap if seats > SEAT_MIN_VALUES else None).cast("double")
     return _classified(marked.withColumn("_seat_cap", seat_cap), rules)
 
 
@@ -174,7 +179,7 @@ def clean_support_cases(
     raw: DataFrame,
     subscriptions: DataFrame,
     order: Sequence[str] = TABLES["support_cases"].order,
-    formats: Sequence[str] = (),
+    formats: Formats = (),
     corrections: Corrections = STANDARD,
     require_customer: bool = False,
 ) -> DataFrame:

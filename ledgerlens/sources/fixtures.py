@@ -140,6 +140,16 @@ AS_TEXT = {
     "discount_pct": "case when source_seq % 59 = 8 then 'NA' else cast(discount_pct as string) end",
     "subscription_status": "case when source_seq % 37 = 3 then 'past-due' when source_seq % 37 = 4 then 'n/a' else subscription_status end",
 }
+# Dates as two regions write them, the day first in one column and the month first in the other, some as ISO text.
+REGIONAL_DATES = {
+    "signup_date": "case when source_seq % 61 = 3 then 'unknown' when source_seq % 61 = 4 then '31/02/2024' "
+    "when source_seq % 61 = 5 then cast(cast(signup_date as date) as string) "
+    "else substr(cast(cast(signup_date as date) as string), 9, 2) || '/' || substr(cast(cast(signup_date as date) as string), 6, 2) "
+    "|| '/' || substr(cast(cast(signup_date as date) as string), 1, 4) end",
+    "renewal_date": "case when source_seq % 67 = 3 then '13/13/2001' "
+    "else substr(cast(cast(renewal_date as date) as string), 6, 2) || '/' || substr(cast(cast(renewal_date as date) as string), 9, 2) "
+    "|| '/' || substr(cast(cast(renewal_date as date) as string), 1, 4) end",
+}
 # Amounts no business has, and some with many decimals.
 ABSURD_FEES = {"monthly_fee": "case when source_seq % 509 = 0 then 1e30 else monthly_fee end"}
 ABSURD_AMOUNTS = {

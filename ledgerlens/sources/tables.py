@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -86,14 +87,68 @@ def register_views(raw: dict[str, DataFrame], clean: dict[str, DataFrame], summa
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
-    """Write each table to ``folder/<name>``, replacing what was there."""
+    """Write each table to ``folder/<name>``, replacing what was there.
+
+    A table is written beside its place first, and takes it by renaming once it is whole. A run that fails
+    on the way leaves the table that was there before.
+    """
     for name, df in tables.items():
-        writer = df.write.mode("overwrite").format(fmt)
+        beside = f"{folder}/.{name}-{uuid.uuid4().hex}"
+        writer = df.write.format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True)
-        writer.save(f"{folder}/{name}")
+        try:
+            writer.save(beside)
+            _swap(df.sparkSession, beside, f"{folder}/{name}")
+        except BaseException:
+            _remove(df.sparkSession, beside)
+            raise
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it knows it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, found = _files(spark, path)
+    files.delete(found, True)
+
+
+def _swap(spark: SparkSession, new: str, place: str) -> None:
+    """Let the folder ``new`` take the place of the folder ``place``, which comes back if that fails."""
+    files, target = _files(spark, place)
+    fresh, old = _files(spark, new)[1], _files(spark, f"{new}-old")[1]
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, old):
+        raise OSError(f"{place} can't be renamed.")
+    if not files.rename(fresh, target):
+        if replaced:
+            files.rename(old, target)
+        raise OSError(f"{new} can't be renamed to {place}.")
+    if replaced:
+        files.delete(old, True)
 
 
 def save_table(df: DataFrame, name: str) -> None:
-    """Drop and create the managed table ``name`` from ``df``."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Create the managed table ``name`` from ``df``; an older one of that name is dropped once the new one is whole."""
+    spark = df.sparkSession
+    *schema, last = name.split(".")
+    beside, old = (".".join([*schema, f"{last}_{kind}_{uuid.uuid4().hex}"]) for kind in ("new", "old"))
+    try:
+        df.write.saveAsTable(beside)
+        replaced = spark.catalog.tableExists(name)
+        if replaced:
+            spark.sql(f"alter table {name} rename to {old}")
+        try:
+            spark.sql(f"alter table {beside} rename to {name}")
+        except Exception:
+            if replaced:
+                spark.sql(f"alter table {old} rename to {name}")
+            raise
+    except BaseException:
+        spark.sql(f"drop table if exists {beside}")
+        raise
+    if replaced:
+        spark.sql(f"drop table {old}")

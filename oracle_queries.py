@@ -5,7 +5,7 @@ Written the direct way, with whole-table windows and joins, as a check on the di
 
 from __future__ import annotations
 
-from ledgerlens.sources.fixtures import ABSURD_AMOUNTS, ABSURD_FEES, AS_OF, AS_TEXT, INVOICE_ORDER, POOR_HEALTH, TEXTS, plain_sql
+from ledgerlens.sources.fixtures import ABSURD_AMOUNTS, ABSURD_FEES, AS_OF, AS_TEXT, INVOICE_ORDER, POOR_HEALTH, REGIONAL_DATES, TEXTS, plain_sql
 from ledgerlens.sources.schemas import TABLES
 
 DAY = f"timestamp '{AS_OF.isoformat()} 00:00:00'"
@@ -436,6 +436,29 @@ def _as_read() -> str:
     return _replacing(columns, f"({_replacing(AS_TEXT, 'original_subscriptions')})")
 
 
+# What the columns of the regional variant are written in, and what reads them elsewhere.
+REGIONAL_FORMATS = {"signup_date": ("d/M/yyyy[ H:m[:s]]", "%d/%m/%Y"), "renewal_date": ("M/d/yyyy[ H:m[:s]]", "%m/%d/%Y")}
+
+
+def _regional() -> str:
+    """The variant with regional dates, each column by its format or as ISO text."""
+    columns = {
+        c: f"coalesce(try_strptime({c}, '{pattern}'), try_strptime({c}, '%Y-%m-%d'))" for c, (_, pattern) in REGIONAL_FORMATS.items()
+    }
+    return _replacing(columns, f"({_replacing(REGIONAL_DATES, 'original_subscriptions')})")
+
+
+def _format_votes() -> str:
+    """How many values each regional column's own format reads."""
+    source = f"({_replacing(REGIONAL_DATES, 'original_subscriptions')})"
+    parts = [
+        f"select 'subscriptions' as table_name, '{c}' as column_name, '{name}' as date_format, "
+        f"count(try_strptime({c}, '{pattern}')) as votes, count({c}) as date_values, false as ambiguous from {source}"
+        for c, (name, pattern) in REGIONAL_FORMATS.items()
+    ]
+    return " union all ".join(parts)
+
+
 def _variants() -> dict[str, str]:
     """The queries on tables of which some columns are replaced: the same text over other definitions."""
     cases = RULES["support_cases"]
@@ -447,6 +470,8 @@ def _variants() -> dict[str, str]:
     changes = {
         "d1_case_without_customer": ({"clean_support_cases": classified("support_cases", cases)}, "clean_support_cases"),
         "text_subscriptions": ({"subscriptions": _as_read()}, "clean_subscriptions"),
+        "regional_dates": ({"subscriptions": _regional()}, "clean_subscriptions"),
+        "regional_formats": ({"format_votes": _format_votes()}, "regional_formats"),
         "absurd_q1": (absurd, "q1_trusted_vs_reported"),
         "absurd_effective_revenue": (absurd, "cust_effective_revenue"),
         "q5f_poor_health": ({"customer_summary": _replacing(POOR_HEALTH, f"({CTES['customer_summary']})")}, "q5f"),
@@ -455,7 +480,7 @@ def _variants() -> dict[str, str]:
     for name, (changed, query) in changes.items():
         tables = {f"original_{t}": CTES[t] for t in ("subscriptions", "invoices")}
         text = ",\n".join(f"{t} as ({sql})" for t, sql in (tables | CTES | changed).items())
-        found[name] = f"with {text}\n{QUERIES[query]}"
+        found[name] = f"with {text}\n{QUERIES.get(query, 'select * from format_votes')}"
     return found
 
 

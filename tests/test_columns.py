@@ -1,4 +1,5 @@
 import datetime
+import decimal
 import math
 
 import numpy as np
@@ -7,16 +8,14 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import (
     clip,
-    exact_mean,
-    exact_sum,
     given_text,
     normalise_status,
     parse_number,
     parse_timestamp,
-    rankable_mean,
     round_half_even,
     round_half_up,
 )
+from ledgerlens.functions.sums import exact_mean, exact_sum, merged_sum, partial_sums, rankable_mean
 from ledgerlens.plans.health import risk_category
 
 
@@ -70,6 +69,45 @@ def test_sums_of_any_finite_value(spark):
     assert result(one_column(spark, [1e300, -1e30, 2.345], "double"), round_half_up(F.col("x"), 2)) == [1e300, -1e30, 2.35]
 
 
+def amounts(n, seed=8):
+    """Money, prices with many digits, tiny and absurd values of either sign."""
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([
+        rng.integers(-(10**9), 10**9, n) / 100,
+        rng.normal(0, 1e4, n),
+        rng.normal(0, 1e-13, n // 4),
+        rng.normal(0, 1, n // 4) * 10.0 ** rng.integers(11, 31, n // 4),
+        [0.01, 1e30, -0.0, 1e11, -1e11, 99999999999.99, 2.0**53, 1e31, -9e31],
+    ])
+    rng.shuffle(x)
+    return [float(v) for v in x]
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    values = amounts(2000)
+    found = set()
+    for parts, order in ((1, values), (7, values[::-1]), (13, sorted(values))):
+        df = one_column(spark, order, "double").repartition(parts, F.xxhash64("i"))
+        two_levels = df.groupBy((F.col("i") % 17).alias("k")).agg(*partial_sums(F.col("x"), "x")).agg(merged_sum("x")).first()[0]
+        found |= {df.agg(exact_sum(F.col("x"))).first()[0], two_levels}
+    assert len(found) == 1
+    assert math.isclose(found.pop(), math.fsum(values), rel_tol=1e-15)
+
+
+def test_sums_of_decimal_digits(spark):
+    """The digits that values print as, and no bits beyond them."""
+    for scale, low in ((2, 10), (4, 11), (9, 6)):
+        rng = np.random.default_rng(scale)
+        values = [float(v) for v in (rng.integers(-(10**low), 10**low, 400) / 10**scale)]
+        expected = float(sum(decimal.Decimal(repr(v)) for v in values))
+        assert one_column(spark, values, "double").agg(exact_sum(F.col("x"))).first()[0] == expected
+
+
+def test_small_beside_absurd(spark):
+    for values in ([1e30, 0.01, -1e30], [0.01, 1e30, -1e30], [-1e30, 1e30, 0.01]):
+        assert one_column(spark, values, "double").coalesce(1).agg(exact_sum(F.col("x"))).first()[0] == 0.01
+
+
 def test_equal_means_rank_alike(spark):
     rows = [(1, 0.1)] + [(2, v) for v in (0.1, 0.1, 0.1)] + [(3, v) for v in (0.05, 0.15)]
     df = spark.createDataFrame(rows, "k int, x double")
