@@ -3,27 +3,32 @@
 1. A document's distinct shingles are hashed. Documents with the same set form a class, so copies
    are never compared.
 2. Two sets linked at 9/10 differ in at most a ninth of the smaller one. Their hashes are dealt to
-   one block more than that, so linked sets agree in all of some block: the finest count vector
+   some blocks more than that, so linked sets agree in all of some block: the finest count vector
    of that block, hashed, is the cell in which they meet. Sets of a size class use the same blocks;
-   those next to a border go to both classes.
-3. In each cell every member is first compared with the cell's least member only. Once these links
+   those next to a border go to both classes. A set that fills more blocks than can differ agrees with
+   its partners in a block that is not empty, and its empty blocks make no cells.
+3. A set's count vector has the number of its hashes in each of 64 groups or, for large sets, more. Two
+   sets share at most the sum of the coordinate minima, and a pair for which that is too little goes before
+   any text is fetched.
+4. In each cell every member is first compared with the cell's least member only. Once these links
    are verified, cells whose members are all connected are done, however many they are.
-4. In the remaining cells, members in different components meet through an R-tree over vectors of 64
-   group counts: two sets share at most the sum of the coordinate minima, which against a node's
-   upper corner bounds all that is below it. Surviving pairs are verified by their shingles.
+5. In the remaining cells, members in different components meet through an R-tree over the count vectors:
+   the bound against a node's upper corner holds for all that is below it. Surviving pairs are verified by
+   their shingles.
 
 So every link joins its two documents' components, though not every link inside a component is computed
-on the way. Where the links themselves are asked for, each component's classes are compared all with
-all: a large component is dealt into parts, and each two parts meet in a task of their own.
+on the way. Where the links themselves are asked for, R-trees over the classes of each component name the
+pairs to verify: a large component is dealt into parts, and each two parts meet in a task of their own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +36,12 @@ from ledgerlens.llm import words as W
 from ledgerlens.llm.components import components
 from ledgerlens.llm.shipping import ship
 from ledgerlens.operators.joins import sized_join
-from ledgerlens.operators.shared import materialize, measure, measure_size
+from ledgerlens.operators.shared import Measured, materialize, measure, measure_size
 
-GROUPS = 64
+# Groups of a count vector, four times as many until a group has at most GROUP_HASHES hashes on average.
+GROUPS, GROUP_HASHES = 64, 24
 LEAF = 16
-# Members of one cell in an R-tree; larger cells are cut into several trees, each searched by all members.
+# Members of one cell in an R-tree; larger cells are cut into parts, and each two parts meet in a task.
 TREE_ROWS = 4096
 CLASS_GROWTH = 1.5
 # Members of many cells list so many of them, which spares naming a pair once for each cell it shares.
@@ -43,6 +49,7 @@ LISTED = 256
 BUCKET_BYTES = 64 << 20
 # Classes and their shingles in one part of a component, on average, and the shingles counted at a time.
 PART_ROWS, PART_SHINGLES, PART_COLUMNS = 512, 1 << 19, 4096
+BOUNDED_ROWS = 256
 
 
 class Link(NamedTuple):
@@ -62,9 +69,14 @@ class Link(NamedTuple):
             sizes.append(max(sizes[-1] + 1, int(sizes[-1] * growth)))
         return np.array(sizes, np.int64)
 
+    def differ(self, largest: np.ndarray) -> np.ndarray:
+        """The elements in which linked sets can differ, the smaller one up to ``largest``."""
+        return largest * (self.per - self.share) // self.share
+
     def blocks(self, largest: np.ndarray) -> np.ndarray:
-        """One more than the elements in which linked sets can differ, the smaller up to ``largest``."""
-        return largest * (self.per - self.share) // self.share + 1
+        """More than can differ, so that a set fills more than can differ though some of its blocks are empty."""
+        differ = self.differ(largest)
+        return np.where(differ > 0, differ + differ // 16 + 2, 1)
 
 
 def _sets(batch: pa.RecordBatch, link: Link) -> tuple[W.Rows, np.ndarray, np.ndarray]:
@@ -121,10 +133,13 @@ def _cells_of(sets: W.Rows, ids: np.ndarray, link: Link) -> tuple[np.ndarray, np
         ends = np.searchsorted(place, np.arange(starts[-1] + 1))
         totals = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(values), dtype=np.uint64)])
         content = totals[ends[1:]] - totals[ends[:-1]]
+        filled = ends[1:] > ends[:-1]
+        enough = np.add.reduceat(filled, starts[:-1], dtype=np.int64) > link.differ(last[picked])
+        made = filled | ~np.repeat(enough, per)
         number = np.arange(starts[-1]) - np.repeat(starts[:-1], per)
         salt = W.mix((np.repeat(klass[picked], per) * (1 << 40) + number).astype(np.uint64))
-        cells.append((W.mix(content ^ salt) >> np.uint64(16)).astype(np.int64))
-        members.append(np.repeat(ids[picked], per))
+        cells.append((W.mix(content ^ salt) >> np.uint64(16)).astype(np.int64)[made])
+        members.append(np.repeat(ids[picked], per)[made])
     if not cells:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(cells), np.concatenate(members)
@@ -203,23 +218,80 @@ def _meet(_: tuple, table: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(rows[:, i]) for i, n in enumerate(("cell", "member", "pivot"))})
 
 
-def count_vectors(sets: W.Rows) -> np.ndarray:
-    """Per set the number of its elements in each of the groups."""
-    group = (sets.values & np.uint64(GROUPS - 1)).astype(np.int64)
-    rows = np.repeat(np.arange(len(sets.counts)), sets.counts)
-    return np.bincount(rows * GROUPS + group, minlength=len(sets.counts) * GROUPS).reshape(-1, GROUPS)
+def groups_of(sizes: np.ndarray) -> np.ndarray:
+    """The number of groups of a set by its size."""
+    over = np.maximum(np.asarray(sizes), 1) / (GROUPS * GROUP_HASHES)
+    return GROUPS << 2 * np.clip(np.ceil(np.log2(over) / 2), 0, 12).astype(np.int64)
+
+
+def count_vectors(sets: W.Rows, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set the number of its elements in each of its ``groups``, one set after the other, and where each begins."""
+    offsets = np.concatenate([[0], np.cumsum(groups)])
+    of = np.repeat(np.arange(len(groups)), sets.counts)
+    group = (sets.values & (groups[of] - 1).astype(np.uint64)).astype(np.int64)
+    return np.bincount(offsets[of] + group, minlength=offsets[-1]), offsets
+
+
+def folded(vectors: np.ndarray, groups: int) -> np.ndarray:
+    """Rows of counts in fewer groups: both numbers are powers of two, and a group goes by the last bits of a hash."""
+    return vectors.reshape(len(vectors), -1, groups).sum(axis=1)
 
 
-def _candidates(link: Link):
-    """Texts of the documents that stand for their class, with count vectors."""
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """Count vectors as rows, all with the groups of the coarsest of them."""
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    groups = int(lengths.min())
+    rows = np.zeros((len(lengths), groups), np.int64)
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        flat = pc.list_flatten(lists.take(pa.array(at))).to_numpy(zero_copy_only=False)
+        rows[at] = folded(flat.reshape(len(at), length).astype(np.int64), groups)
+    return rows
+
+
+def _vectors(link: Link):
+    """Count vectors of the documents that stand for their class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.chunks(batch, "text"):
                 sets, first, second = _sets(part, link)
-                vectors = pa.FixedSizeListArray.from_arrays(pa.array(count_vectors(sets).astype(np.int32).ravel()), GROUPS)
-                columns = [_node(first, second), pa.array(sets.counts), vectors.cast(pa.list_(pa.int32())), part.column("text")]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "vector", "text"])
+                counts, offsets = count_vectors(sets, groups_of(sets.counts))
+                vectors = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(counts.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([_node(first, second), pa.array(sets.counts), vectors], ["node", "n", "vector"])
+
+    return run
+
+
+def _texts(link: Link):
+    """Texts of the documents that stand for their class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.chunks(batch, "text"):
+                sets, first, second = _sets(part, link)
+                columns = [_node(first, second), pa.array(sets.counts), part.column("text")]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "text"])
+
+    return run
+
+
+def _bounded(link: Link):
+    """Of rows (a, b, n_a, n_b, vector_a, vector_b) the (a, b) that the summed minima of their counts allow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            groups = np.minimum(*[pc.list_value_length(batch.column(c)).to_numpy() for c in ("vector_a", "vector_b")])
+            keep = np.zeros(batch.num_rows, bool)
+            for g in np.unique(groups).tolist():
+                rows = np.flatnonzero(groups == g)
+                for start in range(0, len(rows), BOUNDED_ROWS):
+                    at = rows[start : start + BOUNDED_ROWS]
+                    a, b = (_matrix(batch.column(c).take(pa.array(at))) for c in ("vector_a", "vector_b"))
+                    shared = np.minimum(folded(a, g), folded(b, g)).sum(axis=1)
+                    keep[at] = link.holds(np.minimum(shared, np.minimum(sizes[0][at], sizes[1][at])), sizes[0][at], sizes[1][at])
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
@@ -290,26 +362,25 @@ class RTree:
 
 
 def _tree_join(link: Link):
-    """Rows of one tree, and in ``probe`` rows all members of the cell: pairs of different components."""
+    """Of two parts of a cell, or of one and itself, the pairs of different components that the bound allows."""
 
     def run(_: tuple, table: pa.Table) -> pa.Table:
-        probes = table.to_pandas()
-        inside = probes[probes["tree"] == probes["home"]]
-        vectors = np.array(inside["vector"].tolist(), np.int64)
-        tree = RTree(vectors, inside["n"].to_numpy())
-        node, parts = inside["node"].to_numpy(), inside["component"].to_numpy()
-        found_a, found_b = [], []
-        own, own_parts = probes["node"].to_numpy(), probes["component"].to_numpy()
-        here = int(probes["cell"].iloc[0])
-        own_cells = [frozenset(c) for c in probes["cells"]]
-        cells = [frozenset(c) for c in inside["cells"]]
-        for p, t in tree.search(np.array(probes["vector"].tolist(), np.int64), probes["n"].to_numpy(), link):
-            for i in np.flatnonzero((own_parts[p] != parts[t]) & (own[p] < node[t])).tolist():
-                # Named in the first cell that both list; if they list none in common, wherever they meet.
-                if here == min(own_cells[p[i]] & cells[t[i]], default=here):
-                    found_a.append(own[p[i]])
-                    found_b.append(node[t[i]])
-        return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
+        vectors, sizes = _matrix(table.column("vector").combine_chunks()), table.column("n").to_numpy()
+        node, component = (np.array(table.column(c).to_pylist(), object) for c in ("node", "component"))
+        low, high, home = (table.column(c).to_numpy() for c in ("low", "high", "home"))
+        here, cells = table.column("cell")[0].as_py(), [frozenset(c) for c in table.column("cells").to_pylist()]
+        probes, inside = np.flatnonzero(home == low), np.flatnonzero(home == high)
+        found = []
+        if len(probes) and len(inside):
+            tree = RTree(vectors[inside], sizes[inside])
+            for p, t in tree.search(vectors[probes], sizes[probes], link):
+                p, t = probes[p], inside[t]
+                for a, b in zip(p[component[p] != component[t]].tolist(), t[component[p] != component[t]].tolist(), strict=True):
+                    # Named in the first cell that both list; if they list none in common, wherever they meet.
+                    if here == min(cells[a] & cells[b], default=here):
+                        found.append(sorted((node[a], node[b])))
+        ends = zip(*found, strict=True) if found else ([], [])
+        return pa.table([pa.array(list(e), pa.binary()) for e in ends], ["a", "b"])
 
     return run
 
@@ -321,8 +392,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, link: Link) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify(link), "a binary, b binary")
 
 
-def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) between classes, enough to connect whatever is connected, and the texts of all linked classes."""
+def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """Verified links (a, b) between classes, enough to connect whatever is connected, and what gives the texts of all linked classes."""
     spark = docs.sparkSession
     words = sets.agg(F.sum("n_shingles")).first()[0] or 0
     # A bucket's share of the cells, at most two for a block, stays within memory.
@@ -334,10 +405,14 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Data
     classes = sets.where("n_shingles > 0").groupBy("digest", "node").agg(F.min("doc_id").alias("doc_id"))
     ends = stars.select(F.explode(F.array("member", "pivot")).alias("digest")).distinct()
     chosen = measure_size(classes.join(ends, "digest", "left_semi"), "candidates")
-    wanted = chosen._replace(table=chosen.table.select("doc_id").distinct())
-    bodies = sized_join(docs.select("doc_id", "text"), wanted, ["doc_id"], ["doc_id", "text"], "left_semi")
-    held = bodies.select("text").mapInArrow(_candidates(link), "node binary, n long, vector array<int>, text string")
-    texts = materialize(held.dropDuplicates(["node"]), "candidate_texts")
+
+    def bodies(of: Measured) -> DataFrame:
+        """The texts of documents that stand for some classes."""
+        wanted = of._replace(table=of.table.select("doc_id").distinct())
+        return sized_join(docs.select("doc_id", "text"), wanted, ["doc_id"], ["doc_id", "text"], "left_semi").select("text")
+
+    held = bodies(chosen).mapInArrow(_vectors(link), "node binary, n long, vector array<int>")
+    vectors = materialize(held.dropDuplicates(["node"]), "candidate_vectors")
 
     names = chosen.table.select("digest", "node")
     edges = (
@@ -346,9 +421,20 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Data
     )
     # Different sets of one digest share its cells without a star between them.
     twins = names.toDF("digest", "a").join(names.toDF("digest", "b"), "digest").where("a < b").select("a", "b")
-    # A member's least pivot connects most of what is connected; the others follow where it did not.
-    edges = materialize(edges.unionAll(twins), "candidate_edges")
     schema = "a binary, b binary"
+    sides = [vectors.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("vector").alias(f"vector_{c}")) for c in "ab"]
+    edges = edges.unionAll(twins).join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "n_b", "vector_a", "vector_b")
+    edges = materialize(edges.mapInArrow(_bounded(link), schema), "candidate_edges")
+
+    def texts_of(ends: DataFrame, name: str) -> DataFrame:
+        """Texts of the classes at either end of the pairs (a, b)."""
+        nodes = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        stand = measure_size(chosen.table.join(nodes, "node", "left_semi"), "ends")
+        found = bodies(stand).mapInArrow(_texts(link), "node binary, n long, text string")
+        return materialize(found.dropDuplicates(["node"]), name)
+
+    # A member's least pivot connects most of what is connected; the others follow where it did not.
+    texts = texts_of(edges, "candidate_texts")
     one = materialize(_linked(edges.groupBy("a").agg(F.min("b").alias("b")), texts, link), "links")
     parts = components(one)
     known = names.select("node").join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("c"))
@@ -368,19 +454,21 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Data
     members = rest.select("cell", F.explode(F.array("member", "pivot")).alias("digest")).distinct()
     left = measure(members.join(label, "digest").select("cell", "node", "component"), "open_cells", rows=F.count(F.lit(1)))
     if left.measures["rows"] == 0:
-        return found, texts
-    trees = left.table.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).cast("int").alias("trees"))
+        return found, lambda: texts
+    parts = left.table.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).cast("int").alias("parts"))
     listed = left.table.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LISTED).alias("cells"))
     points = (
-        left.table.join(trees, "cell")
+        left.table.join(parts, "cell")
         .join(listed, "node")
-        .join(texts.select("node", "n", "vector"), "node")
-        .withColumn("home", F.pmod(F.xxhash64("node"), F.col("trees")).cast("int"))
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)))
+        .join(vectors, "node")
+        .withColumn("home", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumns({"low": F.least("home", "other"), "high": F.greatest("home", "other")})
     )
-    pairs = points.drop("trees").groupBy("cell", "tree").applyInArrow(_tree_join(link), schema).distinct()
-    second = materialize(_linked(materialize(pairs, "tree_pairs"), texts, link), "tree_links")
-    return found.unionAll(second), texts
+    pairs = points.drop("parts", "other").groupBy("cell", "low", "high").applyInArrow(_tree_join(link), schema).distinct()
+    pairs = materialize(pairs, "tree_pairs")
+    second = materialize(_linked(pairs, texts_of(pairs, "tree_texts"), link), "tree_links")
+    return found.unionAll(second), lambda: texts_of(found.unionAll(second), "linked_texts")
 
 
 def _shared(sets: W.Rows, rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -402,6 +490,18 @@ def _shared(sets: W.Rows, rows: np.ndarray, left: np.ndarray, right: np.ndarray)
     return shared
 
 
+def _allowed(sets: W.Rows, rows: np.ndarray, left: np.ndarray, right: np.ndarray, link: Link) -> np.ndarray:
+    """Which of ``left`` and ``right`` an R-tree over the count vectors leaves as pairs."""
+    counts = sets.counts[rows]
+    own = W.Rows(np.concatenate([sets.row(r) for r in rows.tolist()]), np.concatenate([[0], np.cumsum(counts)]))
+    groups = int(groups_of(counts.min()))
+    vectors = count_vectors(own, np.full(len(rows), groups))[0].reshape(len(rows), groups)
+    maybe = np.zeros((len(left), len(right)), bool)
+    for p, t in RTree(vectors[right], counts[right]).search(vectors[left], counts[left], link):
+        maybe[p, t] = True
+    return maybe
+
+
 _PAIRS = "a binary, b binary, n_shared long, n_a long, n_b long"
 _COUNTS = "node binary, n long"
 
@@ -421,11 +521,16 @@ def _part_links(link: Link, as_pairs: bool):
             left, right = np.flatnonzero(home[rows] == low[rows]), np.flatnonzero(home[rows] == high[rows])
             if not (len(left) and len(right)):
                 continue
-            shared = _shared(sets, rows, left, right)
+            maybe = _allowed(sets, rows, left, right, link)
+            left, right = left[maybe.any(axis=1)], right[maybe.any(axis=0)]
+            maybe = maybe[maybe.any(axis=1)][:, maybe.any(axis=0)]
+            if not len(left):
+                continue
             a, b = rows[left], rows[right]
-            linked = link.holds(shared, counts[a][:, None], counts[b][None])
+            shared = _shared(sets, rows[np.union1d(left, right)], *(np.searchsorted(np.union1d(left, right), x) for x in (left, right)))
+            linked = maybe & link.holds(shared, counts[a][:, None], counts[b][None])
             if low[rows[0]] == high[rows[0]]:
-                linked = np.triu(linked, 1)
+                linked &= left[:, None] < right[None]
             if as_pairs:
                 i, j = np.nonzero(linked)
                 pairs.append((node[a[i]], node[b[j]], shared[i, j], counts[a[i]], counts[b[j]]))
@@ -465,9 +570,9 @@ def _every_link(classes: DataFrame, texts: DataFrame, link: Link, as_pairs: bool
     return placed.groupBy("group", "low", "high").applyInArrow(_part_links(link, as_pairs), schema)
 
 
-def _classes(docs: DataFrame, link: Link) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _classes(docs: DataFrame, link: Link) -> tuple[DataFrame, DataFrame, Callable[[], DataFrame]]:
     """Rows doc_id, text_hash, n_shingles, node (the class); of each class with ids node, component, least id
-    and number of rows; and the texts of all linked classes."""
+    and number of rows; and what gives the texts of all linked classes."""
     schema = "doc_id long, text_hash long, n_shingles long, digest long, node binary"
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
     sets = materialize(hashed.mapInArrow(_digests(link), schema), "shingle_sets")
@@ -498,7 +603,7 @@ def join(docs: DataFrame, k: int = 3, share: int = 90, per: int = 100, n_links:
     smallest = classes.groupBy("component").agg(F.min("least").alias("_smallest"))
     named = classes.join(smallest, "component")
     if n_links:
-        others = _every_link(classes, texts, link, as_pairs=False).groupBy("node").agg(F.sum("n").alias("_others"))
+        others = _every_link(classes, texts(), link, as_pairs=False).groupBy("node").agg(F.sum("n").alias("_others"))
         named = named.join(others, "node", "left")
         named = named.withColumn("_links", F.col("rows") - 1 + F.coalesce("_others", F.lit(0)))
     extra = ["_links"] if n_links else []
@@ -522,7 +627,7 @@ def pairs(docs: DataFrame, k: int = 3, share: int = 90, per: int = 100) -> DataF
     ship(docs.sparkSession)
     link = Link(k, share, per)
     sets, classes, texts = _classes(_narrow(docs), link)
-    between = _every_link(classes, texts, link, as_pairs=True)
+    between = _every_link(classes, texts(), link, as_pairs=True)
     similarity = F.col("n_shared") / (F.col("n_a") + F.col("n_b") - F.col("n_shared"))
     between = between.select(F.col("a").alias("_a"), F.col("b").alias("_b"), similarity.alias("similarity"))
     copies = classes.where("rows > 1").select(F.col("node").alias("_a"), F.col("node").alias("_b"), F.lit(1.0).alias("similarity"))

@@ -123,3 +123,22 @@ def test_every_link(spark, monkeypatch, seed, words, edits, part):
             number[i] += 1
     joined = ngram_join.join(df, n_links=True).collect()
     assert sorted((r["doc_id"] or -1, r["n_links"]) for r in joined) == sorted((i or -1, n) for i, n in number.items())
+
+
+def test_links_come_through_the_tree(spark, monkeypatch):
+    """Without the R-tree no link is named."""
+    monkeypatch.setattr(ngram_join.RTree, "search", lambda *_: iter(()))
+    docs = drifting(2, 2, 20, 150, 3)
+    df = spark.createDataFrame([(i, t, "clash") for i, t in docs], SCHEMA)
+    assert ngram_join.pairs(df).collect() == []
+
+
+def test_count_vectors_fold():
+    draw = np.random.default_rng(2)
+    values = draw.integers(0, 2**63, 5000).astype(np.uint64)
+    sets = ngram_join.W.Rows(values, np.array([0, 1000, 5000]))
+    assert ngram_join.groups_of(np.array([0, 1, 1536, 1537, 6145])).tolist() == [64, 64, 64, 256, 1024]
+    counts, offsets = ngram_join.count_vectors(sets, ngram_join.groups_of(sets.counts))
+    assert offsets.tolist() == [0, 64, 64 + 256] and counts.sum() == 5000
+    coarse, _ = ngram_join.count_vectors(sets, np.array([64, 64]))
+    assert (ngram_join.folded(counts[None, 64:], 64)[0] == coarse[64:]).all() and (counts[:64] == coarse[:64]).all()
