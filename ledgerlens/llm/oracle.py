@@ -87,8 +87,133 @@ from numbered d join walk w on w.i = d.i and w.x < w.n join checksums c on c.i =
 """
 
 
+def _crc(text: str) -> str:
+    """CRC-32 of a text that is not empty, byte by byte."""
+    table = "[" + ", ".join(map(str, _crc_table())) + "]"
+    return f"""xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
+    list_filter(string_split(trim(regexp_replace(hex(encode({text})), '(..)', '\\1 ', 'g')), ' '), lambda h: h <> ''),
+    lambda h: cast('0x' || h as bigint))),
+    lambda crc, byte: xor(crc >> 8, ({table}::bigint[])[(xor(crc, byte) & 255) + 1])), 4294967295::bigint)"""
+
+
+# What the repaired rows may end in (n nothing, s, u, a), an initial and where it leads; and the inserts between two ends.
+FOLLOWS = (("n", "s", "s"), ("n", "u", "u"), ("s", "u", "u"), ("a", "u", "u"), ("u", "a", "a"))
+INSERTS = {"n": ("", "u", "ua"), "s": ("", "u", "ua"), "u": ("", "a", "au"), "a": ("", "u", "ua")}
+CLOSINGS = {"n": "", "s": "ua", "u": "a", "a": ""}
+
+
+def _lines(initials: str) -> str:
+    """Empty rows of these roles, each on a new line."""
+    return " || ".join(["''", *["chr(10) || '" + {"u": "user:", "a": "assistant:"}[i] + "'" for i in initials]])
+
+
+def conversation_repair() -> str:
+    """All ways to edit a conversation row by row, of which each step keeps the best for every end."""
+    edits = []
+    for before, many in INSERTS.items():
+        edits.append(f"('{before}', '{before}', 'D', '', 3, '')")
+        for inserted in many:
+            at = inserted[-1] if inserted else before
+            for end, initial, after in FOLLOWS:
+                if end != at:
+                    continue
+                lines, cost, letters = _lines(inserted), 2 * len(inserted), "I" * len(inserted)
+                edits.append(f"('{before}', '{after}', '{letters}K', '{initial}', {cost}, {lines})")
+                if initial != "s":
+                    edits.append(f"('{before}', '{after}', '{letters}R', '{initial}', {cost + 2}, {lines})")
+    closings = [f"('{end}', {2 * len(c)}, '{'I' * len(c)}', {_lines(c)})" for end, c in CLOSINGS.items()]
+    word = "[^\\x20\\x09-\\x0D]"
+    return f"""
+with recursive edits(before, after, edit, initial, cost, lines) as (values {', '.join(edits)}),
+closings(ending, cost, edit, lines) as (values {', '.join(closings)}),
+summed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {_crc("coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')")} % 20 as fault
+  from conversations),
+damaged as (
+  select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+    case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from summed, range(2) as t(copy) where fault <> 0 and (copy = 0 or fault = 3)),
+placed as materialized (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as k from damaged),
+judged as materialized (
+  select conv_id, turn, role, text, k, left(role, 1) as initial,
+    lag(left(role, 1)) over (partition by conv_id order by k) as before,
+    case when not regexp_matches(text, '{word}') then 'blank'
+      when row_number() over (partition by conv_id, role, text order by k) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') then 'truncated' else '' end as kind
+  from placed),
+walk as (
+  select distinct conv_id, cast(0 as bigint) as k, 'n' as ending,
+    {{'cost': cast(0 as bigint), 'audit': '', 'body': ''}} as best from conversations
+  union all
+  select conv_id, k, after, min({{'cost': cost, 'audit': audit, 'body': body}}) from (
+    select r.conv_id, r.k, e.after, cast(w.best.cost + e.cost + case when e.edit <> 'D' and r.kind = 'truncated' then 1 else 0 end as bigint) as cost,
+      w.best.audit || e.edit as audit,
+      case when e.edit = 'D' then w.best.body else w.best.body || e.lines || chr(10)
+        || case when e.edit not like '%R' then r.role when e.initial = 'u' then 'user' else 'assistant' end || ':' || r.text end as body
+    from walk w join judged r on r.conv_id is not distinct from w.conv_id and r.k = w.k + 1 join edits e on e.before = w.ending
+    where e.edit = 'D' or (r.kind not in ('blank', 'duplicate') and (e.edit like '%R' or e.initial = r.initial)))
+  group by conv_id, k, after),
+faults as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (where kind = 'blank') as blank, count(*) filter (where kind = 'duplicate') as duplicate,
+    count(*) filter (where kind = 'truncated') as truncated,
+    count(*) filter (where before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv_id),
+ends as (
+  select w.conv_id, min({{'cost': w.best.cost + c.cost, 'audit': w.best.audit || c.edit, 'body': w.best.body || c.lines}}) as best
+  from walk w join closings c using (ending) left join faults f on f.conv_id is not distinct from w.conv_id
+  where w.k = coalesce(f.n, 0) group by w.conv_id)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(e.best.cost as bigint) as cost,
+  e.best.audit as audit, sha256(substr(e.best.body, 2)) as repaired_sha256
+from ends e left join faults f on f.conv_id is not distinct from e.conv_id"""
+
+
+def vector_codes() -> str:
+    """Lloyd's rounds one after the other, every part against every entry; vectors of 8 equal parts."""
+    distance = "list_sum(list_transform(list_zip(a.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    ctes = [
+        """ints as materialized (
+  select row_number() over (order by vec_id nulls last) as r, vec_id, label,
+    list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding))""",
+        """parts as materialized (
+  select r, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] as part from ints, range(8) as t(p))""",
+        "book0 as materialized (select p, r - 1 as e, part from parts where r <= 16)",
+    ]
+    for k in range(7):
+        ctes.append(
+            f"""near{k} as materialized (
+  select a.r, a.p, any_value(a.part) as part, arg_min(b.e, {distance} * 16 + b.e) as e, min({distance}) as d
+  from parts a join book{k} b on a.p = b.p group by a.r, a.p)"""
+        )
+        if k < 6:
+            ctes.append(
+                f"""book{k + 1} as materialized (
+  select b.p, b.e, coalesce(m.part, b.part) as part from book{k} b left join (
+    select p, e, list((s - ((s % n + n) % n)) // n order by i) as part from (
+      select p, e, i, cast(sum(x) as bigint) as s, count(*) as n from (
+        select p, e, unnest(part) as x, generate_subscripts(part, 1) as i from near{k}) group by p, e, i)
+    group by p, e) m on b.p = m.p and b.e = m.e)"""
+            )
+    text = ",\n".join(ctes)
+    return f"""with {text},
+codes as (
+  select r, string_agg(format('{{:02x}}', e), '' order by p) as code, cast(sum(d) as bigint) as error from near6 group by r),
+digest as (
+  select sha256(string_agg(cast(c as varchar), ',' order by p, e, i)) as codebooks_sha256 from (
+    select p, e, unnest(part) as c, generate_subscripts(part, 1) as i from book6))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from ints join codes using (r), digest"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_mix_sources": MIX_SOURCES,
         "op5_feistel_shards": feistel_shards(),
+        "op11_conversation_repair": conversation_repair(),
+        "op12_vector_codes": vector_codes(),
     }
