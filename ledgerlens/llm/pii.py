@@ -74,13 +74,18 @@ _ANY = "|".join(f"(?:{pattern})" for pattern, _ in TYPES.values())
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _CYRILLIC_LOWER = "абвгдежзиклмнопрстуфхцчшэюя"
 _HEX = "0123456789abcdef"
+# Attempts that keep a value's length and ending. From then on each adds a character, so that the possible surrogates
+# outnumber any values.
+FORM_ATTEMPTS = 4
 
 
 def entity_type(value: Column) -> Column:
-    """The first type whose pattern matches the whole value."""
-    return reduce(
-        lambda rest, t: F.when(value.rlike(f"^(?:{TYPES[t][0]})$"), F.lit(t)).otherwise(rest), reversed(TYPES), F.lit(None).cast("string")
-    )
+    """The first type whose pattern matches the whole value.
+
+    A match that depends on what follows it in the text may match no pattern alone: it is a phone number if it
+    has no letters, and of type ``other`` if it has."""
+    rest = F.when(value.rlike(r"\p{L}"), F.lit("other")).otherwise(F.lit("phone"))
+    return reduce(lambda rest, t: F.when(value.rlike(f"^(?:{TYPES[t][0]})$"), F.lit(t)).otherwise(rest), reversed(TYPES), rest)
 
 
 def _draw(stream: Column, place: Column, n: int) -> Column:
@@ -115,9 +120,9 @@ def _like(text: Column, stream: Column, hexadecimal: Column) -> Column:
 
 
 def _nearby(c: Column, stream: Column, place: Column) -> Column:
-    code = F.conv(F.hex(F.encode(c, "UTF-16BE")), 16, 10).cast("int")
+    code = F.conv(F.hex(F.encode(c, "UTF-32")), 16, 10).cast("int")
     moved = F.shiftleft(F.shiftright(code, 4), 4) + _draw(stream, place, 16)
-    other = F.decode(F.unhex(F.lpad(F.hex(moved.cast("bigint")), 4, "0")), "UTF-16BE")
+    other = F.decode(F.unhex(F.lpad(F.hex(moved.cast("bigint")), 8, "0")), "UTF-32")
     return F.when(other.rlike(r"^\p{L}$"), other).otherwise(c)
 
 
@@ -160,7 +165,11 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         .when(kind == "name", F.regexp_extract(value, _ENDING, 0))
         .otherwise(F.lit(""))
     )
+    # A form that has too few others is given up: the ending varies too, and then there are more characters.
+    tail = F.when(attempt < FORM_ATTEMPTS, tail).otherwise(F.lit(""))
     middle = F.substring(value, F.length(kept) + 1, F.length(value) - F.length(kept) - F.length(tail))
+    more = F.greatest(attempt - FORM_ATTEMPTS, F.lit(0))
+    middle = F.concat(middle, F.repeat(F.when(middle.rlike(r"\p{L}$"), F.lit("e")).otherwise(F.lit("0")), more))
     hexadecimal = ((kind == "secret") & middle.rlike("^[0-9a-f]+$")) | (kind == "ipv6")
     general = F.concat(kept, _like(middle, stream, hexadecimal), tail)
     return F.when(kind == "ip", _ip(stream)).when(kind == "card", _card(value, stream)).otherwise(general)
@@ -194,11 +203,14 @@ def assign(values: DataFrame, key: str) -> DataFrame:
     """kind, value and surrogate for the distinct values (kind, value), written.
 
     A surrogate that another value has too, or that is itself a value of the corpus, is drawn anew for
-    all but the least of the values that share it, until there is none.
+    all but the least of the values that share it, until there is none. Values of one type and length that are
+    too many for their form get longer surrogates after some attempts, so this ends.
     """
+    tasks = values.sparkSession.sparkContext.defaultParallelism
     current = materialize(values.distinct().withColumn("attempt", F.lit(0)), "private_values")
     while True:
-        drawn = current.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
+        # Few rows, but much work for each.
+        drawn = current.repartition(tasks, "value").withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
         held = materialize(drawn, "surrogates")
         first = held.groupBy("surrogate").agg(F.min(F.struct("value", "kind")).alias("_first"), F.count(F.lit(1)).alias("_n"))
         real = held.select(F.col("value").alias("surrogate")).distinct().withColumn("_real", F.lit(True))
@@ -234,13 +246,15 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     matches = materialize(matches.select("_row", "_at", "kind", before.alias("_before"), value.alias("value")), "private_matches")
     table = assign(matches.select("kind", "value"), key)
     known = measure_size(table, "surrogates_by_value")
-    found = sized_join(matches, known, ["kind", "value"], ["_row", "_at"], "inner")
+    found = sized_join(matches, known, ["kind", "value"], ["_row", "_at"])
     # A text's own matches, in their order.
     listed = found.groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.struct("_at", F.concat("_before", "surrogate").alias("_new")))).alias("_new")
+        F.sort_array(F.collect_list(F.struct("_at", F.concat("_before", F.coalesce("surrogate", "value")).alias("_new")))).alias("_new")
     )
     pieces = F.split("text", _ANY, -1)
     joined = F.zip_with(pieces, F.col("_new._new"), lambda piece, new: F.concat(piece, F.coalesce(new, F.lit(""))))
-    rebuilt = touched.join(listed, "_row").withColumn("text", F.array_join(joined, "")).withColumn("n_replaced", F.size("_found"))
+    # Every row has its matches there; the left join says that none may get lost.
+    rebuilt = touched.join(listed, "_row", "left").withColumn("text", F.coalesce(F.array_join(joined, ""), F.col("text")))
+    rebuilt = rebuilt.withColumn("n_replaced", F.size("_found"))
     untouched = docs.where(~has).withColumn("n_replaced", F.lit(0))
     return untouched.select(*columns, "n_replaced").unionAll(rebuilt.select(*columns, "n_replaced"))

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import pii
@@ -110,3 +111,58 @@ def test_more_formats(spark):
         assert n == 1 and new != value and re.fullmatch(shape, new), (value, new)
     plain = ["at 12:30:45 in std::vector, a::b, 10 to 20 30 40", "+5 30", "in 2024 of 0.5 12345"]
     assert replaced(spark, plain) == [(t, 0) for t in plain]
+
+
+def test_awkward_matches(spark):
+    """Matches that look ahead, letters beyond 16 bits, and what stands around them."""
+    texts = [
+        "call +49 30 123 4 5 now",
+        "call +49 30 123 4 5 now or a@b.example.com at 10.20.30.40, please",
+        "Dr \U0001d400\U0001d41b\U0001d41c wrote",
+        "Dr \U0001f600\U0001d400 met Mrs 漢字 and Herr Աբգ",
+        "한국@한국.example.com",
+    ]
+    rows = replaced(spark, texts)
+    assert len(rows) == len(texts)
+    second = rows[1][0]
+    assert re.fullmatch(r"call \+\d[\d ]+ now or [a-z]@[a-z]\.[a-z]{7}\.com at (\d{1,3}\.){3}\d{1,3}, please", second)
+    assert rows[2][0].startswith("Dr ") and rows[2][0].endswith(" wrote") and rows[2][0] != texts[2]
+
+
+def test_short_forms_end(spark):
+    """More values than their form has others: surrogates grow instead of being drawn for ever."""
+    letters = "абвгдежзиклмнопрстуфхцчш"
+    values = [c.upper() + "ин" for c in letters[:22]] + [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrst"]
+    df = spark.createDataFrame([("name", v) for v in values], "kind string, value string")
+    rows = pii.assign(df, "k").collect()
+    assert len({r["surrogate"] for r in rows}) == len(values) == len(rows)
+    assert not {r["surrogate"] for r in rows} & set(values)
+
+
+def test_all_but_the_matches_stays(spark):
+    """Over the whole table, with the patterns run by another engine: every row comes back, and equal values
+    have equal surrogates."""
+    anything = regex.compile(pii._ANY)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    new = {r["doc_id"]: r for r in pii.replace(docs, "k").collect()}
+    old = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert new.keys() == old.keys()
+    surrogates = {}
+    for i, text in old.items():
+        pieces, matches, end = [], [], 0
+        for m in anything.finditer(text or ""):
+            pieces.append(text[end : m.start()])
+            matches.append(m.group())
+            end = m.end()
+        assert new[i]["n_replaced"] == len(matches)
+        if not matches:
+            assert new[i]["text"] == text
+            continue
+        shape = "(.+?)".join(regex.escape(p, special_only=True) for p in [*pieces, text[end:]])
+        found = regex.fullmatch(shape, new[i]["text"], regex.DOTALL)
+        assert found
+        for value, surrogate in zip(matches, found.groups(), strict=True):
+            assert surrogate != value
+            if regex.fullmatch(pii.TYPES["email"][0], value):
+                assert surrogates.setdefault(value, surrogate) == surrogate and len(surrogate) == len(value)
+    assert len(set(surrogates.values())) == len(surrogates) > 5
