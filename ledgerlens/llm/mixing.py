@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.names import with_own_names
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.shared import measure_size
 
@@ -74,8 +75,12 @@ def mix(
     hash of row and copy, so neighbours in the input land anywhere. Adds ``rate``, ``copies``,
     ``copy`` (0 to copies - 1) and ``shuffle_key`` (hex text, ascending within a partition). A null source is a source of its own (weight 0 if weights are given),
     null ids and texts hash as such, an empty table stays empty. Columns of these four names are
-    replaced. The per-source table joins by its measured size; a hot source is not shuffled.
+    replaced, any others stay as they are. The per-source table joins by its measured size; a hot source is not shuffled.
     """
+    return with_own_names(docs, lambda own: _mixed(own, weights, total, seed))
+
+
+def _mixed(docs: DataFrame, weights: Mapping[str, float] | None, total: float | None, seed: int) -> DataFrame:
     docs = docs.drop("rate", "copies", "copy", "shuffle_key")
     rates = measure_size(source_rates(docs, weights, total), "source_rates")
     # Never null, so that a plain equality joins rows without a source too.

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
 from ledgerlens.llm.components import components
+from ledgerlens.llm.names import with_own_names
 from ledgerlens.llm.shipping import ship
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.shared import Measured, materialize, measure, measure_size
@@ -50,6 +51,8 @@ BUCKET_BYTES = 64 << 20
 # Classes and their shingles in one part of a component, on average, and the shingles counted at a time.
 PART_ROWS, PART_SHINGLES, PART_COLUMNS = 512, 1 << 19, 4096
 BOUNDED_ROWS = 256
+# Members of small cells in one task's group, and such cells whose pairs are made at a time.
+SMALL_ROWS, SMALL_CELLS = 1 << 14, 1 << 11
 
 
 class Link(NamedTuple):
@@ -361,26 +364,66 @@ class RTree:
         return probe[keep], at[keep]
 
 
+def _small_pairs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs within each of many short runs of rows."""
+    n = sizes * sizes
+    run = np.repeat(np.arange(len(sizes)), n)
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    i, j = place // sizes[run], place % sizes[run]
+    return (starts[run] + i)[i < j], (starts[run] + j)[i < j]
+
+
 def _tree_join(link: Link):
-    """Of two parts of a cell, or of one and itself, the pairs of different components that the bound allows."""
+    """Of many cells, or of two parts of a large one, the pairs of different components that the bound allows.
+
+    Up to ``LEAF`` members are no more than a leaf of a tree: their pairs are held against the bound at once.
+    """
 
     def run(_: tuple, table: pa.Table) -> pa.Table:
-        vectors, sizes = _matrix(table.column("vector").combine_chunks()), table.column("n").to_numpy()
-        node, component = (np.array(table.column(c).to_pylist(), object) for c in ("node", "component"))
+        table = table.sort_by("cell")
+        sizes, node = table.column("n").to_numpy(), np.array(table.column("node").to_pylist(), object)
+        component = np.unique(np.array(table.column("component").to_pylist(), object), return_inverse=True)[1]
         low, high, home = (table.column(c).to_numpy() for c in ("low", "high", "home"))
-        here, cells = table.column("cell")[0].as_py(), [frozenset(c) for c in table.column("cells").to_pylist()]
-        probes, inside = np.flatnonzero(home == low), np.flatnonzero(home == high)
+        vector, listed = (table.column(c).combine_chunks() for c in ("vector", "cells"))
+        cell = table.column("cell").to_numpy()
+        starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        counts = np.diff(np.append(starts, len(cell)))
+        groups = np.minimum.reduceat(pc.list_value_length(vector).to_numpy(zero_copy_only=False), starts)
         found = []
-        if len(probes) and len(inside):
-            tree = RTree(vectors[inside], sizes[inside])
-            for p, t in tree.search(vectors[probes], sizes[probes], link):
-                p, t = probes[p], inside[t]
-                for a, b in zip(p[component[p] != component[t]].tolist(), t[component[p] != component[t]].tolist(), strict=True):
-                    # Named in the first cell that both list; if they list none in common, wherever they meet.
-                    if here == min(cells[a] & cells[b], default=here):
-                        found.append(sorted((node[a], node[b])))
-        ends = zip(*found, strict=True) if found else ([], [])
-        return pa.table([pa.array(list(e), pa.binary()) for e in ends], ["a", "b"])
+
+        def search(some: np.ndarray) -> None:
+            """Cells of which the coarsest vectors have the same number of groups."""
+            rows = np.concatenate([np.arange(starts[k], starts[k] + counts[k]) for k in some.tolist()])
+            vectors, own, part = _matrix(vector.take(pa.array(rows))), sizes[rows], component[rows]
+            first = np.cumsum(counts[some]) - counts[some]
+            few = (counts[some] <= LEAF) & (low[starts[some]] == high[starts[some]])
+            if few.any():
+                p, t = _small_pairs(first[few], counts[some][few])
+                p, t = p[part[p] != part[t]], t[part[p] != part[t]]
+                p, t = RTree._bounded(p, t, vectors, own, vectors, own, link)
+                found.append((rows[p], rows[t]))
+            for k in np.flatnonzero(~few).tolist():
+                here = np.arange(first[k], first[k] + counts[some[k]])
+                at = rows[here]
+                probes, inside = here[home[at] == low[at]], here[home[at] == high[at]]
+                if not (len(probes) and len(inside)):
+                    continue
+                for p, t in RTree(vectors[inside], own[inside]).search(vectors[probes], own[probes], link):
+                    p, t = probes[p], inside[t]
+                    found.append((rows[p[part[p] != part[t]]], rows[t[part[p] != part[t]]]))
+
+        for g in np.unique(groups).tolist():
+            alike = np.flatnonzero(groups == g)
+            for start in range(0, len(alike), SMALL_CELLS):
+                search(alike[start : start + SMALL_CELLS])
+        ends = []
+        for a, b in zip(*(np.concatenate(x).tolist() for x in zip(*found, strict=True)), strict=True) if found else ():
+            # Named in the first cell that both list; if they list none in common, wherever they meet.
+            here = int(cell[a])
+            if here == min(set(listed[a].as_py()) & set(listed[b].as_py()), default=here):
+                ends.append(sorted((node[a], node[b])))
+        sides = zip(*ends, strict=True) if ends else ([], [])
+        return pa.table([pa.array(list(e), pa.binary()) for e in sides], ["a", "b"])
 
     return run
 
@@ -455,17 +498,23 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Call
     left = measure(members.join(label, "digest").select("cell", "node", "component"), "open_cells", rows=F.count(F.lit(1)))
     if left.measures["rows"] == 0:
         return found, lambda: texts
-    parts = left.table.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).cast("int").alias("parts"))
-    listed = left.table.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LISTED).alias("cells"))
+    # Of two members the lesser is the cell's least, with which the other was compared.
+    sizes = left.table.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).where("m > 2")
+    parts = sizes.select("cell", F.ceil(F.col("m") / TREE_ROWS).cast("int").alias("parts"))
+    crowded = measure(left.table.join(parts, "cell"), "crowded_cells", rows=F.count(F.lit(1)))
+    if crowded.measures["rows"] == 0:
+        return found, lambda: texts
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), crowded.measures["rows"] // SMALL_ROWS)
+    own_group = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cell"), F.lit(buckets))).otherwise(F.xxhash64("cell"))
+    listed = crowded.table.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LISTED).alias("cells"))
     points = (
-        left.table.join(parts, "cell")
-        .join(listed, "node")
+        crowded.table.join(listed, "node")
         .join(vectors, "node")
         .withColumn("home", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumns({"low": F.least("home", "other"), "high": F.greatest("home", "other")})
+        .withColumns({"low": F.least("home", "other"), "high": F.greatest("home", "other"), "group": own_group})
     )
-    pairs = points.drop("parts", "other").groupBy("cell", "low", "high").applyInArrow(_tree_join(link), schema).distinct()
+    pairs = points.drop("parts", "other").groupBy("group", "low", "high").applyInArrow(_tree_join(link), schema).distinct()
     pairs = materialize(pairs, "tree_pairs")
     second = materialize(_linked(pairs, texts_of(pairs, "tree_texts"), link), "tree_links")
     return found.unionAll(second), lambda: texts_of(found.unionAll(second), "linked_texts")
@@ -644,6 +693,10 @@ def keep_one(docs: DataFrame, k: int = 5, share: int = 80, per: int = 100) -> Da
     whose hash is least; of rows that repeat id and text, any one). Texts without words and rows with a null
     id have no links and stay. The ids to leave out are joined by their measured size.
     """
+    return with_own_names(docs, lambda own: _one_of_each(own, k, share, per))
+
+
+def _one_of_each(docs: DataFrame, k: int, share: int, per: int) -> DataFrame:
     ship(docs.sparkSession)
     sets, classes, _ = _classes(_narrow(docs), Link(k, share, per))
     linked = sets.where("n_shingles > 0 and doc_id is not null").select("doc_id", "text_hash", "node")

@@ -228,16 +228,20 @@ def fit(docs: DataFrame) -> Model:
                 order = np.argsort(row, kind="stable")
                 ends = np.searchsorted(row[order], np.arange(part.num_rows + 1)).astype(np.int32)
                 columns = [
+                    part.column("place"),
                     pa.array(found.patterns()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(feature[order].astype(np.int32))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(value[order])),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["pattern", "features", "values"])
+                yield pa.RecordBatch.from_arrays(columns, ["place", "pattern", "features", "values"])
 
-    # Equal texts hash alike and count once, so that no group of copies can fill the sample.
+    # Equal texts hash alike and count once, so that no group of copies can fill the sample. Of different texts at one
+    # place the one with the least checksum is taken, and the rows are put in order: one table gives one model.
     place = F.pmod(F.xxhash64("text"), F.lit(max(int(counts.sum()), 1)))
-    sample = texts.withColumn("_place", place).where(F.col("_place") < SAMPLE).dropDuplicates(["_place"]).select("text")
-    rows = sample.mapInArrow(describe, "pattern long, features array<int>, values array<double>").collect()
+    sample = texts.where("text is not null").withColumn("place", place).where(F.col("place") < SAMPLE)
+    sample = sample.groupBy("place").agg(F.min_by("text", F.md5("text")).alias("text"))
+    rows = sample.mapInArrow(describe, "place long, pattern long, features array<int>, values array<double>").collect()
+    rows.sort(key=lambda r: r["place"])
     good = posteriors(votes, prior)[[r["pattern"] for r in rows]] if rows else np.zeros(0)
     return Model(votes, prior, *fit_scorer(rows, good))
 

@@ -47,3 +47,14 @@ def test_nulls_repeats_and_empty(spark):
     assert mixing.mix(frame(spark, [])).collect() == []
     assert mixing.mix(frame(spark, rows), weights={}).collect() == []
     assert {r["source"] for r in mixing.mix(frame(spark, rows), {"a": 1, "missing": 5}, total=500).collect()} == {"a"}
+
+
+def test_names_of_its_own(spark):
+    """Columns named like those the operator uses, and a very long text."""
+    rows = [(i, "x" * (3_000_000 if i == 0 else 9), "ab"[i % 2], i, -i, "k") for i in range(40)]
+    clashing = spark.createDataFrame(rows, "doc_id long, text string, source string, _rate long, _Key long, own_rate string")
+    mixed = mixing.mix(clashing)
+    assert mixed.columns[:6] == clashing.columns
+    plain = mixing.mix(clashing.select("doc_id", "text", "source")).select("doc_id", "copy").collect()
+    assert sorted((r["doc_id"], r["copy"]) for r in mixed.collect()) == sorted(map(tuple, plain))
+    assert all(r["_rate"] == -r["_Key"] == r["doc_id"] for r in mixed.select("doc_id", "_rate", "_Key").collect())

@@ -142,3 +142,11 @@ def test_count_vectors_fold():
     assert offsets.tolist() == [0, 64, 64 + 256] and counts.sum() == 5000
     coarse, _ = ngram_join.count_vectors(sets, np.array([64, 64]))
     assert (ngram_join.folded(counts[None, 64:], 64)[0] == coarse[64:]).all() and (counts[:64] == coarse[:64]).all()
+
+
+def test_keep_one_leaves_columns_as_they_are(spark):
+    text = " ".join(f"a{i}" for i in range(30))
+    rows = [(1, text, 10, "x"), (2, text + " b", 20, "y"), (3, "else", 30, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id long, _hash string")
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import quality
 
@@ -60,3 +61,14 @@ def test_awkward_rows(spark):
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} <= {2, 3}
     assert quality.classify(docs.limit(0)).collect() == [] and quality.keep_good(docs.limit(0)).collect() == []
+
+
+def test_one_table_gives_one_model(spark):
+    """However the rows are dealt out and ordered."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    results = []
+    for parts, order in ((1, F.col("doc_id")), (7, F.desc("doc_id"))):
+        dealt = docs.repartition(parts, F.xxhash64("doc_id")).sortWithinPartitions(order)
+        rows = quality.classify(dealt).select("doc_id", "posterior", "score", "keep").collect()
+        results.append(sorted(map(tuple, rows)))
+    assert results[0] == results[1]
