@@ -1,36 +1,22 @@
 """Subtotals made of cells instead of rows.
 
-A rollup repeats every row for every level. Here rows are summed into the finest cells once, and each level
-above merges the sums of the cells.
+A rollup of rows repeats every row for every level. Here rows are summed into the finest cells once, and the
+rollup repeats the cells, which are few.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-class Level(NamedTuple):
-    """The keys that a level keeps, and its number in the result."""
+def subtotals(rows: DataFrame, keys: Sequence[str], sums: Sequence[Column], merged: Sequence[Column]) -> DataFrame:
+    """The cells by ``keys`` and all their subtotals down to the total, with the ``level`` of ``grouping_id``.
 
-    keys: list[str]
-    number: int
-
-
-def levels(cells: DataFrame, of: Sequence[Level], merged: Sequence[Column]) -> DataFrame:
-    """All levels in one table, each of the ``cells``, whose keys the first level names.
-
-    ``merged`` are aggregates that make several cells one, under the cells' own names. A key that a level
-    does not keep is null. A level without keys has one row, also for no cells.
+    ``sums`` are the aggregates that make a cell of rows; ``merged`` make one of several cells, under the
+    cells' own names. No rows give no cells and no total.
     """
-    keys = of[0].keys
-
-    def at(level: Level) -> DataFrame:
-        left_out = {k: F.lit(None).cast(cells.schema[k].dataType) for k in keys if k not in level.keys}
-        return cells.groupBy(*level.keys).agg(*merged).withColumns({**left_out, "level": F.lit(level.number)})
-
-    return reduce(lambda a, b: a.unionByName(b), [at(level) for level in of])
+    cells = rows.groupBy(*keys).agg(*sums)
+    return cells.rollup(*keys).agg(F.grouping_id().cast("int").alias("level"), *merged)

@@ -75,9 +75,19 @@ def percent_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Per ``key`` the rank of each column among its non-null values, divided by their number.
 
     Equal values share the average of their ranks; a null value has a null rank, and a row of nulls is
-    left out. ``key`` must be unique. Ranks are made of the distinct values and their counts, so that a
-    value shared by a third of all rows is one row to sort. If the measured counts allow, every column
-    looks its ranks up in place, in one pass over ``df``; otherwise values and ranks are joined by value.
+    left out. ``key`` must be unique.
+    """
+    given = df.select(key, *columns).dropna("all", subset=list(columns))
+    into = [f"_rank_{i}" for i in range(len(columns))]
+    return add_percent_ranks(given, key, columns, into).select(key, *[F.col(i).alias(c) for i, c in zip(into, columns)])
+
+
+def add_percent_ranks(df: DataFrame, key: str, columns: Sequence[str], into: Sequence[str]) -> DataFrame:
+    """``df`` with the ranks of some columns, as of ``percent_ranks``, as further columns.
+
+    Ranks are made of the distinct values and their counts, so that a value shared by a third of all rows
+    is one row to sort. If the measured counts allow, every row looks its ranks up where it is; otherwise
+    values and ranks are joined by value, and the ranks by ``key``.
     """
     pairs = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).alias("_value")) for i, c in enumerate(columns)])
     values = (
@@ -88,23 +98,24 @@ def percent_ranks(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     counts = values.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
     written = measure(counts, "value_counts", rows=F.count(F.lit(1)), bytes=text_bytes(counts))
     if written.measures["rows"] <= WINDOW_ROWS and written.measures["bytes"] <= joins.BROADCAST_BYTES:
-        return _ranks_in_place(df, key, columns, written.table)
+        return _ranks_in_place(df, columns, into, written.table)
     placed = running_total(written.table, ["_column"], ["_value"], "_n", "_below", "_total")
     ranks = Measured(placed.table.select("_column", "_value", _rank().alias("_rank")), placed.measures)
     found = sized_join(values, ranks, ["_column", "_value"], [key])
-    return found.groupBy(key).agg(
-        *[F.max(F.when(F.col("_column") == i, F.col("_rank"))).alias(c) for i, c in enumerate(columns)]
+    found = found.groupBy(key).agg(
+        *[F.max(F.when(F.col("_column") == i, F.col("_rank"))).alias(name) for i, name in enumerate(into)]
     )
+    return df.join(found, key, "left")
 
 
-def _ranks_in_place(df: DataFrame, key: str, columns: Sequence[str], counts: DataFrame) -> DataFrame:
-    found = df.select(key, *columns).dropna("all", subset=list(columns))
-    for i, c in enumerate(columns):
+def _ranks_in_place(df: DataFrame, columns: Sequence[str], into: Sequence[str], counts: DataFrame) -> DataFrame:
+    found = df
+    for i, (c, name) in enumerate(zip(columns, into)):
         own = counts.where(F.col("_column") == i).drop("_column")
         placed = _total_by_window(own, [], ["_value"], "_n", "_below", "_total")
-        ranks = placed.select(F.col("_value").alias(c), _rank().alias(f"_rank_{i}"))
+        ranks = placed.select(F.col("_value").alias(c), _rank().alias(name))
         found = found.join(F.broadcast(ranks), c, "left")
-    return found.select(key, *[F.col(f"_rank_{i}").alias(c) for i, c in enumerate(columns)])
+    return found.select(*df.columns, *into)
 
 
 def positions(df: DataFrame, by: Sequence[str], order: Sequence[str], position: str, total: str) -> DataFrame:

@@ -131,21 +131,24 @@ class RevenueAudit:
             self.corrections,
         )
 
+    @cached_property
+    def customers(self) -> DataFrame:
+        """The customer summary and the totals that the reports show beside it, a row per customer, written once.
+
+        What the reports ask of a customer is here, so none of them joins tables by customer again.
+        """
+        scored = health.with_health(self.customer_metrics)
+        tables = self.clean_subscriptions, self.clean_invoices, self.clean_support_cases
+        return materialize(executive.with_totals(scored, *tables, self.corrections), "customers")
+
     @cached_property
     def customer_summary(self) -> DataFrame:
-        return materialize(health.with_health(self.customer_metrics), "customer_summary")
+        return self.customers.drop(*executive.TOTALS)
 
     @cached_property
     def executive_summary(self) -> DataFrame:
         """Written once: five data sets and the saved table read it."""
-        table = executive.executive_summary(
-            self.customer_summary,
-            self.raw["subscriptions"],
-            self.clean_subscriptions,
-            self.clean_invoices,
-            self.clean_support_cases,
-            self.corrections,
-        )
+        table = executive.executive_summary(self.customers, self.raw["subscriptions"], self.corrections)
         return materialize(table, "executive_summary")
 
     # Reports
@@ -163,7 +166,7 @@ class RevenueAudit:
             "trusted_vs_reported_mrr": lambda: reports.trusted_vs_reported(
                 raw, self.clean_subscriptions, corrections
             ),
-            "high_revenue_low_usage": with_summary(reports.high_revenue_low_usage, "clean_support_cases"),
+            "high_revenue_low_usage": lambda: reports.high_revenue_low_usage(self.customers),
             "discount_vs_retention": with_summary(
                 lambda summary, s: reports.discount_vs_retention(s, summary, corrections), "clean_subscriptions"
             ),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import net_fee, parse_number, round_half_up, round_money
 from ledgerlens.functions.sums import exact_sum, mean_of, merged_sums, partial_sums, summed
 from ledgerlens.operators.joins import sized_join
-from ledgerlens.operators.lattice import Level, levels
+from ledgerlens.operators.lattice import subtotals
 from ledgerlens.operators.ranking import running_total
 from ledgerlens.operators.rules import INVALID, trusted
 from ledgerlens.operators.shared import materialize, measure_size
@@ -100,29 +100,26 @@ def region_plan_matrix(
 ) -> DataFrame:
     """Region and plan with subtotals; ``level`` is 0 for a cell, 1 for a region, 3 for the total.
 
-    Rows are summed into cells once; the subtotals are made of the cells.
+    Rows are summed into cells; the subtotals are made of the cells.
     """
     keys = ["region", "plan_name"]
     fee = F.when(is_active(), net_fee(F.col("monthly_fee"), F.col("discount_pct")))
     counts = {"rows": F.lit(True), "active": is_active(), "cancelled": is_cancelled(corrections)}
-    subs = (
-        trusted(subscriptions)
-        .groupBy(*keys)
-        .agg(*partial_sums(fee, "fees"), *[F.count_if(condition).alias(name) for name, condition in counts.items()])
+    subs = subtotals(
+        trusted(subscriptions),
+        keys,
+        [*partial_sums(fee, "fees"), *[F.count_if(condition).alias(name) for name, condition in counts.items()]],
+        [*merged_sums("fees"), *[F.sum(c).alias(c) for c in counts]],
     )
-    customers = summary.groupBy(*keys).agg(
-        *partial_sums(F.col("customer_health_score"), "score"),
-        *partial_sums(F.when(at_risk(), F.col("MRR")), "risk"),
+    customers = subtotals(
+        summary,
+        keys,
+        [*partial_sums(F.col("customer_health_score"), "score"), *partial_sums(F.when(at_risk(), F.col("MRR")), "risk")],
+        [*merged_sums("score"), *merged_sums("risk")],
     )
-    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-    cells = subs.alias("s").join(customers.alias("c"), same, "full_outer")
-    figures = [c for c in (*subs.columns, *customers.columns) if c not in keys]
-    cells = cells.select(*[F.coalesce(f"s.{k}", f"c.{k}").alias(k) for k in keys], *figures)
-    merged = [*merged_sums("fees"), *merged_sums("score"), *merged_sums("risk"), *[F.sum(c).alias(c) for c in counts]]
-    whole = levels(materialize(cells, "matrix_cells"), [Level(keys, 0), Level(["region"], 1), Level([], 3)], merged)
-    return whole.where("rows > 0").select(
-        *keys,
-        "level",
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*keys, "level")]
+    return subs.alias("s").join(customers.alias("c"), same, "left").select(
+        *[f"s.{k}" for k in (*keys, "level")],
         F.coalesce(round_money(summed("fees")), F.lit(0.0)).alias("trusted_mrr"),
         round_half_up(F.col("active") / F.col("rows") * 100, 2).alias("renewal_rate_pct"),
         round_half_up(F.col("cancelled") / F.col("rows") * 100, 2).alias("cancellation_rate_pct"),
@@ -175,21 +172,22 @@ def region_plan_customer(executive: DataFrame) -> DataFrame:
     """
     keys = ["region", "plan_name"]
     money, risk, score = F.col("trusted_mrr"), F.col("revenue_at_risk"), F.col("customer_health_score")
-    cells = executive.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("customers"),
-        F.sum("escalation_count").alias("escalation_count"),
-        *partial_sums(money, "fees"),
-        *partial_sums(risk, "risk"),
-        *partial_sums(score, "score"),
+    names = ("fees", "risk", "score")
+    above = subtotals(
+        executive,
+        keys,
+        [
+            F.count(F.lit(1)).alias("customers"),
+            F.sum("escalation_count").alias("escalation_count"),
+            *[p for column, name in zip((money, risk, score), names) for p in partial_sums(column, name)],
+        ],
+        [*[F.sum(c).alias(c) for c in ("customers", "escalation_count")], *[m for name in names for m in merged_sums(name)]],
     )
-    merged = [F.sum(c).alias(c) for c in ("customers", "escalation_count")]
-    merged += [m for name in ("fees", "risk", "score") for m in merged_sums(name)]
-    above = levels(materialize(cells, "drill_cells"), [Level(keys, 1), Level(["region"], 3), Level([], 7)], merged)
     columns = [*keys, "customer_id", "level", "customers", "trusted_mrr", "avg_health_score", "escalation_count", "revenue_at_risk"]
-    above = above.where("customers > 0").select(
+    above = above.select(
         *keys,
         F.lit(None).cast(executive.schema["customer_id"].dataType).alias("customer_id"),
-        "level",
+        (F.col("level") * 2 + 1).alias("level"),
         "customers",
         round_money(summed("fees")).alias("trusted_mrr"),
         round_half_up(mean_of("score"), 2).alias("avg_health_score"),

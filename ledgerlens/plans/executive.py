@@ -14,6 +14,9 @@ from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.health import HIGH_RISK, WATCHLIST
 from ledgerlens.plans.reports import TOP, at_risk, reported_fees, subscription_links
 
+# Figures of a customer beside the summary.
+TOTALS = ("total_invoice_value", "support_case_count", "escalation_count")
+
 
 def invoice_totals(
     invoices: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD
@@ -52,26 +55,31 @@ def priority(mean_mrr: Column) -> Column:
     )
 
 
-def executive_summary(
+def with_totals(
     summary: DataFrame,
-    raw_subscriptions: DataFrame,
     subscriptions: DataFrame,
     invoices: DataFrame,
     cases: DataFrame,
     corrections: Corrections = STANDARD,
 ) -> DataFrame:
-    """One row per customer. ``reported_mrr`` is the figure of the customer's whole region and plan."""
+    """The customer summary with ``TOTALS``, as all reports on customers read it."""
+    return (
+        summary.join(invoice_totals(invoices, subscriptions, corrections), "customer_id", "left")
+        .join(case_totals(cases), "customer_id", "left")
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in TOTALS[1:]})
+    )
+
+
+def executive_summary(customers: DataFrame, raw_subscriptions: DataFrame, corrections: Corrections = STANDARD) -> DataFrame:
+    """One row per customer, of the summary ``with_totals``: nothing is joined by customer any more.
+
+    ``reported_mrr`` is the figure of the customer's whole region and plan."""
     place = ["customer_id"] if corrections.reported_per_customer else ["region", "plan_name"]
     reported = reported_fees(raw_subscriptions, *place, corrections=corrections).na.drop(subset=place)
     reported = measure_size(reported, "reported_fees")
-    mean_mrr = summary.select(exact_mean(F.col("MRR"))).scalar()
+    mean_mrr = customers.select(exact_mean(F.col("MRR"))).scalar()
     mrr = round_money(F.col("MRR"))
-    wide = (
-        sized_join(summary, reported, place, ["customer_id"])
-        .join(invoice_totals(invoices, subscriptions, corrections), "customer_id", "left")
-        .join(case_totals(cases), "customer_id", "left")
-    )
-    return wide.select(
+    return sized_join(customers, reported, place, ["customer_id"]).select(
         "customer_id",
         "region",
         "plan_name",
@@ -81,8 +89,8 @@ def executive_summary(
         F.coalesce(round_money(F.col("total_invoice_value")), F.lit(0.0)).alias("total_invoice_value"),
         round_half_up(F.col("payment_failure_rate"), 4).alias("payment_failure_rate"),
         "usage_intensity_score",
-        F.coalesce("support_case_count", F.lit(0)).alias("support_case_count"),
-        F.coalesce("escalation_count", F.lit(0)).alias("escalation_count"),
+        "support_case_count",
+        "escalation_count",
         round_half_up(F.col("average_csat"), 2).alias("average_csat"),
         "customer_health_score",
         "risk_category",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import clip, round_half_even
-from ledgerlens.operators.ranking import percent_ranks
+from ledgerlens.operators.ranking import add_percent_ranks
 
 WEIGHT = 0.25
 HIGH_RISK, WATCHLIST, HEALTHY = "High Risk", "Watchlist", "Healthy"
@@ -26,7 +26,7 @@ def with_health(metrics: DataFrame) -> DataFrame:
     """Add ``customer_health_score``, usage, payment, support and renewal in equal parts, and
 
     ``risk_category``."""
-    ranks = percent_ranks(metrics, "customer_id", ["average_csat"]).withColumnRenamed("average_csat", "_csat_rank")
+    ranked = add_percent_ranks(metrics, "customer_id", ["average_csat"], ["_csat_rank"])
     usage = clip(F.col("usage_intensity_score"), 0.0, 100.0)
     payment = (1 - clip(F.col("payment_failure_rate"), 0.0, 1.0)) * 100
     escalation = (1 - clip(F.col("support_escalation_rate"), 0.0, 1.0)) * 100
@@ -34,8 +34,7 @@ def with_health(metrics: DataFrame) -> DataFrame:
     renewal = 100 - clip(F.col("renewal_risk_score"), 0.0, 100.0)
     score = usage * WEIGHT + payment * WEIGHT + support * WEIGHT + renewal * WEIGHT
     return (
-        metrics.join(ranks, "customer_id", "left")
-        .withColumn("customer_health_score", round_half_even(score))
+        ranked.withColumn("customer_health_score", round_half_even(score))
         .withColumn("risk_category", risk_category(F.col("customer_health_score")))
         .drop("_csat_rank")
     )

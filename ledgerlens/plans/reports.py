@@ -94,28 +94,19 @@ def trusted_vs_reported(
 # High revenue, low usage, many escalations
 
 
-def escalations(cases: DataFrame) -> DataFrame:
-    escalated = trusted(cases).where(F.col("case_status_norm") == "Escalated")
-    return escalated.groupBy("customer_id").agg(F.count(F.lit(1)).alias("escalation_count"))
-
-
-def high_revenue_low_usage(summary: DataFrame, cases: DataFrame) -> DataFrame:
-    """Customers in the top fifth by revenue and the lowest three tenths by usage, with more
+def high_revenue_low_usage(customers: DataFrame) -> DataFrame:
+    """Of the summary with each customer's ``escalation_count``: customers in the top fifth by revenue and the lowest three tenths by usage, with more
 
     escalations than the average customer. Equal figures are put in order of customer id."""
     revenue, usage = "effective_monthly_revenue", "usage_intensity_score"
     top, low = together(
-        lambda: row_at(summary, revenue, "customer_id", 0.8, lambda n: tile_start(n, 5, 5)),
-        lambda: row_at(summary, usage, "customer_id", 0.3, lambda n: tile_start(n, 10, 4)),
+        lambda: row_at(customers, revenue, "customer_id", 0.8, lambda n: tile_start(n, 5, 5)),
+        lambda: row_at(customers, usage, "customer_id", 0.3, lambda n: tile_start(n, 10, 4)),
     )
     wanted = not_before(revenue, "customer_id", top) & ~not_before(usage, "customer_id", low)
-    counted = summary.join(escalations(cases), "customer_id", "left").withColumn(
-        "escalation_count", F.coalesce("escalation_count", F.lit(0))
-    )
-    counted = materialize(counted, "escalation_counts")
-    average = counted.agg(F.avg("escalation_count")).scalar()
+    average = customers.agg(F.avg("escalation_count")).scalar()
     return (
-        counted.where((F.col("escalation_count") > average) & wanted)
+        customers.where((F.col("escalation_count") > average) & wanted)
         .orderBy(F.desc("effective_monthly_revenue"), "customer_id")
         .select(
             "customer_id",

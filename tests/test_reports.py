@@ -218,3 +218,18 @@ def test_absurd_amounts_do_not_stop_the_audit(spark):
     assert (row.trusted_mrr, row.total_invoice_value) == (1e18, 1e20)
     assert audit.reports["trusted_vs_reported_mrr"]().first().reported_mrr == 1e18 + 100
     assert audit.reports["contradictions"]().count() == 0
+
+
+def test_no_report_joins_by_customer_again(spark):
+    """Once the customers are written, the executive table and the escalations report need no shuffle by customer."""
+    from ledgerlens.plans import executive, reports
+    from ledgerlens.sources.fixtures import AS_OF as DERIVED, ORDERS, derive_tables
+
+    audit = RevenueAudit(derive_tables(spark, "/root/testdata/sf0.001"), DERIVED, ORDERS)
+    customers = audit.customers
+    for df in (
+        executive.executive_summary(customers, audit.raw["subscriptions"]),
+        reports.high_revenue_low_usage(customers).drop("nothing"),
+    ):
+        plan = df._jdf.queryExecution().toString()
+        assert "hashpartitioning(customer_id" not in plan and "SortMergeJoin" not in plan
