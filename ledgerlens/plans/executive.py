@@ -45,6 +45,7 @@ def case_totals(cases: DataFrame) -> DataFrame:
 
 
 def priority(mean_mrr: Column) -> Column:
+    # The labels.
     high, watch = F.col("risk_category") == HIGH_RISK, F.col("risk_category") == WATCHLIST
     return (
         F.when(at_risk(), "Immediate Action")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import clip, round_half_even
 from ledgerlens.operators.ranking import add_percent_ranks
 
+# Weight of each of the four parts, and the categories.
 WEIGHT = 0.25
 HIGH_RISK, WATCHLIST, HEALTHY = "High Risk", "Watchlist", "Healthy"
 

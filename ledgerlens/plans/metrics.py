@@ -21,6 +21,7 @@ from ledgerlens.operators.shared import materialize, measure, text_bytes
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.sources.tables import load_order
 
+# What the risk and usage scores are made of.
 ENDED = ("Cancelled", "Expired")
 IMMINENT_DAYS = 30
 ATTRIBUTES = ("region", "plan_name", "sales_channel", "subscription_status_norm")

@@ -18,6 +18,7 @@ from ledgerlens.sources.tables import load_order
 TOP = 20
 # Two means of percentages are equal if they agree to so many decimals; doubles of this size have more.
 COMPARED_DIGITS = 10
+# Reasons of the rules, and below the kinds and descriptions of contradictions with their limits.
 PAYMENT_DATE_MISSING = "Paid invoice missing valid payment_date"
 PAYMENT_DATE_EARLY = "Payment date earlier than invoice date"
 

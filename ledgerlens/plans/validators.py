@@ -1,7 +1,8 @@
 """Classification of the four tables, one function each.
 
 Every function keeps all rows, turns text columns into dates and numbers (null where that fails),
-and adds ``record_status``, ``status_reason`` and, where the table has one, a normalised status.
+and adds ``record_status``, ``status_reason`` and, where the table has one, a normalised status. The
+reason texts, severities and limits of the rules are fixed values, as results show them.
 """
 
 from __future__ import annotations
