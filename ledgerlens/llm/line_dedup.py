@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
+from ledgerlens.llm.memory import after_batches, after_group
 from ledgerlens.llm.shipping import ship
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.shared import Measured, materialize, measure, measure_size
@@ -89,9 +90,9 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
         return pa.table({"slice": [key[0].as_py()], "part": [key[1].as_py()], "counts": [total.tobytes()]})
 
     schema = "slice long, part long, counts binary"
-    level = docs.select("text").mapInArrow(count, schema)
+    level = docs.select("text").mapInArrow(after_batches(count), schema)
     while True:
-        level = level.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("slice", "part").applyInArrow(add, schema)
+        level = level.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("slice", "part").applyInArrow(after_group(add), schema)
         level = measure(level, "word_counters", parts=F.max("part"))
         if level.measures["parts"] == 0:
             break
@@ -287,7 +288,7 @@ def _line_table(docs: DataFrame) -> DataFrame:
                 columns = [part.column("_id").take(at), part.column("_hash").take(at), pa.array(lines.number), pa.array(first.view(np.int64)), node]
                 yield pa.RecordBatch.from_arrays(columns, ["_id", "_hash", "line", "digest", "node"])
 
-    return docs.select("_id", "_hash", "text").mapInArrow(run, "_id long, _hash long, line long, digest long, node binary")
+    return docs.select("_id", "_hash", "text").mapInArrow(after_batches(run), "_id long, _hash long, line long, digest long, node binary")
 
 
 def _similar(pairs: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
@@ -300,7 +301,7 @@ def _similar(pairs: DataFrame, first: DataFrame, docs: DataFrame) -> DataFrame:
     # A digest of several classes stands for each of them.
     left, right = (texts.toDF(k, c, f"text_{c}") for k, c in (("da", "a"), ("db", "b")))
     joined = pairs.toDF("da", "db").join(left, "da").join(right, "db").select("a", "b", "text_a", "text_b")
-    linked = joined.mapInArrow(_verify, "a binary, b binary")
+    linked = joined.mapInArrow(after_batches(_verify), "a binary, b binary")
     place = first.select("node", F.struct("_id", "_hash", "line").alias("place"))
     both = linked.join(place.toDF("a", "pa"), "a").join(place.toDF("b", "pb"), "b")
     a_first = F.col("pa") < F.col("pb")
@@ -323,8 +324,8 @@ def later_matches(docs: DataFrame) -> tuple[Measured, Measured]:
     rarity = spark.sparkContext.broadcast(word_rarity(docs))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
     schema = "bucket long, " + ", ".join(f"{n} binary" for n, _ in _POSTING)
-    dealt = docs.select("text").mapInArrow(_postings(rarity, buckets), schema)
-    met = materialize(dealt.groupBy("bucket").applyInArrow(_meet, _MET), "met_lines")
+    dealt = docs.select("text").mapInArrow(after_batches(_postings(rarity, buckets)), schema)
+    met = materialize(dealt.groupBy("bucket").applyInArrow(after_group(_meet), _MET), "met_lines")
     twins = first.select("digest").groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = met.where("a is not null").select("a", "b").distinct().unionAll(twins.selectExpr("digest as a", "digest as b"))
     similar = _similar(pairs, first, docs)
@@ -348,7 +349,7 @@ def later_matches(docs: DataFrame) -> tuple[Measured, Measured]:
         members = held.withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")).withColumn("probe", F.lit(False))
         probes = held.join(resting, "digest", "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         rows = members.unionByName(probes.withColumn("probe", F.lit(True)))
-        rest = rows.groupBy("group", "part").applyInArrow(_search, "a long, b long").distinct()
+        rest = rows.groupBy("group", "part").applyInArrow(after_group(_search), "a long, b long").distinct()
         similar = similar.unionAll(_similar(materialize(rest, "open_pairs"), first, docs))
 
     gone = similar.select(F.col("later").alias("node")).distinct().withColumn("_gone", F.lit(True))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
+from ledgerlens.llm.memory import after_batches, after_group
 from ledgerlens.llm.shipping import ship
 from ledgerlens.operators.shared import materialize, measure
 
@@ -101,7 +102,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             columns = [pa.array(words.view(np.int64)), pa.array(n), pa.array(begins)]
             yield pa.RecordBatch.from_arrays(columns, ["word", "n", "begins"])
 
-    counted = docs.select("text").mapInArrow(run, "word long, n long, begins long")
+    counted = docs.select("text").mapInArrow(after_batches(run), "word long, n long, begins long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("begins").alias("begins"))
 
 
@@ -122,7 +123,7 @@ def _hot(docs: DataFrame, table: DataFrame, total: int) -> Hot:
 
     pairs = np.zeros(size * size, np.int64)
     if size:
-        for r in docs.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        for r in docs.select("text").mapInArrow(after_batches(run), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
             pairs[r["pair"]] = r["n"]
     return hot._replace(pairs=pairs.reshape(size, size))
 
@@ -323,7 +324,7 @@ def score(docs: DataFrame) -> DataFrame:
     total = table.measures["total"]
     hot = _hot(docs, table.table, total)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * 10 // BUCKET_BYTES))
-    exploded = docs.mapInArrow(_explode(hot, total, buckets), f"{_ROWS_SQL}, kind int")
+    exploded = docs.mapInArrow(after_batches(_explode(hot, total, buckets)), f"{_ROWS_SQL}, kind int")
     count = _count_bigrams(hot, total, buckets)
 
     def by_bucket(key: tuple, part: pa.Table) -> pa.Table:
@@ -331,7 +332,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     # Rows that are done, or ask for single words, pass through in groups of their own block.
     mixed = exploded.withColumn("_group", F.when(F.col("kind") == BIGRAMS, F.col("bucket")).otherwise(F.col("block")))
-    stage = materialize(mixed.groupBy("kind", "_group").applyInArrow(by_bucket, f"{_ROWS_SQL}, kind int"), "bigram_scores")
+    stage = materialize(mixed.groupBy("kind", "_group").applyInArrow(after_group(by_bucket), f"{_ROWS_SQL}, kind int"), "bigram_scores")
     asks = stage.where(F.col("kind") == WORDS).select("bucket", "second", "n", "docs", "ids", "words")
     bucket = F.pmod(F.shiftrightunsigned("word", 1), F.lit(buckets)).cast("long").alias("bucket")  # as in _asks
     known = table.table.where(F.col("n") * HOT_SHARE < total).select(bucket, "word", "n")
@@ -339,4 +340,4 @@ def score(docs: DataFrame) -> DataFrame:
     columns = [c.split()[0] for c in SUMS.split(", ")]
     done = stage.where(F.col("kind") == DONE).select(*columns).unionAll(looked.select(*columns))
     schema = "doc_id long, n_words long, n_backoffs long, log_score double, mean_log_score double"
-    return done.groupBy("block").applyInArrow(_finish, schema)
+    return done.groupBy("block").applyInArrow(after_group(_finish), schema)

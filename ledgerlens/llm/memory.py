@@ -13,3 +13,27 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
     with suppress(OSError, AttributeError):  # where the C library has no such call
         ctypes.CDLL(None).malloc_trim(0)
+
+
+def after_group(f):
+    """A function of a key and a table, as of ``applyInArrow``, that gives memory back at its end."""
+
+    def run(key, table):
+        try:
+            return f(key, table)
+        finally:
+            give_back()
+
+    return run
+
+
+def after_batches(f):
+    """A function of batches, as of ``mapInArrow``, that gives memory back at its end."""
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return run
