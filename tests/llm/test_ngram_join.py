@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import ngram_join
@@ -125,12 +126,16 @@ def test_every_link(spark, monkeypatch, seed, words, edits, part):
     assert sorted((r["doc_id"] or -1, r["n_links"]) for r in joined) == sorted((i or -1, n) for i, n in number.items())
 
 
-def test_links_come_through_the_tree(spark, monkeypatch):
-    """Without the R-tree no link is named."""
+def test_links_come_through_the_tree(monkeypatch):
+    """Without the R-tree a component's classes have no links."""
+    texts = [t for _, t in drifting(2, 2, 20, 150, 3)]
+    n = len(texts)
+    columns = {c: [0] * n for c in ("group", "low", "high", "home")}
+    classes = {"component": [b"c"] * n, "node": [bytes([i]) for i in range(n)], "rows": [1] * n, "text": texts}
+    table, part = pa.table({**columns, **classes}), ngram_join._part_links(ngram_join.Link(3, 90, 100), True)
+    assert part((), table).num_rows > 100
     monkeypatch.setattr(ngram_join.RTree, "search", lambda *_: iter(()))
-    docs = drifting(2, 2, 20, 150, 3)
-    df = spark.createDataFrame([(i, t, "clash") for i, t in docs], SCHEMA)
-    assert ngram_join.pairs(df).collect() == []
+    assert part((), table).num_rows == 0
 
 
 def test_count_vectors_fold():
