@@ -8,7 +8,7 @@ from ledgerlens.operators import joins, shared
 from ledgerlens.sources.fixtures import AS_OF as DERIVED_AS_OF
 from ledgerlens.sources.fixtures import ORDERS, derive_tables
 from ledgerlens.sources.schemas import TABLES
-from ledgerlens.sources.tables import load_tables, register_views
+from ledgerlens.sources.tables import load_tables, register_views, save_table, write_tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -171,3 +171,25 @@ def test_measure_of_nothing(spark):
     assert (written.table.count(), written.measures["bytes"]) == (0, 0)
     written = shared.measure_size(frame(spark, "invoices", {}, {}).limit(0), "nothing")
     assert (written.table.count(), written.measures["bytes"]) == (0, 0)
+
+
+def test_failed_write_keeps_the_old_table(spark, tmp_path):
+    """A result is replaced only once the new one is whole."""
+    five, seven = spark.range(5).toDF("x"), spark.range(7).toDF("x")
+    midway = spark.range(5).selectExpr("if(id = 3, cast(raise_error('midway') as bigint), id) as x")
+    write_tables({"t": five}, str(tmp_path))
+    with pytest.raises(Exception, match="midway"):
+        write_tables({"t": midway}, str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == ["t"] and spark.read.parquet(f"{tmp_path}/t").count() == 5
+    write_tables({"t": seven}, str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == ["t"] and spark.read.parquet(f"{tmp_path}/t").count() == 7
+    save_table(five, "kept_table")
+    try:
+        with pytest.raises(Exception, match="midway"):
+            save_table(midway, "kept_table")
+        assert spark.table("kept_table").count() == 5
+        save_table(seven, "kept_table")
+        assert spark.table("kept_table").count() == 7
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_table")] == ["kept_table"]
+    finally:
+        spark.sql("drop table if exists kept_table")
