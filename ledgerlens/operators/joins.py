@@ -17,7 +17,12 @@ LEAST_HOT_ROWS = 1000
 
 
 def sized_join(
-    left: DataFrame, right: Measured, on: Sequence[str], spread_by: Sequence[str], how: str = "left"
+    left: DataFrame,
+    right: Measured,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    how: str = "left",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join (left, inner, left semi or left anti) with a table whose size was measured when it was written.
 
@@ -26,11 +31,16 @@ def sized_join(
     """
     if right.measures["bytes"] <= BROADCAST_BYTES:
         return left.join(F.broadcast(right.table), list(on), how)
-    return spread_join(left, right.table, on, spread_by, how)
+    return spread_join(left, right.table, on, spread_by, how, counted)
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], how: str
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    how: str,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffled join (inner, left, left semi or left anti) in which no key of either side lands in one task.
 
@@ -38,12 +48,13 @@ def spread_join(
     has more of it are dealt out by a hash of all their columns (left: of ``spread_by``, which should
     tell rows of one key apart) over as many salts as that side needs tasks for the key, and the rows of
     the other side are repeated for each of these salts. Rows with a null key match nothing and are
-    dealt out alike.
+    dealt out alike. ``counted`` has the keys of ``left`` too and is counted in its place, where ``left``
+    is the result of shuffles that would run once more for it.
     """
     on = list(on)
     if how in ("left_semi", "left_anti"):
         right = right.select(*on).distinct()
-    hot = _hot_keys(left, right, on)
+    hot = _hot_keys(left if counted is None else counted, right, on)
     by_left = hot.where("_deal_left").drop("_deal_left")
     by_right = hot.where("not _deal_left").drop("_deal_left")
     parts = []
@@ -55,7 +66,7 @@ def spread_join(
         parts.append(few.join(many, [*on, "_salt"], "inner").drop("_salt"))
         left = left.join(F.broadcast(by_right.select(*on)), on, "left_anti")
         right = right.join(F.broadcast(by_right.select(*on)), on, "left_anti")
-    tasks = _tasks(left)
+    tasks = task_count(left)
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     salts = F.when(any_null, F.lit(tasks)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted_left = left.join(F.broadcast(by_left), on, "left").withColumn("_salt", _dealt(spread_by, salts)).drop("_salts")
@@ -68,7 +79,8 @@ def spread_join(
     return reduce(DataFrame.unionByName, parts, joined)
 
 
-def _tasks(df: DataFrame) -> int:
+def task_count(df: DataFrame) -> int:
+    """Tasks of a shuffle."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -91,7 +103,7 @@ def _crowded_keys(df: DataFrame, on: list[str]) -> _Side:
     counts = df.select(*on).na.drop().groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.observe(observed, F.sum("_n").alias("rows")).where(F.col("_n") >= LEAST_HOT_ROWS)
     keys = materialize(counts, "crowded_keys")
-    return _Side(keys, (observed.get.get("rows") or 0) / _tasks(df))
+    return _Side(keys, (observed.get.get("rows") or 0) / task_count(df))
 
 
 def _hot_keys(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -107,5 +119,5 @@ def _hot_keys(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     deal_left = n0 >= n1
     # Where both sides have many rows, their pairs need tasks too.
     pairs = F.ceil(n0.cast("double") * n1 / F.lit(max(side.share for side in sides)))
-    need = F.greatest(F.when(deal_left, F.col("_need0")).otherwise(F.col("_need1")), F.least(pairs, F.lit(_tasks(left))))
+    need = F.greatest(F.when(deal_left, F.col("_need0")).otherwise(F.col("_need1")), F.least(pairs, F.lit(task_count(left))))
     return both.select(*on, need.cast("int").alias("_salts"), deal_left.alias("_deal_left"))

@@ -2,30 +2,55 @@
 
 Both find the few offending keys first, on the key column alone and pre-aggregated before the
 shuffle, and then mark the rows by looking their key up. As long as offenders are rare the wide
-rows are never shuffled.
+rows are never shuffled. Where repeated ids are too many for that, the rows are shuffled once, by id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.joins import sized_join
-from ledgerlens.operators.shared import Measured, measure_size
+from ledgerlens.operators import joins
+from ledgerlens.operators.joins import sized_join, task_count
+from ledgerlens.operators.shared import Measured, measure, measure_size, text_bytes
 
+# What a column of a place takes in a broadcast table, about.
+PLACE_BYTES = 20
 
-def repeated_keys(df: DataFrame, key: str, order: Sequence[str]) -> Measured:
-    """The non-null values of ``key`` that several rows share, with the place of their first row.
 
-    Counting needs the key column alone; only rows of the keys found are then asked for their place.
+class Repeated(NamedTuple):
+    """Keys with the place of their first row: all that several rows share, or else (``ranked``) only those
+
+    of more rows than a task should put in order."""
+
+    firsts: Measured
+    ranked: bool
+
+
+def repeated_keys(df: DataFrame, key: str, order: Sequence[str]) -> Repeated:
+    """The non-null values of ``key`` that several rows share.
+
+    Counting needs the key column alone; only rows of the keys found are then asked for their place, if a
+    table of all these keys and places can be broadcast.
     """
     given = df.where(F.col(key).isNotNull())
-    shared = given.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
-    shared = measure_size(shared, f"shared_{key}")
-    places = sized_join(given.select(key, *order), shared, [key], order, "left_semi")
-    return measure_size(places.groupBy(key).agg(F.min(_place(order)).alias("_first")), f"repeated_{key}")
+    shared = given.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    measures = {"rows": F.sum("_n"), "keys": F.count(F.lit(1)), "bytes": text_bytes(shared.select(key))}
+    shared = measure(shared, f"shared_{key}", **measures)
+    size = shared.measures["bytes"] + shared.measures["keys"] * PLACE_BYTES * len(order)
+    ranked = size > joins.BROADCAST_BYTES
+    keys = Measured(shared.table.select(key), shared.measures)
+    if ranked:
+        crowd = max(joins.LEAST_HOT_ROWS, shared.measures["rows"] / task_count(df))
+        keys = measure_size(shared.table.where(F.col("_n") >= F.lit(crowd)).select(key), f"crowded_{key}")
+        if not keys.measures["bytes"]:
+            return Repeated(Measured(keys.table.withColumn("_first", F.lit(None)), keys.measures), ranked)
+    places = sized_join(given.select(key, *order), keys, [key], order, "left_semi")
+    firsts = places.groupBy(key).agg(F.min(_place(order)).alias("_first"))
+    return Repeated(measure_size(firsts, f"repeated_{key}"), ranked)
 
 
 def unknown_keys(df: DataFrame, key: str, known: DataFrame) -> Measured:
@@ -35,16 +60,36 @@ def unknown_keys(df: DataFrame, key: str, known: DataFrame) -> Measured:
     return measure_size(unknown, f"unknown_{key}")
 
 
-def mark_repeats(df: DataFrame, repeated: Measured, key: str, order: Sequence[str], into: str) -> DataFrame:
-    """Flag every row but the first, in ``order``, of those that share a key."""
-    marked = sized_join(df, repeated, [key], order)
-    later = F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(_place(order))
-    return marked.withColumn(into, later).drop("_first")
-
+def mark_repeats(
+    df: DataFrame, repeated: Repeated, key: str, order: Sequence[str], into: str, among: Column | None = None
+) -> DataFrame:
+    """Flag every row but the first, in ``order``, of those that share a key.
 
-def mark_unknown(df: DataFrame, unknown: Measured, key: str, order: Sequence[str], into: str) -> DataFrame:
-    """Flag the rows that refer to an unknown key."""
-    marked = sized_join(df, unknown, [key], order)
+    ``among`` says which rows ``repeated`` was made of (all by default); flags of others mean nothing.
+    """
+    among = F.lit(True) if among is None else among
+    found = F.col("_first").isNotNull()
+    behind = found & ~F.col("_first").eqNullSafe(_place(order))
+    if not repeated.ranked:
+        return sized_join(df, repeated.firsts, [key], order).withColumn(into, behind).drop("_first")
+    # Few keys are left to look up. Their rows, and those without a key, are dealt out to all tasks.
+    marked = sized_join(df, repeated.firsts, [key], order) if repeated.firsts.measures["bytes"] else df.withColumn("_first", F.lit(None))
+    behind = behind if repeated.firsts.measures["bytes"] else F.lit(False)
+    apart = found | F.col(key).isNull() | ~among
+    salt = F.when(apart, F.pmod(F.xxhash64(*order), F.lit(task_count(df))) + 1).otherwise(F.lit(0))
+    # A single column's least value is no null, that of a struct is one.
+    places = [F.asc_nulls_last(order[0])] if len(order) == 1 else [F.asc_nulls_first(c) for c in order]
+    marked = marked.withColumns({"_apart": apart, "_salt": salt.cast("int")})
+    place = F.rank().over(Window.partitionBy(key, "_salt").orderBy(*places))
+    later = F.when(F.col("_apart"), behind).otherwise(place > 1)
+    return marked.withColumn(into, later).drop("_first", "_apart", "_salt")
+
+
+def mark_unknown(
+    df: DataFrame, unknown: Measured, key: str, spread_by: Sequence[str], into: str, counted: DataFrame | None = None
+) -> DataFrame:
+    """Flag the rows that refer to an unknown key; for ``spread_by`` and ``counted`` see ``spread_join``."""
+    marked = sized_join(df, unknown, [key], spread_by, counted=counted)
     return marked.withColumn(into, F.coalesce("_unknown", F.lit(False))).drop("_unknown")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,19 +16,32 @@ REASON_SEPARATOR = "; "
 
 @dataclass(frozen=True)
 class Rule:
-    """A condition on a row, how bad it is when it holds, and the reason to write down."""
+    """A condition on a row, how bad it is when it holds, and the reason to write down.
+
+    ``marked`` tells that the condition reads a mark, which depends on other rows."""
 
     condition: Column
     severity: str
     reason: str
+    marked: bool = False
+
+
+def invalid(condition: Column, reason: str, marked: bool = False) -> Rule:
+    return Rule(condition, INVALID, reason, marked)
+
 
+def suspicious(condition: Column, reason: str, marked: bool = False) -> Rule:
+    return Rule(condition, SUSPICIOUS, reason, marked)
 
-def invalid(condition: Column, reason: str) -> Rule:
-    return Rule(condition, INVALID, reason)
 
+def decided(df: DataFrame, rules: Sequence[Rule], into: str) -> tuple[DataFrame, list[Rule]]:
+    """Add the conditions that read no mark as the bits of one column, and return the rules that read these.
 
-def suspicious(condition: Column, reason: str) -> Rule:
-    return Rule(condition, SUSPICIOUS, reason)
+    The joins that set the marks then carry one column for all that the conditions read."""
+    bits = {r.reason: 1 << i for i, r in enumerate(rules) if not r.marked}
+    held = [F.when(r.condition, bits[r.reason]).otherwise(0) for r in rules if not r.marked]
+    rules = [r if r.marked else replace(r, condition=F.col(into).bitwiseAND(F.lit(bits[r.reason])) != 0) for r in rules]
+    return df.withColumn(into, reduce(lambda a, b: a + b, held, F.lit(0))), rules
 
 
 def classify(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.functions.dates import Inferred, format_report, inferred_formats, patterns
 from ledgerlens.operators.rules import rule_counts, status_counts
-from ledgerlens.operators.shared import materialize, remove_intermediates, together
+from ledgerlens.operators.shared import Measured, materialize, remove_intermediates, together
 from ledgerlens.plans import dashboard, executive, health, metrics, reports, validators
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.validators import Formats
@@ -117,13 +117,27 @@ class RevenueAudit:
     def usage_scores(self) -> DataFrame:
         return metrics.usage_intensity(self.clean_product_usage)
 
+    @cached_property
+    def invoice_sums(self) -> Measured:
+        """Of the classified invoices, what all figures of customers are made of; written once."""
+        invoices = self.__dict__.get("invoice_facts", self.clean_invoices)
+        return metrics.invoice_sums(invoices, self.corrections)
+
+    @cached_property
+    def invoice_facts(self) -> DataFrame:
+        """Of the classified invoices, what sums and contradictions read; written, for reports that ask for both."""
+        self.written_subscriptions  # noqa: B018 - the invoices need it
+        if "invoices" in self._written:
+            return self.clean_invoices
+        return materialize(self.clean_invoices.select(*metrics.INVOICE_FACTS), "invoice_facts")
+
     @cached_property
     def customer_metrics(self) -> DataFrame:
         self.written_subscriptions  # noqa: B018 - read by all that follows
-        together(lambda: self.clean_invoices, lambda: self.usage_scores, lambda: self.clean_support_cases)
+        together(lambda: self.invoice_sums, lambda: self.usage_scores, lambda: self.clean_support_cases)
         return metrics.customer_metrics(
             self.clean_subscriptions,
-            self.clean_invoices,
+            self.invoice_sums,
             self.usage_scores,
             self.clean_support_cases,
             self.as_of,
@@ -138,7 +152,7 @@ class RevenueAudit:
         What the reports ask of a customer is here, so none of them joins tables by customer again.
         """
         scored = health.with_health(self.customer_metrics)
-        tables = self.clean_subscriptions, self.clean_invoices, self.clean_support_cases
+        tables = self.clean_subscriptions, self.invoice_sums, self.clean_support_cases
         return materialize(executive.with_totals(scored, *tables, self.corrections), "customers")
 
     @cached_property
@@ -153,6 +167,13 @@ class RevenueAudit:
 
     # Reports
 
+    def invoice_contradictions(self) -> DataFrame:
+        """The contradictions that invoices show, of written subscriptions."""
+        subscriptions = self.written_subscriptions  # before the invoices, which read it
+        return reports.invoice_contradictions(
+            self.clean_invoices, subscriptions, self.orders["invoices"], self.corrections
+        )
+
     @property
     def reports(self) -> dict[str, Callable[[], DataFrame]]:
         """The reports by name; each call builds one."""
@@ -162,6 +183,10 @@ class RevenueAudit:
             # The summary comes first: building it writes the classified subscriptions.
             return lambda: report(*[getattr(self, a) for a in ("customer_summary", *arguments)])
 
+        def contradictions() -> DataFrame:
+            invoices = self.invoice_facts  # before the summary, which then reads these
+            return reports.top_contradictions(self.customer_summary, invoices, self.clean_subscriptions, corrections)
+
         return {
             "trusted_vs_reported_mrr": lambda: reports.trusted_vs_reported(
                 raw, self.clean_subscriptions, corrections
@@ -175,11 +200,7 @@ class RevenueAudit:
             "revenue_at_risk_by_channel": with_summary(
                 lambda summary: reports.revenue_at_risk(summary, "sales_channel")
             ),
-            "contradictions": with_summary(
-                lambda summary, i, s: reports.top_contradictions(summary, i, s, corrections),
-                "clean_invoices",
-                "clean_subscriptions",
-            ),
+            "contradictions": contradictions,
             "executive_summary": lambda: executive.top_at_risk(self.executive_summary),
             "region_ranking": lambda: dashboard.region_ranking(raw, self.clean_subscriptions, corrections),
             "kpis": with_summary(

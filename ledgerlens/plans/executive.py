@@ -9,9 +9,10 @@ from ledgerlens.functions.columns import round_half_up, round_money
 from ledgerlens.functions.sums import exact_mean, exact_sum
 from ledgerlens.operators.joins import sized_join
 from ledgerlens.operators.rules import trusted
-from ledgerlens.operators.shared import measure_size
+from ledgerlens.operators.shared import Measured, measure_size
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.plans.health import HIGH_RISK, WATCHLIST
+from ledgerlens.plans.metrics import invoice_sums
 from ledgerlens.plans.reports import TOP, at_risk, reported_fees, subscription_links
 
 # Figures of a customer beside the summary.
@@ -21,13 +22,20 @@ TOTALS = ("total_invoice_value", "support_case_count", "escalation_count")
 def invoice_totals(
     invoices: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD
 ) -> DataFrame:
+    """Trusted invoice amounts per customer, see ``totals_of_sums``."""
+    return totals_of_sums(invoice_sums(invoices, corrections), subscriptions, corrections)
+
+
+def totals_of_sums(sums: Measured, subscriptions: DataFrame, corrections: Corrections = STANDARD) -> DataFrame:
     """Trusted invoice amounts per customer, counted once per classified row of the subscription id.
 
-    Summed per subscription before the join; repeats of the id multiply the sum instead of the rows.
+    ``sums`` has them per subscription (``invoice_sums``); repeats of the id multiply the sum instead of
+    the rows.
     """
-    sums = trusted(invoices).groupBy("subscription_id").agg(exact_sum(F.col("invoice_amount")).alias("amount"))
-    sums = measure_size(sums, "invoice_sums")
-    links = sized_join(subscription_links(subscriptions, corrections), sums, ["subscription_id"], ["customer_id"], "inner")
+    sums = Measured(sums.table.select("subscription_id", "amount"), sums.measures)
+    links = subscription_links(subscriptions, corrections)
+    # The rows that make the links hold their keys at least as often, and are counted without grouping them first.
+    links = sized_join(links, sums, ["subscription_id"], ["customer_id"], "inner", counted=subscriptions)
     total = exact_sum(F.col("amount") * F.col("copies"))
     return links.groupBy("customer_id").agg(total.alias("total_invoice_value"))
 
@@ -59,13 +67,13 @@ def priority(mean_mrr: Column) -> Column:
 def with_totals(
     summary: DataFrame,
     subscriptions: DataFrame,
-    invoices: DataFrame,
+    invoices: Measured,
     cases: DataFrame,
     corrections: Corrections = STANDARD,
 ) -> DataFrame:
-    """The customer summary with ``TOTALS``, as all reports on customers read it."""
+    """The customer summary with ``TOTALS``, as all reports on customers read it; ``invoices`` as of ``metrics.invoice_sums``."""
     return (
-        summary.join(invoice_totals(invoices, subscriptions, corrections), "customer_id", "left")
+        summary.join(totals_of_sums(invoices, subscriptions, corrections), "customer_id", "left")
         .join(case_totals(cases), "customer_id", "left")
         .withColumns({c: F.coalesce(c, F.lit(0)) for c in TOTALS[1:]})
     )

@@ -17,7 +17,7 @@ from ledgerlens.functions.sums import exact_mean, exact_sum, merged_sum, partial
 from ledgerlens.operators.last import FAR, last_rows, microseconds, packed_place
 from ledgerlens.operators.ranking import percent_ranks
 from ledgerlens.operators.rules import trusted
-from ledgerlens.operators.shared import materialize, measure, text_bytes
+from ledgerlens.operators.shared import Measured, materialize, measure, measure_size, text_bytes
 from ledgerlens.plans.corrections import STANDARD, Corrections
 from ledgerlens.sources.tables import load_order
 
@@ -25,6 +25,9 @@ from ledgerlens.sources.tables import load_order
 ENDED = ("Cancelled", "Expired")
 IMMINENT_DAYS = 30
 ATTRIBUTES = ("region", "plan_name", "sales_channel", "subscription_status_norm")
+INVOICE_FACTS = (
+    "subscription_id", "invoice_id", "invoice_amount", "payment_status_norm", "record_status", "status_reason",
+)
 USAGE_COLUMNS = ("login_count", "active_minutes", "feature_clicks", "reports_created", "data_exports")
 UNKNOWN_RENEWAL_RISK = 50.0
 
@@ -114,16 +117,14 @@ def _has_status(column: str, corrections: Corrections) -> Column:
     return F.col(column) != MISSING_STATUS if corrections.ignore_missing_status else F.lit(True)
 
 
-def _invoices_per_customer(
-    invoices: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD
-) -> DataFrame:
-    """Invoice sums and counts per customer.
+def invoice_sums(invoices: DataFrame, corrections: Corrections = STANDARD) -> Measured:
+    """What customers need of the trusted invoices: sums and counts per subscription, written.
 
-    Summed per subscription first: what is joined has one row per subscription on either side.
+    The invoices are classified and shuffled once for all figures.
     """
     paid = F.col("payment_status_norm") == "Paid"
     amount = F.when(paid, F.col("invoice_amount"))
-    per_subscription = (
+    sums = (
         trusted(invoices)
         .groupBy("subscription_id")
         .agg(
@@ -131,11 +132,20 @@ def _invoices_per_customer(
             F.count(amount).alias("paid_count"),
             F.count_if(_has_status("payment_status_norm", corrections)).alias("invoices"),
             F.count_if(F.col("payment_status_norm") == "Failed").alias("failed"),
+            exact_sum(F.col("invoice_amount")).alias("amount"),
         )
     )
+    return measure_size(sums, "invoice_sums")
+
+
+def _invoices_per_customer(sums: Measured, subscriptions: DataFrame) -> DataFrame:
+    """Invoice sums and counts per customer, of ``invoice_sums``.
+
+    What is joined has one row per subscription on either side.
+    """
     owners = trusted(subscriptions).select("subscription_id", "customer_id")
     return (
-        per_subscription.join(owners, "subscription_id")
+        sums.table.drop("amount").join(owners, "subscription_id")
         .groupBy("customer_id")
         .agg(
             merged_sum("paid").alias("paid_sum"),
@@ -146,8 +156,11 @@ def _invoices_per_customer(
 
 def payments(invoices: DataFrame, subscriptions: DataFrame, corrections: Corrections = STANDARD) -> DataFrame:
     """Mean paid invoice, and the part of all invoices whose payment failed."""
-    sums = _invoices_per_customer(invoices, subscriptions, corrections)
-    return sums.select(
+    return payments_of_sums(invoice_sums(invoices, corrections), subscriptions)
+
+
+def payments_of_sums(sums: Measured, subscriptions: DataFrame) -> DataFrame:
+    return _invoices_per_customer(sums, subscriptions).select(
         "customer_id",
         F.try_divide("paid_sum", "paid_count").alias("effective_monthly_revenue"),
         F.try_divide("failed", "invoices").alias("payment_failure_rate"),
@@ -203,14 +216,15 @@ def satisfaction(cases: DataFrame) -> DataFrame:
 
 def customer_metrics(
     subscriptions: DataFrame,
-    invoices: DataFrame,
+    invoices: Measured,
     usage_scores: DataFrame,
     cases: DataFrame,
     as_of: date,
     order: tuple[str, ...] = ("source_seq",),
     corrections: Corrections = STANDARD,
 ) -> DataFrame:
-    """One row per customer with all metrics and attributes; ``usage_scores`` as of ``usage_intensity``.
+    """One row per customer with all metrics and attributes; ``usage_scores`` as of ``usage_intensity``,
+    ``invoices`` as of ``invoice_sums``.
 
     Usage and cases of customers without a trusted subscription are INVALID, so the customers of
     the trusted subscriptions are all there are. Missing figures become 0, a missing CSAT the mean
@@ -218,7 +232,7 @@ def customer_metrics(
     """
     found = (
         subscription_metrics(subscriptions, as_of, order, corrections)
-        .join(payments(invoices, subscriptions, corrections), "customer_id", "left")
+        .join(payments_of_sums(invoices, subscriptions), "customer_id", "left")
         .join(usage_scores, "customer_id", "left")
         .join(support(cases, corrections), "customer_id", "left")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import normalise_status, parse_number, parse_timestamp
 from ledgerlens.operators.marks import mark_repeats, mark_unknown, repeated_keys, unknown_keys
-from ledgerlens.operators.rules import INVALID, Rule, classify, invalid, suspicious, trusted
+from ledgerlens.operators.rules import INVALID, Rule, classify, decided, invalid, suspicious, trusted
 from ledgerlens.operators.selection import percentile
 from ledgerlens.operators.shared import together
 from ledgerlens.plans.corrections import STANDARD, Corrections
@@ -26,7 +26,9 @@ LONGEST_RENEWAL_LAG = timedelta(days=3 * 365)
 SEAT_PERCENTILE = 99
 SEAT_MIN_VALUES = 10
 
-MARKS = ("_repeated", "_unknown_ref", "_seat_cap", "_sound")
+MARKS = ("_repeated", "_unknown_ref", "_seat_cap", "_sound", "_held", "_deal")
+# Rows are dealt out to tasks by as many numbers.
+DEALS = 1 << 12
 
 
 # Date patterns beside ISO: for all date columns alike, or by column.
@@ -57,7 +59,7 @@ def _with_repeats(
     sound = classify(df, [r for r in rules if r.severity == INVALID and not r.reason.startswith("Duplicate")])
     sound = sound.withColumn("_sound", F.col("record_status") != INVALID).drop("record_status", "status_reason")
     repeated = repeated_keys(sound.where("_sound"), spec.id, order)
-    marked = mark_repeats(sound, repeated, spec.id, order, "_repeated")
+    marked = mark_repeats(sound, repeated, spec.id, order, "_repeated", F.col("_sound"))
     return marked.withColumn("_repeated", F.col("_repeated") & F.col("_sound"))
 
 
@@ -80,8 +82,10 @@ def _marked(
     repeated, unknown = together(
         lambda: repeated_keys(df, spec.id, order), lambda: unknown_keys(df, reference, known)
     )
-    df = mark_repeats(df, repeated, spec.id, order, "_repeated")
-    return mark_unknown(df, unknown, reference, order, "_unknown_ref")
+    # With this number the second join needs no more of the load order.
+    df = df.withColumn("_deal", F.pmod(F.xxhash64(*order), F.lit(DEALS)).cast("int"))
+    marked = mark_repeats(df, repeated, spec.id, order, "_repeated")
+    return mark_unknown(marked, unknown, reference, ["_deal"], "_unknown_ref", counted=df)
 
 
 def _classified(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -102,7 +106,7 @@ def clean_subscriptions(
     active = F.col("subscription_status_norm") == "Active"
     rules = [
         invalid(F.col("subscription_id").isNull(), "Missing subscription_id"),
-        invalid(F.col("_repeated"), "Duplicate subscription_id"),
+        invalid(F.col("_repeated"), "Duplicate subscription_id", marked=True),
         invalid(F.col("customer_id").isNull(), "Missing customer_id"),
         suspicious(signup.isNull(), "Missing/invalid signup_date"),
         invalid(renewal < signup, "Renewal date earlier than signup date"),
@@ -115,6 +119,7 @@ def clean_subscriptions(
         ),
         suspicious(F.col("subscription_status").isNull(), "Missing subscription_status"),
     ]
+    df, rules = decided(df, rules, "_held")
     # The rules see a missing discount, later readers a discount of nothing.
     clean = _classified(_marked(df, spec, order, rules, corrections), rules)
     return clean.withColumn("discount_pct", F.coalesce(discount, F.lit(0.0)))
@@ -132,8 +137,8 @@ def clean_invoices(
     amount, paid_on = F.col("invoice_amount"), F.col("payment_date")
     rules = [
         invalid(F.col("invoice_id").isNull(), "Missing invoice_id"),
-        invalid(F.col("_repeated"), "Duplicate invoice_id"),
-        invalid(F.col("_unknown_ref"), "Invoice references non-existent/invalid subscription"),
+        invalid(F.col("_repeated"), "Duplicate invoice_id", marked=True),
+        invalid(F.col("_unknown_ref"), "Invoice references non-existent/invalid subscription", marked=True),
         invalid(F.col("subscription_id").isNull(), "Missing subscription_id on invoice"),
         invalid(amount < 0, "Negative invoice_amount"),
         invalid(F.col("tax_amount") < 0, "Negative tax_amount"),
@@ -145,6 +150,7 @@ def clean_invoices(
         ),
         invalid(paid_on < F.col("invoice_date"), "Payment date earlier than invoice date"),
     ]
+    df, rules = decided(df, rules, "_held")
     return _classified(_marked(df, spec, order, rules, corrections, "subscription_id", subscriptions), rules)
 
 
@@ -159,15 +165,16 @@ def clean_product_usage(
     df = parsed(raw, spec, formats)
     rules = [
         invalid(F.col("usage_id").isNull(), "Missing usage_id"),
-        invalid(F.col("_repeated"), "Duplicate usage_id"),
-        invalid(F.col("_unknown_ref"), "Usage record references customer not in subscriptions"),
+        invalid(F.col("_repeated"), "Duplicate usage_id", marked=True),
+        invalid(F.col("_unknown_ref"), "Usage record references customer not in subscriptions", marked=True),
         invalid(F.col("customer_id").isNull(), "Missing customer_id on usage record"),
         invalid(F.col("login_count") < 0, "Negative login_count"),
         invalid(F.col("active_minutes") < 0, "Negative active_minutes"),
         suspicious(
-            F.col("seat_count") > F.col("_seat_cap"), "Seat_count is a statistical outlier (>99th pct)"
+            F.col("seat_count") > F.col("_seat_cap"), "Seat_count is a statistical outlier (>99th pct)", marked=True
         ),
     ]
+    df, rules = decided(df, rules, "_held")
     marked, (cap, seats) = together(
         lambda: _marked(df, spec, order, rules, corrections, "customer_id", subscriptions),
         lambda: percentile(df, "seat_count", SEAT_PERCENTILE),
@@ -190,8 +197,8 @@ def clean_support_cases(
     closed, hours, csat = F.col("closed_date"), F.col("resolution_hours"), F.col("csat_score")
     rules = [
         invalid(F.col("case_id").isNull(), "Missing case_id"),
-        invalid(F.col("_repeated"), "Duplicate case_id"),
-        invalid(F.col("_unknown_ref"), "Support case references customer not in subscriptions"),
+        invalid(F.col("_repeated"), "Duplicate case_id", marked=True),
+        invalid(F.col("_unknown_ref"), "Support case references customer not in subscriptions", marked=True),
     ]
     if require_customer:
         rules.append(invalid(F.col("customer_id").isNull(), "Missing customer_id on support case"))
@@ -205,4 +212,5 @@ def clean_support_cases(
         ),
         suspicious(F.col("case_status").isNull(), "Missing case_status"),
     ]
+    df, rules = decided(df, rules, "_held")
     return _classified(_marked(df, spec, order, rules, corrections, "customer_id", subscriptions), rules)
