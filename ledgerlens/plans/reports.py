@@ -323,8 +323,13 @@ def invoice_contradictions(
     Subscription rows of one id and customer are counted before the join and written out after it.
     """
     bad = _bad_paid_invoices(invoices, corrections)
-    links = measure_size(subscription_links(subscriptions, corrections), "subscription_links")
-    return _invoice_rows(sized_join(bad, links, ["subscription_id"], load_order(bad, order), "inner"))
+    order = load_order(bad, order)
+    bad = bad.select("subscription_id", "invoice_id", "status_reason", "invoice_amount", F.xxhash64(*order).alias("_row"))
+    bad, links = together(
+        lambda: materialize(bad, "bad_paid_invoices"),
+        lambda: measure_size(subscription_links(subscriptions, corrections), "subscription_links"),
+    )
+    return _invoice_rows(sized_join(bad, links, ["subscription_id"], ["_row"], "inner"))
 
 
 def contradictions(
