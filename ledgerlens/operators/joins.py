@@ -9,11 +9,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.shared import Measured, materialize
+from ledgerlens.operators.shared import Measured, materialize, together
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Keys of fewer rows are no burden for a task, however small the table is.
 LEAST_HOT_ROWS = 1000
+# Rows are counted by a hash of their key in so many counters before any key is.
+COUNTERS = 1 << 14
 
 
 def sized_join(
@@ -50,6 +52,9 @@ def spread_join(
     the other side are repeated for each of these salts. Rows with a null key match nothing and are
     dealt out alike. ``counted`` has the keys of ``left`` too and is counted in its place, where ``left``
     is the result of shuffles that would run once more for it.
+
+    Without hot keys the join is on the keys alone and left rows with a null key are added unshuffled, so
+    that grouping by the keys, of rows that have them, needs no further shuffle.
     """
     on = list(on)
     if how in ("left_semi", "left_anti"):
@@ -58,7 +63,10 @@ def spread_join(
     by_left = hot.where("_deal_left").drop("_deal_left")
     by_right = hot.where("not _deal_left").drop("_deal_left")
     parts = []
-    if not by_right.isEmpty():
+    if by_right.isEmpty():
+        if by_left.isEmpty():
+            return _join_without_hot_keys(left, right, on, how)
+    else:
         # Keys of which the right side has more all have partners there, so an inner join of them will do.
         few = left.join(F.broadcast(by_right), on, "inner").withColumn("_salt", _all_salts(F.col("_salts"))).drop("_salts")
         many = right.join(F.broadcast(by_right), on, "inner")
@@ -67,8 +75,7 @@ def spread_join(
         left = left.join(F.broadcast(by_right.select(*on)), on, "left_anti")
         right = right.join(F.broadcast(by_right.select(*on)), on, "left_anti")
     tasks = task_count(left)
-    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    salts = F.when(any_null, F.lit(tasks)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salts = F.when(_any_null(on), F.lit(tasks)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted_left = left.join(F.broadcast(by_left), on, "left").withColumn("_salt", _dealt(spread_by, salts)).drop("_salts")
     salted_right = (
         right.join(F.broadcast(by_left), on, "left")
@@ -79,6 +86,22 @@ def spread_join(
     return reduce(DataFrame.unionByName, parts, joined)
 
 
+def _any_null(on: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+
+
+def _join_without_hot_keys(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    if how in ("inner", "left_semi"):
+        return left.join(right, on, how)
+    joined = left.where(~_any_null(on)).join(right, on, how)
+    alone = left.where(_any_null(on))
+    # As a literal, the null of a single key lets Spark leave these rows out where the key must be given.
+    nulls = on if len(on) == 1 else []
+    nulls = {f.name: f.dataType for f in joined.schema if f.name in nulls or f.name not in left.columns}
+    alone = alone.withColumns({c: F.lit(None).cast(kind) for c, kind in nulls.items()})
+    return joined.unionByName(alone)
+
+
 def task_count(df: DataFrame) -> int:
     """Tasks of a shuffle."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -98,20 +121,29 @@ class _Side(NamedTuple):
 
 
 def _crowded_keys(df: DataFrame, on: list[str]) -> _Side:
-    """Keys with many rows. Of the counts only those that can be hot are written; the total is observed."""
+    """Keys with more rows than a task's fair share.
+
+    Rows are counted by a hash of their key first, in few counters and without shuffling keys; only keys under
+    counters that hold as much as a hot key are counted themselves."""
     observed = Observation()
-    counts = df.select(*on).na.drop().groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.observe(observed, F.sum("_n").alias("rows")).where(F.col("_n") >= LEAST_HOT_ROWS)
-    keys = materialize(counts, "crowded_keys")
-    return _Side(keys, (observed.get.get("rows") or 0) / task_count(df))
+    keys = df.select(*on).na.drop().withColumn("_counter", F.pmod(F.xxhash64(*on), F.lit(COUNTERS)).cast("int"))
+    n = F.count(F.lit(1)).alias("_n")
+    counters = keys.groupBy("_counter").agg(n).observe(observed, F.sum("_n").alias("rows"))
+    counters = materialize(counters.where(F.col("_n") >= LEAST_HOT_ROWS), "key_counters")
+    share = (observed.get.get("rows") or 0) / task_count(df)
+    crowded = (F.col("_n") >= LEAST_HOT_ROWS) & (F.col("_n") > F.lit(share))
+    full = counters.where(crowded).select("_counter")
+    if full.isEmpty():
+        return _Side(df.select(*on).withColumn("_n", F.lit(0).cast("bigint")).limit(0), share)
+    counts = keys.join(F.broadcast(full), "_counter", "left_semi").groupBy(*on).agg(n)
+    return _Side(materialize(counts.where(crowded), "crowded_keys"), share)
 
 
 def _hot_keys(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """At most two keys for each task: how many salts (``_salts``) and whether left rows are dealt out (``_deal_left``)."""
-    sides = [_crowded_keys(df, on) for df in (left, right)]
+    sides = together(*[lambda df=df: _crowded_keys(df, on) for df in (left, right)])
     counted = [
-        side.keys.where(F.col("_n") > F.lit(side.share)).withColumn("_need", F.ceil(F.col("_n") / F.lit(max(side.share, 1.0))).cast("int"))
-        for side in sides
+        side.keys.withColumn("_need", F.ceil(F.col("_n") / F.lit(max(side.share, 1.0))).cast("int")) for side in sides
     ]
     a, b = (c.toDF(*on, f"_n{i}", f"_need{i}") for i, c in enumerate(counted))
     both = a.join(b, on, "full_outer")

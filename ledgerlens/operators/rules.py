@@ -54,7 +54,9 @@ def classify(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         held = [F.coalesce(r.condition, F.lit(False)) for r in rules if r.severity == severity]
         return reduce(lambda a, b: a | b, held, F.lit(False))
 
-    status = F.when(any_with(INVALID), INVALID).when(any_with(SUSPICIOUS), SUSPICIOUS).otherwise(VALID)
+    # Nested, so that Spark takes the filter of trusted rows apart and drops rows before the joins that set later marks.
+    sound = F.when(any_with(SUSPICIOUS), SUSPICIOUS).otherwise(VALID)
+    status = F.when(any_with(INVALID), INVALID).otherwise(sound)
     reasons = F.concat_ws(REASON_SEPARATOR, *[F.when(r.condition, r.reason) for r in rules])
     return df.withColumns(
         {

@@ -120,12 +120,13 @@ def _has_status(column: str, corrections: Corrections) -> Column:
 def invoice_sums(invoices: DataFrame, corrections: Corrections = STANDARD) -> Measured:
     """What customers need of the trusted invoices: sums and counts per subscription, written.
 
-    The invoices are classified and shuffled once for all figures.
+    The invoices are classified and shuffled once for all figures. Those without a subscription are no one's.
     """
     paid = F.col("payment_status_norm") == "Paid"
     amount = F.when(paid, F.col("invoice_amount"))
     sums = (
         trusted(invoices)
+        .where(F.col("subscription_id").isNotNull())
         .groupBy("subscription_id")
         .agg(
             *partial_sums(amount, "paid"),

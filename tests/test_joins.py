@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import joins
+from ledgerlens.operators.shared import materialize
 
 PARTITIONS = 16
 
@@ -51,3 +52,40 @@ def test_smaller_side_is_repeated_as_often_as_needed(spark):
     hot = joins._hot_keys(right, left, ["k"]).collect()
     assert [(r["k"], r["_deal_left"]) for r in hot] == [(0, False)]
     assert joins._hot_keys(side(spark, 100, 0, "a"), side(spark, 100, 0, "b"), ["k"]).isEmpty()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_keys_stay_together_without_hot_keys(spark, how):
+    left, right = side(spark, 3000, 0, "a"), side(spark, 2000, 0, "b")
+    joined = joins.spread_join(left, right, ["k"], ["a"], how).where(F.col("k").isNotNull())
+    counts = joined.groupBy("k").agg(F.count("a").alias("n"))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k") == plan.count("Exchange") == 2 and "Union" not in plan
+    assert counts.agg(F.sum("n")).first()[0] == left.join(right, ["k"], how).where(F.col("k").isNotNull()).count()
+
+
+@pytest.mark.parametrize("counters", [1, 7, 1 << 14])
+def test_keys_are_counted_only_where_a_counter_is_full(spark, monkeypatch, counters):
+    monkeypatch.setattr(joins, "COUNTERS", counters)
+    written = []
+
+    def noted(df, name):
+        written.append(name)
+        return materialize(df, name)
+
+    monkeypatch.setattr(joins, "materialize", noted)
+    crowded = joins._crowded_keys(side(spark, 3000, 900, "a"), ["k"])
+    assert [tuple(r) for r in crowded.keys.select("k", "_n").collect()] == [(0, 900)]
+    assert crowded.share == side(spark, 3000, 900, "a").na.drop().count() / PARTITIONS
+    written.clear()
+    assert joins._crowded_keys(side(spark, 3000, 0, "a"), ["k"]).keys.isEmpty()
+    assert written == (["key_counters"] if counters == 1 << 14 else ["key_counters", "crowded_keys"])
+
+
+def test_two_keys_and_nulls_without_hot_keys(spark):
+    left = side(spark, 700, 0, "a").withColumn("m", F.when(F.col("a") % 3 > 0, F.col("k")))
+    right = side(spark, 500, 0, "b").withColumn("m", F.when(F.col("b") % 4 > 0, F.col("k")))
+    for how in ("left", "left_anti", "left_semi"):
+        joined, expected = joins.spread_join(left, right, ["k", "m"], ["a"], how), left.join(right, ["k", "m"], how)
+        assert joined.columns == expected.columns
+        assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()

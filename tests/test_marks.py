@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import RevenueAudit
 from ledgerlens.operators import joins, marks
-from ledgerlens.operators.rules import classify, decided, invalid, suspicious
+from ledgerlens.operators.rules import classify, decided, invalid, suspicious, trusted
 from ledgerlens.plans import metrics, validators
 from ledgerlens.sources import fixtures
 
@@ -84,3 +84,20 @@ def test_invoices_are_classified_once_for_a_report(spark, monkeypatch):
     audit.executive_summary.collect()
     assert calls == ["classified", "summed"]
     assert set(audit.invoice_facts.columns) == set(metrics.INVOICE_FACTS)
+
+
+def test_trusted_rows_are_chosen_before_later_marks(spark):
+    """Rows that are INVALID by themselves do not travel to the join that marks unknown references."""
+    rules = [
+        invalid(F.col("a") < 0, "negative"),
+        invalid(F.col("_unknown_ref"), "unknown", marked=True),
+        suspicious(F.col("b").isNull(), "missing"),
+    ]
+    df, rules = decided(spark.range(100).selectExpr("id as k", "id - 50 as a", "nullif(id % 3, 0) as b"), rules, "_held")
+    unknown = spark.range(0, 100, 7).selectExpr("id as k", "true as _unknown").hint("merge")
+    marked = df.join(unknown, "k", "left").withColumn("_unknown_ref", F.coalesce("_unknown", F.lit(False)))
+    found = trusted(classify(marked, rules))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "- 50) < 0" in plan[plan.index("Join") :].split("Filter", 1)[1].split("\n")[0]
+    assert sorted(r["k"] for r in found.collect()) == [k for k in range(50, 100) if k % 7]
+    assert {r["record_status"] for r in classify(marked, rules).collect()} == {"VALID", "SUSPICIOUS", "INVALID"}
