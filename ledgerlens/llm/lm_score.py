@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
-from ledgerlens.llm.memory import after_batches, after_group
+from ledgerlens.llm.memory import after_batches, after_cogroup, after_group
 from ledgerlens.llm.shipping import ship
 from ledgerlens.operators.shared import materialize, measure
 
@@ -32,7 +32,8 @@ BACKOFF, MIN_COUNT = 0.4, 2
 HOT_SHARE = 1000
 # Words and documents of a block; a document of more words is a block of its own. 16 bits number the documents.
 BLOCK_WORDS, BLOCK_DOCS = 1_000_000, 60_000
-BUCKET_BYTES = 64 << 20
+# A bucket's task holds about ten times this.
+BUCKET_BYTES = 24 << 20
 SUMS = "block long, docs binary, scores binary, backoffs binary, ids binary, nulls binary, words binary"
 
 
@@ -47,9 +48,11 @@ class Hot(NamedTuple):
     def find(self, words: np.ndarray) -> np.ndarray:
         """The place of each word, -1 if it is not among them."""
         if not len(self.words):
-            return np.full(len(words), -1)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, at, -1)
+            return np.full(len(words), -1, np.int32)
+        at = np.searchsorted(self.words, words).astype(np.int32)
+        np.minimum(at, len(self.words) - 1, out=at)
+        at[self.words[at] != words] = -1
+        return at
 
 
 class _Block:
@@ -59,7 +62,7 @@ class _Block:
         self.words = np.concatenate([w.values for _, w in parts])
         self.counts = np.concatenate([w.counts for _, w in parts])
         self.batches = [b for b, _ in parts]
-        doc = np.repeat(np.arange(len(self.counts)), self.counts)
+        doc = np.repeat(np.arange(len(self.counts), dtype=np.uint16), self.counts)
         self.ends = np.ones(len(doc), bool)  # the last word of a document
         self.ends[:-1] = doc[1:] != doc[:-1]
         begins = np.flatnonzero(~self.ends)
@@ -76,12 +79,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
             for part in W.chunks(batch.slice(start, BLOCK_DOCS), "text"):
                 own = W.words(part.column("text"))
                 if held and (size + len(own.values) > BLOCK_WORDS or docs + part.num_rows > BLOCK_DOCS):
-                    yield _Block(held)
-                    held, size, docs = [], 0, 0
-                held.append((part, own))
+                    full, held, size, docs = [_Block(held)], [], 0, 0
+                    yield full.pop()  # the only reference, so that the block can go before the next
+                held.append((_beside_text(part), own))
                 size, docs = size + len(own.values), docs + part.num_rows
     if held:
-        yield _Block(held)
+        full, held = [_Block(held)], []
+        yield full.pop()
+
+
+def _beside_text(part: pa.RecordBatch) -> pa.RecordBatch:
+    """A copy of the other columns; a slice would hold on to all that Spark sent with it."""
+    others = part.select([c for c in part.schema.names if c != "text"])
+    return others.take(pa.array(np.arange(part.num_rows))) if others.num_columns else others
 
 
 def _tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +128,7 @@ def _hot(docs: DataFrame, table: DataFrame, total: int) -> Hot:
         for block in _blocks(batches):
             a, b = hot.find(block.first), hot.find(block.second)
             both = (a >= 0) & (b >= 0)
-            pair, n = _tally(a[both] * size + b[both])
+            pair, n = _tally(a[both].astype(np.int64) * size + b[both])
             yield pa.RecordBatch.from_arrays([pa.array(pair.astype(np.int64)), pa.array(n)], ["pair", "n"])
 
     pairs = np.zeros(size * size, np.int64)
@@ -171,8 +181,9 @@ def _explode(hot: Hot, total: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for k, block in enumerate(_blocks(batches)):
-            number = (task << 32) + k
+        number = (task << 32) - 1
+        for block in _blocks(batches):
+            number += 1
             rows = []
             a, b = hot.find(block.first), hot.find(block.second)
             known = (a >= 0) & (b >= 0)
@@ -199,10 +210,15 @@ def _explode(hot: Hot, total: int, buckets: int):
             rows.append(done)
             opening = block.opening[at < 0]
             rows += _asks([number], np.zeros(len(opening), np.int64), opening, block.openers[at < 0], buckets)
-            first, second, doc = block.first[~known], block.second[~known], block.doc[~known]
-            own = W.mix(first ^ np.where(a[~known] >= 0, W.mix(second), np.uint64(0)))
-            order = np.lexsort((second, first, own % np.uint64(buckets)))
-            first, second, doc, bucket = first[order], second[order], doc[order], (own[order] % np.uint64(buckets)).astype(np.int64)
+            # What is done with goes at once: a block's arrays together are many times its words.
+            known = ~known
+            first, second, doc, behind = block.first[known], block.second[known], block.doc[known], a[known] >= 0
+            del a, b, known, pair, seen, score, block
+            bucket = (W.mix(first ^ np.where(behind, W.mix(second), np.uint64(0))) % np.uint64(buckets)).astype(np.int32)
+            del behind
+            order = np.lexsort((second, first, bucket))
+            first, second, doc, bucket = first[order], second[order], doc[order], bucket[order]
+            del order
             new = np.ones(len(first), bool)
             new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (bucket[1:] != bucket[:-1])
             pairs = np.flatnonzero(new)
@@ -243,10 +259,11 @@ def _count_bigrams(hot: Hot, total: int, buckets: int):
         n_of = _columns(table, "n", np.uint32)
         n = np.concatenate(n_of).astype(np.int64)
         order = np.lexsort((second, first))
-        f, s = first[order], second[order]
+        f = first[order]
         new_first = np.concatenate([[True], f[1:] != f[:-1]])
-        new = new_first.copy()
-        new[1:] |= s[1:] != s[:-1]
+        new, f = new_first.copy(), second[order]
+        new[1:] |= f[1:] != f[:-1]
+        del f
 
         def totals(fresh: np.ndarray) -> np.ndarray:
             back = np.empty(len(order), np.int64)
@@ -255,12 +272,14 @@ def _count_bigrams(hot: Hot, total: int, buckets: int):
 
         count, begins = totals(new), totals(new_first)
         at = hot.find(first)
+        del order, new, new_first, first, n
         begins = np.where(at >= 0, hot.begins[np.maximum(at, 0)] if len(hot.begins) else 0, begins)
         seen = count >= MIN_COUNT
         at = hot.find(second)
         frequent = at >= 0
         usual = np.log(hot.count[np.maximum(at, 0)]) if len(hot.count) else np.zeros(len(at))
         score = np.where(seen, np.log(count) - np.log(np.maximum(begins, 1)), np.log(BACKOFF) - np.log(total) + np.where(frequent, usual, 0.0))
+        del count, begins, at, usual
         place, asked = 0, []
         for k, (block, pairs, docs) in enumerate(zip(blocks.tolist(), n_of, _columns(table, "docs", np.uint16), strict=True)):
             own = slice(place, place + len(pairs))
@@ -336,7 +355,7 @@ def score(docs: DataFrame) -> DataFrame:
     asks = stage.where(F.col("kind") == WORDS).select("bucket", "second", "n", "docs", "ids", "words")
     bucket = F.pmod(F.shiftrightunsigned("word", 1), F.lit(buckets)).cast("long").alias("bucket")  # as in _asks
     known = table.table.where(F.col("n") * HOT_SHARE < total).select(bucket, "word", "n")
-    looked = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_look_up, SUMS)
+    looked = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(after_cogroup(_look_up), SUMS)
     columns = [c.split()[0] for c in SUMS.split(", ")]
     done = stage.where(F.col("kind") == DONE).select(*columns).unionAll(looked.select(*columns))
     schema = "doc_id long, n_words long, n_backoffs long, log_score double, mean_log_score double"

@@ -3,8 +3,10 @@
 import math
 import random
 import re
+import weakref
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import lm_score
@@ -69,3 +71,22 @@ def test_awkward_rows(spark):
     check(spark, [(1, None)])
     check(spark, [(1, "alone")])
     assert lm_score.score(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_blocks_hold_no_batch_and_are_held_by_no_one(monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_WORDS", 1000)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(600)), "text": pa.array(["some words " * 50] * 600)})
+    with pa.BufferOutputStream() as sink:
+        with pa.ipc.new_stream(sink, batch.schema) as writer:
+            writer.write_batch(batch)
+        sent = sink.getvalue()
+    del batch
+    ids, before = [], None
+    for block in lm_score._blocks(pa.ipc.open_stream(sent)):
+        assert before is None or before() is None
+        ids += [i for b in block.batches for i in b.column("doc_id").to_pylist()]
+        assert all("text" not in b.schema.names and b.column("doc_id").buffers()[1].size < 8192 for b in block.batches)
+        assert all(not sent.address <= b.column("doc_id").buffers()[1].address < sent.address + sent.size for b in block.batches)
+        before = weakref.ref(block)
+        del block
+    assert ids == list(range(600))
