@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import joins
-from ledgerlens.operators.joins import sized_join, task_count
+from ledgerlens.operators.joins import _crowded_keys, sized_join, task_count
 from ledgerlens.operators.shared import Measured, measure, measure_size, text_bytes
 
 # What a column of a place takes in a broadcast table, about.
 PLACE_BYTES = 20
+# One key of so many is counted first.
+PROBED = 64
 
 
 class Repeated(NamedTuple):
@@ -34,18 +36,17 @@ def repeated_keys(df: DataFrame, key: str, order: Sequence[str]) -> Repeated:
     """The non-null values of ``key`` that several rows share.
 
     Counting needs the key column alone; only rows of the keys found are then asked for their place, if a
-    table of all these keys and places can be broadcast.
+    table of all these keys and places can be broadcast. Where one key in ``PROBED`` shows that it surely cannot,
+    not all are counted: almost as many keys as rows would fill each task's memory before the shuffle.
     """
     given = df.where(F.col(key).isNotNull())
-    shared = given.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    measures = {"rows": F.sum("_n"), "keys": F.count(F.lit(1)), "bytes": text_bytes(shared.select(key))}
-    shared = measure(shared, f"shared_{key}", **measures)
-    size = shared.measures["bytes"] + shared.measures["keys"] * PLACE_BYTES * len(order)
-    ranked = size > joins.BROADCAST_BYTES
-    keys = Measured(shared.table.select(key), shared.measures)
+    probe = _shared_keys(given.where(F.pmod(F.xxhash64(key), F.lit(PROBED)) == 0), key, f"probed_{key}")
+    ranked = PROBED * _places_bytes(probe, order) > 2 * joins.BROADCAST_BYTES
+    if not ranked:
+        keys = _shared_keys(given, key, f"shared_{key}")
+        ranked = _places_bytes(keys, order) > joins.BROADCAST_BYTES
     if ranked:
-        crowd = max(joins.LEAST_HOT_ROWS, shared.measures["rows"] / task_count(df))
-        keys = measure_size(shared.table.where(F.col("_n") >= F.lit(crowd)).select(key), f"crowded_{key}")
+        keys = measure_size(_crowded_keys(given, [key]).keys.select(key), f"crowded_{key}")
         if not keys.measures["bytes"]:
             return Repeated(Measured(keys.table.withColumn("_first", F.lit(None)), keys.measures), ranked)
     places = sized_join(given.select(key, *order), keys, [key], order, "left_semi")
@@ -53,6 +54,16 @@ def repeated_keys(df: DataFrame, key: str, order: Sequence[str]) -> Repeated:
     return Repeated(measure_size(firsts, f"repeated_{key}"), ranked)
 
 
+def _shared_keys(given: DataFrame, key: str, name: str) -> Measured:
+    shared = given.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    return measure(shared, name, keys=F.count(F.lit(1)), bytes=text_bytes(shared))
+
+
+def _places_bytes(shared: Measured, order: Sequence[str]) -> int:
+    """The size of a table of these keys with their places, about."""
+    return shared.measures["bytes"] + shared.measures["keys"] * PLACE_BYTES * len(order)
+
+
 def unknown_keys(df: DataFrame, key: str, known: DataFrame) -> Measured:
     """The non-null values of ``key`` that are not in the one-column frame ``known``."""
     used = df.select(key).where(F.col(key).isNotNull()).distinct()

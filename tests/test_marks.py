@@ -101,3 +101,19 @@ def test_trusted_rows_are_chosen_before_later_marks(spark):
     assert "- 50) < 0" in plan[plan.index("Join") :].split("Filter", 1)[1].split("\n")[0]
     assert sorted(r["k"] for r in found.collect()) == [k for k in range(50, 100) if k % 7]
     assert {r["record_status"] for r in classify(marked, rules).collect()} == {"VALID", "SUSPICIOUS", "INVALID"}
+
+
+def test_ids_too_many_to_look_up_are_not_all_counted(spark, monkeypatch):
+    df = spark.range(20_000).select((F.col("id") % 9000).alias("k"), F.col("id").alias("row"))
+    counted = []
+    shared_keys = marks._shared_keys
+    monkeypatch.setattr(marks, "_shared_keys", lambda d, k, n: counted.append(d.count()) or shared_keys(d, k, n))
+    expected = marks.mark_repeats(df, marks.repeated_keys(df, "k", ["row"]), "k", ["row"], "later")
+    assert len(counted) == 2 and counted[0] < 1000 and counted[1] == 20_000
+    for limit, ranked, rounds in [(50_000, True, 1), (200_000, True, 2), (10**6, False, 2)]:
+        counted.clear()
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+        repeated = marks.repeated_keys(df, "k", ["row"])
+        assert (repeated.ranked, len(counted)) == (ranked, rounds)
+        got = marks.mark_repeats(df, repeated, "k", ["row"], "later")
+        assert got.exceptAll(expected).isEmpty() and got.where("later").count() == 11_000
