@@ -7,9 +7,9 @@ goes if any line before it is equal as a set or has a Jaccard similarity of at l
 2. Words are ordered by rarity, counted in a fixed number of hashed counters. Two similar lines share
    one of their rarest words, so each line is dealt by the words of its prefix. Lines that meet are
    compared if lengths, positions of the word and a bitmap of parities allow the similarity.
-3. Under a word that many lines share, each line is first compared with one of them, and with the
-   earliest of those found similar; only lines that this leaves without an earlier match meet the others.
-4. Surviving pairs are verified by the words of their texts.
+3. Of the earlier lines that a line may be similar to, the earliest under each word is verified first, by the
+   words of the texts. Near copies of one line all find it, so their pairs grow with their number.
+4. Only lines that this leaves without an earlier match are held against all others.
 """
 
 from __future__ import annotations
@@ -35,9 +35,10 @@ LEAST_WORDS = 4
 # The counters of words: a fixed size, whatever the vocabulary. They decide an order, not a result.
 COUNTERS, SLICES = 1 << 20, 64
 # Of up to SMALL lines under one word all pairs are compared, of up to PART lines those of fitting
-# lengths. More lines, or more candidates than DENSE for each line, as among many near copies, make an
-# open group, which is cut into parts of PART lines; each is searched by the lines still without a match.
-SMALL, PART, DENSE = 64, 4096, 8
+# lengths. More lines, or more candidates than DENSE for each line, as among near copies, make an open
+# group: beside each line's first candidate (of more lines, within PART lines of like length) its lines are
+# kept, cut into parts of PART lines, and searched by the lines still without a match.
+SMALL, PART, DENSE = 64, 4096, 4
 # Results of so many tasks are added up by one task at a time.
 FAN_IN = 256
 
@@ -107,7 +108,11 @@ def _least_shared(a, b):
     return -(-SHARE * (a + b) // (PER + SHARE))
 
 
-_POSTING = [("word", np.uint32), ("digest", np.uint64), ("low", np.uint64), ("high", np.uint64), ("size", np.uint32), ("place", np.uint16)]
+# ``early`` grows with doc_id: of two lines, the one with the lesser value comes first; equal ones leave it open.
+_POSTING = [
+    ("word", np.uint32), ("digest", np.uint64), ("low", np.uint64), ("high", np.uint64), ("size", np.uint32),
+    ("place", np.uint16), ("early", np.float32),
+]
 
 
 def _postings(rarity, buckets: int):
@@ -121,7 +126,9 @@ def _postings(rarity, buckets: int):
                 lines = Lines(part.column("text"))
                 digest, _ = lines.digests()
                 once = np.zeros(len(digest), bool)
-                once[np.unique(digest, return_index=True)[1]] = True
+                early = part.column("_id").to_numpy()[lines.row].astype(np.float32)
+                by_early = np.argsort(early, kind="stable")
+                once[by_early[np.unique(digest[by_early], return_index=True)[1]]] = True
                 picked = np.flatnonzero(once & (lines.sets.counts >= LEAST_WORDS))
                 if not len(picked):
                     continue
@@ -137,7 +144,7 @@ def _postings(rarity, buckets: int):
                 prefix = place < sizes[line] - -(-SHARE * sizes[line] // PER) + 1
                 # A place that is too far back for its type is given as nearer, which only lets more pairs pass.
                 words, line, place = words[order][prefix], line[prefix], np.minimum(place[prefix], 0xFFFF)
-                found.append((W.mix(words), digest[picked][line], low[line], high[line], sizes[line], place))
+                found.append((W.mix(words), digest[picked][line], low[line], high[line], sizes[line], place, early[picked][line]))
             if not found:
                 continue
             words, *rest = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -167,13 +174,12 @@ def _take(data: dict, at: np.ndarray) -> dict:
     return {n: v[at] for n, v in data.items()}
 
 
-def _within(data: dict, left: np.ndarray, right: np.ndarray, same: bool, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+def _within(data: dict, left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Allowed pairs of two lists of lines, both by ascending size; of one list (``same``) each pair once.
 
-    None if there are more than ``most``. Blocks of the left list meet only the lengths they can be similar to.
+    Blocks of the left list meet only the lengths they can be similar to.
     """
     sizes = data["size"].astype(np.int64)
-    found, n = [], 0
     total = int(sizes[right].max(initial=0)) + int(sizes[left].max(initial=0)) + 1
     limit = np.arange(total) - 2 * _least_shared(np.arange(total), 0)
     own = sizes[right]
@@ -193,29 +199,41 @@ def _within(data: dict, left: np.ndarray, right: np.ndarray, same: bool, most: i
             i, j = i[keep], j[keep]
         i, j = some[i], other[j]
         keep = _allowed(_take(data, i), _take(data, j))
-        found.append((i[keep], j[keep]))
-        n += int(keep.sum())
-        if n > most:
-            return None
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        yield i[keep], j[keep]
 
 
 def _meet(_: tuple, table: pa.Table) -> pa.Table:
-    """Pairs of the groups of one bucket; of open groups the pairs with one line, and their postings."""
+    """Pairs of the groups of one bucket, ``a`` the earlier line: each line's first ones and (``later``) the others.
+
+    Of open groups the first ones and the group's lines, ``more`` if a line has further candidates. Pairs of
+    which the order is left open (``either``) are further candidates of both lines.
+    """
     data = {n: np.concatenate([np.frombuffer(x.as_buffer(), k) for x in table.column(n)]) for n, k in _POSTING}
-    data = _take(data, np.lexsort((data["digest"], data["word"])))
+    data = _take(data, np.lexsort((data["early"], data["digest"], data["word"])))
     once = np.ones(len(data["word"]), bool)
     once[1:] = (data["word"][1:] != data["word"][:-1]) | (data["digest"][1:] != data["digest"][:-1])
     data = _take(data, once)
     data = _take(data, np.lexsort((data["size"], data["word"])))
+    n_lines = len(data["word"])
     starts = np.flatnonzero(np.concatenate([[True], data["word"][1:] != data["word"][:-1]]))
-    sizes = np.diff(np.append(starts, len(data["word"])))
-    left, right = [], []
-
-    def compare(i: np.ndarray, j: np.ndarray) -> None:
-        keep = _allowed(_take(data, i), _take(data, j))
-        left.append(i[keep])
-        right.append(j[keep])
+    sizes = np.diff(np.append(starts, n_lines))
+    group = np.repeat(np.arange(len(starts)), sizes)
+    by_rank = np.lexsort((data["digest"], data["early"]))
+    rank = np.empty(n_lines, np.int64)
+    rank[by_rank] = np.arange(n_lines)
+    first = np.full(n_lines, n_lines)
+    candidates = np.zeros(n_lines, np.int64)
+    found = []
+
+    def note(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        swap = rank[i] > rank[j]
+        before, after = np.where(swap, j, i), np.where(swap, i, j)
+        np.minimum.at(first, after, rank[before])
+        np.add.at(candidates, after, 1)
+        either = data["early"][before] == data["early"][after]
+        for end in (before, after):
+            np.add.at(candidates, end[either], 2)
+        return before, after
 
     small = (sizes > 1) & (sizes <= SMALL)
     for gap in range(1, int(sizes[small].max(initial=1))):
@@ -223,42 +241,60 @@ def _meet(_: tuple, table: pa.Table) -> pa.Table:
         wide = small & (sizes > gap)
         n = sizes[wide] - gap
         i = np.repeat(starts[wide] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        compare(i, i + gap)
+        keep = _allowed(_take(data, i), _take(data, i + gap))
+        found.append(note(i[keep], i[keep] + gap))
     is_open = sizes > PART
-    for g in np.flatnonzero((sizes > SMALL) & ~is_open).tolist():
-        own = np.arange(starts[g], starts[g] + sizes[g])
-        pairs = _within(data, own, own, True, DENSE * len(own))
-        if pairs is None:
-            is_open[g] = True
-        else:
-            left.append(pairs[0])
-            right.append(pairs[1])
-    members = np.repeat(is_open, sizes)
-    compare(np.repeat(starts, sizes)[members], np.flatnonzero(members))
-    a, b = (data["digest"][np.concatenate(x).astype(np.int64)] for x in (left, right))
+    for g in np.flatnonzero(sizes > SMALL).tolist():
+        pairs, n = [], 0
+        for start in range(starts[g], starts[g] + sizes[g], PART):
+            own = np.arange(start, min(start + PART, starts[g] + sizes[g]))
+            for i, j in _within(data, own, own, True):
+                ends = note(i, j)
+                n += len(i)
+                is_open[g] |= n > DENSE * sizes[g]
+                if not is_open[g]:
+                    pairs.append(ends)
+        if not is_open[g]:
+            found += pairs
+    before, after = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ((), ())))
+    is_open |= np.bincount(group[after], minlength=len(starts)) > DENSE * sizes
+    members = np.flatnonzero(is_open[group])
+    more = (candidates[members] > 1) | (sizes[group[members]] > PART)
+    later = np.flatnonzero(first < n_lines)
+    rest = (first[after] != rank[before]) & ~is_open[group[after]]
+    left = np.concatenate([by_rank[first[later]], before[rest]])
+    right = np.concatenate([later, after[rest]])
+    # The first pairs, then the others.
+    pairs = {"a": pa.array(data["digest"][left].view(np.int64)), "b": pa.array(data["digest"][right].view(np.int64))}
+    pairs |= {"later": pa.array(np.arange(len(left)) >= len(later)), "either": pa.array(data["early"][left] == data["early"][right])}
     key = int(table.column("bucket")[0].as_py()) << 32
-    columns = ("digest", "low", "high", "size", "place")
-    pairs = {"a": np.minimum(a, b).view(np.int64), "b": np.maximum(a, b).view(np.int64)}
-    pairs = {n: pa.array(v) for n, v in pairs.items()} | {n: pa.nulls(len(a), pa.int64()) for n in ("group", *columns)}
-    held = {n: data[n][members] for n in columns}
-    opened = {n: pa.nulls(int(members.sum()), pa.int64()) for n in ("a", "b")}
-    opened |= {"group": pa.array(data["word"][members].astype(np.int64) + key)}
+    held = {n: data[n][members] for n in ("digest", "low", "high", "size", "place")}
+    opened = {"group": pa.array(data["word"][members].astype(np.int64) + key)}
     opened |= {n: pa.array(v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64)) for n, v in held.items()}
-    return pa.concat_tables([pa.table(pairs), pa.table(opened)])
+    opened |= {"early": pa.array(data["early"][members]), "more": pa.array(more)}
+    kinds = {**{n: c.type for n, c in pairs.items()}, **{n: c.type for n, c in opened.items()}}
+    parts = [{n: c.get(n, pa.nulls(len(next(iter(c.values()))), k)) for n, k in kinds.items()} for c in (pairs, opened)]
+    return pa.concat_tables([pa.table(c) for c in parts])
 
 
-_MET = "a long, b long, group long, digest long, low long, high long, size long, place long"
+_MET = (
+    "a long, b long, later boolean, either boolean, "
+    "group long, digest long, low long, high long, size long, place long, early float, more boolean"
+)
 
 
 def _search(_: tuple, table: pa.Table) -> pa.Table:
-    """Lines without a match against one part of an open group."""
+    """Lines without a match against the lines, not after them, of one part of an open group."""
     table = table.sort_by("size")
-    data = {n: table.column(n).to_numpy() for n in ("digest", "low", "high", "size", "place")}
+    data = {n: table.column(n).to_numpy() for n in ("digest", "low", "high", "size", "place", "early")}
     data = {n: v.view(np.uint64) if n in ("digest", "low", "high") else v for n, v in data.items()}
     probe = table.column("probe").to_numpy(zero_copy_only=False)
-    i, j = _within(data, np.flatnonzero(probe), np.flatnonzero(~probe), False, 1 << 62)
-    a, b = data["digest"][i], data["digest"][j]
-    pairs = np.unique(np.stack([np.minimum(a, b).view(np.int64), np.maximum(a, b).view(np.int64)], axis=1), axis=0)
+    found = [np.zeros((0, 2), np.int64)]
+    for i, j in _within(data, np.flatnonzero(probe), np.flatnonzero(~probe), False):
+        keep = data["early"][j] <= data["early"][i]
+        a, b = data["digest"][i[keep]], data["digest"][j[keep]]
+        found.append(np.stack([np.minimum(a, b).view(np.int64), np.maximum(a, b).view(np.int64)], axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
@@ -324,33 +360,30 @@ def later_matches(docs: DataFrame) -> tuple[Measured, Measured]:
     rarity = spark.sparkContext.broadcast(word_rarity(docs))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
     schema = "bucket long, " + ", ".join(f"{n} binary" for n, _ in _POSTING)
-    dealt = docs.select("text").mapInArrow(after_batches(_postings(rarity, buckets)), schema)
-    met = materialize(dealt.groupBy("bucket").applyInArrow(after_group(_meet), _MET), "met_lines")
+    dealt = docs.select("_id", "text").mapInArrow(after_batches(_postings(rarity, buckets)), schema)
+    met = dealt.groupBy("bucket").applyInArrow(after_group(_meet), _MET)
+    met = measure(met, "met_lines", later=F.count_if("later"), opened=F.count_if("more"))
     twins = first.select("digest").groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = met.where("a is not null").select("a", "b").distinct().unionAll(twins.selectExpr("digest as a", "digest as b"))
+    pairs = met.table.where("not later").select("a", "b").distinct().unionAll(twins.selectExpr("digest as a", "digest as b"))
     similar = _similar(pairs, first, docs)
 
-    opened = met.where("group is not null").drop("a", "b")
-    if not opened.isEmpty():
-        # The earliest of the lines similar to a line's own match may precede the line itself.
-        best = similar.groupBy("later").agg(F.min_by("earlier", "place").alias("earlier"))
-        around = similar.select(F.col("earlier").alias("hub"), F.col("later").alias("node"))
-        around = around.unionAll(similar.select(F.col("later").alias("hub"), F.col("earlier").alias("node")))
-        place = first.select("node", "digest", F.struct("_id", "_hash", "line").alias("place"))
-        least = around.join(place, "node").groupBy("hub").agg(F.min_by("digest", "place").alias("a"))
-        unmatched = around.join(best.select(F.col("later").alias("node")), "node", "left_anti")
-        again = unmatched.join(least, "hub").join(place.select("node", F.col("digest").alias("b")), "node").where("a <> b")
-        again = materialize(again.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "second_pairs")
-        similar = similar.unionAll(_similar(again, first, docs))
+    if met.measures["later"] or met.measures["opened"]:
         matched = similar.select(F.col("later").alias("node")).distinct()
-        resting = first.join(matched, "node", "left_anti").select("digest").distinct()
-        parts = opened.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-        held = opened.join(parts, "group")
-        members = held.withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")).withColumn("probe", F.lit(False))
-        probes = held.join(resting, "digest", "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        rows = members.unionByName(probes.withColumn("probe", F.lit(True)))
-        rest = rows.groupBy("group", "part").applyInArrow(after_group(_search), "a long, b long").distinct()
-        similar = similar.unionAll(_similar(materialize(rest, "open_pairs"), first, docs))
+        resting = materialize(first.join(matched, "node", "left_anti").select("digest").distinct(), "unmatched_lines")
+        further = met.table.where("later")
+        rest = further.join(resting.toDF("b"), "b", "left_semi").select("a", "b")
+        rest = rest.unionAll(further.where("either").join(resting.toDF("a"), "a", "left_semi").select("a", "b"))
+        if met.measures["opened"]:
+            opened = met.table.where("group is not null").drop("a", "b", "later", "either")
+            probes = materialize(opened.where("more").join(resting, "digest", "left_semi"), "open_lines")
+            held = opened.join(probes.select("group").distinct(), "group", "left_semi")
+            parts = held.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+            held = held.join(parts, "group").withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+            probes = probes.join(parts, "group").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            rows = held.withColumn("probe", F.lit(False)).unionByName(probes.withColumn("probe", F.lit(True)))
+            rest = rest.unionAll(rows.groupBy("group", "part").applyInArrow(after_group(_search), "a long, b long"))
+        ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        similar = similar.unionAll(_similar(materialize(rest.select(*ends).distinct(), "further_pairs"), first, docs))
 
     gone = similar.select(F.col("later").alias("node")).distinct().withColumn("_gone", F.lit(True))
     judged = first.select("node", F.struct("_id", "_hash", "line").alias("_first")).join(gone, "node", "left")

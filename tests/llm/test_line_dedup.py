@@ -76,6 +76,22 @@ def test_near_copies(spark, monkeypatch, seed, vocabulary, edits):
     assert check(spark, docs) > 20
 
 
+def test_pairs_grow_with_near_copies(spark, monkeypatch):
+    similar, asked = line_dedup._similar, []
+
+    def counted(pairs, *others):
+        asked.append(pairs.count())
+        return similar(pairs, *others)
+
+    monkeypatch.setattr(line_dedup, "_similar", counted)
+    words_ = [f"w{i}" for i in range(12)]
+    docs = [(i, " ".join([*words_, f"own{i}"] if i else words_)) for i in range(60)]
+    # Near copies within one text, of which the row's id does not tell the order.
+    docs.append((60, "\n".join(" ".join([*(f"v{i}" for i in range(12)), f"own{j}"]) for j in range(9, 0, -1))))
+    assert check(spark, docs) == 59 + 8
+    assert sum(asked) < 4 * 70  # of 1,770 + 36
+
+
 def test_awkward_rows(spark):
     line = "one two three four five"
     docs = [(5, line), (3, f"{line}\n\n{line.upper()} \n"), (None, "null id first"), (4, None), (6, ""), (7, "\n\n"), (7, "again\n"),
