@@ -2,11 +2,11 @@
 
 1. A document's distinct shingles are hashed. Documents with the same set form a class, so copies
    are never compared.
-2. Two sets linked at 9/10 differ in at most a ninth of the smaller one. Their hashes are dealt to
-   some blocks more than that, so linked sets agree in all of some block: the finest count vector
-   of that block, hashed, is the cell in which they meet. Sets of a size class use the same blocks;
-   those next to a border go to both classes. A set that fills more blocks than can differ agrees with
-   its partners in a block that is not empty, and its empty blocks make no cells.
+2. Two sets linked at 9/10 share nine tenths of the larger one at least, so in any order that is the same
+   for all sets they have one of their first hashes in common, a tenth of each and one more. In how many
+   documents each shingle occurs is counted over all of them, and the order is from rare to frequent: each
+   of a set's first hashes is a cell in which it meets others, and a passage that many sets contain is a
+   cell of those only that hold little else.
 3. A set's count vector has the number of its hashes in each of 64 groups or, for large sets, more. Two
    sets share at most the sum of the coordinate minima, and a pair for which that is too little goes before
    any text is fetched.
@@ -29,11 +29,13 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import words as W
 from ledgerlens.llm.components import components
+from ledgerlens.llm.memory import after_batches, after_group
 from ledgerlens.llm.names import with_own_names
 from ledgerlens.llm.shipping import ship
 from ledgerlens.operators.joins import sized_join
@@ -44,7 +46,10 @@ GROUPS, GROUP_HASHES = 64, 24
 LEAF = 16
 # Members of one cell in an R-tree; larger cells are cut into parts, and each two parts meet in a task.
 TREE_ROWS = 4096
-CLASS_GROWTH = 1.5
+# Shingles of at least so many documents are frequent; of more than FREQUENT such, those of most documents.
+OFTEN, FREQUENT = 16, 1 << 19
+# Shingles counted at a time before they are dealt out, and bits that tell most others from the frequent ones.
+COUNTED, MAYBE_BITS = 1 << 21, 22
 # Members of many cells list so many of them, which spares naming a pair once for each cell it shares.
 LISTED = 256
 BUCKET_BYTES = 64 << 20
@@ -65,21 +70,11 @@ class Link(NamedTuple):
     def holds(self, shared, a, b):
         return (self.per + self.share) * shared >= self.share * (a + b)
 
-    def bounds(self, largest: int) -> np.ndarray:
-        """First sizes of the size classes, up to one beyond ``largest``."""
-        growth, sizes = max(CLASS_GROWTH, self.per / self.share), [1]
-        while sizes[-1] <= largest:
-            sizes.append(max(sizes[-1] + 1, int(sizes[-1] * growth)))
-        return np.array(sizes, np.int64)
-
-    def differ(self, largest: np.ndarray) -> np.ndarray:
-        """The elements in which linked sets can differ, the smaller one up to ``largest``."""
-        return largest * (self.per - self.share) // self.share
-
-    def blocks(self, largest: np.ndarray) -> np.ndarray:
-        """More than can differ, so that a set fills more than can differ though some of its blocks are empty."""
-        differ = self.differ(largest)
-        return np.where(differ > 0, differ + differ // 16 + 2, 1)
+    def meeting(self, sizes: np.ndarray) -> np.ndarray:
+        """How many of the first elements of a set, in any order common to all, include one of each other linked set."""
+        least = -(-self.share * sizes // self.per)
+        # A set too small to be linked with more than its equals needs none: equal sets are one class already.
+        return np.where(self.per * sizes >= self.share * (sizes + 1), sizes - least + 1, 0)
 
 
 def _sets(batch: pa.RecordBatch, link: Link) -> tuple[W.Rows, np.ndarray, np.ndarray]:
@@ -107,45 +102,111 @@ def _digests(link: Link):
     return run
 
 
-def _cells_of(sets: W.Rows, ids: np.ndarray, link: Link) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, id) of each set in its size class, and in the class below if it may have links there.
+def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each hash by its high half; it rises with the hash."""
+    return ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _occurrences(link: Link, buckets: int):
+    """Distinct shingles of the documents by bucket, as packed low halves: those met once, others with their number."""
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        values, times = np.unique(np.concatenate(held), return_counts=True)
+        edges = np.searchsorted(_bucket(values, buckets), np.arange(buckets + 1, dtype=np.uint64))
+        rows = []
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            low, n = values[edges[b] : edges[b + 1]].astype(np.uint32), times[edges[b] : edges[b + 1]]
+            rows.append({"bucket": b, "once": low[n == 1].tobytes(), "more": low[n > 1].tobytes(), "times": n[n > 1].astype(np.uint32).tobytes()})
+        return pa.RecordBatch.from_pylist(rows, _OCCURRENCES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for part in W.chunks(batch, "text"):
+                held.append(W.distinct(W.shingles(W.words(part.column("text")), link.k)).values)
+                n += len(held[-1])
+                if n >= COUNTED:
+                    yield counted(held)
+                    held, n = [], 0
+        if n:
+            yield counted(held)
+
+    return after_batches(run)
+
+
+_OCCURRENCES = pa.schema([("bucket", pa.int64())] + [(n, pa.binary()) for n in ("once", "more", "times")])
+
+
+def _often(key: tuple, table: pa.Table) -> pa.Table:
+    """The shingles of one bucket that many documents have, as bucket and low half in one number."""
+    once, more, times = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table.column(c)]) for c in _OCCURRENCES.names[1:])
+    low = np.sort(np.concatenate([once, more]))
+    first = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+    n, low = np.diff(np.append(first, len(low))), low[first]
+    n = n + np.bincount(np.searchsorted(low, more), weights=times.astype(np.int64) - 1, minlength=len(low)).astype(np.int64)
+    code = (key[0].as_py() << 32) + low[n >= OFTEN].astype(np.int64)
+    return pa.table({"code": pa.array(code), "n": pa.array(n[n >= OFTEN])})
+
+
+class Frequent(NamedTuple):
+    """Frequent shingles by bucket and low half, in order, and a level of each that rises with its documents.
+
+    Two shingles of one bucket and low half pass for one here; the order of sets' elements stays the same for all sets.
+    """
+
+    buckets: int
+    codes: np.ndarray
+    levels: np.ndarray
+
+    def maybe(self) -> np.ndarray:
+        """By the last bits of a hash, whether a frequent one has them."""
+        flags = np.zeros(1 << MAYBE_BITS, bool)
+        flags[self.codes & ((1 << MAYBE_BITS) - 1)] = True
+        return flags
+
+    def of(self, values: np.ndarray, maybe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the frequent ones among some hashes are, and their levels."""
+        at = np.flatnonzero(maybe[(values & np.uint64((1 << MAYBE_BITS) - 1)).astype(np.int64)])
+        code = (_bucket(values[at], self.buckets) << np.uint64(32) | values[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        place = np.searchsorted(self.codes, code)
+        hit = place < len(self.codes)
+        hit[hit] = self.codes[place[hit]] == code[hit]
+        return at[hit], self.levels[place[hit]]
+
+
+def _frequent(docs: DataFrame, link: Link, buckets: int) -> Frequent:
+    """Counted over all documents; a level has the shingles of about as many documents, up to a fifth more."""
+    schema = "bucket long, once binary, more binary, times binary"
+    counted = docs.select("text").mapInArrow(_occurrences(link, buckets), schema).groupBy("bucket")
+    often = counted.applyInArrow(after_group(_often), "code long, n long")
+    often = materialize(often.select("code", F.floor(F.log2("n") * 4).cast("int").alias("level")), "frequent_shingles")
+    level, total = 0, 0
+    for row in sorted(often.groupBy("level").count().collect(), reverse=True):
+        level, total = row["level"], total + row["count"]
+        if total > FREQUENT:
+            level += 1
+            break
+    found = often.where(F.col("level") >= level).toArrow()
+    codes, levels = found.column("code").to_numpy(), found.column("level").to_numpy()
+    order = np.argsort(codes)
+    return Frequent(buckets, codes[order], levels[order])
+
+
+def _cells_of(sets: W.Rows, ids: np.ndarray, link: Link, frequent: Frequent, maybe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, id) of each set, for its first elements by level and hash.
 
     Cells are numbers of 48 bits."""
-    sizes = sets.counts
-    first_sizes = link.bounds(int(sizes.max(initial=0)))
-    own = np.searchsorted(first_sizes, sizes, "right") - 1
-    cells, members = [], []
-    for down in (0, 1):
-        klass = own - down
-        last = first_sizes[np.clip(klass + 1, 0, len(first_sizes) - 1)] - 1
-        blocks = link.blocks(last)
-        # With a single block linked sets are equal, and equal sets are one class already.
-        wanted = (sizes > 0) & (klass >= 0) & (blocks > 1)
-        if down:
-            wanted &= link.share * sizes <= link.per * last
-        picked = np.flatnonzero(wanted)
-        if not len(picked):
-            continue
-        counts, per = sizes[picked], blocks[picked]
-        starts = np.concatenate([[0], np.cumsum(per)])
-        at = np.repeat(sets.offsets[picked] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-        values = sets.values[at]
-        # A set is sorted, and so are its blocks: the high half of a hash decides.
-        block = ((values >> np.uint64(32)) * np.repeat(per, counts).astype(np.uint64)) >> np.uint64(32)
-        place = np.repeat(starts[:-1], counts) + block.astype(np.int64)
-        ends = np.searchsorted(place, np.arange(starts[-1] + 1))
-        totals = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mix(values), dtype=np.uint64)])
-        content = totals[ends[1:]] - totals[ends[:-1]]
-        filled = ends[1:] > ends[:-1]
-        enough = np.add.reduceat(filled, starts[:-1], dtype=np.int64) > link.differ(last[picked])
-        made = filled | ~np.repeat(enough, per)
-        number = np.arange(starts[-1]) - np.repeat(starts[:-1], per)
-        salt = W.mix((np.repeat(klass[picked], per) * (1 << 40) + number).astype(np.uint64))
-        cells.append((W.mix(content ^ salt) >> np.uint64(16)).astype(np.int64)[made])
-        members.append(np.repeat(ids[picked], per)[made])
-    if not cells:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(cells), np.concatenate(members)
+    row = np.repeat(np.arange(len(sets.counts)), sets.counts)
+    at, levels = frequent.of(sets.values, maybe)
+    rare = np.ones(len(row), bool)
+    rare[at] = False
+    # A set is sorted by hash: its rare elements come first, then the others by level.
+    before = np.concatenate([[0], np.cumsum(rare)])
+    place = before[:-1] - before[sets.offsets[row]]
+    at = at[np.lexsort((levels, row[at]))]
+    place[at] = before[sets.offsets[row[at] + 1]] - sets.offsets[row[at]] + np.arange(len(at))
+    made = place < link.meeting(sets.counts)[row]
+    return (W.mix(sets.values[made]) >> np.uint64(16)).astype(np.int64), ids[row[made]]
 
 
 def _buckets_of(rows: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -156,7 +217,7 @@ def _buckets_of(rows: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarra
         yield b, order[edges[b] : edges[b + 1]]
 
 
-def _cells(link: Link, buckets: int):
+def _cells(link: Link, buckets: int, frequent: Broadcast):
     """Cells by bucket, as packed arrays: the members' digests, and for each cell its 48 bits and the member.
 
     Of the many members that a large group has in one cell, each batch hands on the least only. The
@@ -164,6 +225,7 @@ def _cells(link: Link, buckets: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maybe = frequent.value.maybe()
         for whole in batches:
             for start in range(0, whole.num_rows, 60_000):  # so that 16 bits tell the members apart
                 batch = whole.slice(start, 60_000)
@@ -171,7 +233,7 @@ def _cells(link: Link, buckets: int):
                 names, which = np.unique(np.concatenate([d.view(np.int64) for _, d in digests]), return_inverse=True)
                 found, at = [], 0
                 for sets, _ in digests:
-                    found.append(_cells_of(sets, which[at : at + len(sets.counts)], link))
+                    found.append(_cells_of(sets, which[at : at + len(sets.counts)], link, frequent.value, maybe))
                     at += len(sets.counts)
                 cell, member = (np.concatenate(x) for x in zip(*found, strict=True))
                 order = np.lexsort((member, cell))
@@ -438,12 +500,13 @@ def _linked(pairs: DataFrame, texts: DataFrame, link: Link) -> DataFrame:
 def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Callable[[], DataFrame]]:
     """Verified links (a, b) between classes, enough to connect whatever is connected, and what gives the texts of all linked classes."""
     spark = docs.sparkSession
-    words = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    # A bucket's share of the cells, at most two for a block, stays within memory.
-    wide = link.blocks(np.array([words])).item() * 2 * 32 // BUCKET_BYTES
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wide)
+    words, rows = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count(F.lit(1))).first()
+    # A bucket's share of the shingles, and later of the cells, stays within memory.
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frequent = spark.sparkContext.broadcast(_frequent(docs, link, max(least, words * 32 // BUCKET_BYTES)))
+    buckets = max(least, (words * (link.per - link.share) // link.per + rows) * 32 // BUCKET_BYTES)
     schema = "bucket long, " + ", ".join(f"{n} binary" for n in _CELLS.names[1:])
-    cells = docs.select("text").mapInArrow(_cells(link, buckets), schema)
+    cells = docs.select("text").mapInArrow(_cells(link, buckets, frequent), schema)
     stars = materialize(cells.groupBy("bucket").applyInArrow(_meet, "cell long, member long, pivot long"), "cell_members")
     classes = sets.where("n_shingles > 0").groupBy("digest", "node").agg(F.min("doc_id").alias("doc_id"))
     ends = stars.select(F.explode(F.array("member", "pivot")).alias("digest")).distinct()
