@@ -55,7 +55,8 @@ LISTED = 256
 BUCKET_BYTES = 64 << 20
 # Classes and their shingles in one part of a component, on average, and the shingles counted at a time.
 PART_ROWS, PART_SHINGLES, PART_COLUMNS = 512, 1 << 19, 4096
-BOUNDED_ROWS = 256
+# Pairs of count vectors of any size, and of those of a tree, held against the bound at a time.
+BOUNDED_ROWS, BOUNDED_PAIRS = 256, 1 << 13
 # Members of small cells in one task's group, and such cells whose pairs are made at a time.
 SMALL_ROWS, SMALL_CELLS = 1 << 14, 1 << 11
 
@@ -99,7 +100,7 @@ def _digests(link: Link):
                 columns += [pa.array(sets.counts), pa.array(first.view(np.int64)), _node(first, second)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "digest", "node"])
 
-    return run
+    return after_batches(run)
 
 
 def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
@@ -258,7 +259,7 @@ def _cells(link: Link, buckets: int, frequent: Broadcast):
                 if rows:
                     yield pa.RecordBatch.from_pylist([{"bucket": b, **row} for b, row in rows.items()], _CELLS)
 
-    return run
+    return after_batches(run)
 
 
 _CELLS = pa.schema([("bucket", pa.int64())] + [(n, pa.binary()) for n in ("digests", "members", "high", "low", "stars")])
@@ -325,7 +326,7 @@ def _vectors(link: Link):
                 vectors = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(counts.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([_node(first, second), pa.array(sets.counts), vectors], ["node", "n", "vector"])
 
-    return run
+    return after_batches(run)
 
 
 def _texts(link: Link):
@@ -338,7 +339,7 @@ def _texts(link: Link):
                 columns = [_node(first, second), pa.array(sets.counts), part.column("text")]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "n", "text"])
 
-    return run
+    return after_batches(run)
 
 
 def _bounded(link: Link):
@@ -358,7 +359,7 @@ def _bounded(link: Link):
                     keep[at] = link.holds(np.minimum(shared, np.minimum(sizes[0][at], sizes[1][at])), sizes[0][at], sizes[1][at])
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return run
+    return after_batches(run)
 
 
 def _verify(link: Link):
@@ -375,7 +376,7 @@ def _verify(link: Link):
                     kept.append(bool(link.holds(shared, len(x), len(y))))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return run
+    return after_batches(run)
 
 
 class RTree:
@@ -419,10 +420,10 @@ class RTree:
     @staticmethod
     def _bounded(probe, at, upper, least, probes, sizes, link):
         keep = np.zeros(len(probe), bool)
-        for i in range(0, len(probe), 1 << 16):
-            p, t = probe[i : i + (1 << 16)], at[i : i + (1 << 16)]
+        for i in range(0, len(probe), BOUNDED_PAIRS):
+            p, t = probe[i : i + BOUNDED_PAIRS], at[i : i + BOUNDED_PAIRS]
             shared = np.minimum(probes[p], upper[t]).sum(axis=1)
-            keep[i : i + (1 << 16)] = link.holds(np.minimum(shared, sizes[p]), sizes[p], least[t])
+            keep[i : i + BOUNDED_PAIRS] = link.holds(np.minimum(shared, sizes[p]), sizes[p], least[t])
         return probe[keep], at[keep]
 
 
@@ -435,6 +436,27 @@ def _small_pairs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
     return (starts[run] + i)[i < j], (starts[run] + j)[i < j]
 
 
+def _first_met(a: np.ndarray, b: np.ndarray, here: np.ndarray, lists: pa.Array) -> np.ndarray:
+    """Which pairs of lists, each in order, have no number in common that is less than ``here``."""
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+    values, rank = np.unique(pc.list_flatten(lists).to_numpy(zero_copy_only=False), return_inverse=True)
+    # The lists one after the other, and in each the numbers, are in order as they are.
+    keys = np.repeat(np.arange(len(lists)), np.diff(ends)) * len(values) + rank
+    limit = np.searchsorted(values, here)
+    keep, left, step = np.ones(len(a), bool), np.arange(len(a)), 0
+    while True:
+        at = ends[a[left]] + step
+        more = at < ends[a[left] + 1]
+        more[more] = rank[at[more]] < limit[left[more]]
+        left, at = left[more], at[more]
+        if not len(left):
+            return keep
+        wanted = b[left] * len(values) + rank[at]
+        met = keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
+        keep[left[met]] = False
+        left, step = left[~met], step + 1
+
+
 def _tree_join(link: Link):
     """Of many cells, or of two parts of a large one, the pairs of different components that the bound allows.
 
@@ -478,16 +500,17 @@ def _tree_join(link: Link):
             alike = np.flatnonzero(groups == g)
             for start in range(0, len(alike), SMALL_CELLS):
                 search(alike[start : start + SMALL_CELLS])
-        ends = []
-        for a, b in zip(*(np.concatenate(x).tolist() for x in zip(*found, strict=True)), strict=True) if found else ():
+        sides = ([], [])
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
             # Named in the first cell that both list; if they list none in common, wherever they meet.
-            here = int(cell[a])
-            if here == min(set(listed[a].as_py()) & set(listed[b].as_py()), default=here):
-                ends.append(sorted((node[a], node[b])))
-        sides = zip(*ends, strict=True) if ends else ([], [])
+            own, place, which = np.unique(node, return_index=True, return_inverse=True)
+            keep = _first_met(which[a], which[b], cell[a], listed.take(pa.array(place)))
+            ends = np.unique(np.sort(np.stack([which[a[keep]], which[b[keep]]]), axis=0), axis=1)
+            sides = [own[side].tolist() for side in ends]
         return pa.table([pa.array(list(e), pa.binary()) for e in sides], ["a", "b"])
 
-    return run
+    return after_group(run)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, link: Link) -> DataFrame:
@@ -507,7 +530,7 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Call
     buckets = max(least, (words * (link.per - link.share) // link.per + rows) * 32 // BUCKET_BYTES)
     schema = "bucket long, " + ", ".join(f"{n} binary" for n in _CELLS.names[1:])
     cells = docs.select("text").mapInArrow(_cells(link, buckets, frequent), schema)
-    stars = materialize(cells.groupBy("bucket").applyInArrow(_meet, "cell long, member long, pivot long"), "cell_members")
+    stars = materialize(cells.groupBy("bucket").applyInArrow(after_group(_meet), "cell long, member long, pivot long"), "cell_members")
     classes = sets.where("n_shingles > 0").groupBy("digest", "node").agg(F.min("doc_id").alias("doc_id"))
     ends = stars.select(F.explode(F.array("member", "pivot")).alias("digest")).distinct()
     chosen = measure_size(classes.join(ends, "digest", "left_semi"), "candidates")
@@ -527,10 +550,14 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Call
     )
     # Different sets of one digest share its cells without a star between them.
     twins = names.toDF("digest", "a").join(names.toDF("digest", "b"), "digest").where("a < b").select("a", "b")
+    edges = materialize(edges.unionAll(twins), "candidate_edges")
     schema = "a binary, b binary"
     sides = [vectors.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("vector").alias(f"vector_{c}")) for c in "ab"]
-    edges = edges.unionAll(twins).join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "n_b", "vector_a", "vector_b")
-    edges = materialize(edges.mapInArrow(_bounded(link), schema), "candidate_edges")
+
+    def allowed(some: DataFrame, name: str) -> DataFrame:
+        """Of some pairs those that the count vectors allow."""
+        both = some.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "n_b", "vector_a", "vector_b")
+        return materialize(both.mapInArrow(_bounded(link), schema), name)
 
     def texts_of(ends: DataFrame, name: str) -> DataFrame:
         """Texts of the classes at either end of the pairs (a, b)."""
@@ -540,16 +567,20 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Call
         return materialize(found.dropDuplicates(["node"]), name)
 
     # A member's least pivot connects most of what is connected; the others follow where it did not.
-    texts = texts_of(edges, "candidate_texts")
-    one = materialize(_linked(edges.groupBy("a").agg(F.min("b").alias("b")), texts, link), "links")
+    first = allowed(edges.groupBy("a").agg(F.min("b").alias("b")), "first_edges")
+    one = materialize(_linked(first, texts_of(first, "first_texts"), link), "links")
     parts = components(one)
     known = names.select("node").join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("c"))
     known = materialize(known, "first_components")
     apart = edges.join(known.toDF("a", "ca"), "a").join(known.toDF("b", "cb"), "b").where("ca <> cb").select("a", "b")
-    more = materialize(_linked(apart, texts, link), "more_links")
+    apart = allowed(apart, "apart_edges")
+    more = materialize(_linked(apart, texts_of(apart, "apart_texts"), link), "more_links")
     found = spark.createDataFrame([], schema).unionAll(one).unionAll(more)
     parts = components(found)
 
+    def texts() -> DataFrame:
+        return texts_of(found, "linked_texts")
+
     # Cells in which a member is still apart from the cell's least member.
     label = names.join(parts, "node", "left").select("digest", "node", F.coalesce("component", "node").alias("component"))
     label = materialize(label, "candidate_components")
@@ -560,13 +591,13 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Call
     members = rest.select("cell", F.explode(F.array("member", "pivot")).alias("digest")).distinct()
     left = measure(members.join(label, "digest").select("cell", "node", "component"), "open_cells", rows=F.count(F.lit(1)))
     if left.measures["rows"] == 0:
-        return found, lambda: texts
+        return found, texts
     # Of two members the lesser is the cell's least, with which the other was compared.
     sizes = left.table.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).where("m > 2")
     parts = sizes.select("cell", F.ceil(F.col("m") / TREE_ROWS).cast("int").alias("parts"))
     crowded = measure(left.table.join(parts, "cell"), "crowded_cells", rows=F.count(F.lit(1)))
     if crowded.measures["rows"] == 0:
-        return found, lambda: texts
+        return found, texts
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), crowded.measures["rows"] // SMALL_ROWS)
     own_group = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cell"), F.lit(buckets))).otherwise(F.xxhash64("cell"))
     listed = crowded.table.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("cell")), 1, LISTED).alias("cells"))
@@ -656,7 +687,7 @@ def _part_links(link: Link, as_pairs: bool):
         found = [np.concatenate(c) for c in zip(*sums, strict=True)] if sums else [np.zeros(0, np.int64)] * 2
         return pa.table([pa.array(c.tolist(), t) for c, t in zip(found, (pa.binary(), pa.int64()), strict=True)], ["node", "n"])
 
-    return run
+    return after_group(run)
 
 
 def _every_link(classes: DataFrame, texts: DataFrame, link: Link, as_pairs: bool) -> DataFrame:

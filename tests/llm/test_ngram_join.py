@@ -155,3 +155,58 @@ def test_keep_one_leaves_columns_as_they_are(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _id long, _hash string")
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
+def test_passages_of_all_texts_make_no_cells(spark, monkeypatch):
+    draw = random.Random(5)
+    common = " ".join(f"c{i}" for i in range(40))
+    docs = [(i, " ".join(f"w{draw.randrange(10**6)}" for _ in range(60)) + " " + common) for i in range(300)]
+    docs += [(300 + i, f"{common} {i}") for i in range(20)]
+    rows, plain = {}, ngram_join.measure
+
+    def spy(df, name, **measures):
+        written = plain(df, name, **measures)
+        rows[name] = written.measures.get("rows")
+        return written
+
+    monkeypatch.setattr(ngram_join, "measure", spy)
+    kept = ngram_join.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in kept) == [*range(301)]
+    assert rows["open_cells"] == 0
+
+
+@pytest.mark.parametrize("share", [80, 90])
+def test_linked_sets_share_a_cell_in_any_order(share):
+    draw, link = np.random.default_rng(share), ngram_join.Link(5, share, 100)
+    for _ in range(300):
+        both = draw.integers(0, 2**63, int(draw.integers(3, 60))).astype(np.uint64) * np.uint64(2)
+        one, other = (draw.integers(0, 2**63, int(draw.integers(0, 12))).astype(np.uint64) * np.uint64(2) for _ in "ab")
+        sets = [np.unique(np.concatenate([both, x])) for x in (one, other)]
+        a, b = map(len, sets)
+        if not link.holds(len(both), a, b) or len(both) == a == b:
+            continue
+        known = draw.permutation(np.concatenate(sets))[: int(draw.integers(0, a + b))]
+        codes = np.unique((ngram_join._bucket(known, 7) << np.uint64(32) | known & np.uint64(0xFFFFFFFF)).astype(np.int64))
+        frequent = ngram_join.Frequent(7, codes, draw.integers(16, 40, len(codes)))
+        rows = ngram_join.W.Rows(np.concatenate(sets), np.array([0, a, a + b]))
+        cell, member = ngram_join._cells_of(rows, np.array([0, 1]), link, frequent, frequent.maybe())
+        assert np.bincount(member).tolist() == link.meeting(np.array([a, b])).tolist()
+        assert set(cell[member == 0]) & set(cell[member == 1])
+
+
+def test_shingles_of_many_documents_are_counted(spark):
+    texts = [f"a b c d e {i} {i}x {i}y {i}z {i}q" for i in range(40)] + ["k l m n o"] * 15 + [None, ""]
+    ngram_join.ship(spark)
+    found = ngram_join._frequent(spark.createDataFrame([(t,) for t in texts], "text string"), ngram_join.Link(5, 80, 100), 3)
+    value = ngram_join.W.shingles(ngram_join.W.words(pa.array(["a b c d e"])), 5).values
+    at, levels = found.of(np.concatenate([value + np.uint64(1), value]), found.maybe())
+    assert len(found.codes) == 1 and at.tolist() == [1] and levels.tolist() == [int(4 * np.log2(40))]
+
+
+def test_pairs_are_named_in_their_first_common_cell():
+    draw = np.random.default_rng(8)
+    lists = [sorted(draw.choice(30, int(draw.integers(1, 9)), replace=False).tolist()) for _ in range(40)]
+    a, b, here = (draw.integers(0, n, 2000) for n in (40, 40, 30))
+    expected = [int(h) <= min(set(lists[x]) & set(lists[y]), default=int(h)) for x, y, h in zip(a, b, here, strict=True)]
+    assert ngram_join._first_met(a, b, here, pa.array(lists, pa.list_(pa.int64()))).tolist() == expected
+    assert 100 < sum(expected) < 1900
