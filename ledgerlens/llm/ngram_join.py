@@ -8,8 +8,9 @@
    of a set's first hashes is a cell in which it meets others, and a passage that many sets contain is a
    cell of those only that hold little else.
 3. A set's count vector has the number of its hashes in each of 64 groups or, for large sets, more. Two
-   sets share at most the sum of the coordinate minima, and a pair for which that is too little goes before
-   any text is fetched.
+   sets share at most the sum of the coordinate minima. Of finer groups only the parities are kept: each that
+   differs is an element that one set alone has. A pair that either bound rules out goes before any text is
+   fetched.
 4. In each cell every member is first compared with the cell's least member only. Once these links
    are verified, cells whose members are all connected are done, however many they are.
 5. In the remaining cells, members in different components meet through an R-tree over the count vectors:
@@ -43,6 +44,7 @@ from ledgerlens.operators.shared import Measured, materialize, measure, measure_
 
 # Groups of a count vector, four times as many until a group has at most GROUP_HASHES hashes on average.
 GROUPS, GROUP_HASHES = 64, 24
+PARITIES = 1024
 LEAF = 16
 # Members of one cell in an R-tree; larger cells are cut into parts, and each two parts meet in a task.
 TREE_ROWS = 4096
@@ -298,6 +300,25 @@ def count_vectors(sets: W.Rows, groups: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.bincount(offsets[of] + group, minlength=offsets[-1]), offsets
 
 
+def parities(sets: W.Rows) -> np.ndarray:
+    """Of each set whether the number of its elements in each of ``PARITIES`` groups is odd, as packed bits."""
+    row = np.repeat(np.arange(len(sets.counts)), sets.counts)
+    group, words = W.mix(sets.values) & np.uint64(PARITIES - 1), np.zeros((len(sets.counts), PARITIES // 64), np.uint64)
+    np.bitwise_xor.at(words, (row, group >> np.uint64(6)), np.uint64(1) << (group & np.uint64(63)))
+    return words
+
+
+def _bits(packed: pa.Array) -> np.ndarray:
+    """Rows of packed bits as whole words."""
+    return np.frombuffer(b"".join(packed.to_pylist()), np.uint64).reshape(len(packed), PARITIES // 64)
+
+
+def _few_differ(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, others: np.ndarray, link: Link) -> np.ndarray:
+    """Which pairs of sets the parities of their groups allow to be linked."""
+    differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return link.holds((sizes + others - differ) // 2, sizes, others)
+
+
 def folded(vectors: np.ndarray, groups: int) -> np.ndarray:
     """Rows of counts in fewer groups: both numbers are powers of two, and a group goes by the last bits of a hash."""
     return vectors.reshape(len(vectors), -1, groups).sum(axis=1)
@@ -324,7 +345,8 @@ def _vectors(link: Link):
                 sets, first, second = _sets(part, link)
                 counts, offsets = count_vectors(sets, groups_of(sets.counts))
                 vectors = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(counts.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([_node(first, second), pa.array(sets.counts), vectors], ["node", "n", "vector"])
+                odd = pa.array([row.tobytes() for row in parities(sets)], pa.binary())
+                yield pa.RecordBatch.from_arrays([_node(first, second), pa.array(sets.counts), vectors, odd], ["node", "n", "vector", "odd"])
 
     return after_batches(run)
 
@@ -343,7 +365,7 @@ def _texts(link: Link):
 
 
 def _bounded(link: Link):
-    """Of rows (a, b, n_a, n_b, vector_a, vector_b) the (a, b) that the summed minima of their counts allow."""
+    """Of rows (a, b, and of both n, vector, odd) the (a, b) that the summed minima of their counts and the parities allow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,6 +379,8 @@ def _bounded(link: Link):
                     a, b = (_matrix(batch.column(c).take(pa.array(at))) for c in ("vector_a", "vector_b"))
                     shared = np.minimum(folded(a, g), folded(b, g)).sum(axis=1)
                     keep[at] = link.holds(np.minimum(shared, np.minimum(sizes[0][at], sizes[1][at])), sizes[0][at], sizes[1][at])
+                    odd = (_bits(batch.column(c).take(pa.array(at))) for c in ("odd_a", "odd_b"))
+                    keep[at] &= _few_differ(*odd, sizes[0][at], sizes[1][at], link)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return after_batches(run)
@@ -473,7 +497,13 @@ def _tree_join(link: Link):
         starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
         counts = np.diff(np.append(starts, len(cell)))
         groups = np.minimum.reduceat(pc.list_value_length(vector).to_numpy(zero_copy_only=False), starts)
-        found = []
+        odd, found = _bits(table.column("odd")), []
+
+        def keep(a: np.ndarray, b: np.ndarray) -> None:
+            for i in range(0, len(a), BOUNDED_PAIRS):
+                p, t = a[i : i + BOUNDED_PAIRS], b[i : i + BOUNDED_PAIRS]
+                near = _few_differ(odd[p], odd[t], sizes[p], sizes[t], link)
+                found.append((p[near], t[near]))
 
         def search(some: np.ndarray) -> None:
             """Cells of which the coarsest vectors have the same number of groups."""
@@ -485,7 +515,7 @@ def _tree_join(link: Link):
                 p, t = _small_pairs(first[few], counts[some][few])
                 p, t = p[part[p] != part[t]], t[part[p] != part[t]]
                 p, t = RTree._bounded(p, t, vectors, own, vectors, own, link)
-                found.append((rows[p], rows[t]))
+                keep(rows[p], rows[t])
             for k in np.flatnonzero(~few).tolist():
                 here = np.arange(first[k], first[k] + counts[some[k]])
                 at = rows[here]
@@ -494,7 +524,7 @@ def _tree_join(link: Link):
                     continue
                 for p, t in RTree(vectors[inside], own[inside]).search(vectors[probes], own[probes], link):
                     p, t = probes[p], inside[t]
-                    found.append((rows[p[part[p] != part[t]]], rows[t[part[p] != part[t]]]))
+                    keep(rows[p[part[p] != part[t]]], rows[t[part[p] != part[t]]])
 
         for g in np.unique(groups).tolist():
             alike = np.flatnonzero(groups == g)
@@ -505,8 +535,8 @@ def _tree_join(link: Link):
             a, b = (np.concatenate(x) for x in zip(*found, strict=True))
             # Named in the first cell that both list; if they list none in common, wherever they meet.
             own, place, which = np.unique(node, return_index=True, return_inverse=True)
-            keep = _first_met(which[a], which[b], cell[a], listed.take(pa.array(place)))
-            ends = np.unique(np.sort(np.stack([which[a[keep]], which[b[keep]]]), axis=0), axis=1)
+            named = _first_met(which[a], which[b], cell[a], listed.take(pa.array(place)))
+            ends = np.unique(np.sort(np.stack([which[a[named]], which[b[named]]]), axis=0), axis=1)
             sides = [own[side].tolist() for side in ends]
         return pa.table([pa.array(list(e), pa.binary()) for e in sides], ["a", "b"])
 
@@ -540,7 +570,7 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Call
         wanted = of._replace(table=of.table.select("doc_id").distinct())
         return sized_join(docs.select("doc_id", "text"), wanted, ["doc_id"], ["doc_id", "text"], "left_semi").select("text")
 
-    held = bodies(chosen).mapInArrow(_vectors(link), "node binary, n long, vector array<int>")
+    held = bodies(chosen).mapInArrow(_vectors(link), "node binary, n long, vector array<int>, odd binary")
     vectors = materialize(held.dropDuplicates(["node"]), "candidate_vectors")
 
     names = chosen.table.select("digest", "node")
@@ -552,11 +582,11 @@ def links(docs: DataFrame, sets: DataFrame, link: Link) -> tuple[DataFrame, Call
     twins = names.toDF("digest", "a").join(names.toDF("digest", "b"), "digest").where("a < b").select("a", "b")
     edges = materialize(edges.unionAll(twins), "candidate_edges")
     schema = "a binary, b binary"
-    sides = [vectors.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("vector").alias(f"vector_{c}")) for c in "ab"]
+    sides = [vectors.select(F.col("node").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "vector", "odd")]) for c in "ab"]
 
     def allowed(some: DataFrame, name: str) -> DataFrame:
         """Of some pairs those that the count vectors allow."""
-        both = some.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "n_b", "vector_a", "vector_b")
+        both = some.join(sides[0], "a").join(sides[1], "b")
         return materialize(both.mapInArrow(_bounded(link), schema), name)
 
     def texts_of(ends: DataFrame, name: str) -> DataFrame:

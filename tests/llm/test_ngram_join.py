@@ -210,3 +210,17 @@ def test_pairs_are_named_in_their_first_common_cell():
     expected = [int(h) <= min(set(lists[x]) & set(lists[y]), default=int(h)) for x, y, h in zip(a, b, here, strict=True)]
     assert ngram_join._first_met(a, b, here, pa.array(lists, pa.list_(pa.int64()))).tolist() == expected
     assert 100 < sum(expected) < 1900
+
+
+def test_parities_differ_in_no_more_than_the_sets_do():
+    draw, link = np.random.default_rng(6), ngram_join.Link(5, 80, 100)
+    both = draw.integers(0, 2**63, 100).astype(np.uint64)
+    sets = [np.concatenate([both[int(draw.integers(0, 30)) :], draw.integers(0, 2**63, int(draw.integers(0, 20))).astype(np.uint64)]) for _ in range(80)]
+    rows = ngram_join.W.Rows(np.concatenate([np.unique(x) for x in [*sets, both[:0]]]), np.cumsum([0, *map(len, sets), 0]))
+    odd, n = ngram_join._bits(pa.array([x.tobytes() for x in ngram_join.parities(rows)])), rows.counts
+    assert odd.shape == (81, 16) and not odd[80].any()
+    i, j = np.triu_indices(80, 1)
+    allowed = ngram_join._few_differ(odd[i], odd[j], n[i], n[j], link)
+    linked = np.array([link.holds(len(np.intersect1d(sets[x], sets[y])), n[x], n[y]) for x, y in zip(i, j, strict=True)])
+    assert allowed[linked].all() and linked.sum() > 100
+    assert linked.sum() <= allowed.sum() < 1.3 * linked.sum() < len(i) / 2
